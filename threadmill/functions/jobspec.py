@@ -61,32 +61,19 @@ def subreddit_name(text: Column) -> Column:
     return F.when(F.rlike(name, F.lit(_NAME)), F.lower(name))
 
 
-def _is_blank_target(text: Column) -> Column:
-    return F.regexp_replace(strip(text), r"/+$", "") == ""
-
-
-def target_parts(value: Column) -> Column:
-    """Comma-separated parts of all target entries that hold anything."""
-    texts = F.transform(F.filter(items(value), lambda v: ~F.is_variant_null(v)), as_text)
+def target_parts(entries: Column) -> Column:
+    """Comma-separated parts, of all target entries, that hold anything."""
+    texts = F.transform(entries, as_text)
     parts = F.flatten(F.transform(texts, lambda t: F.split(t, ",")))
-    return F.filter(parts, lambda p: ~_is_blank_target(p))
-
+    return F.filter(parts, lambda p: F.rlike(p, F.lit(r"(?U)[^\s/]")))
 
-def targets(value: Column) -> Column:
-    """Distinct subreddit names in the order given."""
-    names = F.transform(target_parts(value), subreddit_name)
-    return F.array_distinct(F.array_compact(names))
 
-
-def targets_error(value: Column) -> Column:
-    not_text = F.exists(
-        items(value), lambda v: ~F.is_variant_null(v) & (kind_of(v) != F.lit("STRING"))
-    )
-    bad_name = F.exists(target_parts(value), lambda p: subreddit_name(p).isNull())
+def targets_error(entries: Column, names: Column) -> Column:
+    """``names`` are the :func:`subreddit_name` of each part."""
     return (
-        F.when(not_text, F.lit("target entries must be text"))
-        .when(bad_name, F.lit("target is not a subreddit name"))
-        .when(F.size(targets(value)) == 0, F.lit("target is required"))
+        F.when(F.exists(entries, lambda v: kind_of(v) != "STRING"), F.lit("target entries must be text"))
+        .when(F.exists(names, lambda n: n.isNull()), F.lit("target is not a subreddit name"))
+        .when(F.size(names) == 0, F.lit("target is required"))
     )
 
 
@@ -111,50 +98,48 @@ def truth(value: Column, default: bool) -> Column:
     )
 
 
-def positive_whole(value: Column) -> Column:
-    number = F.try_variant_get(value, "$", "bigint")
-    return F.when(number > 0, number)
+def whole(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "bigint")
 
 
-def positive_whole_error(value: Column, field: str) -> Column:
+def positive_whole_error(value: Column, number: Column, field: str) -> Column:
     blank = ~given(value) | F.coalesce(strip(as_text(value)) == "", F.lit(False))
-    number = F.try_variant_get(value, "$", "bigint")
-    return (
-        F.when(blank, F.lit(None).cast("string"))
-        .when(number.isNull(), F.lit(f"{field} must be a whole number"))
-        .when(number <= 0, F.lit(f"{field} must be greater than 0"))
+    return F.when(
+        ~blank,
+        F.when(number.isNull(), F.lit(f"{field} must be a whole number")).when(
+            number <= 0, F.lit(f"{field} must be greater than 0")
+        ),
     )
 
 
 def backends(value: Column) -> Column:
-    texts = F.when(is_list(value), F.transform(items(value), as_text)).otherwise(
-        F.flatten(F.transform(items(value), lambda v: F.split(as_text(v), ",")))
+    texts = F.transform(items(value), as_text)
+    parts = F.when(is_list(value), texts).otherwise(
+        F.flatten(F.transform(texts, lambda t: F.split(t, ",")))
     )
-    return F.array_distinct(F.filter(F.transform(texts, strip), lambda n: n != ""))
+    return F.array_distinct(F.filter(F.transform(parts, strip), lambda n: n != ""))
 
 
-def backends_error(value: Column) -> Column:
-    return F.when(
-        F.exists(backends(value), lambda n: ~n.isin(*KNOWN_BACKENDS)), F.lit("unknown backend")
-    )
+def unknown_backend(names: Column, message: str) -> Column:
+    return F.when(F.exists(names, lambda n: ~n.isin(*KNOWN_BACKENDS)), F.lit(message))
 
 
-def member_names(value: Column) -> Column:
-    return F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+def members(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def backend_settings_error(value: Column) -> Column:
-    overrides = F.map_values(F.try_variant_get(value, "$", "map<string,variant>"))
+def backend_settings_error(value: Column, overrides: Column) -> Column:
+    """``overrides`` are the :func:`members` of the settings."""
     return F.when(
         given(value),
-        F.when(~is_object(value), F.lit("backendSettings must be an object"))
-        .when(
-            F.exists(member_names(value), lambda n: ~n.isin(*KNOWN_BACKENDS)),
-            F.lit("unknown backend in backendSettings"),
-        )
-        .when(
-            F.exists(overrides, lambda v: ~is_object(v)),
-            F.lit("backendSettings entries must be objects"),
+        F.when(overrides.isNull(), F.lit("backendSettings must be an object")).otherwise(
+            F.coalesce(
+                unknown_backend(F.map_keys(overrides), "unknown backend in backendSettings"),
+                F.when(
+                    F.exists(F.map_values(overrides), lambda v: ~is_object(v)),
+                    F.lit("backendSettings entries must be objects"),
+                ),
+            )
         ),
     )
 

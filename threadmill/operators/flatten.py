@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from ..functions import jobspec as J
 from ..session import fresh_dir, materialize
 
+# Levels taken apart in one pass; few real threads are nested deeper.
+LEVELS = 12
+
 
 def envelope_items(payload: Column) -> Column:
     """Records of ``{"data": [...]}`` or of a bare list; no records for anything else."""
@@ -19,59 +22,117 @@ def envelope_items(payload: Column) -> Column:
     )
 
 
-def _holds_something(value: Column) -> Column:
+def _list(node: Column, path: str) -> Column:
+    return F.try_variant_get(node, f"$.{path}", "array<variant>")
+
+
+def _holds_scalar(value: Column) -> Column:
+    """Neither null, nor empty text, nor zero, nor false (for values that do not nest)."""
     text = J.as_text(value)
-    return J.given(value) & ~text.isin("", "[]", "{}", "false", "0", "0.0")
+    zero = (J.kind_of(value) != "STRING") & text.isin("0", "0.0", "false", "[]", "{}")
+    return F.coalesce(J.given(value) & (text != "") & ~zero, F.lit(False))
+
+
+def _has_replies(node: Column) -> Column:
+    """``replies`` holds something, so ``children`` is not looked at."""
+    return (
+        F.coalesce(F.size(_list(node, "replies")) > 0, F.lit(False))
+        | F.coalesce(F.size(F.try_variant_get(node, "$.replies", "map<string,variant>")) > 0, F.lit(False))
+        | _holds_scalar(J.member(node, "replies"))
+    )
+
+
+def _items_at(node: Column, name: str) -> Column:
+    """The list under ``name``, bare or in an envelope."""
+    return F.coalesce(_list(node, name), _list(node, f"{name}.data"))
 
 
 def _replies_of(node: Column) -> Column:
-    replies = J.member(node, "replies")
-    return F.when(_holds_something(replies), replies).otherwise(J.member(node, "children"))
+    bare = _list(node, "replies")
+    # The usual form first: the other tests only run for nodes that have no plain list.
+    return F.coalesce(
+        F.when(F.size(bare) > 0, bare),
+        F.when(_has_replies(node), _list(node, "replies.data")).otherwise(
+            _items_at(node, "children")
+        ),
+        F.array().cast("array<variant>"),
+    )
 
 
 def flatten_replies(trees: DataFrame, tree: str, keep: list[str] | None = None) -> DataFrame:
     """Every comment of the nested documents in JSON column ``tree``, one per row.
 
     Result: ``keep`` columns, nesting ``level`` and ``raw``, the record without its replies.
-    Replies are read from ``replies``, else ``children``, as a list or an envelope. Each level
-    is one pass that explodes the replies of the level before, in parallel over all documents.
+    Replies are read from ``replies``, else ``children``, as a list or an envelope.
+
+    A pass takes ``LEVELS`` levels apart inside each document row; only documents nested
+    deeper than that come back for another pass, each pass over a written table.
     """
     keep = keep or []
     spark = trees.sparkSession
     folder = fresh_dir(spark, "flatten")
-    nodes = trees.select(
-        *keep, F.lit(0).alias("level"),
-        F.explode(envelope_items(F.try_parse_json(tree))).alias("node"),
+    docs = trees.select(
+        *keep, F.lit(0).alias("base"), envelope_items(F.try_parse_json(tree)).alias("level0")
     )
-    levels = []
-    level = 0
+    found: list[DataFrame] = []
     while True:
-        nodes = nodes.filter(J.is_object(F.col("node")))
-        seen = Observation()
-        nodes = materialize(
-            nodes, f"level={level}", folder, seen, F.count(F.lit(1)).alias("n")
+        deeper = Observation()
+        part = materialize(
+            _take_levels(docs, keep), f"pass={len(found)}", folder, deeper,
+            F.count_if(F.col("rest").isNotNull()).alias("n"),
+        )
+        found.append(part.filter(F.col("raw").isNotNull()).select(*keep, "level", "raw"))
+        if not deeper.get["n"]:
+            return reduce(lambda a, b: a.unionByName(b), found)
+        docs = part.filter(F.col("rest").isNotNull()).select(
+            *keep, F.col("level").alias("base"), F.col("rest").alias("level0")
         )
-        if not seen.get["n"]:
-            break
-        levels.append(nodes)
-        below = _replies_of(F.col("node"))
-        # A list of replies stands for itself; an object must be an envelope.
-        nodes = nodes.select(
-            *keep, (F.col("level") + 1).alias("level"), F.explode(envelope_items(below)).alias("node")
+
+
+def _take_levels(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The records of the next levels of each document, and what lies below them (``rest``)."""
+    for i in range(LEVELS):
+        docs = docs.withColumn(f"level{i + 1}", _level_below(F.col(f"level{i}")))
+    nothing = F.lit(None)
+
+    def records_of(i: int) -> Column:
+        return F.transform(
+            F.filter(f"level{i}", _is_comment),
+            lambda node: F.struct(
+                (F.col("base") + i).alias("level"), _own_fields(node).alias("raw"),
+                nothing.cast("array<variant>").alias("rest"),
+            ),
         )
-        level += 1
-    if not levels:
-        levels = [nodes]
-    rows = reduce(lambda a, b: a.unionByName(b), levels)
-    node = F.col("node")
-    # ``children`` is only used up when ``replies`` held nothing.
-    used_children = ~_holds_something(J.member(node, "replies"))
-    own = F.map_filter(
-        F.try_variant_get(node, "$", "map<string,variant>"),
-        lambda k, _: (k != "replies") & ~((k == "children") & used_children),
+
+    records = [records_of(i) for i in range(LEVELS)]
+    rest = F.col(f"level{LEVELS}")
+    below = F.array(
+        F.struct(
+            (F.col("base") + LEVELS).alias("level"), nothing.cast("string").alias("raw"),
+            F.when(F.size(rest) > 0, rest).alias("rest"),
+        )
+    )
+    return docs.select(*keep, F.inline(F.concat(*records, below))).filter(
+        F.col("raw").isNotNull() | F.col("rest").isNotNull()
     )
-    ident = J.member(node, "id")
-    is_comment = _holds_something(ident) | J.given(J.member(node, "body"))
-    return rows.filter(F.coalesce(is_comment, F.lit(False))).select(
-        *keep, "level", F.to_json(own).alias("raw")
+
+
+def _level_below(nodes: Column) -> Column:
+    """All replies to the nodes of a level, in one array."""
+    return F.flatten(F.transform(nodes, _replies_of))
+
+
+def _is_comment(node: Column) -> Column:
+    ident, body = J.member(node, "id"), J.member(node, "body")
+    return _holds_scalar(ident) | F.coalesce(J.given(body), F.lit(False))
+
+
+def _own_fields(node: Column) -> Column:
+    """The record as JSON without its replies; ``children`` goes only if it was used as such."""
+    fields = J.members(node)
+    return F.to_json(
+        F.when(
+            F.try_variant_get(node, "$.children", "variant").isNotNull() & _has_replies(node),
+            F.map_filter(fields, lambda k, _: k != "replies"),
+        ).otherwise(F.map_filter(fields, lambda k, _: ~k.isin("replies", "children")))
     )

@@ -63,87 +63,99 @@ def parse_jobs(
     keep: list[str] | None = None,
     default_window: tuple[str | None, str | None] | None = None,
 ) -> DataFrame:
-    """Typed job columns with ``error`` (null for a good job) and ``warnings``."""
-    keep = keep or []
-    args = F.col("args")
+    """Typed job columns with ``error`` (null for a good job) and ``warnings``.
 
-    def field(name: str) -> Column:
-        return J.member(args, name)
+    Done in steps, so that what several rules look at is worked out once.
+    """
+    keep = [*(keep or []), "job_id"]
+    args = F.col("args")
+    target = F.when(J.member(args, "target").isNotNull(), J.member(args, "target")).otherwise(
+        J.member(args, "subreddits")
+    )
+    fields = entries.select(
+        *keep, "entry_error", "_wrapped",
+        F.map_keys(J.members(args)).alias("names"),
+        F.filter(J.items(target), lambda v: ~F.is_variant_null(v)).alias("target"),
+        *[J.member(args, name).alias(name) for name in JOB_FIELDS[2:]],
+    )
 
-    first = F.when(field("target").isNotNull(), field("target")).otherwise(field("subreddits"))
-    raw_start, raw_end = J.as_text(field("startDate")), J.as_text(field("endDate"))
-    own_dates = ~_blank(raw_start) | ~_blank(raw_end)
+    dateless = _blank(J.as_text(F.col("startDate"))) & _blank(J.as_text(F.col("endDate")))
     spare = default_window or (None, None)
-    start_text = F.when(own_dates, raw_start).otherwise(F.lit(spare[0]).cast("string"))
-    end_text = F.when(own_dates, raw_end).otherwise(F.lit(spare[1]).cast("string"))
-
-    base = entries.select(
-        *keep, "job_id", "args", "entry_error", "_wrapped",
-        first.alias("_target"), start_text.alias("_start_text"), end_text.alias("_end_text"),
-        job_date_epoch(start_text).alias("start_epoch"),
-        job_date_epoch(end_text).alias("_end_day"),
-    )
-    names = J.member_names(args)
-    unknown = F.array_sort(
-        F.filter(
-            names,
-            lambda n: ~n.isin(*JOB_FIELDS) & ~(~F.col("_wrapped") & (n == "scraping_arg_id")),
-        )
+
+    def date_text(own: str, other: str | None) -> Column:
+        return F.when(dateless, F.lit(other).cast("string")).otherwise(J.as_text(F.col(own)))
+
+    read = fields.withColumns(
+        {
+            "start_text": date_text("startDate", spare[0]),
+            "end_text": date_text("endDate", spare[1]),
+            "parsed_names": F.transform(J.target_parts(F.col("target")), J.subreddit_name),
+            "last_days": J.whole(F.col("lastDays")),
+            "max_pages": J.whole(F.col("maxPages")),
+            "backend_names": J.backends(F.col("backends")),
+            "overrides": J.members(F.col("backendSettings")),
+            "language_text": J.as_text(F.col("language")),
+            "unknown": F.array_sort(
+                F.filter(
+                    "names",
+                    lambda n: ~n.isin(*JOB_FIELDS)
+                    & (F.col("_wrapped") | (n != "scraping_arg_id")),
+                )
+            ),
+        }
+    ).withColumns(
+        {
+            "start_epoch": job_date_epoch(F.col("start_text")),
+            "end_day": job_date_epoch(F.col("end_text")),
+        }
     )
-    language = J.as_text(field("language"))
-    dated = F.col("start_epoch").isNotNull()
-    last_days = J.positive_whole(field("lastDays"))
+    start, end = F.col("start_epoch"), F.col("end_day")
     error = F.coalesce(
         F.col("entry_error"),
-        J.targets_error(F.col("_target")),
-        F.when(~_blank(F.col("_start_text")) & F.col("start_epoch").isNull(), F.lit("startDate is not a date")),
-        F.when(~_blank(F.col("_end_text")) & F.col("_end_day").isNull(), F.lit("endDate is not a date")),
-        F.when(dated & F.col("_end_day").isNull(), F.lit("endDate is required when startDate is set")),
-        F.when(~dated & F.col("_end_day").isNotNull(), F.lit("startDate is required when endDate is set")),
-        F.when(F.col("start_epoch") > F.col("_end_day"), F.lit("startDate must not be after endDate")),
-        J.positive_whole_error(field("lastDays"), "lastDays"),
-        J.backends_error(field("backends")),
-        J.backend_settings_error(field("backendSettings")),
-        J.positive_whole_error(field("maxPages"), "maxPages"),
+        J.targets_error(F.col("target"), F.col("parsed_names")),
+        F.when(start.isNull() & ~_blank(F.col("start_text")), F.lit("startDate is not a date")),
+        F.when(end.isNull() & ~_blank(F.col("end_text")), F.lit("endDate is not a date")),
+        F.when(start.isNotNull() & end.isNull(), F.lit("endDate is required when startDate is set")),
+        F.when(start.isNull() & end.isNotNull(), F.lit("startDate is required when endDate is set")),
+        F.when(start > end, F.lit("startDate must not be after endDate")),
+        J.positive_whole_error(F.col("lastDays"), F.col("last_days"), "lastDays"),
+        J.unknown_backend(F.col("backend_names"), "unknown backend"),
+        J.backend_settings_error(F.col("backendSettings"), F.col("overrides")),
+        J.positive_whole_error(F.col("maxPages"), F.col("max_pages"), "maxPages"),
     )
     warnings = F.array_compact(
         F.array(
             F.when(
-                F.size(unknown) > 0,
-                F.concat(F.lit("unknown fields: "), F.array_join(unknown, ", ")),
+                F.size("unknown") > 0,
+                F.concat(F.lit("unknown fields: "), F.array_join("unknown", ", ")),
             ),
-            F.when(last_days.isNotNull() & dated, F.lit("dates win over lastDays")),
-            F.when(F.length(language) > 0, F.lit("language is ignored")),
+            F.when((F.col("last_days") > 0) & start.isNotNull(), F.lit("dates win over lastDays")),
+            F.when(F.length("language_text") > 0, F.lit("language is ignored")),
         )
     )
-    return base.select(
-        *keep, "job_id", error.alias("error"), warnings.alias("warnings"),
-        J.targets(F.col("_target")).alias("subreddits"),
-        "start_epoch", last_covered_second(F.col("_end_day")).alias("end_epoch"),
-        last_days.cast("int").alias("last_days"),
-        J.words(field("allWords")).alias("all_words"),
-        J.words(field("anyWords")).alias("any_words"),
-        J.words(field("noneWords")).alias("none_words"),
-        J.phrase(field("exactPhrase")).alias("exact_phrase"),
-        language.alias("language"),
-        J.truth(field("fetchPosts"), True).alias("fetch_posts"),
-        J.truth(field("fetchComments"), True).alias("fetch_comments"),
-        J.backends(field("backends")).alias("backends"),
-        F.to_json(
-            F.when(J.given(field("backendSettings")), field("backendSettings"))
-        ).alias("backend_settings"),
-        J.positive_whole(field("maxPages")).alias("max_pages"),
-        F.array_join(
-            F.transform(
-                F.filter(J.items(F.col("_target")), lambda v: ~F.is_variant_null(v)), J.as_text
-            ),
-            ", ",
-        ).alias("source_label"),
+    return read.select(
+        *keep, error.alias("error"), warnings.alias("warnings"),
+        F.array_distinct(F.array_compact("parsed_names")).alias("subreddits"),
+        "start_epoch", last_covered_second(end).alias("end_epoch"),
+        F.when(F.col("last_days") > 0, F.col("last_days")).cast("int").alias("last_days"),
+        J.words(F.col("allWords")).alias("all_words"),
+        J.words(F.col("anyWords")).alias("any_words"),
+        J.words(F.col("noneWords")).alias("none_words"),
+        J.phrase(F.col("exactPhrase")).alias("exact_phrase"),
+        F.col("language_text").alias("language"),
+        J.truth(F.col("fetchPosts"), True).alias("fetch_posts"),
+        J.truth(F.col("fetchComments"), True).alias("fetch_comments"),
+        F.col("backend_names").alias("backends"),
+        F.to_json(F.when(J.given(F.col("backendSettings")), F.col("backendSettings"))).alias(
+            "backend_settings"
+        ),
+        F.when(F.col("max_pages") > 0, F.col("max_pages")).alias("max_pages"),
+        F.array_join(F.transform("target", J.as_text), ", ").alias("source_label"),
     )
 
 
 def _blank(text: Column) -> Column:
-    return F.coalesce(F.regexp_replace(text, r"(?U)\s+", "") == "", F.lit(True))
+    return F.coalesce(~F.rlike(text, F.lit(r"(?U)\S")), F.lit(True))
 
 
 def job_windows(

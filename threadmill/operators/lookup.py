@@ -13,6 +13,8 @@ HOT_ROWS = 100_000
 HOT_KEYS = 1_000
 # Up to this many (narrow) left rows, the right side is filtered to the keys in use.
 SMALL_LEFT = 500_000
+# Values of these types keep the picked right rows small as well; arrays and structs may not.
+_NARROW = ("string", "int", "bigint", "boolean")
 
 
 def _equal(left_keys: list[str], names: list[str]) -> Column:
@@ -33,6 +35,9 @@ def lookup_left(
 
     ``right`` must be unique on its keys. Rows of hot left keys are not shuffled: they meet
     at most ``HOT_KEYS`` right rows by broadcast. Rows with a null key skip the join.
+
+    ``left_rows`` is the counted size of ``left``, if known. When it is small, its keys are
+    broadcast to pick the few right rows in use, and nothing large is shuffled at all.
     """
     names = [f"_key{i}" for i in range(len(right_keys))]
     table = right.select(*[F.col(k).alias(n) for k, n in zip(right_keys, names)], *values)
@@ -40,9 +45,12 @@ def lookup_left(
     on = _equal(left_keys, names)
     out = [*left.columns, *values]
     used = left.filter(keyed).select(*[F.col(k).alias(n) for k, n in zip(left_keys, names)])
+    types = {f.name: f.dataType for f in right.schema.fields}
 
     if left_rows is not None and left_rows <= SMALL_LEFT:
-        needed = table.join(F.broadcast(used.distinct()), names, "left_semi")
+        needed = table.join(F.broadcast(used), names, "left_semi")
+        if all(types[v].simpleString() in _NARROW for v in values):
+            needed = F.broadcast(needed)
         return left.join(needed, on, "left").select(*out)
 
     hot = (
@@ -58,7 +66,6 @@ def lookup_left(
     hot_part = (
         rows.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_table), on, "left")
     )
-    types = {f.name: f.dataType for f in right.schema.fields}
     unkeyed = left.filter(~keyed).select(
         *left.columns, *[F.lit(None).cast(types[v]).alias(v) for v in values]
     )

@@ -69,8 +69,11 @@ def _project(
         whole_row = F.to_json(F.struct(*[c for c in df.columns if c not in keep]))
         return df.select(*columns(ColumnFields(df), whole_row, fallback), *keep)
     known = [] if fallback is None else [fallback.alias("_fallback")]
+    # Exploding the one parsed record keeps filters on its fields above the parser; pushed
+    # below it, they would parse every record a second time.
     parsed = df.select(
-        F.col(raw).alias("_raw"), F.try_parse_json(raw).alias("_record"), *known, *keep
+        F.col(raw).alias("_raw"), F.explode(F.array(F.try_parse_json(raw))).alias("_record"),
+        *known, *keep,
     )
     spare = F.col("_fallback") if known else None
     return parsed.select(*columns(JsonFields(F.col("_record")), F.col("_raw"), spare), *keep)

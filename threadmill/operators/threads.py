@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 from ..functions.text import parent_comment_id, preview_line
 from ..schemas import PREVIEW_LINES
 from ..session import fresh_dir, materialize
-from .lookup import lookup_left
+from .lookup import SMALL_LEFT, lookup_left
 
 KEY = ["subreddit", "id"]
 
@@ -81,7 +81,9 @@ def resolve_forest(comments: DataFrame, step: Column | None = None) -> DataFrame
             ],
         )
         pending = Observation()
-        moved = materialize(moved, f"round={round_no}", folder, pending, open_rows)
+        moved = materialize(
+            moved, f"round={round_no}", folder, pending, open_rows, small=n_active <= SMALL_LEFT
+        )
         n_left = pending.get["n"]
         done.append(moved.filter(F.col("anc").isNull()))
         active = moved.filter(F.col("anc").isNotNull())
@@ -200,7 +202,8 @@ def thread_preview(comments: DataFrame, max_lines: int = PREVIEW_LINES) -> DataF
     )
     # At most max_lines rows reach this window.
     lines = materialize(
-        first.select(F.row_number().over(Window.orderBy("path")).alias("line_no"), "line"), "lines"
+        first.select(F.row_number().over(Window.orderBy("path")).alias("line_no"), "line"),
+        "lines", small=True,
     )
     dots = lines.agg(F.count("*").alias("n")).filter(F.col("n") >= max_lines).select(
         F.lit(max_lines + 1).alias("line_no"), F.lit("  ...").alias("line")

@@ -382,7 +382,7 @@ WITH {_JOB_FACTS}
 SELECT job_id, error,
   concat_ws('; ', CASE WHEN k % 4 = 3 THEN 'unknown fields: lastdays, oops' END,
     CASE WHEN k % 4 = 3 THEN 'language is ignored' END) AS warnings,
-  subreddits, start_epoch, end_day + 86399 AS end_epoch, CAST(last_days AS BIGINT) AS last_days,
+  subreddits, CAST(start_epoch AS BIGINT) AS start_epoch, CAST(end_day + 86399 AS BIGINT) AS end_epoch, CAST(last_days AS BIGINT) AS last_days,
   CASE WHEN k % 3 = 0 THEN 'unu,doi' ELSE '' END AS all_words,
   CASE WHEN k % 3 = 0 THEN 'trei,patru,doi,7' ELSE '' END AS any_words,
   CASE WHEN k % 3 = 1 THEN 'Curs' ELSE '' END AS none_words,

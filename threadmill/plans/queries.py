@@ -13,6 +13,7 @@ from ..functions.text import list_cell
 from ..operators import flagging, jobs, normalize, progress, slices, stats, threads, timeline, versions
 from ..operators.flatten import envelope_items, flatten_replies
 from ..sources.archive import records_of_map_text
+from ..session import materialize
 from ..streaming.ingest import ingest_once
 from . import fixtures as fx
 
@@ -494,11 +495,12 @@ def job_windows(spark: SparkSession, d: str) -> DataFrame:
 
 def _ready_targets(spark: SparkSession, d: str) -> DataFrame:
     parsed = jobs.parse_jobs(jobs.job_entries(fx.nation_jobs(spark, d), "payload"))
-    return jobs.job_targets(jobs.job_windows(parsed, fx.JOBS_NOW))
+    # Posts, comments and statistics all need the targets: parse the payloads once.
+    return materialize(jobs.job_targets(jobs.job_windows(parsed, fx.JOBS_NOW)), "targets")
 
 
-def _job_records(spark: SparkSession, d: str) -> DataFrame:
-    targets = _ready_targets(spark, d)
+def _job_records(spark: SparkSession, d: str, targets: DataFrame | None = None) -> DataFrame:
+    targets = _ready_targets(spark, d) if targets is None else targets
     return timeline.timeline_rows(
         jobs.match_jobs(fx.posts(spark, d), targets, "post"),
         jobs.match_jobs(fx.comments(spark, d), targets, "comment"),
@@ -511,8 +513,9 @@ def job_matches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def job_target_stats(spark: SparkSession, d: str) -> DataFrame:
-    targets = _ready_targets(spark, d).select("job_id", "target", "position")
-    return stats.target_stats(_job_records(spark, d), targets, by=["job_id"])
+    targets = _ready_targets(spark, d)
+    listed = targets.select("job_id", "target", "position")
+    return stats.target_stats(_job_records(spark, d, targets), listed, by=["job_id"])
 
 
 def job_counts(spark: SparkSession, d: str) -> DataFrame:

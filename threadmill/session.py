@@ -50,15 +50,22 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 
 def materialize(
     df: DataFrame, label: str, folder: str | None = None, observe: Observation | None = None,
-    *metrics,
+    *metrics, small: bool = False,
 ) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Compute ``df`` once, keep it in the shared folder, and go on from there.
 
     Cuts the lineage with replicated files instead of executor-local blocks, so a lost
-    executor costs nothing, and gives the next plan exact sizes and column pruning.
+    executor costs nothing. A written table is compact, lets later steps read only the
+    columns they use and tells them its exact size; rows known to be few (``small``) take
+    the quicker way of a checkpoint, which is kept in the same shared folder.
     """
     spark = df.sparkSession
-    path = f"{folder or fresh_dir(spark, label)}/{label}"
+    shared = shared_dir(spark)
     out = df.observe(observe, *metrics) if observe is not None else df
+    if small:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(shared)
+        return out.checkpoint()
+    path = f"{folder or fresh_dir(spark, label)}/{label}"
     out.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
