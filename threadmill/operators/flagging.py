@@ -31,6 +31,22 @@ def find_terms(df: DataFrame, keywords: list[str], regexes: list[str] | None = N
     return df.withColumn("terms", matched_terms(record_text(df), words, patterns))
 
 
+def has_terms(keywords: list[str], regexes: list[str] | None = None) -> bool:
+    return bool(phase2_keywords(keywords) or phase2_regexes(regexes))
+
+
+def annotate_hits(df: DataFrame, keywords: list[str], regexes: list[str] | None = None) -> DataFrame:
+    """The matching records alone, with their flag columns set."""
+    hits = find_terms(df, keywords, regexes).filter(F.size("terms") > 0)
+    return hits.withColumns(
+        {
+            "flagged": F.lit(True),
+            "flag_reason": F.lit(FLAG_REASON),
+            "matched_terms": F.col("terms"),
+        }
+    ).drop("terms")
+
+
 def annotate(df: DataFrame, keywords: list[str], regexes: list[str] | None = None) -> DataFrame:
     """Set the flag columns on matching records; others keep what an earlier run set."""
     for name in FLAG_COLUMNS:

@@ -6,55 +6,46 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from ..functions import jobspec as J
 from ..session import fresh_dir, materialize
 
 # Levels taken apart in one pass; few real threads are nested deeper.
 LEVELS = 12
 
+# The rules of nested replies, for a node ``n``.
+_BARE = "try_variant_get(n, '$.replies', 'array<variant>')"
+_VALUE = "try_variant_get(n, '$.{0}', 'variant')"
+# Neither null, nor empty text, nor zero, nor false (for values that do not nest).
+_HOLDS_SCALAR = f"""coalesce(
+  {_VALUE} IS NOT NULL AND NOT is_variant_null({_VALUE}) AND try_variant_get(n, '$.{{0}}', 'string') <> ''
+  AND (schema_of_variant({_VALUE}) = 'STRING'
+    OR try_variant_get(n, '$.{{0}}', 'string') NOT IN ('0', '0.0', 'false', '[]', '{{{{}}}}')), false)"""
+# ``replies`` holds something, so ``children`` is not looked at.
+_HAS_REPLIES = f"""(coalesce(size({_BARE}) > 0, false)
+  OR coalesce(size(try_variant_get(n, '$.replies', 'map<string,variant>')) > 0, false)
+  OR {_HOLDS_SCALAR.format('replies')})"""
+# A list of replies stands for itself, an object must be an envelope. The usual form comes
+# first: the other tests only run for nodes without a plain list.
+_REPLIES = f"""coalesce(
+  CASE WHEN size({_BARE}) > 0 THEN {_BARE} END,
+  CASE WHEN {_HAS_REPLIES} THEN try_variant_get(n, '$.replies.data', 'array<variant>')
+    ELSE coalesce(try_variant_get(n, '$.children', 'array<variant>'),
+      try_variant_get(n, '$.children.data', 'array<variant>')) END,
+  CAST(array() AS array<variant>))"""
+_IS_COMMENT = f"""({_HOLDS_SCALAR.format('id')}
+  OR ({_VALUE.format('body')} IS NOT NULL AND NOT is_variant_null({_VALUE.format('body')})))"""
+# The record without its replies; ``children`` goes only if it was used as such.
+_FIELDS = "try_variant_get(n, '$', 'map<string,variant>')"
+_OWN = f"""to_json(CASE
+  WHEN {_VALUE.format('children')} IS NOT NULL AND {_HAS_REPLIES}
+  THEN map_filter({_FIELDS}, (k, v) -> k <> 'replies')
+  ELSE map_filter({_FIELDS}, (k, v) -> k NOT IN ('replies', 'children')) END)"""
+
 
 def envelope_items(payload: Column) -> Column:
     """Records of ``{"data": [...]}`` or of a bare list; no records for anything else."""
-    data = J.member(payload, "data")
-    listed = F.when(J.is_list(payload), payload).when(J.is_object(payload) & J.is_list(data), data)
     return F.coalesce(
-        F.try_variant_get(listed, "$", "array<variant>"), F.array().cast("array<variant>")
-    )
-
-
-def _list(node: Column, path: str) -> Column:
-    return F.try_variant_get(node, f"$.{path}", "array<variant>")
-
-
-def _holds_scalar(value: Column) -> Column:
-    """Neither null, nor empty text, nor zero, nor false (for values that do not nest)."""
-    text = J.as_text(value)
-    zero = (J.kind_of(value) != "STRING") & text.isin("0", "0.0", "false", "[]", "{}")
-    return F.coalesce(J.given(value) & (text != "") & ~zero, F.lit(False))
-
-
-def _has_replies(node: Column) -> Column:
-    """``replies`` holds something, so ``children`` is not looked at."""
-    return (
-        F.coalesce(F.size(_list(node, "replies")) > 0, F.lit(False))
-        | F.coalesce(F.size(F.try_variant_get(node, "$.replies", "map<string,variant>")) > 0, F.lit(False))
-        | _holds_scalar(J.member(node, "replies"))
-    )
-
-
-def _items_at(node: Column, name: str) -> Column:
-    """The list under ``name``, bare or in an envelope."""
-    return F.coalesce(_list(node, name), _list(node, f"{name}.data"))
-
-
-def _replies_of(node: Column) -> Column:
-    bare = _list(node, "replies")
-    # The usual form first: the other tests only run for nodes that have no plain list.
-    return F.coalesce(
-        F.when(F.size(bare) > 0, bare),
-        F.when(_has_replies(node), _list(node, "replies.data")).otherwise(
-            _items_at(node, "children")
-        ),
+        F.try_variant_get(payload, "$", "array<variant>"),
+        F.try_variant_get(payload, "$.data", "array<variant>"),
         F.array().cast("array<variant>"),
     )
 
@@ -92,47 +83,16 @@ def flatten_replies(trees: DataFrame, tree: str, keep: list[str] | None = None)
 def _take_levels(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The records of the next levels of each document, and what lies below them (``rest``)."""
     for i in range(LEVELS):
-        docs = docs.withColumn(f"level{i + 1}", _level_below(F.col(f"level{i}")))
-    nothing = F.lit(None)
-
-    def records_of(i: int) -> Column:
-        return F.transform(
-            F.filter(f"level{i}", _is_comment),
-            lambda node: F.struct(
-                (F.col("base") + i).alias("level"), _own_fields(node).alias("raw"),
-                nothing.cast("array<variant>").alias("rest"),
-            ),
-        )
-
-    records = [records_of(i) for i in range(LEVELS)]
-    rest = F.col(f"level{LEVELS}")
-    below = F.array(
-        F.struct(
-            (F.col("base") + LEVELS).alias("level"), nothing.cast("string").alias("raw"),
-            F.when(F.size(rest) > 0, rest).alias("rest"),
+        docs = docs.selectExpr(
+            "*", f"flatten(transform(level{i}, n -> {_REPLIES})) AS level{i + 1}"
         )
-    )
-    return docs.select(*keep, F.inline(F.concat(*records, below))).filter(
+    records = [
+        f"""transform(filter(level{i}, n -> {_IS_COMMENT}), n -> named_struct(
+          'level', base + {i}, 'raw', {_OWN}, 'rest', CAST(NULL AS array<variant>)))"""
+        for i in range(LEVELS)
+    ]
+    below = f"""array(named_struct('level', base + {LEVELS}, 'raw', CAST(NULL AS string),
+      'rest', CASE WHEN size(level{LEVELS}) > 0 THEN level{LEVELS} END))"""
+    return docs.selectExpr(*keep, f"inline(concat({', '.join(records)}, {below}))").filter(
         F.col("raw").isNotNull() | F.col("rest").isNotNull()
     )
-
-
-def _level_below(nodes: Column) -> Column:
-    """All replies to the nodes of a level, in one array."""
-    return F.flatten(F.transform(nodes, _replies_of))
-
-
-def _is_comment(node: Column) -> Column:
-    ident, body = J.member(node, "id"), J.member(node, "body")
-    return _holds_scalar(ident) | F.coalesce(J.given(body), F.lit(False))
-
-
-def _own_fields(node: Column) -> Column:
-    """The record as JSON without its replies; ``children`` goes only if it was used as such."""
-    fields = J.members(node)
-    return F.to_json(
-        F.when(
-            F.try_variant_get(node, "$.children", "variant").isNotNull() & _has_replies(node),
-            F.map_filter(fields, lambda k, _: k != "replies"),
-        ).otherwise(F.map_filter(fields, lambda k, _: ~k.isin("replies", "children")))
-    )

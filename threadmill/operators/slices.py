@@ -21,17 +21,28 @@ def search(
     return in_window(of_subreddits(df, subreddits), after if cursor is None else cursor, before)
 
 
+# A subreddit is cut into this many parts before its first rows are picked.
+PARTS = 64
+
+
 def first_pages(df: DataFrame, pages: int, page_size: int, by: list[str] | None = None) -> DataFrame:
     """The first ``pages`` pages per subreddit (and kind), in ascending time order.
 
-    Spark keeps at most ``pages * page_size`` rows per group and input partition before the
-    shuffle (window group limit), so a huge subreddit does not pile up in one task.
+    Up to its window group limit, Spark keeps no more rows than asked for per group and input
+    partition before the shuffle. For a larger limit the rows are first picked from parts of
+    each group, so a huge subreddit never goes through one task as a whole.
     """
-    order = Window.partitionBy(*(by or ["subreddit"])).orderBy(
-        F.coalesce("created_epoch", F.lit(0)), "id"
-    )
+    keys, limit = by or ["subreddit"], pages * page_size
+    if limit >= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        part = F.pmod(F.xxhash64("id"), F.lit(PARTS))
+        df = _first_rows(df.withColumn("_part", part), [*keys, "_part"], limit).drop("_part")
+    return _first_rows(df, keys, limit)
+
+
+def _first_rows(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    order = Window.partitionBy(*keys).orderBy(F.coalesce("created_epoch", F.lit(0)), "id")
     ranked = df.withColumn("_place", F.row_number().over(order))
-    return ranked.filter(F.col("_place") <= pages * page_size).drop("_place")
+    return ranked.filter(F.col("_place") <= limit).drop("_place")
 
 
 def dry_run_slice(

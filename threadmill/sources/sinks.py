@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.flagging import report_order
 from ..operators.threads import nested_fragments, with_depth
 from ..operators.timeline import chronological
 from ..operators.versions import latest
 from ..functions.text import list_cell, partition_name
-from .raw import read_lines
+from ..schemas import TIMELINE
 
 
 def write_archive(df: DataFrame, path: str) -> None:
@@ -81,6 +82,12 @@ def write_job_results(records: DataFrame, path: str) -> None:
     write_merged(records, path, by="job_id")
 
 
+def read_job_results(spark: SparkSession, path: str) -> DataFrame:
+    """The written results again, for reporting, with their ``job_id``."""
+    schema = StructType([*TIMELINE.fields, StructField("_part", StringType())])
+    return spark.read.schema(schema).json(path).withColumnRenamed("_part", "job_id")
+
+
 def write_report(posts: DataFrame, comments: DataFrame, path: str) -> None:
     """The flagged report as two CSV tables, sorted; an empty table has its header only."""
     for name, rows in (("flagged_posts", posts), ("flagged_comments", comments)):

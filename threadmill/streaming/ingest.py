@@ -1,48 +1,19 @@
 """Raw record files -> archive, in micro-batches that can be stopped, replayed and resumed.
 
-A batch only appends: it writes the record versions it brought to ``versions/batch=<id>``,
-overwriting that one folder when it is replayed. The current rows are the stored base folded
-with the versions since (``current``), and ``compact`` writes them down as the next base. So a
-batch costs what it brings, however large the archive is, and records of any age are taken.
+Each batch appends to the archive (see ``sources.store``) under its batch id, so a replayed
+batch replaces what its first try wrote. Records of any age are taken.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.matching import content_filter
-from ..functions.text import partition_name
 from ..operators.flagging import record_text
 from ..operators.normalize import normalize_comments, normalize_posts, storage_rows
-from ..operators.threads import with_depth
-from ..operators.versions import fold_versions
-from ..schemas import COMMENT, POST
 from ..session import fresh_dir, prepare
-
-_ARRIVAL = StructType(
-    [
-        StructField("batch", LongType()),
-        StructField("landed", TimestampType()),
-        StructField("file", StringType()),
-        StructField("block", LongType()),
-        StructField("row", LongType()),
-    ]
-)
-_COMMITS = "version bigint, upto_batch bigint, path string"
-
-
-def _schema(kind: str) -> StructType:
-    return StructType([*(COMMENT if kind == "comment" else POST).fields, StructField("arrival", _ARRIVAL)])
-
-
-def create_archive(spark: SparkSession, root: str) -> None:
-    """An empty archive: no base, nothing folded yet."""
-    prepare(spark)
-    spark.createDataFrame([(0, -1, None)], _COMMITS).coalesce(1).write.mode("error").parquet(
-        f"{root}/commits"
-    )
+from ..sources.store import append_versions, create_archive, current
 
 
 def read_landing(spark: SparkSession, landing: str, max_files: int) -> DataFrame:
@@ -65,7 +36,7 @@ def _append_batch(
     # Files are ordered by landing time and name. Within a file block the running number
     # follows the lines, so that the later of two copies wins.
     arrival = F.struct(
-        F.lit(batch_id).cast("bigint").alias("batch"), "landed", "file", "block",
+        "landed", F.lit(batch_id).cast("bigint").alias("batch"), "file", "block",
         F.monotonically_increasing_id().alias("row"),
     )
     normal = normalize_comments if kind == "comment" else normalize_posts
@@ -78,15 +49,7 @@ def _append_batch(
         parsed = parsed.filter(wanted)
     # The landing time of the file is the batch time: a replay writes the same stamps.
     rows = storage_rows(parsed, F.col("arrival.landed"), keep=["arrival"])
-    target = f"{root}/versions/batch={batch_id}"
-    rows.write.mode("overwrite").parquet(target)
-    written = batch.sparkSession.read.schema(_schema(kind)).parquet(target)
-    (
-        written.groupBy("subreddit")
-        .agg(F.count("*").alias("items"), F.max("created_epoch").alias("cursor_epoch"))
-        .withColumn("kind", F.lit(kind))
-        .write.mode("overwrite").parquet(f"{root}/progress/batch={batch_id}")
-    )
+    append_versions(rows, root, kind, "stream", batch_id)
 
 
 def start_ingest(
@@ -116,70 +79,7 @@ def start_ingest(
     )
 
 
-def _last_commit(spark: SparkSession, root: str):
-    commits = spark.read.schema(_COMMITS).parquet(f"{root}/commits")
-    return commits.orderBy(F.desc("version")).first()
-
-
-def stored_versions(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """The base and the versions that came after it."""
-    commit = _last_commit(spark, root)
-    schema = _schema(kind)
-    since = (
-        spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())]))
-        .parquet(f"{root}/versions")
-        .filter(F.col("batch") > commit["upto_batch"])
-        .drop("batch")
-    )
-    if commit["path"] is None:
-        return since
-    return spark.read.schema(schema).parquet(commit["path"]).select(*schema.fieldNames()).unionByName(since)
-
-
-def current(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """The current row of every record; comments with their depth."""
-    rows = fold_versions(stored_versions(spark, root, kind), [F.col("arrival")])
-    return with_depth(rows) if kind == "comment" else rows
-
-
-def progress(spark: SparkSession, root: str) -> DataFrame:
-    """Records taken in and time reached, per subreddit and kind, over all batches."""
-    schema = "subreddit string, items bigint, cursor_epoch bigint, kind string, batch bigint"
-    return (
-        spark.read.schema(schema).parquet(f"{root}/progress")
-        .groupBy("subreddit", "kind")
-        .agg(F.sum("items").alias("items_fetched"), F.max("cursor_epoch").alias("cursor_epoch"))
-    )
-
-
-def compact(spark: SparkSession, root: str, kind: str) -> int:
-    """Write the current rows as the next base; readers switch over with the commit row.
-
-    Nothing that is being read gets overwritten, and a failed run leaves no commit.
-    """
-    commit = _last_commit(spark, root)
-    batches = spark.read.schema(
-        StructType([*_schema(kind).fields, StructField("batch", LongType())])
-    ).parquet(f"{root}/versions")
-    # Only the partition value is needed, so no file content is read for it.
-    upto = batches.agg(F.max("batch")).first()[0]
-    version = commit["version"] + 1
-    path = f"{root}/base/version={version}"
-    order = ["folder", "created_epoch", "id"]
-    (
-        current(spark, root, kind)
-        .withColumn("folder", partition_name(F.col("subreddit")))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite").partitionBy("folder").parquet(path)
-    )
-    spark.createDataFrame([(version, upto, path)], _COMMITS).coalesce(1).write.mode("append").parquet(
-        f"{root}/commits"
-    )
-    return version
-
-
-def ingest_once(spark: SparkSession, raw: DataFrame, kind: str, files_per_batch: int = 3) -> DataFrame:
+def ingest_once(spark: SparkSession, raw: DataFrame, kind: str, files_per_batch: int = 4) -> DataFrame:
     """Land ``raw`` JSON records as files, stream them into a new archive, return its rows."""
     prepare(spark)
     root = fresh_dir(spark, "ingest")
