@@ -174,27 +174,26 @@ def test_bad_pattern_fails_before_any_job():
     ],
 )
 def test_target_forms(spark, value, names):
-    entries = J.items(F.try_parse_json("v"))
-    df = spark.createDataFrame([(value,)], "v string").select(
-        F.filter(entries, lambda v: ~F.is_variant_null(v)).alias("e")
-    )
-    parsed = F.transform(J.target_parts(F.col("e")), J.subreddit_name)
-    assert df.select(F.array_distinct(F.array_compact(parsed))).first()[0] == names
+    df = spark.createDataFrame([(value,)], "t string").select(F.try_parse_json("t").alias("t"))
+    found = df.selectExpr(f"{J.present_items('t')} AS e").selectExpr(f"{J.target_names('e')} AS n")
+    assert found.selectExpr("array_distinct(array_compact(n))").first()[0] == names
 
 
 def test_words_phrases_and_truth(spark):
-    def read(f, inputs):
-        return values(spark, lambda v: f(F.try_parse_json(v)), inputs)
+    def read(expression, inputs):
+        df = spark.createDataFrame(list(enumerate(inputs)), "i int, t string").withColumn("v", F.try_parse_json("t"))
+        return [r[0] for r in df.orderBy("i").selectExpr(expression).collect()]
 
-    assert read(J.words, ['"unu  doi unu"', '["trei patru", 7]', "null", '""']) == [
+    assert read(J.words("v"), ['"unu  doi unu"', '["trei patru", 7]', "null", '""']) == [
         ["unu", "doi"], ["trei", "patru", "7"], [], []
     ]
-    assert read(J.phrase, ['"  a \\t b "', '"  "', "null"]) == ["a b", None, None]
-    assert read(lambda v: J.truth(v, True), ["true", "0", '" YES "', '"off"', "null", "1.5"]) == [
+    assert read(J.phrase("v"), ['"  a \\t b "', '"  "', "null"]) == ["a b", None, None]
+    assert read(J.truth("v", True), ["true", "0", '" YES "', '"off"', "null", "1.5"]) == [
         True, False, True, False, True, True
     ]
 
 
 def test_split_settings(spark):
-    assert values(spark, J.split_names, [" a, b\nc ,,"]) == [["a", "b", "c"]]
-    assert values(spark, J.split_lines, ["a,b\n\n c"]) == [["a,b", "c"]]
+    df = spark.createDataFrame([(" a, b\nc ,,", "a,b\n\n c")], "names string, lines string")
+    row = df.selectExpr(J.split_names("names"), J.split_lines("lines")).first()
+    assert row[0] == ["a", "b", "c"] and row[1] == ["a,b", "c"]

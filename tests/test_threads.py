@@ -90,6 +90,23 @@ def test_lookup_is_the_same_on_every_way(spark, hot_rows, left_rows):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+@pytest.mark.parametrize("hot", [3, 10**6])
+def test_forest_takes_the_large_way_too(spark, monkeypatch, hot):
+    monkeypatch.setattr("threadmill.operators.lookup.SMALL_LEFT", 0)
+    monkeypatch.setattr("threadmill.operators.threads.SMALL_LEFT", 0)
+    monkeypatch.setattr("threadmill.operators.lookup.HOT_ROWS", hot)
+    edges = [("r", "t3_p"), ("a", "t1_r"), ("b", "t1_a"), ("x", "t1_y"), ("y", "t1_x"), ("o", "t1_gone"), ("z", None)]
+    edges += [(f"k{i}", "t1_b" if i % 2 else "t1_r") for i in range(12)] + [("deep", "t1_k1")]
+    want = {"r": 0, "a": 1, "b": 2, "x": None, "y": None, "o": 0, "z": 0, "deep": 4}
+    want |= {f"k{i}": 3 if i % 2 else 1 for i in range(12)}
+    assert depths(spark, *edges) == want
+
+
+def test_sample_counts(spark):
+    df = comments(spark, ("a", "t3_p"), ("b", "t1_a"), ("c", "t1_zz"), ("d", "t1_c"))
+    assert [tuple(threads.sample_counts(df, n).first()) for n in (2, 4)] == [(2, 1), (4, 2)]
+
+
 def test_late_parent_moves_only_its_post(spark):
     rows = comments(spark, ("a", "t3_p"), ("b", "t1_a"), ("c", "t3_q")).withColumn(
         "post_id", F.when(F.col("id") == "c", "q").otherwise("p")

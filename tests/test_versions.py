@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 import pytest
@@ -120,6 +121,13 @@ def test_of_two_equal_targets_the_last_takes_the_records(spark):
     assert rows == {"r/a": 0, "A": 1}
 
 
+def test_result_payloads_stay_one_per_record(spark):
+    records = spark.createDataFrame([("j", "a", None), ("j", "b", 5)], "job_id string, id string, score bigint")
+    rows = [json.loads(r.payload) for r in stats.result_payload(records, "box", F.lit("r/x")).collect()]
+    assert [r["result"]["post_details"] for r in rows] == [[{"id": "a", "score": None}], [{"id": "b", "score": 5}]]
+    assert rows[0]["source_id"] == "box" and rows[0]["result"]["source"] == "r/x"
+
+
 # --- progress --------------------------------------------------------------------------------
 
 

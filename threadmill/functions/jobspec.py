@@ -1,154 +1,125 @@
-"""Column expressions that read one field of a job payload (a JSON object as VARIANT).
+"""SQL expressions that read one field of a job payload (a JSON object as VARIANT).
 
-Each reader gives a value and says whether the payload is unusable, so a bad job becomes
-an ``error`` on its own row and never stops the others.
+Arguments name columns (or lambda variables); results are expression text for ``selectExpr``.
+Rules for one field stay together, and a whole payload is read in a few projections.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from ..schemas import KNOWN_BACKENDS, TRUE_WORDS
-from .text import nonempty, strip
 
-_URL_NAME = r"/r/([A-Za-z0-9_]+)"
-_NAME = r"^[A-Za-z0-9_]{2,21}$"
+_EDGE_BLANKS = r"r'(?U)^\s+|\s+$'"
+_EMPTY_LIST = "CAST(array() AS array<variant>)"
 
 
-def kind_of(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def _listed(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(F.startswith(kind_of(value), F.lit("OBJECT")), F.lit(False))
+def given(value: str) -> str:
+    """Present and not JSON null."""
+    return f"({value} IS NOT NULL AND NOT is_variant_null({value}))"
 
 
-def is_list(value: Column) -> Column:
-    return F.coalesce(F.startswith(kind_of(value), F.lit("ARRAY")), F.lit(False))
+def text(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'string')"
 
 
-def member(payload: Column, name: str) -> Column:
-    """A member as VARIANT; SQL null when missing, JSON null when given as null."""
-    return F.try_variant_get(payload, f"$.{name}", "variant")
+def whole(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'bigint')"
 
 
-def given(value: Column) -> Column:
-    """Present and not JSON null."""
-    return value.isNotNull() & ~F.is_variant_null(value)
+def members(value: str) -> str:
+    """Members of an object, null for anything else."""
+    return f"try_variant_get({value}, '$', 'map<string,variant>')"
+
+
+def stripped(value: str) -> str:
+    return f"regexp_replace({value}, {_EDGE_BLANKS}, '')"
 
 
-def as_text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+def blank(value: str) -> str:
+    return rf"coalesce(NOT rlike({value}, r'(?U)\S'), true)"
 
 
-def items(value: Column) -> Column:
+def items(value: str) -> str:
     """The members of a list, or the single value as a list of one."""
-    many = F.try_variant_get(value, "$", "array<variant>")
-    return F.when(is_list(value), many).when(given(value), F.array(value)).otherwise(
-        F.array().cast("array<variant>")
+    return (
+        f"coalesce(try_variant_get({value}, '$', 'array<variant>'), "
+        f"CASE WHEN {given(value)} THEN array({value}) END, {_EMPTY_LIST})"
     )
 
 
-def subreddit_name(text: Column) -> Column:
-    """Name from ``name``, ``r/name`` or a URL; null when it holds no valid name."""
-    candidate = F.regexp_replace(strip(text), r"/+$", "")
-    from_url = F.contains(candidate, F.lit("://")) | F.startswith(F.lower(candidate), F.lit("www."))
-    name = strip(
-        F.when(from_url, F.regexp_extract(candidate, _URL_NAME, 1)).otherwise(
-            F.regexp_replace(candidate, r"(?i)^/?r/", "")
-        )
-    )
-    return F.when(F.rlike(name, F.lit(_NAME)), F.lower(name))
+def present_items(value: str) -> str:
+    return f"filter({items(value)}, v -> NOT is_variant_null(v))"
 
 
-def target_parts(entries: Column) -> Column:
-    """Comma-separated parts, of all target entries, that hold anything."""
-    texts = F.transform(entries, as_text)
-    parts = F.flatten(F.transform(texts, lambda t: F.split(t, ",")))
-    return F.filter(parts, lambda p: F.rlike(p, F.lit(r"(?U)[^\s/]")))
+def target_names(entries: str) -> str:
+    """A name for each comma-separated part of the targets that holds anything; null for a
+    part that names no subreddit. A part is ``name``, ``r/name`` or a URL with ``/r/name``."""
+    parts = rf"""transform(filter(
+        flatten(transform({entries}, v -> split({text('v')}, ','))), p -> rlike(p, r'(?U)[^\s/]')),
+      p -> regexp_replace({stripped('p')}, r'/+$', ''))"""
+    name = rf"""CASE WHEN contains(p, '://') OR startswith(lower(p), 'www.')
+        THEN regexp_extract(p, r'/r/([A-Za-z0-9_]+)', 1)
+        ELSE {stripped("regexp_replace(p, r'(?i)^/?r/', '')")} END"""
+    return rf"""transform(transform({parts}, p -> {name}),
+      n -> CASE WHEN rlike(n, r'^[A-Za-z0-9_]{{2,21}}$') THEN lower(n) END)"""
 
 
-def targets_error(entries: Column, names: Column) -> Column:
-    """``names`` are the :func:`subreddit_name` of each part."""
-    return (
-        F.when(F.exists(entries, lambda v: kind_of(v) != "STRING"), F.lit("target entries must be text"))
-        .when(F.exists(names, lambda n: n.isNull()), F.lit("target is not a subreddit name"))
-        .when(F.size(names) == 0, F.lit("target is required"))
-    )
+def targets_error(entries: str, names: str) -> str:
+    return f"""CASE WHEN exists({entries}, v -> schema_of_variant(v) <> 'STRING') THEN 'target entries must be text'
+      WHEN exists({names}, n -> n IS NULL) THEN 'target is not a subreddit name'
+      WHEN size({names}) = 0 THEN 'target is required' END"""
 
 
-def words(value: Column) -> Column:
+def words(value: str) -> str:
     """Terms of a list or of blank-separated text, distinct, in the order given."""
-    texts = F.transform(items(value), lambda v: F.coalesce(as_text(v), F.lit("None")))
-    parts = F.flatten(F.transform(texts, lambda t: F.split(t, r"(?U)\s+")))
-    return F.array_distinct(F.filter(parts, lambda p: p != ""))
+    return rf"""array_distinct(filter(flatten(transform({items(value)},
+      v -> split(coalesce({text('v')}, 'None'), r'(?U)\s+'))), w -> w <> ''))"""
 
 
-def phrase(value: Column) -> Column:
+def phrase(value: str) -> str:
     """Text with runs of blanks folded to one space; null when blank."""
-    return nonempty(strip(F.regexp_replace(as_text(value), r"(?U)\s+", " ")))
+    return rf"nullif(trim(regexp_replace({text(value)}, r'(?U)\s+', ' ')), '')"
 
 
-def truth(value: Column, default: bool) -> Column:
-    number = F.when(kind_of(value) != "STRING", F.try_variant_get(value, "$", "double"))
-    flag = F.when(kind_of(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-    word = F.lower(strip(as_text(value))).isin(*TRUE_WORDS)
-    return F.when(~given(value), F.lit(default)).otherwise(
-        F.coalesce(flag, number != 0, word, F.lit(False))
-    )
-
-
-def whole(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "bigint")
-
-
-def positive_whole_error(value: Column, number: Column, field: str) -> Column:
-    blank = ~given(value) | F.coalesce(strip(as_text(value)) == "", F.lit(False))
-    return F.when(
-        ~blank,
-        F.when(number.isNull(), F.lit(f"{field} must be a whole number")).when(
-            number <= 0, F.lit(f"{field} must be greater than 0")
-        ),
-    )
+def truth(value: str, default: bool) -> str:
+    return f"""CASE WHEN NOT {given(value)} THEN {str(default).lower()}
+      WHEN schema_of_variant({value}) = 'STRING' THEN lower({stripped(text(value))}) IN ({_listed(TRUE_WORDS)})
+      ELSE coalesce(try_variant_get({value}, '$', 'boolean'), false) END"""
 
 
-def backends(value: Column) -> Column:
-    texts = F.transform(items(value), as_text)
-    parts = F.when(is_list(value), texts).otherwise(
-        F.flatten(F.transform(texts, lambda t: F.split(t, ",")))
-    )
-    return F.array_distinct(F.filter(F.transform(parts, strip), lambda n: n != ""))
+def positive_whole_error(value: str, number: str, field: str) -> str:
+    return f"""CASE WHEN NOT {given(value)} OR {blank(text(value))} THEN NULL
+      WHEN {number} IS NULL THEN '{field} must be a whole number'
+      WHEN {number} <= 0 THEN '{field} must be greater than 0' END"""
 
 
-def unknown_backend(names: Column, message: str) -> Column:
-    return F.when(F.exists(names, lambda n: ~n.isin(*KNOWN_BACKENDS)), F.lit(message))
+def backends(value: str) -> str:
+    listed = f"transform(try_variant_get({value}, '$', 'array<variant>'), v -> {text('v')})"
+    return f"""array_distinct(filter(transform(
+      coalesce({listed}, split({text(value)}, ','), array()), b -> {stripped('b')}), b -> b <> ''))"""
 
 
-def members(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>")
+def unknown_backend(names: str, message: str) -> str:
+    return f"CASE WHEN exists({names}, b -> b NOT IN ({_listed(KNOWN_BACKENDS)})) THEN '{message}' END"
 
 
-def backend_settings_error(value: Column, overrides: Column) -> Column:
+def backend_settings_error(value: str, overrides: str) -> str:
     """``overrides`` are the :func:`members` of the settings."""
-    return F.when(
-        given(value),
-        F.when(overrides.isNull(), F.lit("backendSettings must be an object")).otherwise(
-            F.coalesce(
-                unknown_backend(F.map_keys(overrides), "unknown backend in backendSettings"),
-                F.when(
-                    F.exists(F.map_values(overrides), lambda v: ~is_object(v)),
-                    F.lit("backendSettings entries must be objects"),
-                ),
-            )
-        ),
-    )
+    return f"""CASE WHEN NOT {given(value)} THEN NULL
+      WHEN {overrides} IS NULL THEN 'backendSettings must be an object'
+      ELSE coalesce({unknown_backend(f'map_keys({overrides})', 'unknown backend in backendSettings')},
+        CASE WHEN exists(map_values({overrides}), v -> {members('v')} IS NULL)
+          THEN 'backendSettings entries must be objects' END) END"""
 
 
-def split_names(text: Column) -> Column:
+def split_names(value: str) -> str:
     """A comma- or line-separated setting as a list without blanks."""
-    return F.filter(F.transform(F.split(text, r"[,\n]"), strip), lambda n: n != "")
+    return rf"filter(transform(split({value}, r'[,\n]'), n -> {stripped('n')}), n -> n <> '')"
 
 
-def split_lines(text: Column) -> Column:
+def split_lines(value: str) -> str:
     """A line-separated setting; commas stay, since a regex may hold one."""
-    return F.filter(F.transform(F.split(text, r"\n"), strip), lambda n: n != "")
+    return rf"filter(transform(split({value}, r'\n'), n -> {stripped('n')}), n -> n <> '')"

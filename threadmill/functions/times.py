@@ -14,8 +14,8 @@ _DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 # Date, optional time (captured), optional offset (left out).
 _ISO_TEXT = (
-    r"^([0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?)"
-    r"([Zz]|[+-][0-9]{2}(:?[0-9]{2}){0,2})?$"
+    r"(?U)^\s*([0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?)"
+    r"([Zz]|[+-][0-9]{2}(:?[0-9]{2}){0,2})?\s*$"
 )
 
 # The date forms a job payload may use.
@@ -46,7 +46,7 @@ def minute_label(epoch: Column) -> Column:
 
 def wall_clock(iso_text: Column, epoch: Column | None = None) -> Column:
     """Timestamp of ISO text with its offset dropped, not applied; else of the epoch."""
-    parsed = F.regexp_extract(strip(iso_text), _ISO_TEXT, 1).try_cast("timestamp_ntz")
+    parsed = F.regexp_extract(iso_text, _ISO_TEXT, 1).try_cast("timestamp_ntz")
     if epoch is None:
         return parsed
     return F.coalesce(parsed, F.timestamp_seconds(in_iso_range(epoch)).cast("timestamp_ntz"))
@@ -65,7 +65,3 @@ def job_date_epoch(text: Column) -> Column:
     parsed = F.coalesce(*[F.try_to_timestamp(clean, F.lit(f)) for f in _JOB_DATE_FORMATS])
     return F.unix_timestamp(parsed)
 
-
-def last_covered_second(end_epoch: Column) -> Column:
-    """A job's end date covers its whole day, up to the last second."""
-    return end_epoch + F.lit(86400 - 1)

@@ -24,11 +24,16 @@ def record_text(df: DataFrame) -> Column:
 
 
 def find_terms(df: DataFrame, keywords: list[str], regexes: list[str] | None = None) -> DataFrame:
-    """``df`` with ``terms``, the sorted distinct terms that match now."""
+    """``df`` with ``terms``, the sorted distinct terms that match now.
+
+    Exploding the one list keeps later filters on ``terms`` above the search; pushed below
+    it, they would search every text twice.
+    """
     words, patterns = phase2_keywords(keywords), phase2_regexes(regexes)
     if not words and not patterns:
         return df.withColumn("terms", F.array().cast("array<string>"))
-    return df.withColumn("terms", matched_terms(record_text(df), words, patterns))
+    found = matched_terms(record_text(df), words, patterns)
+    return df.select("*", F.explode(F.array(found)).alias("terms"))
 
 
 def has_terms(keywords: list[str], regexes: list[str] | None = None) -> bool:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import jobspec as J
 from ..functions.matching import job_clauses, plain_run_of, word_pattern_of
 from ..functions.text import partition_name
-from ..functions.times import job_date_epoch, last_covered_second
+from ..functions.times import job_date_epoch
 from ..schemas import DEFAULT_WINDOW_DAYS, JOB_FIELDS, JOB_KEY_PREFIX
 from .flagging import record_text
 
@@ -23,38 +23,34 @@ def job_entries(specs: DataFrame, payload: str, keep: list[str] | None = None) -
     Result: ``keep``, ``job_id``, ``args`` (VARIANT) and ``entry_error``.
     """
     keep = keep or []
-    whole = F.col("_whole")
-    parsed = specs.select(*keep, F.try_parse_json(payload).alias("_whole"))
-    usable = J.is_object(whole) | (J.is_list(whole) & (F.size(J.items(whole)) > 0))
-    entries = parsed.select(
+    parsed = specs.select(*keep, F.try_parse_json(payload).alias("whole")).selectExpr(
+        *keep, "whole",
+        "CAST(try_variant_get(whole, '$', 'array<variant>') AS array<variant>) AS many",
+        f"{J.members('whole')} IS NOT NULL AS single",
+    )
+    entries = parsed.selectExpr(
         *keep,
-        F.posexplode(
-            F.when(usable, J.items(whole)).otherwise(F.array(F.lit(None).cast("variant")))
-        ).alias("_pos", "_entry"),
-        F.when(whole.isNull(), F.lit("job list is not valid JSON"))
-        .when(~J.is_object(whole) & ~J.is_list(whole), F.lit("job list must be an object or a list"))
-        .when(~usable, F.lit("job list has no entries"))
-        .alias("_list_error"),
+        """CASE WHEN whole IS NULL THEN 'job list is not valid JSON'
+          WHEN single OR size(many) > 0 THEN NULL
+          WHEN many IS NULL THEN 'job list must be an object or a list'
+          ELSE 'job list has no entries' END AS list_error""",
+        """posexplode(CASE WHEN single THEN array(whole) WHEN size(many) > 0 THEN many
+          ELSE array(CAST(NULL AS variant)) END) AS (place, entry)""",
     )
-    entry = F.col("_entry")
-    wrapped = J.member(entry, "scraping_arg")
-    own_id = J.member(entry, "scraping_arg_id")
-    return entries.select(
+    opened = entries.selectExpr(
+        *keep, "list_error", "place", "entry",
+        "try_variant_get(entry, '$.scraping_arg', 'variant') AS wrapped",
+        "try_variant_get(entry, '$.scraping_arg_id', 'string') AS own_id",
+    ).withColumn("_wrapped", F.expr(J.given("wrapped")))
+    return opened.selectExpr(
         *keep,
-        F.coalesce(
-            F.when(J.given(own_id), J.as_text(own_id)), (F.col("_pos") + 1).cast("string")
-        ).alias("job_id"),
-        F.when(J.given(wrapped), wrapped).otherwise(entry).alias("args"),
-        J.given(wrapped).alias("_wrapped"),
-        F.coalesce(
-            "_list_error", F.when(~J.is_object(entry), F.lit("entry must be an object"))
-        ).alias("_entry_error"),
-    ).select(
-        *keep, "job_id", "args", "_wrapped",
-        F.coalesce(
-            "_entry_error",
-            F.when(~J.is_object(F.col("args")), F.lit("scraping_arg must be an object")),
-        ).alias("entry_error"),
+        "coalesce(own_id, CAST(place + 1 AS string)) AS job_id",
+        "CASE WHEN _wrapped THEN wrapped ELSE entry END AS args",
+        "_wrapped",
+        f"""coalesce(list_error,
+          CASE WHEN {J.members('entry')} IS NULL THEN 'entry must be an object'
+            WHEN _wrapped AND {J.members('wrapped')} IS NULL
+            THEN 'scraping_arg must be an object' END) AS entry_error""",
     )
 
 
@@ -68,96 +64,68 @@ def parse_jobs(
     Done in steps, so that what several rules look at is worked out once.
     """
     keep = [*(keep or []), "job_id"]
-    args = F.col("args")
-    target = F.when(J.member(args, "target").isNotNull(), J.member(args, "target")).otherwise(
-        J.member(args, "subreddits")
-    )
-    fields = entries.select(
-        *keep, "entry_error", "_wrapped",
-        F.map_keys(J.members(args)).alias("names"),
-        F.filter(J.items(target), lambda v: ~F.is_variant_null(v)).alias("target"),
-        *[J.member(args, name).alias(name) for name in JOB_FIELDS[2:]],
-    )
-
-    dateless = _blank(J.as_text(F.col("startDate"))) & _blank(J.as_text(F.col("endDate")))
-    spare = default_window or (None, None)
-
-    def date_text(own: str, other: str | None) -> Column:
-        return F.when(dateless, F.lit(other).cast("string")).otherwise(J.as_text(F.col(own)))
-
-    read = fields.withColumns(
-        {
-            "start_text": date_text("startDate", spare[0]),
-            "end_text": date_text("endDate", spare[1]),
-            "parsed_names": F.transform(J.target_parts(F.col("target")), J.subreddit_name),
-            "last_days": J.whole(F.col("lastDays")),
-            "max_pages": J.whole(F.col("maxPages")),
-            "backend_names": J.backends(F.col("backends")),
-            "overrides": J.members(F.col("backendSettings")),
-            "language_text": J.as_text(F.col("language")),
-            "unknown": F.array_sort(
-                F.filter(
-                    "names",
-                    lambda n: ~n.isin(*JOB_FIELDS)
-                    & (F.col("_wrapped") | (n != "scraping_arg_id")),
-                )
-            ),
-        }
-    ).withColumns(
+    spare = ["NULL" if d is None else f"'{d}'" for d in default_window or (None, None)]
+    known = ", ".join(f"'{f}'" for f in JOB_FIELDS)
+    fields = entries.selectExpr(
+        *keep, "entry_error", "_wrapped", f"map_keys({J.members('args')}) AS names",
+        # The first of the two that is there counts, even when it holds null.
+        "coalesce(try_variant_get(args, '$.target', 'variant'), "
+        "try_variant_get(args, '$.subreddits', 'variant')) AS target",
+        *[f"try_variant_get(args, '$.{name}', 'variant') AS {name}" for name in JOB_FIELDS[2:]],
+    ).withColumn("dateless", F.expr(f"{J.blank(J.text('startDate'))} AND {J.blank(J.text('endDate'))}"))
+    read = fields.selectExpr(
+        "*",
+        f"CASE WHEN dateless THEN {spare[0]} ELSE {J.text('startDate')} END AS start_text",
+        f"CASE WHEN dateless THEN {spare[1]} ELSE {J.text('endDate')} END AS end_text",
+        f"{J.present_items('target')} AS entries",
+        f"{J.whole('lastDays')} AS last_number",
+        f"{J.whole('maxPages')} AS page_number",
+        f"{J.backends('backends')} AS backend_names",
+        f"{J.members('backendSettings')} AS overrides",
+        f"{J.text('language')} AS language_text",
+        f"""array_sort(filter(names, n -> n NOT IN ({known})
+          AND (_wrapped OR n <> 'scraping_arg_id'))) AS unknown""",
+    ).selectExpr("*", f"{J.target_names('entries')} AS target_names").withColumns(
         {
             "start_epoch": job_date_epoch(F.col("start_text")),
             "end_day": job_date_epoch(F.col("end_text")),
         }
     )
-    start, end = F.col("start_epoch"), F.col("end_day")
-    error = F.coalesce(
-        F.col("entry_error"),
-        J.targets_error(F.col("target"), F.col("parsed_names")),
-        F.when(start.isNull() & ~_blank(F.col("start_text")), F.lit("startDate is not a date")),
-        F.when(end.isNull() & ~_blank(F.col("end_text")), F.lit("endDate is not a date")),
-        F.when(start.isNotNull() & end.isNull(), F.lit("endDate is required when startDate is set")),
-        F.when(start.isNull() & end.isNotNull(), F.lit("startDate is required when endDate is set")),
-        F.when(start > end, F.lit("startDate must not be after endDate")),
-        J.positive_whole_error(F.col("lastDays"), F.col("last_days"), "lastDays"),
-        J.unknown_backend(F.col("backend_names"), "unknown backend"),
-        J.backend_settings_error(F.col("backendSettings"), F.col("overrides")),
-        J.positive_whole_error(F.col("maxPages"), F.col("max_pages"), "maxPages"),
-    )
-    warnings = F.array_compact(
-        F.array(
-            F.when(
-                F.size("unknown") > 0,
-                F.concat(F.lit("unknown fields: "), F.array_join("unknown", ", ")),
-            ),
-            F.when((F.col("last_days") > 0) & start.isNotNull(), F.lit("dates win over lastDays")),
-            F.when(F.length("language_text") > 0, F.lit("language is ignored")),
-        )
-    )
-    return read.select(
-        *keep, error.alias("error"), warnings.alias("warnings"),
-        F.array_distinct(F.array_compact("parsed_names")).alias("subreddits"),
-        "start_epoch", last_covered_second(end).alias("end_epoch"),
-        F.when(F.col("last_days") > 0, F.col("last_days")).cast("int").alias("last_days"),
-        J.words(F.col("allWords")).alias("all_words"),
-        J.words(F.col("anyWords")).alias("any_words"),
-        J.words(F.col("noneWords")).alias("none_words"),
-        J.phrase(F.col("exactPhrase")).alias("exact_phrase"),
-        F.col("language_text").alias("language"),
-        J.truth(F.col("fetchPosts"), True).alias("fetch_posts"),
-        J.truth(F.col("fetchComments"), True).alias("fetch_comments"),
-        F.col("backend_names").alias("backends"),
-        F.to_json(F.when(J.given(F.col("backendSettings")), F.col("backendSettings"))).alias(
-            "backend_settings"
-        ),
-        F.when(F.col("max_pages") > 0, F.col("max_pages")).alias("max_pages"),
-        F.array_join(F.transform("target", J.as_text), ", ").alias("source_label"),
+    return read.selectExpr(
+        *keep,
+        f"""coalesce(entry_error, {J.targets_error('entries', 'target_names')},
+          CASE WHEN start_epoch IS NULL AND NOT {J.blank('start_text')} THEN 'startDate is not a date'
+            WHEN end_day IS NULL AND NOT {J.blank('end_text')} THEN 'endDate is not a date'
+            WHEN start_epoch IS NOT NULL AND end_day IS NULL THEN 'endDate is required when startDate is set'
+            WHEN start_epoch IS NULL AND end_day IS NOT NULL THEN 'startDate is required when endDate is set'
+            WHEN start_epoch > end_day THEN 'startDate must not be after endDate' END,
+          {J.positive_whole_error('lastDays', 'last_number', 'lastDays')},
+          {J.unknown_backend('backend_names', 'unknown backend')},
+          {J.backend_settings_error('backendSettings', 'overrides')},
+          {J.positive_whole_error('maxPages', 'page_number', 'maxPages')}) AS error""",
+        """array_compact(array(
+          CASE WHEN size(unknown) > 0 THEN concat('unknown fields: ', array_join(unknown, ', ')) END,
+          CASE WHEN last_number > 0 AND start_epoch IS NOT NULL THEN 'dates win over lastDays' END,
+          CASE WHEN language_text <> '' THEN 'language is ignored' END)) AS warnings""",
+        "array_distinct(array_compact(target_names)) AS subreddits",
+        "start_epoch",
+        # The end date covers its whole day, up to the last second.
+        "end_day + 86400 - 1 AS end_epoch",
+        "CAST(CASE WHEN last_number > 0 THEN last_number END AS int) AS last_days",
+        f"{J.words('allWords')} AS all_words",
+        f"{J.words('anyWords')} AS any_words",
+        f"{J.words('noneWords')} AS none_words",
+        f"{J.phrase('exactPhrase')} AS exact_phrase",
+        "language_text AS language",
+        f"{J.truth('fetchPosts', True)} AS fetch_posts",
+        f"{J.truth('fetchComments', True)} AS fetch_comments",
+        "backend_names AS backends",
+        f"to_json(CASE WHEN {J.given('backendSettings')} THEN backendSettings END) AS backend_settings",
+        "CASE WHEN page_number > 0 THEN page_number END AS max_pages",
+        f"array_join(transform(entries, v -> {J.text('v')}), ', ') AS source_label",
     )
 
 
-def _blank(text: Column) -> Column:
-    return F.coalesce(~F.rlike(text, F.lit(r"(?U)\S")), F.lit(True))
-
-
 def job_windows(
     jobs: DataFrame,
     now: int,

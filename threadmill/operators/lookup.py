@@ -29,7 +29,7 @@ def lookup_left(
     right_keys: list[str],
     values: list[str],
     left_rows: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``left`` with ``values`` of the matching ``right`` row, nulls where there is none.
 
@@ -55,7 +55,7 @@ def lookup_left(
 
     hot = (
         used.groupBy(*names).count()
-        .filter(F.col("count") >= hot_rows)
+        .filter(F.col("count") >= (HOT_ROWS if hot_rows is None else hot_rows))
         .orderBy(F.desc("count"), *names)
         .limit(HOT_KEYS)
         .select(*names)

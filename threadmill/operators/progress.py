@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import epoch_seconds, minute_label
 from .flatten import envelope_items
-from ..functions import jobspec as J
 
 WALK = ["subreddit", "backend", "kind"]
 WINDOW = ["window_start_epoch", "window_end_epoch"]
@@ -66,14 +65,18 @@ def remaining(records: DataFrame, progress: DataFrame, backend: str, after: int,
         & (F.col("window_end_epoch") == before)
     )
     keys = ["subreddit", "kind"]
-    finished = mine.filter(F.col("status") == "complete").select(*keys)
-    cursors = mine.select(*keys, F.col("cursor_epoch").alias("_cursor"))
+    # One join for both questions: Spark broadcasts the walks if they are few, and may split
+    # the records of a hot walk if not.
+    walks = mine.select(
+        *keys, F.col("status").alias("_status"), F.col("cursor_epoch").alias("_cursor")
+    )
     start = F.coalesce(F.when(F.col("_cursor") != 0, F.col("_cursor")), F.lit(after))
     return (
-        records.join(finished, keys, "left_anti")
-        .join(cursors, keys, "left")
-        .filter((F.col("created_epoch") >= start) & (F.col("created_epoch") < before))
-        .drop("_cursor")
+        records.filter((F.col("created_epoch") >= after) & (F.col("created_epoch") < before))
+        .join(walks, keys, "left")
+        .filter(F.coalesce(F.col("_status") != "complete", F.lit(True)))
+        .filter(F.col("created_epoch") >= start)
+        .drop("_status", "_cursor")
     )
 
 
@@ -102,7 +105,10 @@ def page_cursors(pages: DataFrame, payload: str, keys: list[str]) -> DataFrame:
     not be the latest. ``payload`` is a provider's JSON envelope.
     """
     items = pages.select(*keys, envelope_items(F.try_parse_json(payload)).alias("_items"))
-    epochs = F.transform("_items", lambda item: epoch_seconds(J.as_text(J.member(item, "created_utc"))))
+    epochs = F.transform(
+        "_items",
+        lambda item: epoch_seconds(F.try_variant_get(item, "$.created_utc", "string")),
+    )
     usable = F.filter(epochs, lambda e: e.isNotNull())
     return items.select(
         *keys,

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions.text import parent_comment_id, preview_line
-from ..schemas import PREVIEW_LINES
+from ..schemas import PREVIEW_LINES, SAMPLE_COMMENTS
 from ..session import fresh_dir, materialize
 from .lookup import SMALL_LEFT, lookup_left
 
@@ -59,26 +59,20 @@ def resolve_forest(comments: DataFrame, step: Column | None = None) -> DataFrame
     round_no = 0
     while n_active:
         round_no += 1
-        seen = _union([*done, active]).select(
-            *KEY,
-            F.col("anc").alias("up_anc"),
-            F.col("dist").alias("up_dist"),
-            F.col("top").alias("up_top"),
-            *[F.col(t).alias("up_trail") for t in trail],
+        seen = _union([*done, active]).selectExpr(
+            *KEY, "anc AS up_anc", "dist AS up_dist", "top AS up_top",
+            *[f"{t} AS up_{t}" for t in trail],
         )
-        values = ["up_anc", "up_dist", "up_top", *["up_trail" for _ in trail]]
+        values = ["up_anc", "up_dist", "up_top", *[f"up_{t}" for t in trail]]
         met = lookup_left(active, seen, ["subreddit", "anc"], KEY, values, left_rows=n_active)
-        found = F.col("up_dist").isNotNull()
-        moved = met.select(
+        found = "up_dist IS NOT NULL"
+        moved = met.selectExpr(
             *KEY,
-            F.when(found, F.col("up_anc")).alias("anc"),
+            "up_anc AS anc",
             # An ancestor that is not there makes the comment just under it a root.
-            F.when(found, F.col("dist") + F.col("up_dist")).otherwise(F.col("dist") - 1).alias("dist"),
-            F.when(found, F.col("up_top")).otherwise(F.col("top")).alias("top"),
-            *[
-                F.when(found, F.concat("up_trail", "trail")).otherwise(F.col("trail")).alias(t)
-                for t in trail
-            ],
+            f"CASE WHEN {found} THEN dist + up_dist ELSE dist - 1 END AS dist",
+            f"CASE WHEN {found} THEN up_top ELSE top END AS top",
+            *[f"CASE WHEN {found} THEN concat(up_{t}, {t}) ELSE {t} END AS {t}" for t in trail],
         )
         pending = Observation()
         moved = materialize(
@@ -211,6 +205,19 @@ def thread_preview(comments: DataFrame, max_lines: int = PREVIEW_LINES) -> DataF
     return lines.unionByName(dots).orderBy("line_no")
 
 
+def sample_counts(comments: DataFrame, limit: int = SAMPLE_COMMENTS) -> DataFrame:
+    """One row: comments in the sample of the earliest ones, and how many of them are roots
+    there. A comment whose parent is not in the sample counts as a root."""
+    sample = comments.orderBy(_order_key()).limit(limit).select(*KEY, "parent_id")
+    # The sample is small by its limit, so it may be computed twice and broadcast freely.
+    parents = sample.select("subreddit", F.col("id").alias("parent"), F.lit(True).alias("known"))
+    return (
+        sample.withColumn("parent", parent_comment_id(F.col("parent_id")))
+        .join(parents, ["subreddit", "parent"], "left")
+        .agg(F.count("*").alias("comments"), F.count_if(F.col("known").isNull()).alias("roots"))
+    )
+
+
 def nested_fragments(comments: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Nested thread documents, cut into one text fragment per comment.
 

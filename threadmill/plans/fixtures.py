@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import in_iso_range
 from ..operators.normalize import normalize_comments, normalize_posts
-from ..session import prepare
+from ..session import prepare, spread
 
 # 2024-01-01T00:00:00Z, the first second of the derived archive.
 START = 1704067200
@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as raw posts, in columns, with the flaws raw records have."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return spread(table(spark, sf_dir, "documents")).selectExpr(
         "CASE WHEN doc_id % 3 = 0 THEN concat('t3_', CAST(doc_id AS STRING)) ELSE CAST(doc_id AS STRING) END AS id",
         "CASE WHEN doc_id % 5 = 0 THEN concat(' ', upper(source)) ELSE source END AS subreddit",
         "CASE WHEN doc_id % 17 = 0 THEN '[deleted]' WHEN doc_id % 29 = 0 THEN '' ELSE concat('u', CAST(doc_id % 97 AS STRING)) END AS author",

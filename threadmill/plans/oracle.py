@@ -274,6 +274,10 @@ flat AS (
   FROM paths JOIN comments USING (id)),
 first AS (SELECT CAST(row_number() OVER (ORDER BY path) AS INT) AS line_no, line FROM flat ORDER BY path LIMIT 40)
 SELECT line_no, line FROM first UNION ALL SELECT 41, '  ...' WHERE (SELECT count(*) FROM first) >= 40""",
+    "dry_run_counts": f"""
+WITH {_COMMENTS}, s AS (SELECT * FROM comments ORDER BY created_epoch, id LIMIT 2000)
+SELECT count(*) AS comments, count(*) FILTER (
+  parent_id NOT LIKE 't1#_%' ESCAPE '#' OR substr(parent_id, 4) NOT IN (SELECT id FROM s)) AS roots FROM s""",
     "nested_threads": f"""
 WITH RECURSIVE {_COMMENTS},
 paths(id, root_id, depth, path) AS (

@@ -151,7 +151,9 @@ def flagged_posts_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flagged_comments_context(spark: SparkSession, d: str) -> DataFrame:
-    marked = flagging.annotate(fx.comments_of_posts(spark, d), KEYWORDS, REGEXES)
+    # In an archive the flags are stored before the report reads them; so they are here.
+    hits = flagging.annotate_hits(fx.comments_of_posts(spark, d), KEYWORDS, REGEXES)
+    marked = materialize(hits.drop("raw"), "flagged")
     rows = flagging.flagged_comments(marked, fx.posts(spark, d))
     return rows.orderBy(*flagging.report_order()).withColumn(
         "matched_terms", list_cell(F.col("matched_terms"))
@@ -199,6 +201,10 @@ def thread_preview(spark: SparkSession, d: str) -> DataFrame:
     return threads.thread_preview(fx.comments(spark, d))
 
 
+def dry_run_counts(spark: SparkSession, d: str) -> DataFrame:
+    return threads.sample_counts(fx.comments(spark, d))
+
+
 def nested_threads(spark: SparkSession, d: str) -> DataFrame:
     fields = ["id", "parent_id", "author", "score", "created_epoch", "is_deleted"]
     rows = threads.nested_fragments(fx.comments(spark, d), fields)
@@ -563,6 +569,7 @@ QUERIES = {
     "child_edges": child_edges,
     "children_per_comment": children_per_comment,
     "thread_preview": thread_preview,
+    "dry_run_counts": dry_run_counts,
     "nested_threads": nested_threads,
     "flatten_tree": flatten_tree,
     "timeline": timeline_query,

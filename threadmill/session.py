@@ -23,6 +23,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that comes in fewer splits than there are cores.
+
+    A large input has more splits than the cluster has cores and passes through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

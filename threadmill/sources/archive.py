@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import jobspec as J
 from ..schemas import COMMENT, POST
 
 # Fixed value: how a record ends in a map written with an indent of two. Text inside JSON
@@ -23,8 +22,8 @@ def _map_entries(df: DataFrame, text: Column) -> DataFrame:
 
 def records_of_map_text(df: DataFrame, text: str) -> DataFrame:
     """``key, record`` of every object in the id-keyed maps of a text column."""
-    rows = _map_entries(df, F.col(text)).filter(J.is_object(F.col("record")))
-    return rows.drop(text)
+    rows = _map_entries(df, F.col(text))
+    return rows.filter(F.startswith(F.schema_of_variant("record"), F.lit("OBJECT"))).drop(text)
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
@@ -116,8 +115,8 @@ def _stored(records: DataFrame, schema, keep: list[str]) -> DataFrame:
     def column(field) -> Column:
         kind = field.dataType.simpleString()
         if field.name == "raw":
-            raw = J.member(record, "raw")
-            return F.when(J.given(raw), F.to_json(raw))
+            raw = F.try_variant_get(record, "$.raw", "variant")
+            return F.when(raw.isNotNull() & ~F.is_variant_null(raw), F.to_json(raw))
         if kind == "timestamp":
             return F.try_variant_get(record, f"$.{field.name}", "string").try_cast("timestamp")
         return F.try_variant_get(record, f"$.{field.name}", kind)
