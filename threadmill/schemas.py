@@ -27,7 +27,6 @@ TARGET_TYPE = "subreddit"
 PLATFORM = "REDDIT"
 RESULT_CONTENT = "REDDIT_POSTS"
 JOB_KEY_PREFIX = "reddit"
-DONE_FLAG = "gata.txt"
 DEFAULT_WINDOW_DAYS = 365
 PREVIEW_LINES = 40
 PREVIEW_WIDTH = 70
@@ -56,7 +55,6 @@ JOB_FIELDS = (
     "fetchPosts", "fetchComments", "backends", "backendSettings", "maxPages",
 )
 KNOWN_BACKENDS = ("arctic_shift", "pullpush", "reddit_api", "dump")
-DEFAULT_BACKENDS = ("arctic_shift", "pullpush")
 TRUE_WORDS = ("1", "true", "yes", "y", "on")
 # --- end of fixed values ------------------------------------------------------------
 
