@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from threadmill.operators import flagging
+from threadmill.operators import flagging, slices
 from threadmill.operators.normalize import normalize_posts, storage_rows
 from threadmill.plans import runs
 from threadmill.schemas import COMMENT, POST
@@ -96,6 +96,14 @@ def test_discovery(spark, tmp_path):
     assert [r.name for r in archive.discover(spark, str(tmp_path)).collect()] == ["posts.json"]
 
 
+def test_one_level_only(spark, tmp_path):
+    write_map(tmp_path / "one", "posts.json", {"p1": post(1)})
+    write_map(tmp_path / "job" / "two", "posts.json", {"p2": post(2)})
+    write_map(tmp_path / "job" / "bad", "posts.json", "{")
+    got = archive.read_archive(spark, str(tmp_path), one_level=True)
+    assert [r.id for r in got.posts.collect()] == ["p1"] and got.failed.count() == 0
+
+
 def test_merge_run(spark, tmp_path):
     write_map(tmp_path / "in" / "s", "posts.json", {f"p{i}": post(i) for i in range(5)})
     write_map(tmp_path / "in" / "s", "comments.json", {f"c{i}": comment(i) for i in range(98, 101)})
@@ -134,6 +142,17 @@ def test_archive_write_replaces_only_its_partitions(spark, tmp_path):
     assert sorted((r.folder, r.id) for r in spark.read.parquet(path).collect()) == [("one", "d"), ("two", "c")]
 
 
+def test_search_reads_only_folders_and_times_it_needs(spark, tmp_path):
+    path = str(tmp_path / "posts")
+    rows = post_rows(spark, "a", "b", "c", subreddit="one-1").unionByName(post_rows(spark, "d", subreddit="two"))
+    sinks.write_archive(rows, path)
+    found = slices.search(spark.read.parquet(path), ["ONE-1"], 1, 3).select("id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(folder" in plan and "IsNotNull(created_epoch)" in plan
+    assert "ReadSchema: struct<id:string,subreddit:string,created_epoch:bigint>" in plan
+    assert sorted(r.id for r in found.collect()) == ["b", "c"]
+
+
 def test_append_and_compact_lines(spark, tmp_path):
     lines, out, nested = (str(tmp_path / n) for n in ("lines", "out", "nested"))
     schema = COMMENT

@@ -131,6 +131,14 @@ def test_archive_run_window_and_resume(spark, tmp_path):
     assert rows == {"a": (2, 2), "b": (1, 2), "late": (2, 2)}
 
 
+def test_dry_run(spark):
+    now = 10 * 86400
+    source = raw(spark, rc("a", at=now - 50), rc("b", "t1_a", "re", at=now - 40), rc("c", at=now - 4 * 86400), rc("d", sub="z", at=now - 1))
+    counts, preview = runs.dry_run(spark, source, ["s", "z"], now)
+    assert tuple(counts.first()) == (2, 1)
+    assert [r.line for r in preview.collect()] == ["- (a) x", "  - (a) re"]
+
+
 def test_filter_run_flags_stay(spark, tmp_path):
     posts, comments = archive(spark, tmp_path, "p"), archive(spark, tmp_path, "c")
     runs.archive_run(spark, raw(spark, rp("p", "Title"), rp("q", "ransom")), posts, "post", ["s"], (0, 99), 0, DAY1)

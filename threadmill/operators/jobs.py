@@ -213,16 +213,19 @@ def match_jobs(records: DataFrame, targets: DataFrame, kind: str) -> DataFrame:
     wanted = targets.filter("fetch_posts" if kind == "post" else "fetch_comments")
     salted = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = records.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    text = record_text(records)
+    fits = F.transform(
+        F.array(F.struct(text.alias("text"), F.lower(text).alias("low"))),
+        lambda t: job_clauses(t["text"], t["low"], F.col("clauses")),
+    )[0]
+    # The clauses come last in the one condition: as a filter of its own, Spark would put
+    # them in front of the window test.
     pairs = rows.join(
         salted,
         (F.col("subreddit") == F.col("target"))
         & (rows["_salt"] == salted["_salt"])
         & (F.col("created_epoch") >= F.col("after_epoch"))
-        & (F.col("created_epoch") < F.col("before_epoch")),
+        & (F.col("created_epoch") < F.col("before_epoch"))
+        & fits,
     )
-    text = record_text(records)
-    fits = F.transform(
-        F.array(F.struct(text.alias("text"), F.lower(text).alias("low"))),
-        lambda t: job_clauses(t["text"], t["low"], F.col("clauses")),
-    )[0]
-    return pairs.filter(fits).select("job_id", *records.columns)
+    return pairs.select("job_id", *records.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 
@@ -11,7 +13,12 @@ def in_window(df: DataFrame, after: int, before: int) -> DataFrame:
 
 
 def of_subreddits(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.filter(F.col("subreddit").isin([n.strip().lower() for n in names]))
+    """Records of the named subreddits; of a written archive only their folders are read."""
+    wanted = [n.strip().lower() for n in names]
+    if "folder" in df.columns:
+        folders = {re.sub("[^a-z0-9_]+", "_", n) or "_" for n in wanted}
+        df = df.filter(F.col("folder").isin(sorted(folders)))
+    return df.filter(F.col("subreddit").isin(wanted))
 
 
 def search(

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.matching import content_filter
-from ..operators import flagging, jobs, normalize, progress, slices, stats, timeline
+from ..operators import flagging, jobs, normalize, progress, slices, stats, threads, timeline
 from ..session import materialize, prepare
 from ..sources import archive, sinks, store
 
@@ -59,6 +59,18 @@ def _arrival(batch_id: int, batch_time: datetime):
     )
 
 
+def dry_run(
+    spark: SparkSession, raw: DataFrame, subreddits: list[str], now: int, last_days: int = 3,
+    pages: int = 2, page_size: int = 100,
+) -> tuple[DataFrame, DataFrame]:
+    """Comment and root counts, and a thread preview, of a small slice; nothing is stored."""
+    prepare(spark)
+    rows = normalize.normalize_comments(raw, raw="raw" if raw.columns == ["raw"] else None)
+    part = slices.dry_run_slice(rows, subreddits, now, last_days, pages, page_size)
+    sample = materialize(part.drop("raw").dropDuplicates(["subreddit", "id"]), "sample", small=True)
+    return threads.sample_counts(sample), threads.thread_preview(sample)
+
+
 def filter_run(
     spark: SparkSession,
     posts_root: str,

@@ -58,8 +58,8 @@ def _same_folder(folder: Column, root: str) -> Column:
     return bare(folder) == bare(F.lit(root))
 
 
-def _pieces(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The file cut at record ends, each piece completed to a small map of its own.
+def _pieces(spark: SparkSession, root: str, name: str, one_level: bool = False) -> DataFrame:
+    """The files cut at record ends, each piece completed to a small map of its own.
 
     The text reader splits files at any record end, so one huge map is read by many tasks.
     """
@@ -68,12 +68,14 @@ def _pieces(spark: SparkSession, root: str, name: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", name)
         .text(root)
-        .select(F.col("_metadata.file_path").alias("_path"), "value")
+        .select(_folder_of(F.col("_metadata.file_path")).alias("folder"), "value")
     )
+    if one_level:
+        text = text.filter(_same_folder(_folder_of(F.col("folder")), root))
     opens = F.startswith(F.ltrim("value"), F.lit("{"))
     closes = F.rlike("value", F.lit(r"(^|\n)\}\s*$")) | (opens & ~F.contains("value", F.lit("\n")))
     return text.select(
-        _folder_of(F.col("_path")).alias("folder"),
+        "folder",
         closes.alias("_closes"),
         F.concat(
             F.when(opens, F.lit("")).otherwise(F.lit("{")),
@@ -91,13 +93,13 @@ class MapScan:
     broken: DataFrame
 
 
-def scan_maps(spark: SparkSession, root: str, name: str) -> MapScan:
-    """Scan all files called ``name`` under ``root``.
+def scan_maps(spark: SparkSession, root: str, name: str, one_level: bool = False) -> MapScan:
+    """Scan all files called ``name`` under ``root``, or only those of its direct folders.
 
     Broken files are those with a piece that is no JSON object or without an end; none of
     their records is returned.
     """
-    pieces = _pieces(spark, root, name)
+    pieces = _pieces(spark, root, name, one_level)
     sound = F.try_parse_json("_map_text").isNotNull() & F.startswith("_map_text", F.lit("{"))
     broken = (
         pieces.groupBy("folder")
@@ -140,14 +142,17 @@ class Archive:
     failed: DataFrame
 
 
-def read_archive(spark: SparkSession, root: str, whole_folders: bool = False) -> Archive:
-    """Posts and comments of all folders, each row with its ``folder``.
+def read_archive(
+    spark: SparkSession, root: str, whole_folders: bool = False, one_level: bool = False
+) -> Archive:
+    """Posts and comments of all folders (or the direct ones), each row with its ``folder``.
 
     A broken file counts as empty. With ``whole_folders`` it takes its folder out of both
     tables, as a merge does; ``failed`` lists such folders either way. Spark never opens a
     file of length zero, so such a file counts as missing.
     """
-    posts, comments = scan_maps(spark, root, "posts.json"), scan_maps(spark, root, "comments.json")
+    posts = scan_maps(spark, root, "posts.json", one_level)
+    comments = scan_maps(spark, root, "comments.json", one_level)
     failed = posts.broken.unionByName(comments.broken).distinct()
     post_rows = stored_posts(posts.records, ["folder"])
     comment_rows = stored_comments(comments.records, ["folder"])
