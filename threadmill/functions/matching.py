@@ -37,12 +37,12 @@ def plain_run_of(word: Column) -> Column:
     )
 
 
-def has_word(text: Column, word: str) -> Column:
-    """The word stands alone in the text, in any case."""
+def has_word(text: Column, word: str, low: Column | None = None) -> Column:
+    """The word stands alone in the text, in any case. ``low`` is the lowercased text."""
     hit = F.rlike(text, F.lit(word_pattern(word)))
     run = max(re.findall(_PLAIN_RUN, word.lower()), key=len, default="")
     # The byte search is far cheaper than the regex and throws out most texts first.
-    return F.contains(F.lower(text), F.lit(run)) & hit if run else hit
+    return F.contains(F.lower(text) if low is None else low, F.lit(run)) & hit if run else hit
 
 
 def content_filter(
@@ -51,18 +51,21 @@ def content_filter(
     any_words: list[str] | None = None,
     none_words: list[str] | None = None,
     exact_phrase: str | None = None,
+    low: Column | None = None,
 ) -> Column | None:
     """Predicate for all/any/none words and a phrase; None when no clause is given.
 
-    Empty text never matches, not even when only ``none_words`` is given.
+    Empty text never matches, not even when only ``none_words`` is given. ``low`` is the
+    lowercased text, if it is at hand.
     """
+    low = F.lower(text) if low is None else low
     clauses: list[Column] = []
     if exact_phrase:
-        clauses.append(F.contains(F.lower(text), F.lit(exact_phrase.lower())))
-    clauses += [has_word(text, w) for w in all_words or []]
+        clauses.append(F.contains(low, F.lit(exact_phrase.lower())))
+    clauses += [has_word(text, w, low) for w in all_words or []]
     if any_words:
-        clauses.append(any_of([has_word(text, w) for w in any_words]))
-    clauses += [~has_word(text, w) for w in none_words or []]
+        clauses.append(any_of([has_word(text, w, low) for w in any_words]))
+    clauses += [~has_word(text, w, low) for w in none_words or []]
     if not clauses:
         return None
     return F.coalesce((text != "") & all_of(clauses), F.lit(False))

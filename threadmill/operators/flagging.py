@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as T
-from ..functions.matching import matched_terms, phase2_keywords, phase2_regexes
+from ..functions.matching import content_filter, matched_terms, phase2_keywords, phase2_regexes
 from ..schemas import (
     FLAG_COLUMNS,
     FLAG_REASON,
@@ -23,6 +23,20 @@ def record_text(df: DataFrame) -> Column:
     return T.joined_text(F.col("title"), F.col("selftext"))
 
 
+def keep_matching(df: DataFrame, **clauses) -> DataFrame:
+    """The records that satisfy the clauses of :func:`content_filter`; all without clauses.
+
+    The text is put together and lowercased once per record: exploding it as one item keeps
+    the optimizer from copying both steps into every clause.
+    """
+    if content_filter(F.lit(""), **clauses) is None:
+        return df
+    text = record_text(df)
+    bound = F.array(F.struct(text.alias("text"), F.lower(text).alias("low")))
+    wanted = content_filter(F.col("_text.text"), low=F.col("_text.low"), **clauses)
+    return df.select("*", F.explode(bound).alias("_text")).filter(wanted).drop("_text")
+
+
 def find_terms(df: DataFrame, keywords: list[str], regexes: list[str] | None = None) -> DataFrame:
     """``df`` with ``terms``, the sorted distinct terms that match now.
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
-from ..functions.matching import content_filter
 from ..functions.text import list_cell
 from ..operators import flagging, jobs, normalize, progress, slices, stats, threads, timeline, versions
 from ..operators.flatten import envelope_items, flatten_replies
@@ -82,8 +81,7 @@ def target_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _post_hits(spark: SparkSession, d: str, **clauses) -> DataFrame:
-    rows = fx.posts(spark, d)
-    return rows.filter(content_filter(flagging.record_text(rows), **clauses)).select("id")
+    return flagging.keep_matching(fx.posts(spark, d), **clauses).select("id")
 
 
 def filter_all_any_none(spark: SparkSession, d: str) -> DataFrame:
@@ -102,8 +100,8 @@ def filter_phrase(spark: SparkSession, d: str) -> DataFrame:
 
 def filter_comments(spark: SparkSession, d: str) -> DataFrame:
     rows = fx.comments(spark, d)
-    kept = content_filter(F.col("body"), any_words=["the", "la", "die"], none_words=["of"])
-    return rows.filter(kept).select("id", "subreddit")
+    kept = flagging.keep_matching(rows, any_words=["the", "la", "die"], none_words=["of"])
+    return kept.select("id", "subreddit")
 
 
 def window_slice(spark: SparkSession, d: str) -> DataFrame:

@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.matching import content_filter
 from ..operators import flagging, jobs, normalize, progress, slices, stats, threads, timeline
 from ..session import materialize, prepare
 from ..sources import archive, sinks, store
@@ -41,10 +40,7 @@ def archive_run(
         # A batch run reads its window to the end.
         "status", F.lit("complete")
     ).withColumn("cursor_epoch", F.lit(window[1]).cast("bigint"))
-    kept = rows
-    wanted = content_filter(flagging.record_text(rows), **(clauses or {}))
-    if wanted is not None:
-        kept = rows.filter(wanted)
+    kept = flagging.keep_matching(rows, **(clauses or {}))
     placed = kept.withColumn("arrival", _arrival(batch_id, batch_time))
     stored = normalize.storage_rows(placed, batch_time, ["arrival"])
     store.append_versions(stored, root, kind, "run", batch_id)

@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.matching import content_filter
-from ..operators.flagging import record_text
+from ..operators.flagging import keep_matching
 from ..operators.normalize import normalize_comments, normalize_posts, storage_rows
 from ..session import fresh_dir, prepare
 from ..sources.store import append_versions, create_archive, current
@@ -44,9 +43,7 @@ def _append_batch(
         batch.select("raw", arrival.alias("arrival")),
         raw="raw", fallback=None if fallback is None else F.lit(fallback), keep=["arrival"],
     )
-    wanted = content_filter(record_text(parsed), **clauses)
-    if wanted is not None:
-        parsed = parsed.filter(wanted)
+    parsed = keep_matching(parsed, **clauses)
     # The landing time of the file is the batch time: a replay writes the same stamps.
     rows = storage_rows(parsed, F.col("arrival.landed"), keep=["arrival"])
     append_versions(rows, root, kind, "stream", batch_id)
