@@ -153,6 +153,17 @@ def test_terms_are_sorted_and_distinct(spark):
     assert got == [[r"(?P<a>m)al(?P=a)?", "mal", "ran"], [], [], []]
 
 
+PATTERNS = [r"a.b", r"end$", r"^x", r"\bé\w", r"[A-C]{2}", r"(?P<q>['\"]).*(?P=q)", r"\Z", r"\d+ \s", "straße|ı", r"a\Z"]
+LINES = ["a\rb", "a\nb", "A\u2028B", "the END\n", "x", "y\nx", "Éa", "éé", "abC", "'it' \"", "12 \t", "STRASSE", "I", "ba"]
+
+
+def test_user_patterns_find_what_python_finds(spark):
+    df = spark.createDataFrame([(t,) for t in LINES], "t string")
+    for pattern, java in phase2_regexes(PATTERNS).items():
+        got = {r.t: r.hit for r in df.select("t", F.rlike("t", F.lit(java)).alias("hit")).collect()}
+        assert got == {t: re.search(pattern, t, re.IGNORECASE) is not None for t in LINES}, pattern
+
+
 def test_bad_pattern_fails_before_any_job():
     with pytest.raises(re.error):
         phase2_regexes(["("])

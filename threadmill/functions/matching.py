@@ -58,6 +58,8 @@ def content_filter(
     Empty text never matches, not even when only ``none_words`` is given. ``low`` is the
     lowercased text, if it is at hand.
     """
+    if not (all_words or any_words or none_words or exact_phrase):
+        return None
     low = F.lower(text) if low is None else low
     clauses: list[Column] = []
     if exact_phrase:
@@ -66,8 +68,6 @@ def content_filter(
     if any_words:
         clauses.append(any_of([has_word(text, w, low) for w in any_words]))
     clauses += [~has_word(text, w, low) for w in none_words or []]
-    if not clauses:
-        return None
     return F.coalesce((text != "") & all_of(clauses), F.lit(False))
 
 
@@ -110,7 +110,8 @@ def phase2_regexes(regexes: list[str] | None) -> dict[str, str]:
         java = pattern.replace(r"\Z", r"\z")
         for i, name in enumerate(named):
             java = java.replace(f"(?P<{name}>", f"(?<g{i}>").replace(f"(?P={name})", rf"\k<g{i}>")
-        ready[pattern] = f"(?iuU){java}"
+        # Unicode case and classes, and the line feed as the only line end.
+        ready[pattern] = f"(?iuUd){java}"
     return ready
 
 

@@ -29,11 +29,11 @@ def keep_matching(df: DataFrame, **clauses) -> DataFrame:
     The text is put together and lowercased once per record: exploding it as one item keeps
     the optimizer from copying both steps into every clause.
     """
-    if content_filter(F.lit(""), **clauses) is None:
+    wanted = content_filter(F.col("_text.text"), low=F.col("_text.low"), **clauses)
+    if wanted is None:
         return df
     text = record_text(df)
     bound = F.array(F.struct(text.alias("text"), F.lower(text).alias("low")))
-    wanted = content_filter(F.col("_text.text"), low=F.col("_text.low"), **clauses)
     return df.select("*", F.explode(bound).alias("_text")).filter(wanted).drop("_text")
 
 

@@ -491,7 +491,7 @@ def job_specs(spark: SparkSession, d: str) -> DataFrame:
 
 def job_windows(spark: SparkSession, d: str) -> DataFrame:
     parsed = jobs.parse_jobs(jobs.job_entries(fx.job_payloads(spark, d), "payload"))
-    rows = jobs.job_windows(parsed, fx.JOBS_NOW).filter(F.col("error").isNull())
+    rows = materialize(jobs.job_windows(parsed, fx.JOBS_NOW), "jobs").filter(F.col("error").isNull())
     return rows.select(
         "job_id", "after_epoch", "before_epoch", jobs.job_key(rows, fx.JOBS_NOW).alias("job_key")
     )
@@ -500,7 +500,7 @@ def job_windows(spark: SparkSession, d: str) -> DataFrame:
 def _ready_targets(spark: SparkSession, d: str) -> DataFrame:
     parsed = jobs.parse_jobs(jobs.job_entries(fx.nation_jobs(spark, d), "payload"))
     # Posts, comments and statistics all need the targets: parse the payloads once.
-    return materialize(jobs.job_targets(jobs.job_windows(parsed, fx.JOBS_NOW)), "targets")
+    return jobs.job_targets(materialize(jobs.job_windows(parsed, fx.JOBS_NOW), "jobs"))
 
 
 def _job_records(spark: SparkSession, d: str, targets: DataFrame | None = None) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.text import partition_name
-from ..operators.threads import with_depth
-from ..operators.versions import fold_versions
+from ..operators.threads import resolve_forest, with_depth
+from ..operators.versions import fold_versions, latest
 from ..schemas import COMMENT, POST
 from ..session import prepare
 
@@ -106,8 +106,16 @@ def current(
     without: tuple[str, int] | None = None,
 ) -> DataFrame:
     """The current row of every record; comments with their depth unless not wanted."""
-    rows = fold_versions(stored_versions(spark, root, kind, without), [F.col("arrival")])
-    return with_depth(rows) if kind == "comment" and depth else rows
+    versions = stored_versions(spark, root, kind, without)
+    rows = fold_versions(versions, [F.col("arrival")])
+    if kind != "comment" or not depth:
+        return rows
+    # The threads need few columns: fold those alone instead of the whole rows twice.
+    links = latest(
+        versions.select("subreddit", "id", "parent_id", "arrival"), ["subreddit", "id"],
+        [F.col("arrival")],
+    )
+    return with_depth(rows, resolve_forest(links))
 
 
 def progress(spark: SparkSession, root: str) -> DataFrame:
