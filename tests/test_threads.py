@@ -232,3 +232,15 @@ def test_flatten(spark):
         start = t.get("data") if isinstance(t, dict) else t
         assert order(got.get(i, [])) == order(flat(start if isinstance(start, list) else [])), t
     assert 99 not in got
+
+
+def test_nothing_in_nothing_out(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    gone = comments(spark, ("a", "t3_p")).filter("id = 'zz'")
+    for df in (none, gone):
+        assert threads.resolve_forest(df).count() == 0
+        assert threads.nested_fragments(df, ["id"]).count() == 0
+        assert threads.thread_preview(df).count() == 0
+        assert tuple(threads.sample_counts(df).first()) == (0, 0)
+    trees = spark.createDataFrame([], "tree string")
+    assert flatten.flatten_replies(trees, "tree").count() == 0
