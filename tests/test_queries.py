@@ -6,8 +6,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle_check import differences, duck
+from threadmill.plans.oracle import ORACLE
+from threadmill.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -20,7 +22,7 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
 def test_entry(spark):
@@ -28,6 +30,6 @@ def test_entry(spark):
     assert sum(r.comments for r in rows) == 87
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert differences(spark, con, queries()[name], oracle_sql()[name], SF_DIR) is None
+    assert differences(spark, con, QUERIES[name], ORACLE[name], SF_DIR) is None
