@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.llm import mixing, packing, sharding
+from threadmill.llm import jaccard, mixing, packing, sanitise, sharding
 from threadmill.llm.common import read
 from threadmill.llm.oracle import mix_sql
 from threadmill.session import prepare
@@ -18,6 +18,7 @@ ORACLE: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 24
+BATCH_ROWS = 1000
 #: Shares of the mix; all other sources share one part. Blocks have so many rows.
 MIX_WEIGHTS = {"src0": 6, "src1": 4, "src2": 4, "src3": 3, "src4": 3, "src5": 2, "src6": 2} | {
     f"src{i}": 1 for i in range(7, 20)
@@ -27,7 +28,10 @@ MIX_BLOCK = 32
 
 def query(f):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return f(prepare(spark), sf_dir)
+        spark = prepare(spark)
+        # Texts may be long; a batch for Python holds fewer of them than Spark's own default.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return f(spark, sf_dir)
 
     QUERIES[f.__name__] = run
     return run
@@ -39,6 +43,29 @@ def op1_pack(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query
+def op6_jaccard(spark, sf_dir):
+    """Every document's component of texts whose word 5-grams overlap by three quarters."""
+    return jaccard.similarity_components(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_pii(spark, sf_dir):
+    """Personal data of every document, and the words that reveal it."""
+    found = sanitise.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, terms = F.col("base_spans"), F.col("term_spans")
+
+    def count(kind: int):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{sanitise.KINDS[kind]}")
+
+    return found.select(
+        "doc_id", *[count(k) for k in range(len(sanitise.KINDS))],
+        F.sha2(sanitise.spans_text(base), 256).alias("base_sha256"),
+        sanitise.spans_text(sanitise.all_spans(base, terms)).alias("spans"),
+        F.size(terms).cast("long").alias("n_terms"),
+    )
+
+
 @query
 def op9_shards(spark, sf_dir):
     """Shards 0 to 23 of all documents by the law ``key``."""
