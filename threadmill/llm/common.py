@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +64,20 @@ def ranked(df: DataFrame, key: str, part: Column, order: list[Column], out: str)
     )
 
 
+def remainder(key: str, parts: int) -> Column:
+    """crc32 of the key as text, modulo ``parts``; a null key counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def labelled_sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
+    """At most ``per_label`` rows of each label, the same in every run: those whose id hashes lowest.
+
+    Spark keeps that many rows per task and label before it shuffles.
+    """
+    w = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
+    return rows.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= per_label).drop("_nth")
+
+
 # --- word hashes over a batch of texts -------------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -101,8 +116,8 @@ class Words:
     first k bytes; both come from one running polynomial sum, without a loop over words.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.data, self.offsets = _LOWER[data], offsets
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True):
+        self.data, self.offsets = _LOWER[data] if lower else data, offsets
         n = len(data)
         solid = ~_SPACE[self.data]
         begins, ends = solid.copy(), solid.copy()
@@ -153,3 +168,20 @@ def text_steps(texts: pa.Array, step_bytes: int = STEP_BYTES) -> Iterator[tuple[
         to = min(max(to, at + 1), n)
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+
+
+def scored(text: Column, scorer: Broadcast, kinds: str, pick: Callable[[object, np.ndarray, np.ndarray], list[pa.Array]]) -> Column:
+    """A struct column of what ``pick(model, bytes, offsets)`` gives for runs of whole texts."""
+    names = [part.split()[0] for part in kinds.split(",")]
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [pick(scorer.value, data, offsets) for _, _, data, offsets in text_steps(texts)]
+            columns = [pa.concat_arrays(list(c)) for c in zip(*parts)]
+            if parts:
+                yield pa.StructArray.from_arrays(columns, names)
+            else:
+                yield pa.array([], pa.struct([(n, pa.null()) for n in names]))
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, f"struct<{', '.join(p.strip().replace(' ', ':') for p in kinds.split(','))}>")(text)

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.llm import jaccard, mixing, packing, sanitise, sharding
-from threadmill.llm.common import read
+from threadmill.llm import jaccard, language, mixing, packing, quality, sanitise, sharding, toxicity
+from threadmill.llm.common import read, remainder
 from threadmill.llm.oracle import mix_sql
 from threadmill.session import prepare
 
@@ -43,6 +43,34 @@ def op1_pack(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query
+def op2_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from labels outside the held-out quarter."""
+    docs, held = read(spark, sf_dir, "documents").select("doc_id", "text"), remainder("doc_id", 4) == 2
+    machine = toxicity.train(docs, read(spark, sf_dir, "labels"), ~held)
+    out = toxicity.score(docs, machine)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op3_language(spark, sf_dir):
+    """Language of every document, learned from languages outside the held-out fifth."""
+    docs, held = read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), remainder("doc_id", 5) == 0
+    scorer = language.train(docs, ~held)
+    return language.predict(docs.select("doc_id", "text"), scorer).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op4_quality(spark, sf_dir):
+    """Quality of every document, learned from labels outside the held-out third."""
+    docs, held = read(spark, sf_dir, "documents").select("doc_id", "text"), remainder("doc_id", 3) == 1
+    model = quality.train(docs, read(spark, sf_dir, "labels"), ~held)
+    out = quality.score(docs, model)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op6_jaccard(spark, sf_dir):
     """Every document's component of texts whose word 5-grams overlap by three quarters."""
