@@ -59,3 +59,24 @@ SELECT doc_id, source, mix_source, block, slot,
 FROM final
 """
 
+
+
+#: Query blocks and trees change nothing in the result: every query against every other row.
+TOP_SQL = """
+WITH whole AS (
+  SELECT vec_id, min(embedding) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+),
+vectors AS (
+  SELECT vec_id, list_transform(v, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM whole
+  WHERE len(v) = (SELECT len(v) FROM whole GROUP BY len(v) ORDER BY count(*) DESC, len(v) DESC LIMIT 1)
+),
+scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors x ON q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""

@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.llm import jaccard, language, mixing, packing, quality, sanitise, sharding, toxicity
+from threadmill.llm import covertree, hamming, jaccard, language, mixing, packing, quality, sanitise, sharding, toxicity
 from threadmill.llm.common import read, remainder
-from threadmill.llm.oracle import mix_sql
+from threadmill.llm.oracle import TOP_SQL, mix_sql
 from threadmill.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,12 +71,24 @@ def op4_quality(spark, sf_dir):
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op5_topk(spark, sf_dir):
+    """The 10 greatest integer inner products of every hundredth vector."""
+    return covertree.exact_top_k(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 100, 10)
+
+
 @query
 def op6_jaccard(spark, sf_dir):
     """Every document's component of texts whose word 5-grams overlap by three quarters."""
     return jaccard.similarity_components(read(spark, sf_dir, "documents"))
 
 
+@query
+def op7_neighbours(spark, sf_dir):
+    """The 5 nearest vectors found of every fiftieth."""
+    return hamming.nearest(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 50, 5)
+
+
 @query
 def op8_pii(spark, sf_dir):
     """Personal data of every document, and the words that reveal it."""
@@ -113,4 +125,5 @@ def op10_mix(spark, sf_dir):
     return mixing.mix(docs, MIX_WEIGHTS, MIX_BLOCK)
 
 
+ORACLE["op5_topk"] = TOP_SQL
 ORACLE["op10_mix"] = mix_sql(MIX_WEIGHTS, MIX_BLOCK)
