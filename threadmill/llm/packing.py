@@ -26,30 +26,44 @@ from threadmill.llm.common import local_table, ranges_for, ranked
 from threadmill.session import materialize
 
 SEQUENCE = 1024
-#: Words whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED_WORDS = 200_000
+#: Words whose ids a worker remembers, in each of two generations.
+REMEMBERED_WORDS = 400_000
 
 _PIECES = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
 _PLAN = pa.schema([(n, pa.int64()) for n in ("_length", "_from", "_to", "_sequence", "_offset")])
 
 
-class _Ids(dict):
-    """Token ids of ``" word"`` as little-endian 32-bit bytes, found for many new words at once."""
+class _Ids:
+    """Token ids of ``" word"`` as little-endian 32-bit bytes, found for many new words at once.
+
+    Two generations: when the young one is full it becomes the old one, and a word of the old
+    one that is met again moves up. So frequent words stay and the memory is bounded.
+    """
 
     def __init__(self, tokenizer):
-        super().__init__()
         self.tokenizer = tokenizer
+        self.young: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def learn(self, words: set[str]) -> None:
-        new = list(words.difference(self.keys()))
-        if len(self) + len(new) > REMEMBERED_WORDS:
-            self.clear()
-            new = list(words)
-        self.update(zip(new, self.encode([" " + w for w in new])))
+    def learn(self, words: set[str]) -> dict[str, bytes | None]:
+        """A table that has all of ``words``; None for one that white space begins or ends."""
+        if len(self.young) > REMEMBERED_WORDS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for word in words.difference(young):
+            if word in old:
+                young[word] = old[word]
+            elif word[:1].isspace() or word[-1:].isspace():
+                young[word] = None
+            else:
+                new.append(word)
+        young.update(zip(new, self.encode([" " + w for w in new])))
+        return young
 
 
 @lru_cache(2)
@@ -64,31 +78,24 @@ def _ids(path: str) -> _Ids:
     return _Ids(tokenizer)
 
 
-def _plain(text: str) -> list[str] | None:
-    """The words of a text in which each white space stands alone.
+def token_bytes(texts: list[str], path: str) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit numbers.
 
-    The byte-level pre-tokenizer then always starts a token at a space, so the words can be
-    encoded one by one with the same ids. None for other texts, which are encoded whole.
+    The byte-level pre-tokenizer starts a token at every space between two other characters, so
+    a text whose spaces all stand alone is encoded word by word, with the same ids. A text with
+    other white space beside a space is encoded whole.
     """
-    words = text.split(" ")
-    if any(not w or w[0].isspace() or w[-1].isspace() for w in words):
-        return None
-    return words if len(words) > 1 else None
-
-
-def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers."""
     ids = _ids(path)
-    split = [_plain(t) for t in texts]
-    whole = [i for i, words in enumerate(split) if words is None]
-    out: list[bytes] = [b""] * len(texts)
-    for i, found in zip(whole, ids.encode([texts[i] for i in whole])):
-        out[i] = found
-    plain = [(i, words) for i, words in enumerate(split) if words is not None]
-    ids.learn({w for _, words in plain for w in words[1:]})
-    heads = ids.encode([words[0] for _, words in plain])
-    for (i, words), head in zip(plain, heads):
-        out[i] = head + b"".join(map(ids.__getitem__, words[1:]))
+    split = [t.split(" ") for t in texts]
+    known = ids.learn({w for words in split for w in words[1:]})
+    heads = ids.encode([words[0] for words in split])
+    out: list[bytes] = []
+    for text, words, head in zip(texts, split, heads):
+        found = [known[w] for w in words[1:]]
+        if None in found or "" in words or words[0][-1:].isspace():
+            out += ids.encode([text])
+        else:
+            out.append(head + b"".join(found))
     return out
 
 
