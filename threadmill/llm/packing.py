@@ -99,8 +99,10 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
     return out
 
 
-def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int = 0) -> DataFrame:
-    """Every document cut into pieces: doc_id, start, length, ids_crc32, doc_tokens."""
+def pieces(
+    docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int = 0, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Every document cut into pieces: doc_id, start, length, ids_crc32, doc_tokens, and whole numbers to ``keep``."""
     end = int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,10 +120,12 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: in
                         crc.append(zlib.crc32(piece)), total.append(n)
                 columns = [part.column(0).take(pa.array(rows, pa.int64()))]
                 columns += [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                columns += [part.column(2 + k).take(pa.array(rows, pa.int64())) for k in range(len(keep))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *keep])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(cut, _PIECES.format(kind=kind))
+    kept = "".join(f", `{c}` long" for c in keep)
+    return docs.select("doc_id", "text", *keep).mapInArrow(cut, _PIECES.format(kind=kind) + kept)
 
 
 def pack_histogram(counts: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
@@ -177,17 +181,27 @@ def pack_plan(counts: dict[int, int], sequence: int = SEQUENCE) -> list[dict]:
     return rows
 
 
-def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int = 0) -> DataFrame:
-    """All documents in sequences: one row per piece with sequence_id and offset."""
+def pack(
+    docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int = 0, order: tuple[str, str] | None = None
+) -> DataFrame:
+    """All documents in sequences: one row per piece with sequence_id and offset.
+
+    Pieces of one length fill the sequences meant for them in the order of two whole-number
+    columns, ``order``: the first numbers runs of rows of bounded size, such as files, the
+    second rows in a run. Without it they come in a hashed order of doc_id and start.
+    """
     spark = docs.sparkSession
-    cut = materialize(
-        pieces(docs, tokenizer, sequence, end_id).withColumn("_arrival", F.monotonically_increasing_id()), "pieces"
-    )
+    cut = pieces(docs, tokenizer, sequence, end_id, order or ())
+    cut = materialize(cut.withColumn("_arrival", F.monotonically_increasing_id()), "pieces")
     # At most `sequence` rows come to the driver.
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     plan = local_table(spark, pack_plan(counts, sequence), _PLAN)
-    part = F.pmod(F.xxhash64("doc_id", "start", "_arrival"), F.lit(ranges_for(sum(counts.values()))))
-    rows = ranked(cut, "length", part, [F.col("doc_id"), F.col("start"), F.col("_arrival")], "_rank")
+    if order:
+        part, by = F.col(order[0]), [F.col(order[1]), F.col("start"), F.col("_arrival")]
+    else:
+        part = F.pmod(F.xxhash64("doc_id", "start", "_arrival"), F.lit(ranges_for(sum(counts.values()))))
+        by = [F.col("doc_id"), F.col("start"), F.col("_arrival")]
+    rows = ranked(cut, "length", part, by, "_rank")
     # The plan has a few rows per length and pack pattern; the sequence length bounds both.
     met = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))
     return rows.join(F.broadcast(plan), met).select(
