@@ -115,6 +115,18 @@ def test_merge_run(spark, tmp_path):
     assert lines[0]["matched_terms"] == ["x", "y"] and lines[1]["depth"] is None and "raw" not in lines[1]
 
 
+def test_merge_keeps_folders_of_one_name_apart(spark, tmp_path):
+    write_map(tmp_path / "in" / "j1" / "s", "posts.json", {"p1": post(1)})
+    write_map(tmp_path / "in" / "j2" / "s", "posts.json", {"p2": post(2), "p3": post(3)})
+    counts, _ = runs.merge_run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert sorted((r.folder, r.post) for r in counts.collect()) == [("j1/s", 1), ("j2/s", 2)]
+    back = spark.read.json(str(tmp_path / "out"))
+    assert "folder" not in back.columns and sorted((r._part, r.id) for r in back.collect()) == [("j1/s", "p1"), ("j2/s", "p2"), ("j2/s", "p3")]
+    write_map(tmp_path / "in", "posts.json", {"top": post(9)})
+    counts, _ = runs.merge_run(spark, str(tmp_path / "in"), str(tmp_path / "out2"))
+    assert [(r.folder, r.post) for r in counts.collect()] == [(".", 1)]
+
+
 # --- other sources and sinks -----------------------------------------------------------------
 
 

@@ -85,30 +85,28 @@ def test_json_and_column_fields_agree(spark):
 
 # --- clauses -----------------------------------------------------------------------------
 
+# "river", one of "ferry" and "bridge", not "toll", and the phrase "far bank".
 TRUTH = [
-    ("Securitate: atac cibernetic cu ransomware", True),
-    ("atac cibernetic cu ransomware", False),
-    ("securitate si atac cibernetic", False),
-    ("curs de securitate, atac cibernetic, malware", False),
-    ("securitate, malware, atac informatic", False),
+    ("The river ferry lands on the far bank at noon", True),
+    ("A bridge over the RIVER leads to the Far Bank", True),
+    ("The ferry lands on the far bank", False),
+    ("The river has a far bank and no way across", False),
+    ("River bridge to the far bank, toll due", False),
+    ("River bridge to the far side, then the bank", False),
+    ("Riverside ferry to the far bank", False),
     ("", False),
 ]
 
 
 def test_clause_table(spark):
-    got = values(
-        spark,
-        lambda v: content_filter(v, ["securitate"], ["ransomware", "malware"], ["curs"], "atac cibernetic"),
-        [t for t, _ in TRUTH],
-    )
+    got = values(spark, lambda v: content_filter(v, ["river"], ["ferry", "bridge"], ["toll"], "far bank"), [t for t, _ in TRUTH])
     assert got == [want for _, want in TRUTH]
 
 
 def test_none_words_and_empty_text(spark):
-    texts = ["cursuri de securitate", "un curs de securitate", "", "CURS", "curs_x", "curś"]
-    assert values(spark, lambda v: content_filter(v, none_words=["curs"]), texts) == [
-        True, False, False, False, True, False
-    ]
+    texts = ["tolls are high", "no toll today", "", "TOLL", "toll_gate", "tollé", "toll\u0301"]
+    got = values(spark, lambda v: content_filter(v, none_words=["toll"]), texts)
+    assert got == [True, False, False, False, True, True, False]
 
 
 def test_no_clauses_mean_no_filter():
@@ -195,16 +193,10 @@ def test_words_phrases_and_truth(spark):
         df = spark.createDataFrame(list(enumerate(inputs)), "i int, t string").withColumn("v", F.try_parse_json("t"))
         return [r[0] for r in df.orderBy("i").selectExpr(expression).collect()]
 
-    assert read(J.words("v"), ['"unu  doi unu"', '["trei patru", 7]', "null", '""']) == [
-        ["unu", "doi"], ["trei", "patru", "7"], [], []
+    assert read(J.words("v"), ['"blue  red blue"', '["green grey", 7]', "null", '""']) == [
+        ["blue", "red"], ["green", "grey", "7"], [], []
     ]
     assert read(J.phrase("v"), ['"  a \\t b "', '"  "', "null"]) == ["a b", None, None]
     assert read(J.truth("v", True), ["true", "0", '" YES "', '"off"', "null", "1.5"]) == [
         True, False, True, False, True, True
     ]
-
-
-def test_split_settings(spark):
-    df = spark.createDataFrame([(" a, b\nc ,,", "a,b\n\n c")], "names string, lines string")
-    row = df.selectExpr(J.split_names("names"), J.split_lines("lines")).first()
-    assert row[0] == ["a", "b", "c"] and row[1] == ["a,b", "c"]

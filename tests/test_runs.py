@@ -111,17 +111,17 @@ def test_compaction_changes_nothing_and_later_batches_count(spark, tmp_path):
 
 def test_stream_keeps_only_matching_records(spark, tmp_path):
     root = archive(spark, tmp_path, "c")
-    landing = land(tmp_path, 0, rc("a", body="a curs here"), rc("b", body="cursuri"), {"id": "no link"})
-    stream(spark, landing, root, clauses={"all_words": ["curs"]})
+    landing = land(tmp_path, 0, rc("a", body="a leaf here"), rc("b", body="leaflet"), {"id": "no link"})
+    stream(spark, landing, root, clauses={"all_words": ["leaf"]})
     assert [r.id for r in store.current(spark, root, "comment").collect()] == ["a"]
 
 
 def test_archive_run_window_and_resume(spark, tmp_path):
     root = archive(spark, tmp_path, "p")
-    source = raw(spark, rp("a", at=5), rp("b", "curs", at=6), rp("late", at=20), rp("other", sub="z"), rp("b", "curs new", at=6))
-    done = runs.archive_run(spark, source, root, "post", ["S"], (0, 20), 0, DAY1, clauses={"any_words": ["curs"]})
+    source = raw(spark, rp("a", at=5), rp("b", "leaf", at=6), rp("late", at=20), rp("other", sub="z"), rp("b", "leaf new", at=6))
+    done = runs.archive_run(spark, source, root, "post", ["S"], (0, 20), 0, DAY1, clauses={"any_words": ["leaf"]})
     rows = store.current(spark, root, "post").collect()
-    assert [(r.id, r.title, r.fetched_at.day) for r in rows] == [("b", "curs new", 1)]
+    assert [(r.id, r.title, r.fetched_at.day) for r in rows] == [("b", "leaf new", 1)]
     row = done.first()
     assert (row.subreddit, row.kind, row.items_fetched, row.status, row.cursor_epoch) == ("s", "posts", 3, "complete", 20)
     runs.archive_run(spark, source, root, "post", ["S"], (0, 20), 1, DAY2, done=done)

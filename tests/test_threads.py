@@ -37,7 +37,9 @@ def test_depths_and_roots(spark):
 
 
 def test_orphan_is_a_root_with_its_subtree(spark):
-    assert depths(spark, ("child", "t1_zzz"), ("k", "t1_child"), ("l", "t1_k")) == {"child": 0, "k": 1, "l": 2}
+    # Two branches under a comment whose parent was never seen, beside a sound thread.
+    rows = [("m", "t1_lost"), ("n", "t1_m"), ("o", "t1_m"), ("q", "t1_o"), ("r", "t3_post"), ("s", "t1_r")]
+    assert depths(spark, *rows) == {"m": 0, "n": 1, "o": 1, "q": 2, "r": 0, "s": 1}
 
 
 def test_cycles_keep_null(spark):

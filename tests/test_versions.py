@@ -172,4 +172,4 @@ def test_page_cursor_is_the_last_usable_time_by_position(spark):
         [(1, '{"data":[{"id":"a","created_utc":200},{"id":"b","created_utc":"100.9"},{"id":"c","created_utc":"x"}]}'),
          (2, '{"data":[]}'), (3, "oops")], "n int, payload string")
     rows = [tuple(r) for r in progress.page_cursors(pages, "payload", ["n"]).orderBy("n").collect()]
-    assert rows == [(1, 3, 100, False), (2, 0, None, True), (3, 0, None, True)]
+    assert rows == [(1, 3, 100, False, False), (2, 0, None, True, False), (3, None, None, False, True)]

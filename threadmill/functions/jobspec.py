@@ -90,10 +90,11 @@ def truth(value: str, default: bool) -> str:
       ELSE coalesce(try_variant_get({value}, '$', 'boolean'), false) END"""
 
 
-def positive_whole_error(value: str, number: str, field: str) -> str:
+def positive_whole_error(value: str, number: str, field: str, most: int) -> str:
     return f"""CASE WHEN NOT {given(value)} OR {blank(text(value))} THEN NULL
       WHEN {number} IS NULL THEN '{field} must be a whole number'
-      WHEN {number} <= 0 THEN '{field} must be greater than 0' END"""
+      WHEN {number} <= 0 THEN '{field} must be greater than 0'
+      WHEN {number} > {most} THEN '{field} is too large' END"""
 
 
 def backends(value: str) -> str:
@@ -114,12 +115,3 @@ def backend_settings_error(value: str, overrides: str) -> str:
         CASE WHEN exists(map_values({overrides}), v -> {members('v')} IS NULL)
           THEN 'backendSettings entries must be objects' END) END"""
 
-
-def split_names(value: str) -> str:
-    """A comma- or line-separated setting as a list without blanks."""
-    return rf"filter(transform(split({value}, r'[,\n]'), n -> {stripped('n')}), n -> n <> '')"
-
-
-def split_lines(value: str) -> str:
-    """A line-separated setting; commas stay, since a regex may hold one."""
-    return rf"filter(transform(split({value}, r'\n'), n -> {stripped('n')}), n -> n <> '')"

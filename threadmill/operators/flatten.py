@@ -50,6 +50,24 @@ def envelope_items(payload: Column) -> Column:
     )
 
 
+def unreadable_documents(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
+    """Documents that the JSON reader refuses: ``keep``, their ``characters`` and the ``reason``.
+
+    The operators here have no records for such documents, so a run that uses them keeps
+    this table beside its result. Two limits belong to the reader: the size of one value and
+    its nesting, about 500 reply levels.
+    """
+    text = F.col(column)
+    refused = df.filter(text.isNotNull() & F.try_parse_json(text).isNull())
+    sound = F.get_json_object(text, "$").isNotNull()
+    balanced = F.rlike(F.rtrim(text), F.lit(r"[\]}]$")) & F.rlike(text, F.lit(r"^\s*[\[{]"))
+    return refused.select(
+        *keep,
+        F.char_length(text).cast("bigint").alias("characters"),
+        F.when(sound, "too large").when(balanced, "too deep or not JSON").otherwise("not JSON").alias("reason"),
+    )
+
+
 def flatten_replies(trees: DataFrame, tree: str, keep: list[str] | None = None) -> DataFrame:
     """Every comment of the nested documents in JSON column ``tree``, one per row.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import jobspec as J
 from ..functions.matching import job_clauses, plain_run_of, word_pattern_of
@@ -13,16 +13,28 @@ from .flagging import record_text
 
 # Records of one subreddit are spread over this many join keys.
 SALTS = 32
+# Larger numbers in a job are an error of that job; times stay far inside 64 bits.
+MOST_DAYS = 1_000_000
+MOST_PAGES = 1_000_000_000
+# Records a provider sends per page.
+PAGE_SIZE = 100
 
 
-def job_entries(specs: DataFrame, payload: str, keep: list[str] | None = None) -> DataFrame:
+def job_entries(
+    specs: DataFrame, payload: str, keep: list[str] | None = None, list_key: str | None = None
+) -> DataFrame:
     """One row per entry of the job lists in JSON column ``payload``.
 
     An entry is a wrapper ``{"scraping_arg_id", "scraping_arg"}`` or bare job fields, and a
     list may be a single entry. Entries without an id get their place in the list, from 1.
+    ``list_key`` names a column that tells lists apart; ids then start with it, so that two
+    lists may use the same ones.
     Result: ``keep``, ``job_id``, ``args`` (VARIANT) and ``entry_error``.
     """
-    keep = keep or []
+    extra = [] if list_key is None or list_key in (keep or []) else [list_key]
+    wanted, keep = keep or [], [*(keep or []), *extra]
+    own = "coalesce(own_id, CAST(place + 1 AS string))"
+    job_id = own if list_key is None else f"concat_ws(':', {list_key}, {own})"
     parsed = specs.select(*keep, F.try_parse_json(payload).alias("whole")).selectExpr(
         *keep, "whole",
         "CAST(try_variant_get(whole, '$', 'array<variant>') AS array<variant>) AS many",
@@ -43,8 +55,8 @@ def job_entries(specs: DataFrame, payload: str, keep: list[str] | None = None) -
         "try_variant_get(entry, '$.scraping_arg_id', 'string') AS own_id",
     ).withColumn("_wrapped", F.expr(J.given("wrapped")))
     return opened.selectExpr(
-        *keep,
-        "coalesce(own_id, CAST(place + 1 AS string)) AS job_id",
+        *wanted,
+        f"{job_id} AS job_id",
         "CASE WHEN _wrapped THEN wrapped ELSE entry END AS args",
         "_wrapped",
         f"""coalesce(list_error,
@@ -99,10 +111,10 @@ def parse_jobs(
             WHEN start_epoch IS NOT NULL AND end_day IS NULL THEN 'endDate is required when startDate is set'
             WHEN start_epoch IS NULL AND end_day IS NOT NULL THEN 'startDate is required when endDate is set'
             WHEN start_epoch > end_day THEN 'startDate must not be after endDate' END,
-          {J.positive_whole_error('lastDays', 'last_number', 'lastDays')},
+          {J.positive_whole_error('lastDays', 'last_number', 'lastDays', MOST_DAYS)},
           {J.unknown_backend('backend_names', 'unknown backend')},
           {J.backend_settings_error('backendSettings', 'overrides')},
-          {J.positive_whole_error('maxPages', 'page_number', 'maxPages')}) AS error""",
+          {J.positive_whole_error('maxPages', 'page_number', 'maxPages', MOST_PAGES)}) AS error""",
         """array_compact(array(
           CASE WHEN size(unknown) > 0 THEN concat('unknown fields: ', array_join(unknown, ', ')) END,
           CASE WHEN last_number > 0 AND start_epoch IS NOT NULL THEN 'dates win over lastDays' END,
@@ -111,7 +123,7 @@ def parse_jobs(
         "start_epoch",
         # The end date covers its whole day, up to the last second.
         "end_day + 86400 - 1 AS end_epoch",
-        "CAST(CASE WHEN last_number > 0 THEN last_number END AS int) AS last_days",
+        "CASE WHEN last_number > 0 THEN last_number END AS last_days",
         f"{J.words('allWords')} AS all_words",
         f"{J.words('anyWords')} AS any_words",
         f"{J.words('noneWords')} AS none_words",
@@ -139,7 +151,8 @@ def job_windows(
     is a parameter so that a repeated run sees the same window.
     """
     own = F.col("start_epoch").isNotNull() & F.col("end_epoch").isNotNull()
-    days = F.col("last_days")
+    # A number that is out of range has put an error into its row already.
+    days = F.when(F.col("last_days") <= MOST_DAYS, F.col("last_days"))
     if base_start is not None and base_end is not None:
         rest = (F.lit(base_start), F.lit(base_end))
     else:
@@ -199,33 +212,58 @@ def job_targets(jobs: DataFrame) -> DataFrame:
     return ready.select(
         "job_id",
         F.posexplode("subreddits").alias("position", "target"),
-        "after_epoch", "before_epoch", "fetch_posts", "fetch_comments", "clauses",
+        "after_epoch", "before_epoch", "fetch_posts", "fetch_comments", "clauses", "max_pages",
     )
 
 
-def match_jobs(records: DataFrame, targets: DataFrame, kind: str) -> DataFrame:
+def match_jobs(
+    records: DataFrame, targets: DataFrame, kind: str, page_size: int = PAGE_SIZE
+) -> DataFrame:
     """Every (job, record) pair that fits: subreddit, then window, then text clauses.
 
-    ``kind`` is ``post`` or ``comment``. Records carry a salt and targets come once per salt,
-    so even when the job table is too large for Spark to broadcast, the records of one
-    subreddit go to many tasks. The text is only looked at for pairs that fit otherwise.
+    ``kind`` is ``post`` or ``comment``. A job with ``max_pages`` sees only its first pages of
+    a subreddit, the earliest records of its window by (time, id), and its clauses choose
+    among those. Records carry a salt and targets come once per salt, so even when the job
+    table is too large for Spark to broadcast, the records of one subreddit go to many tasks.
+    The text is only looked at for pairs that fit otherwise.
     """
     wanted = targets.filter("fetch_posts" if kind == "post" else "fetch_comments")
-    salted = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = records.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    fits = _fits(records)
+    free = _pairs(records, wanted.filter("max_pages IS NULL"), fits)
+    first = _pairs(records, wanted.filter("max_pages IS NOT NULL"), F.lit(True))
+    first = _first_records(first, F.col("max_pages") * page_size).filter(fits)
+    names = ["job_id", *records.columns]
+    return free.select(*names).unionByName(first.select(*names))
+
+
+def _fits(records: DataFrame) -> Column:
     text = record_text(records)
-    fits = F.transform(
+    return F.transform(
         F.array(F.struct(text.alias("text"), F.lower(text).alias("low"))),
         lambda t: job_clauses(t["text"], t["low"], F.col("clauses")),
     )[0]
+
+
+def _pairs(records: DataFrame, wanted: DataFrame, fits: Column) -> DataFrame:
+    salted = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = records.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     # The clauses come last in the one condition: as a filter of its own, Spark would put
     # them in front of the window test.
-    pairs = rows.join(
+    return rows.join(
         salted,
         (F.col("subreddit") == F.col("target"))
         & (rows["_salt"] == salted["_salt"])
         & (F.col("created_epoch") >= F.col("after_epoch"))
         & (F.col("created_epoch") < F.col("before_epoch"))
         & fits,
-    )
-    return pairs.select("job_id", *records.columns)
+    ).withColumn("_part", rows["_salt"])
+
+
+def _first_records(pairs: DataFrame, most: Column) -> DataFrame:
+    """The earliest ``most`` pairs of each target, first within each salt, so that no task
+    sorts all records of a hot subreddit."""
+    order = [F.col("created_epoch"), F.col("id")]
+    for keys in (["job_id", "target", "_part"], ["job_id", "target"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        pairs = pairs.withColumn("_place", place).filter(F.col("_place") <= most)
+    return pairs

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import epoch_seconds, minute_label
@@ -11,24 +13,33 @@ WALK = ["subreddit", "backend", "kind"]
 WINDOW = ["window_start_epoch", "window_end_epoch"]
 
 
-def checkpoint_summary(records: DataFrame, backend: str, after: int, before: int) -> DataFrame:
+def checkpoint_summary(
+    records: DataFrame, backend: str, after: int, before: int, walks: DataFrame | None = None,
+    finished: bool = False,
+) -> DataFrame:
     """Progress rows of one run: last time reached and records written per walk.
 
     ``records`` needs ``subreddit``, ``kind``, ``created_epoch``. Records sent twice count
-    twice, as they were written twice. A walk that reached the window's end is complete.
+    twice, as they were written twice. ``walks`` (``subreddit, kind``) are those that were
+    asked for: one without records gets a row as well, drained and complete with 0 items.
+    ``finished`` says that the run read its window to the end, which completes every walk;
+    else a walk with records is in progress, since its last record lies before the end.
     """
-    reached = F.least(F.max("created_epoch"), F.lit(before))
+    found = records.groupBy("subreddit", "kind").agg(
+        F.max("created_epoch").alias("cursor_epoch"), F.count("*").alias("items_fetched")
+    )
+    if walks is not None:
+        found = walks.select("subreddit", "kind").distinct().join(found, ["subreddit", "kind"], "left")
+    done = F.lit(finished) | F.col("items_fetched").isNull() | (F.col("cursor_epoch") >= before)
     return (
-        records.groupBy("subreddit", "kind")
-        .agg(reached.alias("cursor_epoch"), F.count("*").alias("items_fetched"))
+        found.withColumn("_done", done)
         .select(
             "subreddit", F.lit(backend).alias("backend"), "kind",
             F.lit(after).cast("bigint").alias("window_start_epoch"),
             F.lit(before).cast("bigint").alias("window_end_epoch"),
-            F.coalesce("cursor_epoch", F.lit(after)).cast("bigint").alias("cursor_epoch"),
-            F.when(F.col("cursor_epoch") >= before, F.lit("complete"))
-            .otherwise(F.lit("in_progress")).alias("status"),
-            "items_fetched",
+            F.when(F.col("_done"), F.lit(before)).otherwise(F.col("cursor_epoch")).cast("bigint").alias("cursor_epoch"),
+            F.when(F.col("_done"), F.lit("complete")).otherwise(F.lit("in_progress")).alias("status"),
+            F.coalesce("items_fetched", F.lit(0)).cast("bigint").alias("items_fetched"),
         )
     )
 
@@ -83,28 +94,37 @@ def remaining(records: DataFrame, progress: DataFrame, backend: str, after: int,
 def serve_with_fallback(sources: list[DataFrame], slice_of: list[Column]) -> DataFrame:
     """Each slice from the first source that has it, later sources filling the gaps.
 
-    Slices (such as subreddit, kind, day) are few beside the records, and their distinct list
-    is built with map-side reduction before it meets the next source.
+    Slices (such as subreddit, kind, day) are few beside the records. The first source of a
+    slice is the least number among the sources that have it, found with map-side reduction;
+    one join then picks the rows. n sources are scanned 2n - 1 times: what the last one has
+    needs no look, since a slice without an earlier source is its own.
     """
-    names = [f"_slice{i}" for i in range(len(slice_of))]
-
-    def sliced(df: DataFrame) -> DataFrame:
-        return df.withColumns(dict(zip(names, slice_of)))
-
-    served = sliced(sources[0])
-    for source in sources[1:]:
-        known = served.select(*names).distinct()
-        served = served.unionByName(sliced(source).join(known, names, "left_anti"))
-    return served.drop(*names)
+    names, last = [f"_slice{i}" for i in range(len(slice_of))], len(sources) - 1
+    numbered = [
+        df.withColumns({**dict(zip(names, slice_of)), "_source": F.lit(i)})
+        for i, df in enumerate(sources)
+    ]
+    rows = reduce(DataFrame.unionByName, numbered)
+    if not last:
+        return rows.drop(*names, "_source")
+    earlier = reduce(DataFrame.unionByName, [df.select(*names, "_source") for df in numbered[:-1]])
+    first = earlier.groupBy(*names).agg(F.min("_source").alias("_first"))
+    same = reduce(lambda a, b: a & b, [rows[n].eqNullSafe(first[n]) for n in names])
+    served = rows.join(first, same, "left").filter(F.col("_source") == F.coalesce("_first", F.lit(last)))
+    return served.select(*sources[0].columns)
 
 
 def page_cursors(pages: DataFrame, payload: str, keys: list[str]) -> DataFrame:
     """Per page: number of items, next cursor, and whether the walk is drained.
 
     The cursor is the time of the last item by position that has a usable one, which need
-    not be the latest. ``payload`` is a provider's JSON envelope.
+    not be the latest. ``payload`` is a provider's JSON envelope. A page that cannot be read
+    has no known number of items (null), is ``unreadable`` and never counts as drained.
     """
-    items = pages.select(*keys, envelope_items(F.try_parse_json(payload)).alias("_items"))
+    parsed = pages.select(*keys, F.col(payload).isNotNull().alias("_sent"), F.try_parse_json(payload).alias("_page"))
+    items = parsed.select(
+        *keys, (F.col("_sent") & F.col("_page").isNull()).alias("unreadable"), envelope_items(F.col("_page")).alias("_items")
+    )
     epochs = F.transform(
         "_items",
         lambda item: epoch_seconds(F.try_variant_get(item, "$.created_utc", "string")),
@@ -112,9 +132,10 @@ def page_cursors(pages: DataFrame, payload: str, keys: list[str]) -> DataFrame:
     usable = F.filter(epochs, lambda e: e.isNotNull())
     return items.select(
         *keys,
-        F.size("_items").cast("bigint").alias("items"),
+        F.when(~F.col("unreadable"), F.size("_items").cast("bigint")).alias("items"),
         F.try_element_at(usable, F.lit(-1)).alias("next_cursor"),
-        (F.size("_items") == 0).alias("exhausted"),
+        (~F.col("unreadable") & (F.size("_items") == 0)).alias("exhausted"),
+        "unreadable",
     )
 
 

@@ -134,9 +134,17 @@ def upsert_subreddits(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def subreddit_rows(names: DataFrame, batch_time) -> DataFrame:
-    """New subreddit rows of a batch from a ``name`` column (and ``raw`` when there is one)."""
+    """New subreddit rows of a batch from a ``name`` column (and ``raw`` when there is one).
+
+    The last ``raw`` that is not null counts: the one with the greatest ``arrival`` (any
+    orderable column); batches without that column may only name each subreddit once.
+    """
     stamp = F.lit(batch_time)
-    raw = F.max("raw") if "raw" in names.columns else F.lit(None).cast("string")
+    raw = F.lit(None).cast("string")
+    if "raw" in names.columns:
+        # Of equal arrivals the greatest text, so that runs repeat exactly.
+        order = F.struct(*[c for c in ("arrival", "raw") if c in names.columns])
+        raw = F.max_by("raw", F.when(F.col("raw").isNotNull(), order))
     clean = names.withColumn("name", F.lower(F.regexp_replace("name", r"(?U)^\s+|\s+$", "")))
     return clean.groupBy("name").agg(raw.alias("raw")).select(
         "name", stamp.alias("first_seen_at"), "raw", stamp.alias("updated_at")

@@ -143,12 +143,12 @@ def job_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHEN 2 THEN ', "startDate": "2024-01-02T03:04:05Z", "endDate": "2024-01-10"'
             WHEN 3 THEN ', "startDate": "01.01.2025"'
             WHEN 4 THEN ', "startDate": "31.01.2025", "endDate": "1.1.2025"'
-            WHEN 5 THEN ', "startDate": "2025/01/01", "endDate": "01.02.2025"'
-            WHEN 6 THEN concat(', "lastDays": "', c_custkey % 5, '"')
+            WHEN 5 THEN ', "startDate": "next spring", "endDate": "01.02.2025"'
+            WHEN 6 THEN concat(', "lastDays": "', CASE c_custkey % 70 WHEN 6 THEN 30000 WHEN 13 THEN 3000000000 ELSE c_custkey % 5 END, '"')
             ELSE '' END,
           CASE c_custkey % 3
-            WHEN 0 THEN ', "allWords": "unu  doi unu", "anyWords": [" trei patru", "doi", 7]'
-            WHEN 1 THEN ', "noneWords": ["Curs"], "exactPhrase": "  atac   cibernetic "'
+            WHEN 0 THEN ', "allWords": "blue  red blue", "anyWords": [" green grey", "red", 7]'
+            WHEN 1 THEN ', "noneWords": ["Rain"], "exactPhrase": "  open   water "'
             ELSE ', "exactPhrase": "  "' END,
           CASE c_custkey % 4
             WHEN 0 THEN ', "fetchPosts": true, "fetchComments": 0'
@@ -160,10 +160,14 @@ def job_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nation_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One search job per nation, to be matched against the derived archive."""
+def nation_jobs(spark: SparkSession, sf_dir: str, pages: bool = False) -> DataFrame:
+    """One search job per nation, to be matched against the derived archive.
+
+    With ``pages`` every second job asks for its first one to three pages only.
+    """
+    paged = "CASE WHEN n_nationkey % 2 = 0 THEN concat(', \"maxPages\": ', n_nationkey % 3 + 1) ELSE '' END," if pages else ""
     return table(spark, sf_dir, "nation").selectExpr(
-        """concat('{"scraping_arg_id": "n', CAST(n_nationkey AS STRING), '", "scraping_arg": {"target": ["src',
+        f"""concat('{{"scraping_arg_id": "n', CAST(n_nationkey AS STRING), '", "scraping_arg": {{"target": ["src',
            n_nationkey % 20, '", "src', (n_nationkey + 7) % 20, '"]',
            CASE n_nationkey % 3
              WHEN 0 THEN ', "startDate": "01.01.2024", "endDate": "05.01.2024"'
@@ -176,7 +180,7 @@ def nation_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
              WHEN 3 THEN ', "noneWords": ["the", "è"]'
              ELSE '' END,
            CASE WHEN n_nationkey % 4 = 3 THEN ', "fetchComments": false' ELSE '' END,
-           '}}') AS payload"""
+           {paged} '}}}}') AS payload"""
     )
 
 

@@ -75,11 +75,13 @@ half_way AS (
 """
 
 _SUMMARY = f"""
+asked AS (SELECT concat('src', n_nationkey) AS subreddit, kind FROM nation, (VALUES ('posts'), ('comments')) v(kind)),
 summary AS (
-  SELECT subreddit, 'arctic_shift' AS backend, kind, CAST({_A} AS BIGINT) AS window_start_epoch,
-    CAST({_B} AS BIGINT) AS window_end_epoch, max(created_epoch) AS cursor_epoch,
-    'in_progress' AS status, count(*) AS items_fetched
-  FROM walks WHERE created_epoch >= {_A} AND created_epoch < {_B} GROUP BY subreddit, kind)
+  SELECT a.subreddit, 'arctic_shift' AS backend, a.kind, CAST({_A} AS BIGINT) AS window_start_epoch,
+    CAST({_B} AS BIGINT) AS window_end_epoch, CAST(coalesce(max(created_epoch), {_B}) AS BIGINT) AS cursor_epoch,
+    CASE WHEN count(w.id) = 0 THEN 'complete' ELSE 'in_progress' END AS status, count(w.id) AS items_fetched
+  FROM asked a LEFT JOIN walks w ON w.subreddit = a.subreddit AND w.kind = a.kind
+    AND created_epoch >= {_A} AND created_epoch < {_B} GROUP BY a.subreddit, a.kind)
 """
 
 _SNAPSHOTS = """
@@ -159,9 +161,9 @@ named AS (
     CASE w WHEN 1 THEN 1738281600 WHEN 2 THEN 1704844800 WHEN 4 THEN 1735689600 WHEN 5 THEN 1738368000 END AS end_day,
     CASE w WHEN 3 THEN 'endDate is required when startDate is set' WHEN 4 THEN 'startDate must not be after endDate'
       WHEN 5 THEN 'startDate is not a date'
-      WHEN 6 THEN CASE WHEN k % 5 = 0 THEN 'lastDays must be greater than 0' END END AS date_error,
+      WHEN 6 THEN CASE WHEN k % 70 = 13 THEN 'lastDays is too large' WHEN k % 70 <> 6 AND k % 5 = 0 THEN 'lastDays must be greater than 0' END END AS date_error,
     CASE WHEN k % 13 = 0 THEN 'unknown backend' END AS backend_error,
-    CASE WHEN w = 6 AND k % 5 > 0 THEN k % 5 END AS last_days
+    CASE WHEN k % 70 = 6 THEN 30000 WHEN k % 70 = 13 THEN 3000000000 WHEN w = 6 AND k % 5 > 0 THEN k % 5 END AS last_days
   FROM facts),
 specs AS (SELECT *, coalesce(target_error, date_error, backend_error) AS error FROM named)
 """
@@ -189,6 +191,17 @@ matched AS (
     ELSE TRUE END)
 """
 
+
+
+def _paged(matched: str) -> str:
+    """The same matches where a job with an even number sees its first 5 to 15 records only."""
+    head, tail = matched.split("  FROM targets JOIN records", 1)
+    join, where = tail.split("  WHERE ", 1)
+    return f"""{head}  FROM (SELECT * FROM targets JOIN records{join}
+    QUALIFY n % 2 = 1 OR row_number() OVER (PARTITION BY job_id, target, type ORDER BY created_epoch, id) <= 5 * (n % 3 + 1))
+  WHERE {where}"""
+
+
 _JOB_STATS = f"""
 WITH {_POSTS}, {_COMMENTS}, {_MATCHED}
 SELECT t.job_id, t.target, 'subreddit' AS target_type, count(m.id) AS records,
@@ -338,7 +351,7 @@ WITH {_SNAPSHOTS}, last AS (
 SELECT p.id, p.kind, CASE WHEN e.id IS NULL THEN p.score ELSE e.score END AS score, p.event_id
 FROM (SELECT * FROM last WHERE kind = 'purchase') p LEFT JOIN (SELECT * FROM last WHERE kind = 'error') e ON e.id = p.id""",
     "subreddit_upsert": """
-WITH o AS (SELECT lower(source) AS name, concat('{"lang":"', max(lang), '"}') AS raw FROM documents GROUP BY 1),
+WITH o AS (SELECT lower(source) AS name, concat('{"lang":"', arg_max(lang, doc_id), '"}') AS raw FROM documents GROUP BY 1),
 n AS (SELECT DISTINCT concat('src', conv_id % 25) AS name FROM conversations)
 SELECT name, CAST(CASE WHEN o.raw IS NULL THEN 1706832000 ELSE 1706745600 END AS BIGINT) AS first_seen, o.raw AS raw,
   CAST(CASE WHEN n.name IS NULL THEN 1706745600 ELSE 1706832000 END AS BIGINT) AS updated
@@ -367,14 +380,17 @@ SELECT * FROM later UNION ALL
 SELECT * FROM half_way h WHERE NOT EXISTS (SELECT 1 FROM later l WHERE l.subreddit = h.subreddit AND l.kind = h.kind)""",
     "source_fallback": f"""
 WITH {_WALKS}, s AS (
-  SELECT *, created_epoch // 3600 AS hour, CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 ELSE 3 END AS rank
-  FROM walks WHERE event_type IN ('click', 'error', 'signup'))
+  SELECT *, created_epoch // 3600 AS hour,
+    list_position(['click', 'error', 'signup', 'view', 'purchase'], event_type) AS rank
+  FROM walks)
 SELECT id, subreddit, event_type, created_epoch FROM s
 QUALIFY rank = min(rank) OVER (PARTITION BY subreddit, hour)""",
     "page_cursor": f"""
-SELECT event_id AS page, CAST(CASE event_id % 6 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 5 THEN 1 ELSE 0 END AS BIGINT) AS items,
+SELECT event_id AS page, CAST(CASE event_id % 6 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 3 THEN NULL WHEN 5 THEN 1 ELSE 0 END AS BIGINT) AS items,
   CASE event_id % 6 WHEN 0 THEN {START} + user_id WHEN 1 THEN {START} + event_id END AS next_cursor,
-  event_id % 6 IN (2, 3, 4) AS exhausted FROM events""",
+  event_id % 6 IN (2, 4) AS exhausted, event_id % 6 = 3 AS unreadable FROM events""",
+    "unreadable_inputs": """
+SELECT event_id AS page, CAST(8 AS BIGINT) AS characters, 'not JSON' AS reason FROM events WHERE event_id % 6 = 3""",
     "page_items": """
 WITH p AS (SELECT event_id, props, event_id % 6 AS f FROM events)
 SELECT event_id AS page, CAST(i AS INT) AS place, CASE WHEN f = 5 THEN NULL ELSE ['a', 'b', 'c'][i + 1] END AS id,
@@ -387,10 +403,10 @@ SELECT job_id, error,
   concat_ws('; ', CASE WHEN k % 4 = 3 THEN 'unknown fields: lastdays, oops' END,
     CASE WHEN k % 4 = 3 THEN 'language is ignored' END) AS warnings,
   subreddits, CAST(start_epoch AS BIGINT) AS start_epoch, CAST(end_day + 86399 AS BIGINT) AS end_epoch, CAST(last_days AS BIGINT) AS last_days,
-  CASE WHEN k % 3 = 0 THEN 'unu,doi' ELSE '' END AS all_words,
-  CASE WHEN k % 3 = 0 THEN 'trei,patru,doi,7' ELSE '' END AS any_words,
-  CASE WHEN k % 3 = 1 THEN 'Curs' ELSE '' END AS none_words,
-  CASE WHEN k % 3 = 1 THEN 'atac cibernetic' END AS exact_phrase,
+  CASE WHEN k % 3 = 0 THEN 'blue,red' ELSE '' END AS all_words,
+  CASE WHEN k % 3 = 0 THEN 'green,grey,red,7' ELSE '' END AS any_words,
+  CASE WHEN k % 3 = 1 THEN 'Rain' ELSE '' END AS none_words,
+  CASE WHEN k % 3 = 1 THEN 'open water' END AS exact_phrase,
   TRUE AS fetch_posts, k % 4 NOT IN (0, 1) AS fetch_comments,
   CASE WHEN k % 13 = 0 THEN 'nope' WHEN k % 4 = 2 THEN 'pullpush,arctic_shift' ELSE '' END AS backends,
   CASE WHEN k % 4 = 2 THEN CAST(3 AS BIGINT) END AS max_pages
@@ -408,6 +424,8 @@ FROM w2""",
     "job_matches": f"""
 WITH {_POSTS}, {_COMMENTS}, {_MATCHED} SELECT job_id, type, id, subreddit, created_epoch FROM matched""",
     "job_target_stats": _JOB_STATS,
+    "job_first_pages": f"""
+WITH {_POSTS}, {_COMMENTS}, {_paged(_MATCHED)} SELECT job_id, type, id, subreddit, created_epoch FROM matched""",
     "job_counts": f"""
 WITH {_POSTS}, {_COMMENTS}, {_MATCHED}
 SELECT job_id, count(*) FILTER (type = 'post') AS post, count(*) FILTER (type = 'comment') AS comment,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import text as T
 from ..functions.text import list_cell
 from ..operators import flagging, jobs, normalize, progress, slices, stats, threads, timeline, versions
-from ..operators.flatten import envelope_items, flatten_replies
+from ..operators.flatten import envelope_items, flatten_replies, unreadable_documents
 from ..sources.archive import records_of_map_text
 from ..session import materialize
 from ..streaming.ingest import ingest_once
@@ -345,6 +345,7 @@ def subreddit_upsert(spark: SparkSession, d: str) -> DataFrame:
         fx.table(spark, d, "documents").select(
             F.col("source").alias("name"),
             F.concat(F.lit('{"lang":"'), F.col("lang"), F.lit('"}')).alias("raw"),
+            F.col("doc_id").alias("arrival"),
         ),
         _stamp(first),
     )
@@ -384,7 +385,11 @@ def target_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def checkpoint_summary(spark: SparkSession, d: str) -> DataFrame:
     rows = slices.in_window(fx.walk_records(spark, d), *WINDOW)
-    return progress.checkpoint_summary(rows, "arctic_shift", *WINDOW)
+    asked = fx.table(spark, d, "nation").select(
+        F.concat(F.lit("src"), F.col("n_nationkey").cast("string")).alias("subreddit"),
+        F.explode(F.array(F.lit("posts"), F.lit("comments"))).alias("kind"),
+    )
+    return progress.checkpoint_summary(rows, "arctic_shift", *WINDOW, walks=asked)
 
 
 def _half_way(spark: SparkSession, d: str) -> DataFrame:
@@ -417,9 +422,10 @@ def progress_merge(spark: SparkSession, d: str) -> DataFrame:
 
 
 def source_fallback(spark: SparkSession, d: str) -> DataFrame:
-    """Clicks, filled up with errors, then with signups, per subreddit and hour."""
+    """Clicks, filled up with errors, signups, views and purchases, per subreddit and hour."""
     rows = fx.walk_records(spark, d)
-    by_type = [rows.filter(F.col("event_type") == t) for t in ("click", "error", "signup")]
+    kinds = ("click", "error", "signup", "view", "purchase")
+    by_type = [rows.filter(F.col("event_type") == t) for t in kinds]
     hour = F.floor(F.col("created_epoch") / 3600)
     return progress.serve_with_fallback(by_type, [F.col("subreddit"), hour]).select(
         "id", "subreddit", "event_type", "created_epoch"
@@ -455,6 +461,11 @@ def page_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def unreadable_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """Pages that cannot be read, with the reason, beside the cursors that leave them open."""
+    return unreadable_documents(_pages(spark, d), "payload", ["page"])
+
+
 def id_map_records(spark: SparkSession, d: str) -> DataFrame:
     """Turns stored as id-keyed maps, read back record by record; other members are skipped."""
     text = F.concat(
@@ -522,6 +533,18 @@ def job_target_stats(spark: SparkSession, d: str) -> DataFrame:
     return stats.target_stats(_job_records(spark, d, targets), listed, by=["job_id"])
 
 
+def job_first_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Job matches where every second job takes its first pages of five records only."""
+    parsed = jobs.parse_jobs(jobs.job_entries(fx.nation_jobs(spark, d, pages=True), "payload"))
+    targets = jobs.job_targets(materialize(jobs.job_windows(parsed, fx.JOBS_NOW), "jobs"))
+    found = timeline.timeline_rows(
+        jobs.match_jobs(fx.posts(spark, d), targets, "post", page_size=5),
+        jobs.match_jobs(fx.comments(spark, d), targets, "comment", page_size=5),
+        extra=["job_id"],
+    )
+    return found.select("job_id", "type", "id", "subreddit", "created_epoch")
+
+
 def job_counts(spark: SparkSession, d: str) -> DataFrame:
     return timeline.count_by_folder(_job_records(spark, d), "job_id")
 
@@ -589,6 +612,7 @@ QUERIES = {
     "progress_merge": progress_merge,
     "source_fallback": source_fallback,
     "page_cursor": page_cursor,
+    "unreadable_inputs": unreadable_inputs,
     "page_items": page_items,
     "id_map_records": id_map_records,
     "job_specs": job_specs,
@@ -596,6 +620,7 @@ QUERIES = {
     "job_matches": job_matches,
     "job_target_stats": job_target_stats,
     "job_counts": job_counts,
+    "job_first_pages": job_first_pages,
     "job_stats_payload": job_stats_payload,
     "stream_upsert": stream_upsert,
 }

@@ -118,7 +118,8 @@ def job_run(
     A job that cannot be run gets its error in its status row and does not stop the others.
     """
     prepare(spark)
-    entries = jobs.job_entries(job_lists, "payload")
+    list_key = "list" if "list" in job_lists.columns else None
+    entries = jobs.job_entries(job_lists, "payload", list_key=list_key)
     parsed = materialize(
         jobs.job_windows(jobs.parse_jobs(entries, default_window=default_window), now), "jobs"
     )
@@ -127,7 +128,8 @@ def job_run(
         jobs.match_jobs(posts, targets, "post"), jobs.match_jobs(comments, targets, "comment"),
         extra=["job_id"],
     )
-    sinks.write_job_results(found, f"{out}/results")
+    # Sorting into files looks at its input twice; the matches are found once.
+    sinks.write_job_results(materialize(found, "found"), f"{out}/results")
     results = sinks.read_job_results(spark, f"{out}/results")
     per_target = stats.target_stats(
         results, targets.select("job_id", "target", "position"), by=["job_id"]
@@ -148,10 +150,18 @@ def job_run(
 
 
 def merge_run(spark: SparkSession, root: str, out: str) -> tuple[DataFrame, DataFrame]:
-    """Merge each folder's posts and comments into one timeline; counts, and failed folders."""
+    """Merge each folder's posts and comments into one timeline; counts, and failed folders.
+
+    A map in ``root`` itself makes it the only folder. Folders are told apart by their path
+    below ``root``. The parsed records are stored once: sorting them into files looks at them
+    twice, and so do the counts.
+    """
     prepare(spark)
-    found = archive.read_archive(spark, root, whole_folders=True)
+    nested = not archive.root_holds_maps(spark, root)
+    found = archive.read_archive(spark, root, whole_folders=True, nested=nested)
     rows = timeline.timeline_rows(found.posts, found.comments, extra=["folder"])
-    named = rows.withColumn("folder", F.regexp_extract("folder", "([^/]+)$", 1))
-    sinks.write_merged(named, out, by="folder")
-    return timeline.count_by_folder(rows, "folder"), found.failed
+    rows = rows.withColumn("folder", archive.relative_folder(F.col("folder"), root))
+    rows = materialize(rows, "merge")
+    sinks.write_merged(rows, out, by="folder")
+    failed = found.failed.withColumn("folder", archive.relative_folder(F.col("folder"), root))
+    return timeline.count_by_folder(rows, "folder"), failed

@@ -43,6 +43,19 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
     return here if here.limit(1).count() else files
 
 
+def root_holds_maps(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` itself holds a map file, so that its folders do not count."""
+    return not discover(spark, root).filter(_same_folder(F.col("folder"), root)).isEmpty()
+
+
+def relative_folder(folder: Column, root: str) -> Column:
+    """A folder's path below ``root``; ``.`` for ``root`` itself. Base names may repeat."""
+    bare = F.regexp_replace(F.regexp_replace(folder, r"^[a-z0-9]+:/*", "/"), "/+$", "")
+    top = F.regexp_replace(F.regexp_replace(F.lit(root), r"^[a-z0-9]+:/*", "/"), "/+$", "")
+    below = F.ltrim(F.substr(bare, F.length(top) + 2))
+    return F.when(F.startswith(bare, F.concat(top, F.lit("/"))), below).when(bare == top, ".").otherwise(bare)
+
+
 def _folder_of(path: Column) -> Column:
     return F.regexp_replace(path, "/[^/]*$", "")
 
@@ -58,14 +71,16 @@ def _same_folder(folder: Column, root: str) -> Column:
     return bare(folder) == bare(F.lit(root))
 
 
-def _pieces(spark: SparkSession, root: str, name: str, one_level: bool = False) -> DataFrame:
+def _pieces(
+    spark: SparkSession, root: str, name: str, one_level: bool = False, nested: bool = True
+) -> DataFrame:
     """The files cut at record ends, each piece completed to a small map of its own.
 
     The text reader splits files at any record end, so one huge map is read by many tasks.
     """
     text = (
         spark.read.option("lineSep", RECORD_END)
-        .option("recursiveFileLookup", "true")
+        .option("recursiveFileLookup", str(nested).lower())
         .option("pathGlobFilter", name)
         .text(root)
         .select(_folder_of(F.col("_metadata.file_path")).alias("folder"), "value")
@@ -93,13 +108,16 @@ class MapScan:
     broken: DataFrame
 
 
-def scan_maps(spark: SparkSession, root: str, name: str, one_level: bool = False) -> MapScan:
-    """Scan all files called ``name`` under ``root``, or only those of its direct folders.
+def scan_maps(
+    spark: SparkSession, root: str, name: str, one_level: bool = False, nested: bool = True
+) -> MapScan:
+    """Scan all files called ``name`` under ``root``, only those of its direct folders, or
+    (not ``nested``) only the one in ``root`` itself.
 
     Broken files are those with a piece that is no JSON object or without an end; none of
     their records is returned.
     """
-    pieces = _pieces(spark, root, name, one_level)
+    pieces = _pieces(spark, root, name, one_level, nested)
     sound = F.try_parse_json("_map_text").isNotNull() & F.startswith("_map_text", F.lit("{"))
     broken = (
         pieces.groupBy("folder")
@@ -143,7 +161,8 @@ class Archive:
 
 
 def read_archive(
-    spark: SparkSession, root: str, whole_folders: bool = False, one_level: bool = False
+    spark: SparkSession, root: str, whole_folders: bool = False, one_level: bool = False,
+    nested: bool = True,
 ) -> Archive:
     """Posts and comments of all folders (or the direct ones), each row with its ``folder``.
 
@@ -151,8 +170,8 @@ def read_archive(
     tables, as a merge does; ``failed`` lists such folders either way. Spark never opens a
     file of length zero, so such a file counts as missing.
     """
-    posts = scan_maps(spark, root, "posts.json", one_level)
-    comments = scan_maps(spark, root, "comments.json", one_level)
+    posts = scan_maps(spark, root, "posts.json", one_level, nested)
+    comments = scan_maps(spark, root, "comments.json", one_level, nested)
     failed = posts.broken.unionByName(comments.broken).distinct()
     post_rows = stored_posts(posts.records, ["folder"])
     comment_rows = stored_comments(comments.records, ["folder"])

@@ -38,8 +38,13 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_job_lists(spark: SparkSession, path: str) -> DataFrame:
-    """``payload``: job list documents, one file each (a job list is small by nature)."""
-    return spark.read.text(path, wholetext=True).select(F.col("value").alias("payload"))
+    """``payload``: job list documents, one file each (a job list is small by nature).
+
+    ``list`` is the file's name; where several lists are read it makes job ids unique.
+    """
+    return spark.read.text(path, wholetext=True).select(
+        F.col("value").alias("payload"), F.col("_metadata.file_name").alias("list")
+    )
 
 
 def job_list(spark: SparkSession, text: str) -> DataFrame:

@@ -68,6 +68,8 @@ def write_merged(records: DataFrame, path: str, by: str = "subreddit") -> None:
     order = [F.col("_part"), *chronological()]
     (
         records.withColumn("_part", F.col(by))
+        # A folder or job is the place of its records, not one of their fields.
+        .drop(*{by} - set(TIMELINE.fieldNames()))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")

@@ -41,8 +41,11 @@ def _version_schema(kind: str) -> StructType:
 
 
 def create_archive(spark: SparkSession, root: str) -> None:
-    """An empty archive: no base, nothing folded yet."""
+    """An empty archive: no base, nothing folded yet, and an empty batch so that it can be read."""
     prepare(spark)
+    for table, columns in (("versions", "id string"), ("progress", "subreddit string")):
+        nothing = spark.createDataFrame([], columns)
+        nothing.write.mode("errorifexists").parquet(f"{root}/{table}/writer=none/batch=-1")
     _commit(spark, root, 0, None, {}, "error")
 
 
@@ -89,7 +92,7 @@ def stored_versions(
     commit = _last_commit(spark, root)
     writer, batch = F.col("writer"), F.col("batch")
     since = _versions(spark, root, kind)
-    # Conditions on partition columns: folders already folded are not even listed for reading.
+    # Conditions on partition columns: files of folded batches are not opened.
     for name, last in (commit["upto"] or {}).items():
         since = since.filter((writer != name) | (batch > last))
     if without is not None:
@@ -138,7 +141,6 @@ def compact(spark: SparkSession, root: str, kind: str) -> int:
     may be active meanwhile.
     """
     commit = _last_commit(spark, root)
-    # Only partition values are asked for, so no file content is read.
     reached = _versions(spark, root, kind).groupBy("writer").agg(F.max("batch").alias("last"))
     upto = {**(commit["upto"] or {}), **{r["writer"]: r["last"] for r in reached.collect()}}
     version = commit["version"] + 1
