@@ -166,7 +166,7 @@ def tree_rows(spark):
 def test_nested_documents(spark):
     df = tree_rows(spark)
     fields = ["id", "parent_id", "body", "created_epoch"]
-    rows = threads.nested_fragments(df, fields).orderBy("path").collect()
+    rows = threads.nested_fragments(df, fields).orderBy(*threads.NESTED_ORDER).collect()
     documents: dict = {}
     for r in rows:
         documents.setdefault(r.root_id, []).append(r.fragment)
@@ -175,6 +175,15 @@ def test_nested_documents(spark):
     assert got == nest(plain)
 
 
+def test_order_of_a_deep_chain_takes_rows_of_one_size(spark):
+    n = 20_000
+    df = spark.sql(f"SELECT concat('k', id) id, CASE WHEN id = 0 THEN 't3_p' ELSE concat('t1_k', id - 1) END parent_id, id created_epoch FROM range({n})")
+    rows = threads.preorder(df.withColumn("subreddit", F.lit("s")))
+    assert all(f.dataType.simpleString() in ("string", "int", "bigint", "boolean") for f in rows.schema.fields)
+    got = rows.selectExpr("count(*) n", "count_if(id <> concat('k', position) OR depth <> position) bad", "max(closes) closes").first()
+    assert tuple(got) == (n, 0, n)
+
+
 def test_nested_files_read_back_in_order(spark, tmp_path):
     write_nested(tree_rows(spark), str(tmp_path / "nested"))
     files = sorted((tmp_path / "nested" / "subreddit=s").glob("part-*"))

@@ -1,4 +1,4 @@
-"""Comment threads from ``parent_id``: depth, root, path, preview, nested documents.
+"""Comment threads from ``parent_id``: depth, root, order, preview, nested documents.
 
 All of it rests on pointer doubling. Every comment starts with a pointer to its parent;
 each round replaces the pointer by the pointer of the comment it leads to, so distances
@@ -17,6 +17,10 @@ from ..session import fresh_dir, materialize
 from .lookup import SMALL_LEFT, lookup_left
 
 KEY = ["subreddit", "id"]
+# The order of nested documents: roots by time, then a tree top down.
+NESTED_ORDER = ["subreddit", "root_epoch", "root_id", "position"]
+# Siblings of so many seconds are sorted together.
+SIBLING_SPAN = 6 * 3600
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -28,27 +32,24 @@ def _order_key() -> Column:
     return F.struct(F.coalesce("created_epoch", F.lit(0)).alias("epoch"), F.col("id").alias("id"))
 
 
-def resolve_forest(comments: DataFrame, step: Column | None = None) -> DataFrame:
-    """``subreddit, id, depth, root_id`` of every comment, and ``path`` if ``step`` is given.
+def resolve_forest(comments: DataFrame) -> DataFrame:
+    """``subreddit, id, depth, root_id`` of every comment.
 
     Top-level comments and orphans are roots with depth 0. A comment on or under a cycle
-    keeps a null depth. ``path`` is the array of the ``step`` values from the root down to
-    the comment itself. ``comments`` must be unique on (subreddit, id).
+    keeps a null depth. ``comments`` must be unique on (subreddit, id).
 
     In the state below ``anc`` is the ancestor ``dist`` hops up that is still to be looked
     up, and ``top`` the comment just under it; once ``anc`` is null, ``top`` is the root and
-    ``dist`` the depth.
+    ``dist`` the depth. A row of it has the same few values whatever the depth.
     """
     spark = comments.sparkSession
     folder = fresh_dir(spark, "forest")
-    trail = [] if step is None else ["trail"]
     anc = parent_comment_id(F.col("parent_id"))
     state = comments.select(
         *KEY,
         anc.alias("anc"),
         F.when(anc.isNull(), 0).otherwise(1).alias("dist"),
         F.col("id").alias("top"),
-        *([] if step is None else [F.array(step).alias("trail")]),
     )
     pending = Observation()
     open_rows = F.count_if(F.col("anc").isNotNull()).alias("n")
@@ -59,11 +60,8 @@ def resolve_forest(comments: DataFrame, step: Column | None = None) -> DataFrame
     round_no = 0
     while n_active:
         round_no += 1
-        seen = _union([*done, active]).selectExpr(
-            *KEY, "anc AS up_anc", "dist AS up_dist", "top AS up_top",
-            *[f"{t} AS up_{t}" for t in trail],
-        )
-        values = ["up_anc", "up_dist", "up_top", *[f"up_{t}" for t in trail]]
+        seen = _union([*done, active]).selectExpr(*KEY, "anc AS up_anc", "dist AS up_dist", "top AS up_top")
+        values = ["up_anc", "up_dist", "up_top"]
         met = lookup_left(active, seen, ["subreddit", "anc"], KEY, values, left_rows=n_active)
         found = "up_dist IS NOT NULL"
         moved = met.selectExpr(
@@ -72,7 +70,6 @@ def resolve_forest(comments: DataFrame, step: Column | None = None) -> DataFrame
             # An ancestor that is not there makes the comment just under it a root.
             f"CASE WHEN {found} THEN dist + up_dist ELSE dist - 1 END AS dist",
             f"CASE WHEN {found} THEN up_top ELSE top END AS top",
-            *[f"CASE WHEN {found} THEN concat(up_{t}, {t}) ELSE {t} END AS {t}" for t in trail],
         )
         pending = Observation()
         moved = materialize(
@@ -86,19 +83,86 @@ def resolve_forest(comments: DataFrame, step: Column | None = None) -> DataFrame
             break
         n_active = n_left
 
-    rooted = _union(done).select(
-        *KEY, F.col("dist").alias("depth"), F.col("top").alias("root_id"),
-        *[F.col(t).alias("path") for t in trail],
-    )
+    rooted = _union(done).select(*KEY, F.col("dist").alias("depth"), F.col("top").alias("root_id"))
     if not n_active:
         return rooted
     stuck = active.select(
-        *KEY, F.lit(None).cast("int").alias("depth"), F.lit(None).cast("string").alias("root_id"),
-        *[F.lit(None).cast(active.schema[t].dataType).alias("path") for t in trail],
+        *KEY, F.lit(None).cast("int").alias("depth"), F.lit(None).cast("string").alias("root_id")
     )
     return rooted.unionByName(stuck)
 
 
+def preorder(comments: DataFrame) -> DataFrame:
+    """Where each comment stands when its tree is read top down, replies by (time, id).
+
+    ``subreddit, id, depth, root_id, root_epoch, position`` (0 is the root), ``closes`` (how
+    many levels end behind the comment), ``has_replies`` and ``after_sibling``. Comments on or
+    under a cycle have no place and are left out.
+
+    The comment that follows another is its first reply; else its next sibling; else the next
+    sibling of the nearest ancestor that has one. Finding that ancestor is a forest in which
+    links stop at comments with a next sibling, and the position is the depth in the chain of
+    followers: both are :func:`resolve_forest` again, with rows of constant size.
+    """
+    spark = comments.sparkSession
+    placed = resolve_forest(comments).filter(F.col("depth").isNotNull())
+    links = comments.select(*KEY, parent_comment_id(F.col("parent_id")).alias("parent"), _order_key().alias("key"))
+    nodes = links.join(placed, KEY).withColumns(
+        {
+            "parent": F.when(F.col("depth") > 0, F.col("parent")),
+            "span": F.floor(F.col("key.epoch") / SIBLING_SPAN).cast("bigint"),
+        }
+    )
+    nodes = materialize(nodes, "nodes")
+    replies = nodes.filter(F.col("parent").isNotNull())
+    family = ["subreddit", "parent"]
+    # Siblings are numbered within spans of time, and spans among themselves, so that no task
+    # sorts all replies of one comment.
+    spans = replies.groupBy(*family, "span").agg(F.min("key").alias("first_key"))
+    later = F.lead("first_key").over(Window.partitionBy(*family).orderBy("span"))
+    spans = spans.select(*family, "span", later.alias("later_key"))
+    after = F.lead("key").over(Window.partitionBy(*family, "span").orderBy("key"))
+    nexts = (
+        replies.join(spans, [*family, "span"])
+        .withColumn("next", F.coalesce(after, F.col("later_key"))["id"])
+        .select(*KEY, "next")
+    )
+    firsts = replies.groupBy(*family).agg(F.min("key")["id"].alias("first_child"))
+    firsts = firsts.select("subreddit", F.col("parent").alias("id"), "first_child")
+    nodes = materialize(
+        nodes.join(nexts, KEY, "left").join(firsts, KEY, "left").select(
+            *KEY, "parent", "depth", "root_id", "next", "first_child", F.col("key.epoch").alias("epoch")
+        ),
+        "siblings",
+    )
+    climb = F.when(F.col("next").isNull(), F.concat(F.lit("t1_"), F.col("parent")))
+    stops = resolve_forest(nodes.select(*KEY, climb.alias("parent_id"))).select(*KEY, F.col("root_id").alias("stop"))
+    there = nodes.select(
+        *KEY, F.col("next").alias("stop_next"), F.col("depth").alias("stop_depth"), F.lit(True).alias("is_stop")
+    )
+    known = nodes.join(stops, KEY)
+    known = lookup_left(known, there, ["subreddit", "stop"], KEY, ["stop_next", "stop_depth"])
+    known = materialize(known.withColumn("follower", F.coalesce("first_child", "stop_next")), "followers")
+    before = known.filter(F.col("follower").isNotNull()).select(
+        "subreddit", F.col("follower").alias("id"), F.concat(F.lit("t1_"), F.col("id")).alias("parent_id")
+    )
+    chain = known.select(*KEY).join(before, KEY, "left")
+    positions = resolve_forest(chain).select(*KEY, F.col("depth").alias("position"))
+    heads = known.filter(F.col("depth") == 0).select(*KEY, F.col("epoch").alias("root_epoch"))
+    first_of = known.filter(F.col("first_child").isNotNull()).select(
+        "subreddit", F.col("first_child").alias("id"), F.lit(True).alias("leads")
+    )
+    out = known.join(positions, KEY).join(first_of, KEY, "left")
+    out = lookup_left(out, heads, ["subreddit", "root_id"], KEY, ["root_epoch"])
+    up = F.when(F.col("stop_next").isNull(), F.col("depth")).otherwise(F.col("depth") - F.col("stop_depth"))
+    return out.select(
+        *KEY, "depth", "root_id", "root_epoch", "position",
+        F.when(F.col("first_child").isNotNull(), 0).otherwise(up + 1).cast("int").alias("closes"),
+        F.col("first_child").isNotNull().alias("has_replies"),
+        ((F.col("depth") > 0) & F.col("leads").isNull()).alias("after_sibling"),
+    )
+
+
 def with_depth(comments: DataFrame, forest: DataFrame | None = None) -> DataFrame:
     """The comments with ``depth`` filled in (null only on or under a cycle)."""
     found = resolve_forest(comments) if forest is None else forest
@@ -168,7 +232,7 @@ def thread_preview(comments: DataFrame, max_lines: int = PREVIEW_LINES) -> DataF
     """``line_no, line``: the first lines of all threads, indented by depth.
 
     Each root gives at least one line, so only the first ``max_lines`` roots can show up and
-    paths are built for their trees alone. A last line of dots tells that the limit was hit.
+    their trees alone are put in order. A last line of dots tells that the limit was hit.
     """
     spark = comments.sparkSession
     forest = resolve_forest(comments)
@@ -187,16 +251,16 @@ def thread_preview(comments: DataFrame, max_lines: int = PREVIEW_LINES) -> DataF
         ),
         "preview",
     )
-    paths = resolve_forest(shown, _order_key()).filter(F.col("depth").isNotNull())
+    order = ["root_epoch", "root_id", "subreddit", "position"]
     first = (
-        shown.join(paths, KEY)
-        .select("path", preview_line(F.col("depth"), F.col("author"), F.col("body")).alias("line"))
-        .orderBy("path")
+        shown.join(preorder(shown), KEY)
+        .select(*order, preview_line(F.col("depth"), F.col("author"), F.col("body")).alias("line"))
+        .orderBy(*order)
         .limit(max_lines)
     )
     # At most max_lines rows reach this window.
     lines = materialize(
-        first.select(F.row_number().over(Window.orderBy("path")).alias("line_no"), "line"),
+        first.select(F.row_number().over(Window.orderBy(*order)).alias("line_no"), "line"),
         "lines", small=True,
     )
     dots = lines.agg(F.count("*").alias("n")).filter(F.col("n") >= max_lines).select(
@@ -221,58 +285,21 @@ def sample_counts(comments: DataFrame, limit: int = SAMPLE_COMMENTS) -> DataFram
 def nested_fragments(comments: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Nested thread documents, cut into one text fragment per comment.
 
-    Written in ``path`` order, the fragments of a root concatenate to one JSON document with
-    its replies, sorted by time, nested under ``replies``. A document is never assembled in
-    one row, because one thread may be as large as a third of the archive.
+    Written in the order of ``NESTED_ORDER``, the fragments of a root concatenate to one JSON
+    document with its replies, sorted by time, nested under ``replies``. A document is never
+    assembled in one row, because one thread may be as large as a third of the archive.
+    Comments on or under a cycle belong to no document and are left out.
     """
     fields = columns or [c for c in comments.columns if c != "raw"]
-    parent = parent_comment_id(F.col("parent_id"))
-    nodes = materialize(
-        comments.select(*KEY, parent.alias("parent"), _order_key().alias("key")), "nodes"
-    )
-    groups = (
-        nodes.filter(F.col("parent").isNotNull())
-        .groupBy("subreddit", "parent")
-        .agg(F.min("key").alias("first_key"), F.max("key").alias("last_key"))
+    own = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    fragment = F.concat(
+        F.when(F.col("after_sibling"), F.lit(",")).otherwise(F.lit("")),
+        F.expr("left(own, length(own) - 1)"),
+        F.lit(',"replies":['),
+        F.repeat(F.lit("]}"), F.col("closes")),
     )
-    placed = lookup_left(
-        nodes, groups, ["subreddit", "parent"], ["subreddit", "parent"], ["first_key", "last_key"]
-    )
-    flags = placed.select(
-        *KEY,
-        (F.col("key") == F.col("first_key")).alias("is_first"),
-        (F.col("key") == F.col("last_key")).alias("is_last"),
-    )
-    has_replies = groups.select(
-        "subreddit", F.col("parent").alias("id"), F.lit(True).alias("has_replies")
-    )
-    step = F.struct(_order_key().alias("key"), F.coalesce("is_last", F.lit(True)).alias("is_last"))
-    flagged = comments.select(*KEY, "parent_id", "created_epoch").join(flags, KEY)
-    paths = resolve_forest(flagged, step).filter(F.col("depth").isNotNull())
-
-    below_root = F.slice("path", 2, F.greatest(F.col("depth"), F.lit(0)))
-    last_flags = F.reverse(F.transform(below_root, lambda s: s["is_last"]))
-    run_end = F.array_position(last_flags, False)
-    finished = F.when(run_end == 0, F.size(last_flags)).otherwise(run_end - 1)
     return (
-        paths.join(flags.select(*KEY, "is_first"), KEY)
-        .join(has_replies, KEY, "left")
-        .join(comments.select(*KEY, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("own")), KEY)
-        .select(
-            "subreddit", "root_id", "id", "depth",
-            F.transform("path", lambda s: s["key"]).alias("path"),
-            F.when(F.col("has_replies"), F.lit(0)).otherwise(1 + finished).cast("int").alias("closes"),
-            ((F.col("depth") > 0) & ~F.coalesce("is_first", F.lit(True))).alias("after_sibling"),
-            "own",
-        )
-        .withColumn(
-            "fragment",
-            F.concat(
-                F.when(F.col("after_sibling"), F.lit(",")).otherwise(F.lit("")),
-                F.expr("left(own, length(own) - 1)"),
-                F.lit(',"replies":['),
-                F.repeat(F.lit("]}"), F.col("closes")),
-            ),
-        )
-        .drop("own")
+        preorder(comments)
+        .join(comments.select(*KEY, own.alias("own")), KEY)
+        .select(*NESTED_ORDER, "id", "depth", "closes", "after_sibling", fragment.alias("fragment"))
     )

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.flagging import report_order
-from ..operators.threads import nested_fragments, with_depth
+from ..operators.threads import NESTED_ORDER, nested_fragments, with_depth
 from ..operators.timeline import chronological
 from ..operators.versions import latest
 from ..functions.text import list_cell, partition_name
 from ..schemas import TIMELINE
+from ..session import materialize
 
 
 def write_archive(df: DataFrame, path: str) -> None:
@@ -51,11 +52,11 @@ def compact_lines(
 def write_nested(comments: DataFrame, path: str) -> None:
     """Nested thread documents per subreddit as text: files and lines in order, one root after
     another; the lines of a root join to one JSON document."""
-    order = ["subreddit", "path"]
     (
-        nested_fragments(comments)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        # Range sorting looks at its input twice.
+        materialize(nested_fragments(comments), "nested")
+        .repartitionByRange(*NESTED_ORDER)
+        .sortWithinPartitions(*NESTED_ORDER)
         .select("subreddit", "fragment")
         .write.mode("overwrite")
         .partitionBy("subreddit")
