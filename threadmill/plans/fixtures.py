@@ -21,14 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as raw posts, in columns, with the flaws raw records have."""
+def posts_raw(spark: SparkSession, sf_dir: str, removed: bool = False) -> DataFrame:
+    """Documents as raw posts, in columns, with the flaws raw records have.
+
+    With ``removed`` every 23rd text is the marker of a removed post; else all texts are whole.
+    """
+    selftext = "CASE WHEN doc_id % 23 = 0 THEN '[removed]' ELSE text END" if removed else "text"
     return spread(table(spark, sf_dir, "documents")).selectExpr(
-        "CASE WHEN doc_id % 3 = 0 THEN concat('t3_', CAST(doc_id AS STRING)) ELSE CAST(doc_id AS STRING) END AS id",
+        "CASE WHEN doc_id % 47 = 0 THEN NULL WHEN doc_id % 3 = 0 THEN concat('t3_', CAST(doc_id AS STRING)) ELSE CAST(doc_id AS STRING) END AS id",
         "CASE WHEN doc_id % 5 = 0 THEN concat(' ', upper(source)) ELSE source END AS subreddit",
         "CASE WHEN doc_id % 17 = 0 THEN '[deleted]' WHEN doc_id % 29 = 0 THEN '' ELSE concat('u', CAST(doc_id % 97 AS STRING)) END AS author",
         "substr(text, 1, 60) AS title",
-        "CASE WHEN doc_id % 23 = 0 THEN '[removed]' ELSE text END AS selftext",
+        f"{selftext} AS selftext",
+        "CASE WHEN doc_id % 47 = 0 THEN concat('t3_', CAST(doc_id AS STRING)) END AS name",
+        "CASE WHEN doc_id % 6 > 0 THEN concat('https://example.org/', CAST(doc_id AS STRING)) END AS url",
+        "concat('/r/', source, '/comments/', CAST(doc_id AS STRING)) AS permalink",
+        "CASE WHEN doc_id % 43 = 0 THEN 'many' ELSE CAST(doc_id % 12 AS STRING) END AS num_comments",
         "CASE WHEN doc_id % 31 = 0 THEN '5.7' WHEN doc_id % 37 = 0 THEN NULL ELSE CAST(doc_id % 201 - 50 AS STRING) END AS score",
         f"CASE WHEN doc_id % 41 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN concat(CAST({START} + doc_id * 60 AS STRING), '.9') "
         f"ELSE CAST({START} + doc_id * 60 AS STRING) END AS created_utc",

@@ -9,11 +9,14 @@ _ISO = "'%Y-%m-%dT%H:%M:%S+00:00'"
 
 _POSTS = rf"""
 fx_posts_raw AS (
-  SELECT CASE WHEN doc_id % 3 = 0 THEN concat('t3_', doc_id) ELSE CAST(doc_id AS VARCHAR) END AS id,
+  SELECT CASE WHEN doc_id % 3 = 0 OR doc_id % 47 = 0 THEN concat('t3_', doc_id) ELSE CAST(doc_id AS VARCHAR) END AS id,
+    CASE WHEN doc_id % 6 > 0 THEN concat('https://example.org/', doc_id) END AS url,
+    concat('/r/', source, '/comments/', doc_id) AS permalink,
+    CASE WHEN doc_id % 43 > 0 THEN doc_id % 12 END AS num_comments,
     CASE WHEN doc_id % 5 = 0 THEN concat(' ', upper(source)) ELSE source END AS subreddit,
     CASE WHEN doc_id % 17 = 0 THEN '[deleted]' WHEN doc_id % 29 = 0 THEN '' ELSE concat('u', doc_id % 97) END AS author,
     substr(text, 1, 60) AS title,
-    CASE WHEN doc_id % 23 = 0 THEN '[removed]' ELSE text END AS selftext,
+    text AS selftext,
     CASE WHEN doc_id % 31 = 0 THEN '5.7' WHEN doc_id % 37 = 0 THEN NULL ELSE CAST(doc_id % 201 - 50 AS VARCHAR) END AS score,
     CASE WHEN doc_id % 41 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN concat({START} + doc_id * 60, '.9')
       ELSE CAST({START} + doc_id * 60 AS VARCHAR) END AS created_utc,
@@ -22,7 +25,7 @@ fx_posts_raw AS (
 posts AS (
   SELECT regexp_replace(id, '^t._', '') AS id, lower(trim(subreddit)) AS subreddit,
     CASE WHEN author NOT IN ('[deleted]', '[removed]', '') THEN author END AS author,
-    title, selftext,
+    title, selftext, url, permalink, num_comments,
     CASE WHEN regexp_full_match(score, '[+-]?[0-9]+') THEN CAST(score AS BIGINT) END AS score,
     CAST(floor(CAST(created_utc AS DOUBLE)) AS BIGINT) AS created_epoch,
     strftime(make_timestamp(CAST(floor(CAST(created_utc AS DOUBLE)) AS BIGINT) * 1000000), {_ISO}) AS created_utc,
@@ -32,6 +35,9 @@ posts AS (
   FROM fx_posts_raw)
 """
 
+# The same with a marker for the text of every 23rd post.
+_REMOVED = _POSTS.replace("text AS selftext", "CASE WHEN doc_id % 23 = 0 THEN '[removed]' ELSE text END AS selftext")
+
 _COMMENTS = rf"""
 comments AS (
   SELECT concat('c', conv_id, '_', turn) AS id, CAST(conv_id AS VARCHAR) AS post_id,
@@ -211,13 +217,13 @@ GROUP BY t.job_id, t.target
 """
 
 ORACLE = {
-    "norm_posts": f"WITH {_POSTS} SELECT * EXCLUDE (body_text) FROM posts",
+    "norm_posts": f"WITH {_REMOVED} SELECT * EXCLUDE (body_text) FROM posts",
     "norm_comments": f"WITH {_COMMENTS} SELECT * FROM comments",
     "rejected_records": """
 SELECT CASE WHEN conv_id % 22 = 0 THEN 'no id' ELSE 'no post' END AS reason, count(*) AS records
 FROM conversations WHERE conv_id % 22 = 0 OR turn = 3 OR conv_id % 9 = 0 GROUP BY 1""",
     "deleted_share_by_subreddit": f"""
-WITH {_POSTS} SELECT subreddit, count(*) AS posts, count(*) FILTER (is_deleted) AS deleted
+WITH {_REMOVED} SELECT subreddit, count(*) AS posts, count(*) FILTER (is_deleted) AS deleted
 FROM posts GROUP BY subreddit""",
     "raw_json_props": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,

@@ -26,10 +26,10 @@ ARRIVAL = ("created_epoch", "event_id")
 
 
 def norm_posts(spark: SparkSession, d: str) -> DataFrame:
-    rows = normalize.normalize_posts(fx.as_json(fx.posts_raw(spark, d)), raw="raw")
+    rows = normalize.normalize_posts(fx.as_json(fx.posts_raw(spark, d, removed=True)), raw="raw")
     return rows.select(
-        "id", "subreddit", "author", "title", "selftext", "score", "created_utc",
-        "created_epoch", "is_deleted", "over_18",
+        "id", "subreddit", "author", "title", "selftext", "url", "permalink", "score", "num_comments",
+        "created_utc", "created_epoch", "is_deleted", "over_18",
     )
 
 
@@ -53,7 +53,8 @@ def rejected_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def deleted_share_by_subreddit(spark: SparkSession, d: str) -> DataFrame:
-    return fx.posts(spark, d).groupBy("subreddit").agg(
+    rows = normalize.normalize_posts(fx.posts_raw(spark, d, removed=True))
+    return rows.groupBy("subreddit").agg(
         F.count("*").alias("posts"), F.count_if("is_deleted").alias("deleted")
     )
 
