@@ -200,3 +200,17 @@ def test_words_phrases_and_truth(spark):
     assert read(J.truth("v", True), ["true", "0", '" YES "', '"off"', "null", "1.5"]) == [
         True, False, True, False, True, True
     ]
+
+
+@pytest.mark.parametrize("pattern", ["(a)?b(?(1)c|d)", "(?P<n>a)(?P=n)(?(n)b)"])
+def test_patterns_the_jvm_cannot_run_are_refused_at_once(spark, pattern):
+    with pytest.raises(ValueError, match="cannot be used"):
+        phase2_regexes([pattern])
+
+
+@pytest.mark.parametrize("pattern", ["[[a]", "[a&&b]", "x[]y]", "[^]a]b", r"a\\Z", r"b\Z", r"[\]a]c", "[a-z&]1"])
+def test_classes_mean_the_same_on_both_sides(spark, pattern):
+    texts = ["[", "a", "&", "b", "]", "x]", "xy", "qb", "]b", "a\\Z", "a\\", "ab", "b", "]c", "ac", "&1", "z1", ""]
+    java = phase2_regexes([pattern])[pattern]
+    got = values(spark, lambda v: F.rlike(v, F.lit(java)), texts)
+    assert got == [re.search(pattern, t, re.IGNORECASE) is not None for t in texts]

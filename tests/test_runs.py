@@ -131,6 +131,17 @@ def test_archive_run_window_and_resume(spark, tmp_path):
     assert rows == {"a": (2, 2), "b": (1, 2), "late": (2, 2)}
 
 
+def test_walks_are_kept_and_silent_ones_complete(spark, tmp_path):
+    root = archive(spark, tmp_path, "p")
+    assert store.current(spark, root, "post").count() == 0 and store.walks(spark, root).count() == 0
+    runs.archive_run(spark, raw(spark, rp("a", at=5)), root, "post", ["s", "quiet"], (0, 20), 0, DAY1)
+    kept = {r.subreddit: (r.status, r.items_fetched, r.cursor_epoch) for r in store.walks(spark, root).collect()}
+    assert kept == {"s": ("complete", 1, 20), "quiet": ("complete", 0, 20)}
+    runs.archive_run(spark, raw(spark, rp("b", at=6)), root, "post", ["s", "new"], (0, 20), 1, DAY2, resume=True)
+    assert [r.id for r in store.current(spark, root, "post").collect()] == ["a"]
+    assert {r.subreddit: r.items_fetched for r in store.walks(spark, root).collect()} == {"s": 1, "quiet": 0, "new": 0}
+
+
 def test_dry_run(spark):
     now = 10 * 86400
     source = raw(spark, rc("a", at=now - 50), rc("b", "t1_a", "re", at=now - 40), rc("c", at=now - 4 * 86400), rc("d", sub="z", at=now - 1))

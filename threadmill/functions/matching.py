@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from .text import all_of, any_of
 
@@ -100,21 +100,60 @@ def phase2_keywords(keywords: list[str] | None) -> list[str]:
 def phase2_regexes(regexes: list[str] | None) -> dict[str, str]:
     """User patterns, as written, with the form Spark's regex engine understands.
 
-    A pattern that does not compile fails here, before any job starts.
+    A pattern that does not compile, on either side, fails here, before any job starts.
     """
     ready: dict[str, str] = {}
     for pattern in regexes or []:
         if not pattern.strip():
             continue
         named = list(re.compile(pattern).groupindex)
-        java = pattern.replace(r"\Z", r"\z")
+        java = _class_safe(pattern)
         for i, name in enumerate(named):
             java = java.replace(f"(?P<{name}>", f"(?<g{i}>").replace(f"(?P={name})", rf"\k<g{i}>")
         # Unicode case and classes, and the line feed as the only line end.
         ready[pattern] = f"(?iuUd){java}"
+        _compile_on_jvm(pattern, ready[pattern])
     return ready
 
 
+def _class_safe(pattern: str) -> str:
+    """The pattern with the end-of-text escape of the JVM, and with the characters escaped that
+    only mean themselves inside a class here: a bracket, an ampersand."""
+    out, at, inside = [], 0, False
+    while at < len(pattern):
+        c, pair = pattern[at], pattern[at : at + 2]
+        if c == "\\":
+            out.append(r"\z" if pair == r"\Z" and not inside else pair)
+            at += 2
+            continue
+        if inside and c in "[&":
+            c = "\\" + c
+        elif inside and c == "]":
+            inside = False
+        elif not inside and c == "[":
+            inside = True
+            head = pattern[at : at + 3] if pair == "[^" else pair
+            if head.endswith("]"):
+                # A bracket that comes first in its class belongs to it.
+                out.append(head[:-1] + r"\]")
+                at += len(head)
+                continue
+        out.append(c)
+        at += 1
+    return "".join(out)
+
+
+def _compile_on_jvm(written: str, java: str) -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    try:
+        # Of two literals, so the optimizer answers it and no job runs.
+        spark.sql("SELECT '' RLIKE :p AS ok", args={"p": java}).collect()
+    except Exception as error:
+        raise ValueError(f"pattern {written!r} cannot be used: {str(error).splitlines()[0]}") from error
+
+
 def matched_terms(text: Column, keywords: list[str], regexes: dict[str, str]) -> Column:
     """Sorted distinct keywords and patterns that occur in the text (empty array: none)."""
     found = []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import flagging, jobs, normalize, progress, slices, stats, threads, timeline
@@ -23,35 +24,58 @@ def archive_run(
     clauses: dict | None = None,
     done: DataFrame | None = None,
     backend: str = "dump",
+    resume: bool = False,
 ) -> DataFrame:
     """Take the records of a window into the archive at ``root``; returns progress rows.
 
+    The rows are kept in the archive's table of walks, one for every subreddit asked for, also
+    if it had no record. With ``resume`` that table tells what is done.
+
     ``raw`` is a dump: JSON text in a ``raw`` column, or columns. ``clauses`` are the arguments
     of :func:`content_filter`. ``done`` is the progress so far: complete walks are skipped and
     open ones go on from their cursor. Progress counts raw records, not just the kept ones.
     """
     prepare(spark)
     normal = normalize.normalize_comments if kind == "comment" else normalize.normalize_posts
-    rows = normal(raw, raw="raw") if raw.columns == ["raw"] else normal(raw)
+    rows = normal(_with_place(raw), raw="raw" if raw.columns == ["raw"] else None, keep=["file", "block"])
     rows = slices.search(rows, subreddits, *window).withColumn("kind", F.lit(f"{kind}s"))
+    done = store.walks(spark, root) if resume and done is None else done
     if done is not None:
         rows = progress.remaining(rows, done, backend, *window)
-    summary = progress.checkpoint_summary(rows, backend, *window).withColumn(
-        # A batch run reads its window to the end.
-        "status", F.lit("complete")
-    ).withColumn("cursor_epoch", F.lit(window[1]).cast("bigint"))
+    # Parsed once for the archive and for the progress.
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "taken")
+    asked = spark.createDataFrame([(s.strip().lower(), f"{kind}s") for s in subreddits], "subreddit string, kind string")
+    if done is not None:
+        mine = (F.col("backend") == backend) & (F.col("window_start_epoch") == window[0]) & (F.col("window_end_epoch") == window[1])
+        finished = done.filter(mine & (F.col("status") == "complete")).select("subreddit", "kind")
+        asked = asked.join(finished, ["subreddit", "kind"], "left_anti")
+    # A batch run reads its window to the end.
+    summary = progress.checkpoint_summary(rows, backend, *window, walks=asked, finished=True)
+    summary = materialize(summary, "walks")
     kept = flagging.keep_matching(rows, **(clauses or {}))
-    placed = kept.withColumn("arrival", _arrival(batch_id, batch_time))
+    arrival = _arrival(batch_id, batch_time, F.col("file"), F.col("block"), F.col("row"))
+    placed = kept.withColumn("arrival", arrival)
     stored = normalize.storage_rows(placed, batch_time, ["arrival"])
     store.append_versions(stored, root, kind, "run", batch_id)
+    store.write_walks(summary, root, f"run-{kind}-{backend}", batch_id)
     return summary
 
 
-def _arrival(batch_id: int, batch_time: datetime):
+def _with_place(raw: DataFrame) -> DataFrame:
+    """The records with the file and block they were read from, which order equal arrivals
+    whatever splits Spark reads; records that come from no file have none."""
+    try:
+        return raw.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    except AnalysisException:
+        return raw.select("*", F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"))
+
+
+def _arrival(batch_id: int, batch_time: datetime, file=None, block=None, row=None):
     return F.struct(
         F.lit(batch_time).alias("landed"), F.lit(batch_id).cast("bigint").alias("batch"),
-        F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+        (F.lit("") if file is None else file).alias("file"),
+        (F.lit(0).cast("bigint") if block is None else block).alias("block"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
     )
 
 

@@ -43,7 +43,7 @@ def _version_schema(kind: str) -> StructType:
 def create_archive(spark: SparkSession, root: str) -> None:
     """An empty archive: no base, nothing folded yet, and an empty batch so that it can be read."""
     prepare(spark)
-    for table, columns in (("versions", "id string"), ("progress", "subreddit string")):
+    for table, columns in (("versions", "id string"), ("progress", "subreddit string"), ("walks", "subreddit string")):
         nothing = spark.createDataFrame([], columns)
         nothing.write.mode("errorifexists").parquet(f"{root}/{table}/writer=none/batch=-1")
     _commit(spark, root, 0, None, {}, "error")
@@ -121,6 +121,27 @@ def current(
     return with_depth(rows, resolve_forest(links))
 
 
+_WALKS = (
+    "subreddit string, backend string, kind string, window_start_epoch bigint, window_end_epoch bigint, "
+    "cursor_epoch bigint, status string, items_fetched bigint"
+)
+
+
+def write_walks(rows: DataFrame, root: str, writer: str, batch_id: int) -> None:
+    """Keep the progress rows of one batch; doing it again replaces them."""
+    rows.select(*[c.split()[0] for c in _WALKS.split(", ")]).write.mode("overwrite").parquet(
+        f"{root}/walks/writer={writer}/batch={batch_id}"
+    )
+
+
+def walks(spark: SparkSession, root: str) -> DataFrame:
+    """The last progress row of every walk and window."""
+    rows = spark.read.schema(f"{_WALKS}, writer string, batch bigint").parquet(f"{root}/walks")
+    keys = ["subreddit", "backend", "kind", "window_start_epoch", "window_end_epoch"]
+    rest = F.struct("cursor_epoch", "status", "items_fetched")
+    return rows.groupBy(*keys).agg(F.max_by(rest, "batch").alias("last")).select(*keys, "last.*")
+
+
 def progress(spark: SparkSession, root: str) -> DataFrame:
     """Records taken in and time reached, per subreddit and kind, over all batches."""
     schema = (

@@ -76,11 +76,11 @@ def start_ingest(
     )
 
 
-def ingest_once(spark: SparkSession, raw: DataFrame, kind: str, files_per_batch: int = 4) -> DataFrame:
+def ingest_once(spark: SparkSession, raw: DataFrame, kind: str, files_per_batch: int = 1000) -> DataFrame:
     """Land ``raw`` JSON records as files, stream them into a new archive, return its rows."""
     prepare(spark)
     root = fresh_dir(spark, "ingest")
-    raw.select("raw").repartition(8).write.text(f"{root}/landing")
+    raw.select("raw").write.text(f"{root}/landing")
     create_archive(spark, f"{root}/archive")
     query = start_ingest(spark, f"{root}/landing", f"{root}/archive", kind, max_files=files_per_batch)
     query.awaitTermination()
