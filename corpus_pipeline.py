@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadmill.llm import jaccard, language, mixing, packing, sanitise
-from threadmill.llm.common import read
+from threadmill.llm.common import read, ship_package
 from threadmill.llm.queries import BATCH_ROWS, MIX_BLOCK, MIX_WEIGHTS, TOKENIZER
 from threadmill.session import materialize, prepare
 
@@ -96,6 +96,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    ship_package(spark)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +25,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where neither PYTHONPATH nor the working folder does.
+
+    Spark's own file server hands the package to the executors. A package that came by
+    ``--py-files`` is no folder and needs nothing.
+    """
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root, context = os.path.dirname(package), spark.sparkContext
+    seen = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    if root in map(os.path.abspath, seen) or not os.path.isdir(package) or context.applicationId in _shipped:
+        return
+    place = tempfile.mkdtemp(prefix="threadmill-package-")
+    context.addPyFile(shutil.make_archive(f"{place}/threadmill", "zip", root, os.path.basename(package)))
+    _shipped.add(context.applicationId)
+
+
 def local_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> DataFrame:
     """A table made from a parameter-sized list; an Arrow table needs no Python on the executors."""
     return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from threadmill.llm import sanitise
 from threadmill.llm.mixing import POOL
 
 def mix_sql(weights: dict[str, int], block_rows: int) -> str:
@@ -80,3 +81,107 @@ scored AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 10
 """
+
+
+#: Shingles as texts, every pair of documents that share one, and the reach of each document.
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS m FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM members a JOIN members b ON a.m = b.m AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r USING (doc_id)
+"""
+
+_FINDS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _matches_sql(text: str, pattern: str) -> str:
+    """Matches of a pattern in order, with their code point places, from the gaps between them."""
+    both = f"(?s)(.*?)({pattern})"
+    return f"""list_transform([{{'g': regexp_extract_all({text}, '{both}', 1), 'h': regexp_extract_all({text}, '{both}', 2)}}],
+      lambda m: list_transform(range(1, len(m.h) + 1), lambda i: {{
+        'a': CAST(list_sum(list_transform(m.g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m.h[1:i - 1], lambda x: length(x))), 0) AS BIGINT),
+        'h': m.h[i]}}))[1]"""
+
+
+def pii_sql() -> str:
+    """Patterns as they are given, and the disclosure of the words around their matches."""
+    digits = "regexp_replace(x.h, '[^0-9]', '', 'g')"
+    luhn = f"""list_sum(list_transform(range(1, length({digits}) + 1), lambda i:
+      CASE WHEN i % 2 = 1 THEN CAST(reverse({digits})[i] AS INT)
+        ELSE 2 * CAST(reverse({digits})[i] AS INT) - 9 * CAST(reverse({digits})[i] >= '5' AS INT) END)) % 10 = 0"""
+    tests = {
+        "email": "true",
+        "ip": "len(list_filter(string_split(x.h, '.'), lambda p: CAST(p AS DOUBLE) > 255)) = 0",
+        "card": f"length({digits}) BETWEEN 14 AND 19 AND {luhn}",
+        "phone": f"length({digits}) BETWEEN 10 AND 15",
+    }
+    found = " || ".join(
+        f"""list_transform(list_filter({_matches_sql('t', pattern)}, lambda x: {tests[kind]}),
+      lambda x: {{'a': x.a, 'k': {n}, 'b': x.a + length(x.h)}})""" for n, (kind, pattern) in enumerate(_FINDS.items())
+    )
+    c = sanitise.CONTEXT
+    word = r"[\p{L}\p{N}]+"
+    names = "['email', 'ip', 'card', 'phone', 'term']"
+    listed = f"array_to_string(list_transform(%s, lambda x: concat({names}[x.k + 1], ':', x.a, ':', x.b)), ',')"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+based AS (SELECT r, doc_id, t, list_sort({found}) AS base FROM docs),
+sides AS (
+  SELECT r, t, base, unnest(base) AS s FROM based
+),
+cuts AS (
+  SELECT r, base, s.k AS k, greatest(s.a - {c}, 0) AS left_at, substr(t, greatest(s.a - {c}, 0) + 1, s.a - greatest(s.a - {c}, 0)) AS l,
+    s.b AS right_at, substr(t, s.b + 1, {c}) AS rt FROM sides
+),
+whole AS (
+  SELECT r, base, k, CASE WHEN left_at > 0 THEN regexp_replace(l, '^{word}', '') ELSE l END AS x, left_at + length(l) AS ends, NULL AS begins FROM cuts
+  UNION ALL
+  SELECT r, base, k, CASE WHEN length(rt) = {c} THEN regexp_replace(rt, '{word}$', '') ELSE rt END, NULL, right_at FROM cuts
+),
+close AS (
+  SELECT DISTINCT r, k, lower(w.h) AS term, coalesce(begins, ends - length(x)) + w.a AS a, coalesce(begins, ends - length(x)) + w.a + length(w.h) AS b, base
+  FROM (SELECT *, unnest({_matches_sql('x', word)}) AS w FROM whole) WHERE length(w.h) >= 3
+),
+free AS (SELECT * FROM close q WHERE len(list_filter(base, lambda y: q.a < y.b AND q.b > y.a)) = 0),
+kinds AS (SELECT s.k AS k, count(DISTINCT r) AS n_kind FROM sides GROUP BY 1),
+both_ AS (SELECT term, k, count(DISTINCT r) AS n_both FROM free GROUP BY term, k HAVING count(DISTINCT r) >= {sanitise.SUPPORT}),
+words AS (SELECT DISTINCT r, unnest(regexp_extract_all(lower(t), '{word}')) AS term FROM docs),
+terms AS (SELECT term, count(*) AS n_term FROM words WHERE term IN (SELECT term FROM both_) GROUP BY term),
+told AS (
+  SELECT term, k, log2(n_both * n / (n_term * n_kind)) / log2(n / n_kind) AS d
+  FROM both_ JOIN terms USING (term) JOIN kinds USING (k), (SELECT CAST(count(*) AS DOUBLE) AS n FROM docs) WHERE n > n_kind
+),
+hits AS (
+  SELECT r, list(DISTINCT {{'a': a, 'k': 4, 'b': b}}) AS spans
+  FROM free JOIN told USING (term, k) WHERE d >= {sanitise.GENERALISE} GROUP BY r
+)
+SELECT doc_id,
+  {', '.join(f"CAST(len(list_filter(base, lambda x: x.k = {n})) AS BIGINT) AS n_{kind}" for n, kind in enumerate(_FINDS))},
+  sha256({listed % 'base'}) AS base_sha256,
+  {listed % 'list_sort(base || coalesce(spans, []))'} AS spans,
+  CAST(coalesce(len(spans), 0) AS BIGINT) AS n_terms
+FROM based LEFT JOIN hits USING (r)
+"""

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadmill.llm import covertree, hamming, jaccard, language, mixing, packing, quality, sanitise, sharding, toxicity
-from threadmill.llm.common import read, remainder
-from threadmill.llm.oracle import TOP_SQL, mix_sql
+from threadmill.llm.common import read, remainder, ship_package
+from threadmill.llm.oracle import JACCARD_SQL, TOP_SQL, mix_sql, pii_sql
 from threadmill.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,7 @@ def query(f):
         spark = prepare(spark)
         # Texts may be long; a batch for Python holds fewer of them than Spark's own default.
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        ship_package(spark)
         return f(spark, sf_dir)
 
     QUERIES[f.__name__] = run
@@ -126,4 +127,6 @@ def op10_mix(spark, sf_dir):
 
 
 ORACLE["op5_topk"] = TOP_SQL
+ORACLE["op6_jaccard"] = JACCARD_SQL
+ORACLE["op8_pii"] = pii_sql()
 ORACLE["op10_mix"] = mix_sql(MIX_WEIGHTS, MIX_BLOCK)
