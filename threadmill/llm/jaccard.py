@@ -11,6 +11,10 @@ branches, and only sets of one branch can meet. In a branch
 * then sets of different classes meet if their sizes and their places in the branch allow the
   threshold. Pairs inside a class need no look: their component is known.
 
+Two sets that may meet are first compared by the parities of their members in buckets, about as
+many as members: as many as differ, so many members at least are in one set only. Whole sets are made again from the
+texts for those that remain.
+
 A meeting is decided in a tree of the sets that meet one probe: sorted sets are walked depth
 first, the overlap of a shared beginning is counted once, and a subtree is left when its
 members that remain cannot reach the overlap that is needed.
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadmill.llm.common import Words, mix, text_steps
@@ -44,6 +48,8 @@ SIMILARITY = (3, 4)
 FREQUENT = 1000
 #: Members that are counted together before their counts leave a task.
 COUNTED = 4_000_000
+#: Parities kept of a set: the next power of two from its size, this many at least.
+LEAST_BITS = 256
 #: Ids that may be broadcast to pick texts; beyond that the texts are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -141,11 +147,11 @@ def branch_members(n: int) -> int:
 
 
 def _signatures(docs: DataFrame, order, width: int) -> DataFrame:
-    """Of each text: doc_id, n, sig (of its set), and the members it is stored under, rarest first."""
+    """Of each text: doc_id, n, sig and parities of its set, and the members it is stored under, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, sigs, ends, ids = [], [], [0], []
+            sizes, sigs, ends, ids, bits, bit_ends = [], [], [0], [], [], [0]
             for _, members in _sets(batch, width):
                 n = len(members)
                 sizes.append(n)
@@ -154,17 +160,24 @@ def _signatures(docs: DataFrame, order, width: int) -> DataFrame:
                     sigs.append(xxhash.xxh3_128_digest(keys.tobytes()))
                     ids.append(keys[: -branch_members(n) - 1 : -1])
                     ends.append(ends[-1] + len(ids[-1]))
+                    size = max(LEAST_BITS, 1 << (n - 1).bit_length())
+                    odd = np.bincount((members & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+                    bits.append(np.packbits(odd.astype(bool)).view(np.int64))
+                    bit_ends.append(bit_ends[-1] + size // 64)
                 else:
                     sigs.append(None)
                     ends.append(ends[-1])
+                    bit_ends.append(bit_ends[-1])
             members = np.concatenate(ids) if ids else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(members))],
-                ["doc_id", "n", "sig", "branches"],
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(members)),
+                 pa.ListArray.from_arrays(pa.array(bit_ends, pa.int32()),
+                                          pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)))],
+                ["doc_id", "n", "sig", "branches", "bits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_kind(docs)}, n long, sig binary, branches array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_kind(docs)}, n long, sig binary, branches array<long>, bits array<long>")
 
 
 def _kind(docs: DataFrame) -> str:
@@ -224,8 +237,41 @@ def tree_links(probe: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     return linked
 
 
-def _decide(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _possible(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose parities leave the threshold open, stored."""
+    a, b = SIMILARITY
+    one = rows.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    two = rows.select(F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+
+    def halved(bits: str) -> Column:
+        # Parities of half as many buckets: those that fall together are added.
+        half = (F.size(bits) / 2).cast("int")
+        return F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+    # Sizes that may reach the threshold differ by less than two.
+    left = F.when(F.size("bits_a") > F.size("bits_b"), halved("bits_a")).otherwise(F.col("bits_a"))
+    right = F.when(F.size("bits_b") > F.size("bits_a"), halved("bits_b")).otherwise(F.col("bits_b"))
+    odd = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(odd, F.lit(0), lambda total, x: total + x)
+    open_ = (a + b) * apart <= (b - a) * (F.col("n_a") + F.col("n_b"))
+    return materialize(pairs.join(one, "a").join(two, "b").where(open_).select("a", "b"), "pairs")
+
+
+def _members(docs: DataFrame, order, width: int, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, members) of all nodes in ``pairs``, stored."""
+    met = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "met")
+    chosen = nodes.join(met, "node").select("node", "sig", "carrier")
+    ids = chosen.select(F.col("carrier").alias("doc_id")).distinct()
+    if met.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    texts = docs.alias("d").join(ids.alias("i"), F.expr("d.doc_id <=> i.doc_id"), "left_semi")
+    sets = _whole_sets(texts, order, width).join(chosen.select("sig", "node"), "sig").dropDuplicates(["node"])
+    return materialize(sets.select("node", "members"), "members")
+
+
+def _decide(docs: DataFrame, order, width: int, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that link."""
+    sets = _members(docs, order, width, pairs, nodes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,23 +319,17 @@ def similarity_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         stored.where("node <> first OR next IS NOT NULL").select("branch", "node", "n", "place", "first", "first_n"), "branches"
     )
 
-    # Sets of all nodes that share a branch with another.
-    met = materialize(branches.select("node").distinct(), "met")
-    chosen = nodes.join(met, "node").select("node", "sig", "carrier")
-    ids = chosen.select(F.col("carrier").alias("doc_id")).distinct()
-    if met.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = docs.alias("d").join(ids.alias("i"), F.expr("d.doc_id <=> i.doc_id"), "left_semi")
-    sets = _whole_sets(texts, order, width).join(chosen.select("sig", "node"), "sig").dropDuplicates(["node"])
-    sets = materialize(sets.select("node", "members"), "members")
-
-    a, b = SIMILARITY
-
     def may(n: str, m: str) -> str:
         return f"{b} * least({n}, {m}) >= {a} * greatest({n}, {m})"
 
-    stars = branches.where("node <> first AND " + may("n", "first_n")).select(F.col("first").alias("a"), F.col("node").alias("b"))
-    star_links = materialize(_decide(stars.distinct(), sets), "star_links")
+    def reach(n: str, m: str, at_n: str, at_m: str) -> str:
+        # At their first common branch nothing before it is shared, so this many members can be.
+        return f"{a + b} * least({n} - {at_n}, {m} - {at_m}) >= {a} * ({n} + {m})"
+
+    a, b = SIMILARITY
+    stars = branches.where("node <> first AND " + may("n", "first_n"))
+    stars = stars.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    star_links = materialize(_decide(docs, order, width, _possible(stars, rows), nodes), "star_links")
     classes = components(star_links, "a", "b")
 
     # Branches in which more than one class is left.
@@ -301,11 +341,9 @@ def similarity_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     kept = kept.join(mixed, "branch", "left_semi")
     p, q = kept.alias("p"), kept.alias("q")
     pairs = p.join(q, F.expr(
-        "p.branch = q.branch AND p.class < q.class AND " + may("p.n", "q.n")
-        # At their first common branch nothing before it is shared, so this many members can be.
-        + f" AND {a + b} * (least(p.n - p.place, q.n - q.place)) >= {a} * (p.n + q.n)"
+        "p.branch = q.branch AND p.class < q.class AND " + may("p.n", "q.n") + " AND " + reach("p.n", "q.n", "p.place", "q.place")
     )).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
-    links = _decide(pairs, sets).unionByName(star_links)
+    links = _decide(docs, order, width, _possible(pairs, rows), nodes).unionByName(star_links)
     roots = components(links, "a", "b")
 
     named = nodes.join(roots, "node", "left").select("sig", "label", F.coalesce("root", "node").alias("root"))
