@@ -1,7 +1,7 @@
 """Quality of a text by supervised subword embeddings.
 
 Every word and every character n-gram of GRAMS bytes is hashed to a bucket with a learned
-vector; a text is the average of its vectors, and a softmax layer over it gives the label.
+vector, and a word that follows itself counts in one more bucket of its own; a text is the average of its vectors, and a softmax layer over it gives the label.
 Vectors and layer are trained together by stochastic gradient descent in numpy, on a bounded
 sample of labelled texts: at most SAMPLE of each label, and TRAINED bytes of each, spread over
 the text in runs. Scoring takes whole texts: both layers are linear up to the softmax, so
@@ -26,6 +26,8 @@ from threadmill.llm.common import _SPACE, Words, labelled_sample, scored, text_s
 
 BITS = 17
 GRAMS = (3, 4)
+#: The bucket of a word that follows itself, whatever the word.
+REPEAT = 1 << BITS
 VECTOR = 8
 SAMPLE = 2500
 TRAINED = 4096
@@ -33,10 +35,15 @@ EPOCHS = 4
 
 
 def text_units(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(place, bucket) of the words and of the n-grams of each length, in order of place."""
+    """(place, bucket) of the words, of their repeats and of the n-grams of each length, in order of place."""
     words = Words(data, offsets, lower=False)
-    out = [(words.start, (words.hash() >> np.uint64(64 - BITS)).astype(np.int64))]
-    n = len(data)
+    hashes, n = words.hash(), len(data)
+    out = [(words.start, (hashes >> np.uint64(64 - BITS)).astype(np.int64))]
+    same = np.zeros(len(hashes), bool)
+    same[1:] = hashes[1:] == hashes[:-1]
+    same[words.first[:-1][words.first[:-1] < len(hashes)]] = False
+    place = words.start[same]
+    out.append((place, np.full(len(place), REPEAT)))
     solid = ~_SPACE[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
@@ -81,7 +88,7 @@ def fit(texts: list[bytes], y: np.ndarray, share: float, seed: int = 5) -> Model
     n, ones = len(y), int(y.sum())
     base = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
     if ones in (0, n):
-        return Model(np.zeros(1 << BITS), base)
+        return Model(np.zeros(REPEAT + 1), base)
     units = []
     for text in texts:
         data = np.frombuffer(text, np.uint8)
@@ -89,7 +96,7 @@ def fit(texts: list[bytes], y: np.ndarray, share: float, seed: int = 5) -> Model
         ids, count = np.unique(buckets, return_counts=True)
         units.append((ids, (count / max(1, count.sum())).astype(np.float32)))
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / VECTOR, 1 / VECTOR, (1 << BITS, VECTOR)).astype(np.float32)
+    vectors = rng.uniform(-1 / VECTOR, 1 / VECTOR, (REPEAT + 1, VECTOR)).astype(np.float32)
     layer = np.zeros((VECTOR, 2), np.float32)
     layer += rng.normal(0, 0.1, layer.shape)
     step, total = 0, EPOCHS * n
