@@ -8,8 +8,9 @@ branches, and only sets of one branch can meet. In a branch
 
 * sets meet the branch's first set; what links forms classes, so that a large group of near
   copies costs one comparison per member and branch at most, not one per pair;
-* then sets of different classes meet if their sizes and their places in the branch allow the
-  threshold. Pairs inside a class need no look: their component is known.
+* then sets of different classes meet if their sizes allow the threshold and they share as many
+  branches as it needs: all of the overlap but what can lie behind the branches. Pairs inside
+  a class need no look: their component is known.
 
 Two sets that may meet are first compared by the parities of their members in buckets, about as
 many as members: as many as differ, so many members at least are in one set only. Whole sets are made again from the
@@ -50,8 +51,8 @@ FREQUENT = 1000
 COUNTED = 4_000_000
 #: Parities kept of a set: the next power of two from its size, this many at least.
 LEAST_BITS = 256
-#: Ids that may be broadcast to pick texts; beyond that the texts are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+#: Rows of a table of ids that may be broadcast, 16 bytes each; a longer one is joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 _COLD = np.uint64(1 << 62)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -261,14 +262,18 @@ def _members(docs: DataFrame, order, width: int, pairs: DataFrame, nodes: DataFr
     """(node, members) of all nodes in ``pairs``, stored."""
     met = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "met")
     chosen = nodes.join(met, "node").select("node", "sig", "carrier")
-    ids = chosen.select(F.col("carrier").alias("doc_id")).distinct()
-    if met.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = materialize(chosen.select(F.col("carrier").alias("doc_id")).distinct(), "carriers")
+    ids = _small(ids)
     texts = docs.alias("d").join(ids.alias("i"), F.expr("d.doc_id <=> i.doc_id"), "left_semi")
     sets = _whole_sets(texts, order, width).join(chosen.select("sig", "node"), "sig").dropDuplicates(["node"])
     return materialize(sets.select("node", "members"), "members")
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """Broadcast a stored table of one or two numbers a row if its rows are counted and few."""
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+
 def _decide(docs: DataFrame, order, width: int, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that link."""
     sets = _members(docs, order, width, pairs, nodes)
@@ -309,40 +314,45 @@ def similarity_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         F.min("row").alias("node"), F.min("doc_id").alias("label"), F.min_by("doc_id", "row").alias("carrier")
     )
     nodes = materialize(nodes, "nodes")
-    stored = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select(
-        F.col("row").alias("node"), F.col("n").cast("int").alias("n"), F.posexplode("branches").alias("place", "branch")
+    # Few rows repeat a set, so leaving those out moves less than picking the others.
+    again = rows.where("n > 0").select("row", "sig").join(nodes.select("sig", "node"), "sig")
+    again = materialize(again.where("row <> node").select("row"), "again")
+    stored = rows.where("n > 0").join(_small(again), "row", "left_anti").select(
+        F.col("row").alias("node"), F.col("n").cast("int").alias("n"), F.explode("branches").alias("branch")
     )
     w = Window.partitionBy("branch").orderBy("node")
     stored = stored.withColumns({"first": F.first("node").over(w), "first_n": F.first("n").over(w),
                                  "next": F.lead("node").over(w)})
     branches = materialize(
-        stored.where("node <> first OR next IS NOT NULL").select("branch", "node", "n", "place", "first", "first_n"), "branches"
+        stored.where("node <> first OR next IS NOT NULL").select("branch", "node", "n", "first", "first_n"), "branches"
     )
 
     def may(n: str, m: str) -> str:
         return f"{b} * least({n}, {m}) >= {a} * greatest({n}, {m})"
 
-    def reach(n: str, m: str, at_n: str, at_m: str) -> str:
-        # At their first common branch nothing before it is shared, so this many members can be.
-        return f"{a + b} * least({n} - {at_n}, {m} - {at_m}) >= {a} * ({n} + {m})"
-
     a, b = SIMILARITY
     stars = branches.where("node <> first AND " + may("n", "first_n"))
     stars = stars.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     star_links = materialize(_decide(docs, order, width, _possible(stars, rows), nodes), "star_links")
-    classes = components(star_links, "a", "b")
+    classes = materialize(components(star_links, "a", "b"), "classes")
 
     # Branches in which more than one class is left.
-    kept = branches.join(classes, "node", "left").select(
-        "branch", "node", "n", "place", F.coalesce("root", "node").alias("class")
+    kept = branches.join(_small(classes), "node", "left").select(
+        "branch", "node", "n", F.coalesce("root", "node").alias("class")
     )
     kept = materialize(kept, "classed")
     mixed = kept.groupBy("branch").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("branch")
-    kept = kept.join(mixed, "branch", "left_semi")
+    kept = kept.join(_small(materialize(mixed, "mixed")), "branch", "left_semi")
     p, q = kept.alias("p"), kept.alias("q")
-    pairs = p.join(q, F.expr(
-        "p.branch = q.branch AND p.class < q.class AND " + may("p.n", "q.n") + " AND " + reach("p.n", "q.n", "p.place", "q.place")
-    )).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+    pairs = p.join(q, F.expr("p.branch = q.branch AND p.class < q.class AND " + may("p.n", "q.n")))
+    pairs = pairs.groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b")).agg(
+        F.count("*").alias("shared"), F.first("p.n").alias("n"), F.first("q.n").alias("m")
+    )
+    # Of the overlap that is needed, at most what lies behind the shorter row of branches is
+    # not among the shared ones.
+    overlap = f"({a} * (n + m) + {a + b - 1}) div {a + b}"
+    behind = lambda n: f"(({a} * {n} + {b - 1}) div {b} - 1)"
+    pairs = pairs.where(f"shared >= {overlap} - greatest({behind('n')}, {behind('m')})").select("a", "b")
     links = _decide(docs, order, width, _possible(pairs, rows), nodes).unionByName(star_links)
     roots = components(links, "a", "b")
 
