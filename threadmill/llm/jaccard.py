@@ -9,8 +9,8 @@ branches, and only sets of one branch can meet. In a branch
 * sets meet the branch's first set; what links forms classes, so that a large group of near
   copies costs one comparison per member and branch at most, not one per pair;
 * then sets of different classes meet if their sizes allow the threshold and they share as many
-  branches as it needs: all of the overlap but what can lie behind the branches. Pairs inside
-  a class need no look: their component is known.
+  of their rarest branches as it needs. Pairs inside a class need no look: their component is
+  known.
 
 Two sets that may meet are first compared by the parities of their members in buckets, about as
 many as members: as many as differ, so many members at least are in one set only. Whole sets are made again from the
@@ -318,13 +318,13 @@ def similarity_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     again = rows.where("n > 0").select("row", "sig").join(nodes.select("sig", "node"), "sig")
     again = materialize(again.where("row <> node").select("row"), "again")
     stored = rows.where("n > 0").join(_small(again), "row", "left_anti").select(
-        F.col("row").alias("node"), F.col("n").cast("int").alias("n"), F.explode("branches").alias("branch")
+        F.col("row").alias("node"), F.col("n").cast("int").alias("n"), F.posexplode("branches").alias("place", "branch")
     )
     w = Window.partitionBy("branch").orderBy("node")
     stored = stored.withColumns({"first": F.first("node").over(w), "first_n": F.first("n").over(w),
                                  "next": F.lead("node").over(w)})
     branches = materialize(
-        stored.where("node <> first OR next IS NOT NULL").select("branch", "node", "n", "first", "first_n"), "branches"
+        stored.where("node <> first OR next IS NOT NULL").select("branch", "node", "n", "place", "first", "first_n"), "branches"
     )
 
     def may(n: str, m: str) -> str:
@@ -338,21 +338,34 @@ def similarity_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     # Branches in which more than one class is left.
     kept = branches.join(_small(classes), "node", "left").select(
-        "branch", "node", "n", F.coalesce("root", "node").alias("class")
+        "branch", "node", "n", "place", F.coalesce("root", "node").alias("class")
     )
     kept = materialize(kept, "classed")
     mixed = kept.groupBy("branch").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("branch")
     kept = kept.join(_small(materialize(mixed, "mixed")), "branch", "left_semi")
     p, q = kept.alias("p"), kept.alias("q")
-    pairs = p.join(q, F.expr("p.branch = q.branch AND p.class < q.class AND " + may("p.n", "q.n")))
+    # Of an overlap of w members at most k - 1 lie behind the first n - w + k ones of the set that
+    # ends first there, in the common order; so two sets that reach w share k branches among
+    # those. k may be as large as the stored branches last; a quarter of that keeps the places
+    # narrow and still leaves out texts that only share a passage.
+    def overlap(n: str, m: str) -> str:
+        return f"(({a} * ({n} + {m}) + {a + b - 1}) div {a + b})"
+
+    def behind(n: str) -> str:
+        return f"(({a} * {n} + {b - 1}) div {b} - 1)"
+
+    def share(n: str, m: str) -> str:
+        return f"(({overlap(n, m)} - greatest({behind(n)}, {behind(m)}) + 3) div 4)"
+
+    w, k = overlap("p.n", "q.n"), share("p.n", "q.n")
+    pairs = p.join(q, F.expr(
+        "p.branch = q.branch AND p.class < q.class AND " + may("p.n", "q.n")
+        + f" AND p.place < p.n - {w} + {k} AND q.place < q.n - {w} + {k}"
+    ))
     pairs = pairs.groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b")).agg(
         F.count("*").alias("shared"), F.first("p.n").alias("n"), F.first("q.n").alias("m")
     )
-    # Of the overlap that is needed, at most what lies behind the shorter row of branches is
-    # not among the shared ones.
-    overlap = f"({a} * (n + m) + {a + b - 1}) div {a + b}"
-    behind = lambda n: f"(({a} * {n} + {b - 1}) div {b} - 1)"
-    pairs = pairs.where(f"shared >= {overlap} - greatest({behind('n')}, {behind('m')})").select("a", "b")
+    pairs = pairs.where(f"shared >= {share('n', 'm')}").select("a", "b")
     links = _decide(docs, order, width, _possible(pairs, rows), nodes).unionByName(star_links)
     roots = components(links, "a", "b")
 
