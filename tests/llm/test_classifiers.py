@@ -91,6 +91,24 @@ def test_pairs_are_learned():
     assert together > 1.5 and alone.max() < 0.1 and v[0] @ v[1] > 1
 
 
+def test_pairs_are_learned_among_many_terms():
+    """Terms that tell nothing alone keep a row of their own, whatever else the texts hold."""
+    rng = np.random.default_rng(1)
+    owner, bucket, y = [], [], []
+    for i in range(2000):
+        a, b = i % 2, i // 2 % 2
+        own = [t for t, on in ((11, a), (22, b)) if on] + rng.integers(100, 30_100, 60).tolist()
+        own = sorted(set(own))
+        owner += [i] * len(own)
+        bucket += own
+        y.append(float(a == b))
+    model = toxicity.fit(np.array(owner), np.array(bucket), np.array(y), 0.5)
+    assert (model.place[np.unique(bucket)] >= 0).all() and (model.place >= 0).sum() == len(np.unique(bucket))
+    w, v = (x[model.place[[11, 22]]] for x in (model.weight, model.vector))
+    alone, together = model.bias + w, model.bias + w.sum() + v[0] @ v[1]
+    assert together > 0.5 and alone.max() < -0.5
+
+
 def test_units_stay_in_their_text():
     text = "ab c\tdéf".encode()
     data = np.frombuffer(text * 2, np.uint8)

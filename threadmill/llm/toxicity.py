@@ -8,8 +8,8 @@ mean together what neither means alone:
     logit = b + sum w_i + 1/2 ((sum v_i)^2 - sum v_i^2)
 
 It is trained in numpy on a bounded sample of labelled texts, at most SAMPLE of each label, on
-the TERMS buckets that tell most about the label there. Its bias is then moved from the sample's
-share of labels to the share among all labelled texts.
+all buckets seen there: no term is left out for what it tells alone, since it may tell in pairs.
+Its bias is then moved from the sample's share of labels to the share among all labelled texts.
 
 Null and empty texts score by the bias alone. Texts without a label, or labels without a text,
 teach nothing; with labels of one kind only, every score is that kind's share. Repeated rows and
@@ -30,9 +30,13 @@ from threadmill.llm.common import Words, labelled_sample, scored, text_steps
 BUCKETS = 1 << 18
 PREFIXES = (4, 5, 6)
 SAMPLE = 4000
-TERMS = 2048
 VECTOR = 8
 STEPS = 400
+BATCH = 512
+RATE = 0.3
+#: What draws weights and vectors to zero; pairs of chance grow more slowly than vectors shrink.
+SHRINK_WEIGHT = 0.005
+SHRINK_VECTOR = 0.03
 
 
 def text_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,35 +76,46 @@ def fit(owner: np.ndarray, bucket: np.ndarray, y: np.ndarray, share: float, seed
     base = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
     if ones in (0, n):
         return Machine(place, np.zeros(0), np.zeros((0, VECTOR)), base)
-    seen = np.bincount(bucket, minlength=BUCKETS).astype(float)
-    hits = np.bincount(bucket, y[owner], BUCKETS)
-    expected = seen * ones / n
-    gain = (hits - expected) ** 2 / np.maximum(expected * (1 - seen / n), 1e-9) * (seen >= 3)
-    chosen = np.sort(np.argsort(-gain, kind="stable")[:TERMS])
-    chosen = chosen[gain[chosen] > 0]
-    place[chosen] = np.arange(len(chosen))
-    x = np.zeros((n, len(chosen)), np.float32)
-    kept = place[bucket] >= 0
-    x[owner[kept], place[bucket[kept]]] = 1
+    seen = np.bincount(bucket, minlength=BUCKETS)
+    chosen = np.flatnonzero(seen)
+    terms = len(chosen)
+    place[chosen] = np.arange(terms)
+    term = place[bucket].astype(np.int32)
+    ends = np.searchsorted(owner, np.arange(n + 1))
+    # Terms count from their mean here, so that common ones make no pairs with everything; the
+    # machine that is returned is the same one in terms that count 0 or 1.
+    mean = seen[chosen] / n
+    spread = np.sqrt(mean * (1 - mean))
 
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(len(chosen), np.float32), rng.normal(0, 0.02, (len(chosen), VECTOR)).astype(np.float32)
-    bias, sums = np.log(ones / (n - ones)), [np.full_like(w, 1e-6), np.full_like(v, 1e-6), 1e-6]
+    w, v = np.zeros(terms), rng.normal(0, 0.01, (VECTOR, terms))
+    bias, sums = np.log(ones / (n - ones)), [np.full(terms, 1e-3), 1e-3, 1e-3]
     for _ in range(STEPS):
-        rows = rng.integers(0, n, 512)
-        xb = x[rows]
-        xv = xb @ v
-        z = bias + xb @ w + 0.5 * ((xv**2).sum(axis=1) - (xb @ (v**2)).sum(axis=1))
-        g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(rows)).astype(np.float32)
-        gw = xb.T @ g + 1e-4 * w
-        gv = xb.T @ (g[:, None] * xv) - v * (xb.T @ g)[:, None] + 1e-4 * v
-        for p, d, s in ((w, gw, sums[0]), (v, gv, sums[1])):
-            s += d * d
-            p -= 0.1 * d / np.sqrt(s)
-        sums[2] += g.sum() ** 2
+        rows = rng.integers(0, n, BATCH)
+        length = ends[rows + 1] - ends[rows]
+        at = np.repeat(np.arange(BATCH), length)
+        c = term[np.arange(len(at)) + np.repeat(ends[rows] - np.cumsum(length) + length, length)]
+        square = v * v
+        alone = w - 0.5 * square.sum(axis=0) * (1 - 2 * mean)
+        xv = np.stack([np.bincount(at, one[c], BATCH) for one in v]) - (v @ mean)[:, None]
+        z = bias - w @ mean + np.bincount(at, alone[c], BATCH) + 0.5 * ((xv**2).sum(axis=0) - (square @ mean**2).sum())
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / BATCH
+        hit = np.bincount(c, g[at], terms)
+        gw = hit - mean * g.sum()
+        gv = np.stack([np.bincount(c, one[at], terms) for one in xv * g]) - (xv @ g)[:, None] * mean
+        gv += (SHRINK_VECTOR - (1 - 2 * mean) * hit - mean**2 * g.sum()) * v
+        sums = [s + d for s, d in zip(sums, (gw**2, (gv**2).sum(), g.sum() ** 2))]
+        rate = RATE / np.sqrt(sums[0])
+        w -= rate * gw
+        w = np.sign(w) * np.maximum(np.abs(w) - rate * SHRINK_WEIGHT * spread, 0)
+        v -= gv / np.sqrt(sums[1])
         bias -= 0.1 * g.sum() / np.sqrt(sums[2])
+    middle = v @ mean
+    bias += 0.5 * ((middle**2).sum() - (v * v @ mean**2).sum()) - w @ mean
+    w += mean * (v * v).sum(axis=0) - middle @ v
     # The sample is balanced; the corpus is not.
-    return Machine(place, w, v, float(bias - np.log(ones / (n - ones)) + base))
+    bias = float(bias - np.log(ones / (n - ones)) + base)
+    return Machine(place, w.astype(np.float32), v.T.astype(np.float32), bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "toxic") -> Machine:
