@@ -185,3 +185,74 @@ SELECT doc_id,
   CAST(coalesce(len(spans), 0) AS BIGINT) AS n_terms
 FROM based LEFT JOIN hits USING (r)
 """
+
+
+_LOWERED = "translate(%s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _terms_sql(text: str) -> str:
+    return rf"regexp_extract_all({_LOWERED % text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+#: Every document scored for every item, without bounds.
+LEXICAL_SQL = f"""
+WITH words AS (SELECT doc_id, {_terms_sql('text')} AS w FROM documents WHERE text IS NOT NULL),
+docs AS (SELECT row_number() OVER () AS r, doc_id, w, len(w) AS n FROM words WHERE len(w) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM docs),
+asked AS (
+  SELECT q, item_id, term, count(*) AS times
+  FROM (SELECT q, item_id, unnest({_terms_sql('text')}) AS term FROM (SELECT row_number() OVER () AS q, * FROM benchmark))
+  GROUP BY ALL
+),
+held AS (
+  SELECT r, doc_id, n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, n, unnest(w) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, totals GROUP BY term, docs
+),
+scored AS (
+  SELECT q, item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term), totals GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 AND doc_id IS NOT NULL QUALIFY rank <= 10
+"""
+
+#: CRC-32 of each distinct word byte by byte; one sort of all rows in place of the bisection.
+RESAMPLE_SQL = f"""
+WITH words AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, {_terms_sql("coalesce(text, '')")} AS w FROM documents
+  UNION ALL
+  SELECT 't', row_number() OVER (), NULL, {_terms_sql("coalesce(text, '')")} FROM benchmark
+),
+steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), [CAST(0 AS BIGINT) FOR x IN range(8)]),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS tab
+),
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i:
+      CAST(16 * (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1 AS BIGINT))),
+    lambda c, b: xor(c // 256, tab[CAST(xor(c % 256, b) AS INTEGER) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT word, hex(word) AS h FROM (SELECT DISTINCT unnest(w) AS word FROM words)), steps
+),
+features AS (SELECT side, r, bucket FROM (SELECT side, r, unnest(w) AS word FROM words) JOIN hashed USING (word)),
+sizes AS (SELECT count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t FROM features),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((count(*) FILTER (side = 't') + 1)::DOUBLE * (any_value(s) + 10000)
+    / ((count(*) FILTER (side = 'd') + 1)::DOUBLE * (any_value(t) + 10000)))) AS BIGINT) AS gain
+  FROM features, sizes GROUP BY bucket
+),
+weights AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM features JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(concat('0x', substr(sha256(concat('2024:', doc_id)), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (r) WHERE side = 'd'
+),
+drawn AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, weight DESC, n_features DESC) AS place,
+    10 * count(*) OVER (PARTITION BY n_features >= 20) // 100 AS wanted
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= wanted THEN place END AS rank FROM drawn
+"""

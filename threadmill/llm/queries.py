@@ -8,15 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.llm import covertree, hamming, jaccard, language, mixing, packing, quality, sanitise, sharding, toxicity
+from threadmill.llm import (
+    bytepair, covertree, hamming, jaccard, language, lexical, mixing, packing, quality, resampling, sanitise, sharding,
+    toxicity,
+)
 from threadmill.llm.common import read, remainder, ship_package
-from threadmill.llm.oracle import JACCARD_SQL, TOP_SQL, mix_sql, pii_sql
+from threadmill.llm.oracle import JACCARD_SQL, LEXICAL_SQL, RESAMPLE_SQL, TOP_SQL, mix_sql, pii_sql
 from threadmill.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SHARDS = 24
 BATCH_ROWS = 1000
 #: Shares of the mix; all other sources share one part. Blocks have so many rows.
@@ -126,7 +130,34 @@ def op10_mix(spark, sf_dir):
     return mixing.mix(docs, MIX_WEIGHTS, MIX_BLOCK)
 
 
+@query
+def op11_search(spark, sf_dir):
+    """The 10 best documents of every benchmark item by their words."""
+    found = lexical.index(read(spark, sf_dir, "documents"))
+    return lexical.search(found, read(spark, sf_dir, "benchmark"), 10)
+
+
+@query
+def op12_resample(spark, sf_dir):
+    """A tenth of the documents of 20 words or more, drawn by how much they are like the benchmark's texts."""
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), 10)
+
+
+@query
+def op13_bytepair(spark, sf_dir):
+    """Byte-pair ids of every document, and the bytes they stand for."""
+    table = bytepair.share(spark, RANKS, public_tokenizers.PATTERN)
+    docs = read(spark, sf_dir, "documents").select("doc_id", bytepair.encode(F.col("text"), table).alias("ids"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return docs.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2(bytepair.decode(F.col("ids"), table), 256).alias("decoded_sha256"),
+    )
+
+
 ORACLE["op5_topk"] = TOP_SQL
 ORACLE["op6_jaccard"] = JACCARD_SQL
 ORACLE["op8_pii"] = pii_sql()
 ORACLE["op10_mix"] = mix_sql(MIX_WEIGHTS, MIX_BLOCK)
+ORACLE["op11_search"] = LEXICAL_SQL
+ORACLE["op12_resample"] = RESAMPLE_SQL
