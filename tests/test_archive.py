@@ -187,3 +187,60 @@ def test_report_has_headers_even_when_empty(spark, tmp_path):
     sinks.write_report(flagging.flagged_posts(posts), flagging.flagged_comments(comments, posts), str(tmp_path / "r"))
     head = spark.read.text(str(tmp_path / "r" / "flagged_comments")).first()[0]
     assert head == "id,post_id,subreddit,author,body,score,depth,created_utc,matched_terms,post_title"
+
+
+LAYOUTS = {
+    "compact": lambda d: json.dumps(d, ensure_ascii=False, separators=(",", ":")),
+    "plain": lambda d: json.dumps(d),
+    "indent 0": lambda d: json.dumps(d, indent=0),
+    "indent 4": lambda d: json.dumps(d, indent=4, ensure_ascii=False),
+    "tabs": lambda d: json.dumps(d, indent="\t"),
+    "line end": lambda d: json.dumps(d) + " \n\n",
+    "blanks": lambda d: "\n " + json.dumps(d, separators=(" , ", " : "), indent=3) + "\t",
+}
+TRICKY = {"title": 'a "quote", {brace} } ] \\ and \\" é }', "nested": {"a": [{"b": "}"}, []], "c": {}}, "empty": ""}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_any_layout_in_many_blocks(spark, tmp_path, layout):
+    data = {"first": 1, **{f"p{i}": post(i, **TRICKY) for i in range(400)}, "odd": [{"x": 1}, "}"], "none": None, "last": "}"}
+    write_map(tmp_path / "s", "posts.json", LAYOUTS[layout](data))
+    write_map(tmp_path / "t", "posts.json", {"p1": post(1)})
+    write_map(tmp_path / "e", "posts.json", "{ }" if layout != "line end" else "{}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        scan = archive.scan_maps(spark, str(tmp_path), "posts.json")
+        rows = archive.stored_posts(scan.records, ["folder", "key"]).collect()
+        assert scan.broken.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {r.key: (r.title, json.loads(r.raw)) for r in rows if r.folder.endswith("/s")}
+    assert got == {f"p{i}": (TRICKY["title"], post(i)["raw"]) for i in range(400)} and len(rows) == 401
+
+
+@pytest.mark.parametrize("text", [
+    '{"a": {"b": 1}', '{"a": {"b": 1}}}', '{"a": {"b": 1}} x', '{"a": {"b": 1}}{"c": {}}', '{"a": {"b": 1} "c": {}}', '{"a": {"b": "}}',
+    '[{"a": {}}]', '{"a": {"b": 1},}', ', "a": {"b": 1}}', '{"a": [{"b": 1]}}', "}", "{", '"}"', '{"a": {"b": \\"}}',
+])
+def test_files_that_are_no_map_in_any_layout(spark, tmp_path, text):
+    write_map(tmp_path / "bad", "posts.json", text)
+    write_map(tmp_path / "good", "posts.json", json.dumps({"p1": post(1)}))
+    scan = archive.scan_maps(spark, str(tmp_path), "posts.json")
+    assert [r.key for r in scan.records.collect()] == ["p1"]
+    assert [r.folder.rsplit("/", 1)[1] for r in scan.broken.collect()] == ["bad"]
+
+
+def test_large_compact_map_has_many_tasks(spark, tmp_path):
+    """One line of some 30 MB; no task reads more than its block."""
+    body = "word { [ " * 100
+    data = {f"p{i}": {"id": f"p{i}", "subreddit": "s", "title": body, "created_epoch": i} for i in range(30_000)}
+    write_map(tmp_path / "s", "posts.json", json.dumps(data))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000000")
+    try:
+        rows = archive.stored_posts(archive.scan_maps(spark, str(tmp_path), "posts.json").records)
+        seen = rows.agg(F.count("*").alias("n"), F.sum("created_epoch").alias("s"), F.min(F.length("title")).alias("t")).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tuple(seen) == (30_000, sum(range(30_000)), len(body))

@@ -35,13 +35,9 @@ def test_query(spark, con, name):
     assert differences(spark, con, QUERIES[name], ORACLE[name], SF_DIR) is None
 
 
-def test_turns_too_deep_to_flatten_are_listed(spark, tmp_path):
-    turns = [(1, i, "user", "\n".join(f"line {k}" for k in range(n))) for i, n in enumerate((3, 300, 700))]
+def test_turns_of_any_depth_are_flattened(spark, tmp_path):
+    turns = [(1, i, "user", "\n".join(f"line {k}" for k in range(n))) for i, n in enumerate((3, 300, 700, 5000))]
     spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     d = str(tmp_path)
-    refused = {(r.conv_id, r.turn) for r in QUERIES["flatten_unreadable"](spark, d).collect()}
-    flat = {(r.conv_id, r.turn) for r in QUERIES["flatten_tree"](spark, d).select("conv_id", "turn").distinct().collect()}
-    assert refused == {(1, 2)} and flat == {(1, 0), (1, 1)}
-    listed = QUERIES["flatten_unreadable"](spark, d).first()
-    assert differences(spark, duck(d), QUERIES["flatten_unreadable"], ORACLE["flatten_unreadable"], d) is None
-    assert listed.reason == "too deep or not JSON" and listed.characters > 700 * 30
+    assert differences(spark, duck(d), QUERIES["flatten_tree"], ORACLE["flatten_tree"], d) is None
+    assert QUERIES["flatten_tree"](spark, d).count() == 6003

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..session import fresh_dir, materialize
+from .structure import ROOT, cut_documents
+from .threads import resolve_forest
 
 # Levels taken apart in one pass; few real threads are nested deeper.
 LEVELS = 12
@@ -50,18 +53,35 @@ def envelope_items(payload: Column) -> Column:
     )
 
 
+def _refused(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose JSON the reader does not take as a whole."""
+    return df.filter(F.col(column).isNotNull() & F.try_parse_json(column).isNull())
+
+
+class _Pieces:
+    """Refused documents, stored as ``rows`` with a number each, and the pieces of the sound ones."""
+
+    def __init__(self, refused: DataFrame, column: str):
+        self.rows = materialize(refused.withColumn("_doc", F.monotonically_increasing_id()), "refused")
+        self.mark = f"cut_{uuid.uuid4().hex}"
+        docs = self.rows.select(F.col("_doc").alias("doc"), F.col(column).alias("text"))
+        self.all = materialize(cut_documents(docs, "text", self.mark), "pieces")
+        self.broken = self.all.filter(F.try_parse_json("text").isNull()).select(F.col("doc").alias("_doc")).distinct()
+        self.sound = self.all.join(self.broken, F.col("doc") == F.col("_doc"), "left_anti")
+
+
 def unreadable_documents(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
-    """Documents that the JSON reader refuses: ``keep``, their ``characters`` and the ``reason``.
+    """Documents without records: ``keep``, their ``characters`` and the ``reason``.
 
-    The operators here have no records for such documents, so a run that uses them keeps
-    this table beside its result. Two limits belong to the reader: the size of one value and
-    its nesting, about 500 reply levels.
+    A document that the JSON reader refuses is cut at its brackets, whatever its depth or size;
+    those with a piece that is refused as well are listed. :func:`flatten_replies` has no
+    records for them, so a run that uses it keeps this table beside its result.
     """
+    pieces = _Pieces(_refused(df, column), column)
     text = F.col(column)
-    refused = df.filter(text.isNotNull() & F.try_parse_json(text).isNull())
     sound = F.get_json_object(text, "$").isNotNull()
     balanced = F.rlike(F.rtrim(text), F.lit(r"[\]}]$")) & F.rlike(text, F.lit(r"^\s*[\[{]"))
-    return refused.select(
+    return pieces.rows.join(pieces.broken, "_doc", "left_semi").select(
         *keep,
         F.char_length(text).cast("bigint").alias("characters"),
         F.when(sound, "too large").when(balanced, "too deep or not JSON").otherwise("not JSON").alias("reason"),
@@ -75,22 +95,33 @@ def flatten_replies(trees: DataFrame, tree: str, keep: list[str] | None = None)
     Replies are read from ``replies``, else ``children``, as a list or an envelope.
 
     A pass takes ``LEVELS`` levels apart inside each document row; only documents nested
-    deeper than that come back for another pass, each pass over a written table.
+    deeper than that come back for another pass, each pass over a written table. Documents
+    that the reader refuses as a whole are cut into pieces first, and their pieces are taken
+    apart all at once.
     """
     keep = keep or []
-    spark = trees.sparkSession
-    folder = fresh_dir(spark, "flatten")
-    docs = trees.select(
-        *keep, F.lit(0).alias("base"), envelope_items(F.try_parse_json(tree)).alias("level0")
-    )
+    taken = Observation()
+    parsed = trees.select(*keep, F.try_parse_json(tree).alias("_parsed"), F.col(tree).isNotNull().alias("_there"))
+    parsed = parsed.observe(taken, F.count_if(F.col("_there") & F.col("_parsed").isNull()).alias("refused"))
+    docs = parsed.select(*keep, F.lit(0).alias("base"), envelope_items(F.col("_parsed")).alias("level0"))
+    found = _passes(docs, keep, "flatten")
+    if not taken.get["refused"]:
+        return found
+    return found.unionByName(_flatten_pieces(_Pieces(_refused(trees, tree), tree), keep))
+
+
+def _passes(docs: DataFrame, keep: list[str], label: str, mark: str | None = None) -> DataFrame:
+    """All records of documents (``keep``, ``base``, ``level0``), and where marks stand among the replies."""
+    folder = fresh_dir(docs.sparkSession, label)
+    names = [*keep, "level", "raw", *(["cut"] if mark else [])]
     found: list[DataFrame] = []
     while True:
         deeper = Observation()
         part = materialize(
-            _take_levels(docs, keep), f"pass={len(found)}", folder, deeper,
+            _take_levels(docs, keep, mark), f"pass={len(found)}", folder, deeper,
             F.count_if(F.col("rest").isNotNull()).alias("n"),
         )
-        found.append(part.filter(F.col("raw").isNotNull()).select(*keep, "level", "raw"))
+        found.append(part.filter(F.col("rest").isNull()).select(*names))
         if not deeper.get["n"]:
             return reduce(lambda a, b: a.unionByName(b), found)
         docs = part.filter(F.col("rest").isNotNull()).select(
@@ -98,19 +129,67 @@ def flatten_replies(trees: DataFrame, tree: str, keep: list[str] | None = None)
         )
 
 
-def _take_levels(docs: DataFrame, keep: list[str]) -> DataFrame:
+def _take_levels(docs: DataFrame, keep: list[str], mark: str | None = None) -> DataFrame:
     """The records of the next levels of each document, and what lies below them (``rest``)."""
     for i in range(LEVELS):
         docs = docs.selectExpr(
             "*", f"flatten(transform(level{i}, n -> {_REPLIES})) AS level{i + 1}"
         )
+    cut = f"try_variant_get(n, '$.{mark}', 'string')" if mark else "CAST(NULL AS string)"
+    wanted = f"({_IS_COMMENT} OR {cut} IS NOT NULL)" if mark else _IS_COMMENT
     records = [
-        f"""transform(filter(level{i}, n -> {_IS_COMMENT}), n -> named_struct(
-          'level', base + {i}, 'raw', {_OWN}, 'rest', CAST(NULL AS array<variant>)))"""
+        f"""transform(filter(level{i}, n -> {wanted}), n -> named_struct(
+          'level', base + {i}, 'raw', {_OWN}, 'cut', {cut}, 'rest', CAST(NULL AS array<variant>)))"""
         for i in range(LEVELS)
     ]
-    below = f"""array(named_struct('level', base + {LEVELS}, 'raw', CAST(NULL AS string),
+    below = f"""array(named_struct('level', base + {LEVELS}, 'raw', CAST(NULL AS string), 'cut', CAST(NULL AS string),
       'rest', CASE WHEN size(level{LEVELS}) > 0 THEN level{LEVELS} END))"""
     return docs.selectExpr(*keep, f"inline(concat({', '.join(records)}, {below}))").filter(
         F.col("raw").isNotNull() | F.col("rest").isNotNull()
     )
+
+
+def _flatten_pieces(pieces: _Pieces, keep: list[str]) -> DataFrame:
+    """The records of documents in pieces.
+
+    Marks that stand among replies lead from piece to piece; a piece counts if such a way leads
+    to it from its document's first one. Others were cut out of a record's own data, and are put
+    back there.
+    """
+    parsed = F.try_parse_json("text")
+    items = F.when(F.col("piece") == ROOT, envelope_items(parsed)).otherwise(F.array(parsed))
+    docs = pieces.sound.select("doc", "piece", F.col("level").alias("base"), items.alias("level0"))
+    found = _passes(docs, ["doc", "piece"], "flatten-pieces", pieces.mark)
+    records = found.filter(F.col("cut").isNull())
+    links = found.filter(F.col("cut").isNotNull()).select("doc", F.col("cut").alias("piece"), F.col("piece").alias("around"))
+    nodes = pieces.sound.select("doc", "piece").join(links, ["doc", "piece"], "left")
+    if not nodes.filter((F.col("piece") != ROOT) & F.col("around").isNull()).isEmpty():
+        doc = F.col("doc").cast("string")
+        way = nodes.select(
+            doc.alias("subreddit"), F.col("piece").alias("id"), F.concat(F.lit("t1_"), "around").alias("parent_id")
+        )
+        reached = resolve_forest(way).filter(F.col("root_id") == ROOT)
+        reached = reached.select(F.col("subreddit").cast("bigint").alias("doc"), F.col("id").alias("piece"))
+        records = _put_back(records.join(reached, ["doc", "piece"], "left_semi"), pieces)
+    names = pieces.rows.select(F.col("_doc").alias("doc"), *keep)
+    return records.select("doc", "level", "raw").join(names, "doc").select(*keep, "level", "raw")
+
+
+def _put_back(records: DataFrame, pieces: _Pieces) -> DataFrame:
+    """Records with the text of pieces in place of the marks that are left in them."""
+    whole, marked = [], F.contains("raw", F.lit(pieces.mark))
+    records = materialize(records.select("doc", "level", "raw"), "records")
+    while True:
+        whole.append(records.filter(~marked))
+        rows = materialize(records.filter(marked).withColumn("row", F.monotonically_increasing_id()), "marked")
+        if rows.isEmpty():
+            break
+        pattern = rf'\{{"{pieces.mark}":"([0-9]+:[0-9]+)"\}}'
+        names = F.explode(F.array_distinct(F.regexp_extract_all("raw", F.lit(pattern), F.lit(1)))).alias("piece")
+        texts = rows.select("row", "doc", names).join(pieces.sound.select("doc", "piece", "text"), ["doc", "piece"])
+        place = F.concat(F.lit(f'{{"{pieces.mark}":"'), "piece", F.lit('"}'))
+        texts = texts.groupBy("row").agg(F.collect_list(F.struct(place.alias("mark"), "text")).alias("texts"))
+        raw = F.aggregate("texts", F.col("raw"), lambda out, t: F.replace(out, t["mark"], t["text"]))
+        records = materialize(rows.join(texts, "row").select("doc", "level", raw.alias("raw")), "records")
+    out = reduce(lambda a, b: a.unionByName(b), whole)
+    return out.withColumn("raw", F.coalesce(F.to_json(F.try_parse_json("raw")), F.col("raw")))

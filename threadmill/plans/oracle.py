@@ -317,14 +317,19 @@ WITH lines AS (
   SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
     generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM conversations)
 SELECT conv_id, turn, CAST(line_no AS INT) AS level, line_no, line FROM lines""",
-    "flatten_unreadable": """
-WITH lines AS (
-  SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
-    generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM conversations)
-SELECT conv_id, turn,
-  CAST(11 + sum(16 + length(CAST(i AS VARCHAR)) + length(CAST(to_json(line) AS VARCHAR)) + [14, 23, 28][i % 3 + 1]) AS BIGINT) AS characters,
+    "flatten_deep": r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS word,
+    generate_subscripts(regexp_split_to_array(text, '\s+'), 1) - 1 AS word_no FROM documents WHERE doc_id % 10 > 0)
+SELECT doc_id, CAST(word_no AS INT) AS level, word_no, word, word_no AS note FROM words""",
+    "flatten_unreadable": r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS word,
+    generate_subscripts(regexp_split_to_array(text, '\s+'), 1) - 1 AS i FROM documents WHERE doc_id % 10 = 0)
+SELECT doc_id,
+  CAST(9 + sum(31 + 2 * length(CAST(i AS VARCHAR)) + length(CAST(to_json(word) AS VARCHAR)) + [14, 23, 28][i % 3 + 1]) AS BIGINT) AS characters,
   'too deep or not JSON' AS reason
-FROM lines GROUP BY conv_id, turn HAVING 2 + sum(CASE WHEN i % 3 = 1 THEN 3 ELSE 2 END) > 1000""",
+FROM words GROUP BY doc_id""",
     "timeline": f"""
 WITH {_POSTS}, {_COMMENTS}
 SELECT 'post' AS type, id, CAST(NULL AS VARCHAR) AS post_id, CAST(NULL AS VARCHAR) AS parent_id, subreddit, author, title,
@@ -411,6 +416,9 @@ SELECT event_id AS page, CAST(i AS INT) AS place, CASE WHEN f = 5 THEN NULL ELSE
   CASE WHEN f = 5 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k
 FROM p, range(3) r(i) WHERE i < CASE f WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 5 THEN 1 ELSE 0 END""",
     "id_map_records": "SELECT concat(conv_id, '_', turn) AS key, role, text FROM conversations",
+    "map_files": """
+SELECT conv_id // 10 AS folder, concat(conv_id, '_', turn) AS key, role, text FROM conversations WHERE conv_id // 10 % 7 <> 3""",
+    "map_files_broken": "SELECT DISTINCT conv_id // 10 AS folder FROM conversations WHERE conv_id // 10 % 7 = 3",
     "job_specs": f"""
 WITH {_JOB_FACTS}
 SELECT job_id, error,

@@ -5,14 +5,14 @@ Every function takes (spark, folder of the tables) and returns a DataFrame of sc
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as T
 from ..functions.text import list_cell
 from ..operators import flagging, jobs, normalize, progress, slices, stats, threads, timeline, versions
 from ..operators.flatten import envelope_items, flatten_replies, unreadable_documents
-from ..sources.archive import records_of_map_text
-from ..session import materialize
+from ..sources.archive import MapScan, records_of_map_text, scan_maps
+from ..session import fresh_dir, materialize
 from ..streaming.ingest import ingest_once
 from . import fixtures as fx
 
@@ -242,9 +242,39 @@ def flatten_tree(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _word_trees(spark: SparkSession, d: str) -> DataFrame:
+    """Words of each document as one JSON document, each a reply to the one before, in all forms of replies.
+
+    A text has up to thousands of words, far more levels than the JSON reader takes. Every tenth
+    document lacks its end.
+    """
+    words = F.transform(F.split("text", "\\s+"), lambda w, i: F.struct(i.alias("id"), w.alias("body"), F.array(F.struct(i.alias("n"))).alias("notes")))
+
+    def opened(w, i):
+        own = F.to_json(w)
+        form = F.when(i % 3 == 0, ',"replies":[').when(i % 3 == 1, ',"replies":{"data":[').otherwise(',"replies":"","children":[')
+        return F.concat(F.substr(own, F.lit(1), F.length(own) - 1), form)
+
+    closed = F.transform(F.reverse("words"), lambda w: F.when(w["id"] % 3 == 1, "]}}").otherwise("]}"))
+    end = F.when(F.col("doc_id") % 10 == 0, "").otherwise("]}")
+    tree = F.concat(F.lit('{"data":['), F.array_join(F.transform("words", opened), ""), F.array_join(closed, ""), end)
+    return fx.spread(fx.table(spark, d, "documents")).select("doc_id", words.alias("words")).select("doc_id", tree.alias("tree"))
+
+
+def flatten_deep(spark: SparkSession, d: str) -> DataFrame:
+    """Words of each document, nested thousands of levels deep, taken apart again."""
+    record = F.try_parse_json("raw")
+    return flatten_replies(_word_trees(spark, d), "tree", ["doc_id"]).select(
+        "doc_id", "level",
+        F.try_variant_get(record, "$.id", "bigint").alias("word_no"),
+        F.try_variant_get(record, "$.body", "string").alias("word"),
+        F.try_variant_get(record, "$.notes[0].n", "bigint").alias("note"),
+    )
+
+
 def flatten_unreadable(spark: SparkSession, d: str) -> DataFrame:
-    """Turns whose nested lines the JSON reader refuses; ``flatten_tree`` has no rows for them."""
-    return unreadable_documents(_line_trees(spark, d), "tree", ["conv_id", "turn"])
+    """Documents whose nested words are no JSON; ``flatten_deep`` has no rows for them."""
+    return unreadable_documents(_word_trees(spark, d), "tree", ["doc_id"])
 
 
 # --- timeline -------------------------------------------------------------------------------
@@ -491,6 +521,51 @@ def id_map_records(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _map_files(spark: SparkSession, d: str) -> MapScan:
+    """Turns written as id-keyed map files, one per 10 conversations, and scanned again.
+
+    The files have the usual indented layout, a compact one in one line, or one with blanks
+    around everything; every seventh file lacks its end.
+    """
+    by_key = Window.partitionBy("folder").orderBy("conv_id", "turn")
+    record = F.to_json(F.struct("role", "text"))
+    key = F.concat(F.lit('"'), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"), F.lit('"'))
+    layout = F.col("folder") % 3
+    rows = fx.table(spark, d, "conversations").withColumn("folder", F.floor(F.col("conv_id") / 10)).select(
+        "folder", "conv_id", "turn", layout.alias("layout"), key.alias("key"), record.alias("record"),
+        F.lag("turn").over(by_key).isNull().alias("first"), F.lead("turn").over(by_key).isNull().alias("last"),
+    )
+    inner = F.expr("substr(record, 2, length(record) - 2)")
+    broken = F.col("folder") % 7 == 3
+    text = (
+        F.when(layout == 0, F.concat(F.when(F.col("first"), "{\n  ").otherwise("  "), "key", F.lit(": {\n    "), inner, F.lit("\n  }"),
+                                     F.when(~F.col("last"), ",\n").when(broken, "").otherwise("\n}")))
+        .when(layout == 1, F.concat(F.when(F.col("first"), "{").otherwise(","), "key", F.lit(":"), "record", F.when(F.col("last") & ~broken, "}").otherwise("")))
+        .otherwise(F.concat(F.when(F.col("first"), "\t{ ").otherwise(" , "), "key", F.lit(" : { "), inner, F.lit(" }"),
+                            F.when(F.col("last") & ~broken, F.lit(' , "note" : [ { "n" : 1 } ] } ')).otherwise("")))
+    )
+    root = fresh_dir(spark, "maps")
+    files = rows.select("folder", "conv_id", "turn", text.alias("value")).repartition("folder").sortWithinPartitions("folder", "conv_id", "turn")
+    # The map stands in one line of blank-separated rows, or in the lines its rows bring along.
+    files.select("folder", "value").write.partitionBy("folder").option("lineSep", " ").text(root)
+    return scan_maps(spark, root, "*.txt")
+
+
+def map_files(spark: SparkSession, d: str) -> DataFrame:
+    """Records of map files in several layouts."""
+    return _map_files(spark, d).records.select(
+        F.regexp_extract("folder", r"=(\d+)$", 1).cast("bigint").alias("folder"), "key",
+        F.try_variant_get("record", "$.role", "string").alias("role"),
+        F.try_variant_get("record", "$.text", "string").alias("text"),
+    )
+
+
+def map_files_broken(spark: SparkSession, d: str) -> DataFrame:
+    """Folders whose map file cannot be read."""
+    broken = _map_files(spark, d).broken
+    return broken.select(F.regexp_extract("folder", r"=(\d+)$", 1).cast("bigint").alias("folder"))
+
+
 # --- jobs ---------------------------------------------------------------------------------------
 
 
@@ -603,6 +678,7 @@ QUERIES = {
     "dry_run_counts": dry_run_counts,
     "nested_threads": nested_threads,
     "flatten_tree": flatten_tree,
+    "flatten_deep": flatten_deep,
     "flatten_unreadable": flatten_unreadable,
     "timeline": timeline_query,
     "count_by_type": count_by_type,
@@ -626,6 +702,8 @@ QUERIES = {
     "unreadable_inputs": unreadable_inputs,
     "page_items": page_items,
     "id_map_records": id_map_records,
+    "map_files": map_files,
+    "map_files_broken": map_files_broken,
     "job_specs": job_specs,
     "job_windows": job_windows,
     "job_matches": job_matches,

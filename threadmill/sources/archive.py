@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..schemas import COMMENT, POST
+from ..session import materialize
 
 # Fixed value: how a record ends in a map written with an indent of two. Text inside JSON
 # strings never holds a line break, and deeper objects close with a deeper indent, so the
@@ -92,6 +93,7 @@ def _pieces(
     return text.select(
         "folder",
         closes.alias("_closes"),
+        opens.alias("_opens"),
         F.concat(
             F.when(opens, F.lit("")).otherwise(F.lit("{")),
             F.col("value"),
@@ -100,6 +102,106 @@ def _pieces(
     )
 
 
+def _running(rows: DataFrame, value: str, out: str, by: list[str]) -> DataFrame:
+    """Sum of ``value`` over the rows of a file up to each one, in file order.
+
+    Rows are added up within their block, blocks among themselves (a row for each), so that the
+    blocks of one file are worked on by many tasks.
+    """
+    totals = rows.groupBy("file", "block").agg(F.sum(value).alias("_total"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("file", "block", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    here = F.sum(value).over(Window.partitionBy("file", "block").orderBy(*by))
+    return rows.join(totals, ["file", "block"]).withColumn(out, here + F.col("_before")).drop("_before")
+
+
+def _any_layout(
+    spark: SparkSession, root: str, name: str, one_level: bool, nested: bool, folders: DataFrame
+) -> "MapScan":
+    """The files called ``name`` of ``folders``, whatever their layout.
+
+    The text reader cuts files at every closing brace, so that blocks of one file go to many
+    tasks. Running counts of quotes tell which cuts lie inside a string, running counts of
+    brackets how deep the others are; a cut one level deep is the end of a record. What lies
+    between two such ends is completed to a small map of its own.
+    """
+    text = (
+        spark.read.option("lineSep", "}")
+        .option("recursiveFileLookup", str(nested).lower())
+        .option("pathGlobFilter", name)
+        .text(root)
+        .select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value",
+        )
+        .withColumn("folder", _folder_of(F.col("file")))
+    )
+    if one_level:
+        text = text.filter(_same_folder(_folder_of(F.col("folder")), root))
+    rows = materialize(text.join(folders, "folder", "left_semi"), "parts")
+    # A brace after a backslash can only be wrong JSON, so no escape goes from one row into the next.
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    rows = rows.withColumn("quotes", F.length(plain) - F.length(F.replace(plain, F.lit('"'))))
+    rows = materialize(_running(rows, "quotes", "quoted", ["row"]), "quoted")
+    inside_at_end = F.col("quoted") % 2 == 1
+    inside_at_start = (F.col("quoted") - F.col("quotes")) % 2 == 1
+    # Complete strings go, so what is left lies outside of all of them.
+    bare = F.concat(F.when(inside_at_start, F.lit('"')).otherwise(F.lit("")), "value", F.when(inside_at_end, F.lit('"')).otherwise(F.lit("")))
+    bare = F.regexp_replace(bare, r'(?s)"(?:[^"\\]++|\\.)*+"', "")
+    sizes = rows.groupBy("file").agg(
+        F.sum(F.octet_length("value") + 1).alias("read"), F.max("bytes").alias("bytes"),
+        F.max(F.struct("block", "row")).alias("end"),
+    )
+    # Every row but the last of a file has lost a brace; the last one too if all bytes are there.
+    rows = rows.join(sizes.select("file", "end", (F.col("read") == F.col("bytes")).alias("full")), "file")
+    braced = F.col("full") | (F.struct("block", "row") < F.col("end"))
+    rows = rows.withColumns({"braced": braced, "closes": braced & ~inside_at_end, "bare": bare})
+    opened = F.length("bare") - F.length(F.regexp_replace("bare", r"[\[{]", ""))
+    closed = F.length("bare") - F.length(F.replace("bare", F.lit("]"))) + F.col("closes").cast("int")
+    rows = _running(rows.withColumn("step", opened - closed).drop("bare"), "step", "depth", ["row"])
+    rows = materialize(rows.withColumn("ends", (F.col("closes") & (F.col("depth") == 1)).cast("int")), "depths")
+    rows = _running(rows, "ends", "ended", ["row"]).withColumn("record", F.col("ended") - F.col("ends"))
+    part = F.concat("value", F.when(F.col("braced"), F.lit("}")).otherwise(F.lit("")))
+    pieces = rows.groupBy("file", "folder", "record").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "row", part.alias("part")))), lambda p: p["part"]), "").alias("text"),
+        F.max("ends").alias("ends"), F.max(F.struct("block", "row", "depth", inside_at_end.alias("open"))).alias("last"),
+        F.count_if(F.col("depth") < 0).alias("below"), F.max("end").alias("end"),
+    )
+    at_end = F.struct("last.block", "last.row") == F.col("end")
+    first = F.col("record") == 0
+    begins = F.rlike("text", F.when(first, F.lit(r"^\s*\{")).otherwise(F.lit(r"^\s*,")))
+    # Behind the last record there may be members that are no records, and the end of the map.
+    rest = (F.col("ends") == 0) & ~first
+    body = F.when(begins, F.regexp_replace("text", r"^\s*[{,]", "")).otherwise(F.when(rest, F.col("text")))
+    made = F.concat(F.lit("{"), body, F.when(F.col("ends") == 1, F.lit("}")).otherwise(F.lit("")))
+    # The file must end at depth 0, outside strings, and hold nothing behind its map.
+    over = ~at_end | ((F.col("last.depth") == 0) & ~F.col("last.open") & F.rlike("text", F.lit(r"\}\s*$")))
+    over &= ~F.rlike("text", F.lit(r"^\s*,\s*\}"))  # a comma with nothing behind it
+    pieces = materialize(
+        pieces.select("folder", made.alias("_map_text"), (over & (F.col("below") == 0) & (F.col("ends") + at_end.cast("int") > 0)).alias("_right"), at_end.alias("_closes"), first.alias("_opens")),
+        "maps",
+    )
+    return _scan(pieces)
+
+
+def _scan(pieces: DataFrame) -> "MapScan":
+    """Entries of the pieces of sound files: every piece an object, one of them the begin, one the end."""
+    # As the one item of a list, since the reader overlooks what stands behind a value.
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), "_map_text", F.lit("]"))), "$", "array<variant>")
+    sound = (F.size(items) == 1) & F.startswith(F.ltrim("_map_text"), F.lit("{")) & F.col("_right")
+    broken = (
+        pieces.groupBy("folder")
+        .agg(
+            F.count_if(~F.coalesce(sound, F.lit(False))).alias("bad"),
+            F.count_if("_opens").alias("begins"), F.count_if("_closes").alias("ends"),
+        )
+        .filter((F.col("bad") > 0) | (F.col("begins") != 1) | (F.col("ends") != 1))
+        .select("folder")
+    )
+    good = pieces.join(broken, "folder", "left_anti").select("folder", "_map_text")
+    return MapScan(records_of_map_text(good, "_map_text"), broken)
+
+
 @dataclass
 class MapScan:
     """Entries of a map file per folder, and the folders whose file is not a sound map."""
@@ -114,19 +216,19 @@ def scan_maps(
     """Scan all files called ``name`` under ``root``, only those of its direct folders, or
     (not ``nested``) only the one in ``root`` itself.
 
-    Broken files are those with a piece that is no JSON object or without an end; none of
+    Maps that are indented by two, as they are usually written, are cut at their record ends by
+    the text reader alone. Files that do not read well that way are read once more by their
+    brackets, in any layout. Broken files are those that are no sound map then either; none of
     their records is returned.
     """
-    pieces = _pieces(spark, root, name, one_level, nested)
-    sound = F.try_parse_json("_map_text").isNotNull() & F.startswith("_map_text", F.lit("{"))
-    broken = (
-        pieces.groupBy("folder")
-        .agg(F.count_if(~sound).alias("bad"), F.count_if("_closes").alias("ends"))
-        .filter((F.col("bad") > 0) | (F.col("ends") != 1))
-        .select("folder")
-    )
-    good = pieces.join(broken, "folder", "left_anti").select("folder", "_map_text")
-    return MapScan(records_of_map_text(good, "_map_text"), broken)
+    pieces = _pieces(spark, root, name, one_level, nested).withColumn("_right", F.lit(True))
+    usual = _scan(pieces)
+    other = materialize(usual.broken, "unusual", small=True)
+    if other.isEmpty():
+        return MapScan(usual.records, other)
+    found = _any_layout(spark, root, name, one_level, nested, other)
+    good = pieces.join(other, "folder", "left_anti").select("folder", "_map_text")
+    return MapScan(records_of_map_text(good, "_map_text").unionByName(found.records), found.broken)
 
 
 def _stored(records: DataFrame, schema, keep: list[str]) -> DataFrame:
