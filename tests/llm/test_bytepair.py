@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from heapq import heappop
 
 import numpy as np
 import public_tokenizers
@@ -24,7 +25,7 @@ LIBRARY = tiktoken.Encoding("library", pat_str=PATTERN, mergeable_ranks=dict(TAB
 
 
 def ids(text):
-    return np.frombuffer(CODEC.encode(text), "<u4").tolist()
+    return np.frombuffer(CODEC.encode([text])[0], "<u4").tolist()
 
 
 @settings(max_examples=300, deadline=None)
@@ -32,7 +33,7 @@ def ids(text):
 def test_any_text(text):
     text = text.encode("utf-8", "replace").decode()
     assert ids(text) == LIBRARY.encode_ordinary(text)
-    assert CODEC.decode(np.frombuffer(CODEC.encode(text), "<u4")).tobytes() == text.encode()
+    assert CODEC.decode(np.frombuffer(CODEC.encode([text])[0], "<u4")).tobytes() == text.encode()
 
 
 def test_very_long_pre_tokens():
@@ -51,22 +52,44 @@ def test_every_code_point_beside_others():
 
 def test_memory_turns_over_and_keeps_its_answers(monkeypatch):
     monkeypatch.setattr(bytepair, "REMEMBERED", 50)
+    monkeypatch.setattr(bytepair, "STEP_TOKENS", 20)
     codec = bytepair.Codec(TABLE, PATTERN)
-    words = [f" w{i % 170}" for i in range(2000)]
-    assert np.frombuffer(codec.encode("".join(words)), "<u4").tolist() == LIBRARY.encode_ordinary("".join(words))
-    assert len(codec.young) <= 50 and len(codec.young.old) <= 50
+    texts = ["".join(f" w{i * j % 170}" for i in range(1 + j % 40)) + "x" * (j % 3 * 70) for j in range(300)]
+    got = [np.frombuffer(b, "<u4").tolist() for b in codec.encode(texts)]
+    assert got == LIBRARY.encode_ordinary_batch(texts)
+    assert len(codec.young) <= 50 + 60 and len(codec.old) <= 50 + 60
+    assert max(map(len, codec.young)) <= bytepair.REMEMBERED_BYTES
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aetionrs é", min_size=1, max_size=30), max_size=30))
+def test_pieces_share_a_queue_and_nothing_else(pieces):
+    together = CODEC.merged([p.encode() for p in pieces])
+    assert together == [CODEC.merged([p.encode()])[0] for p in pieces]
+    assert not CODEC.queue.buckets and not any(map(any, CODEC.queue.levels))
+
+
+def test_a_merge_may_make_a_pair_that_goes_first():
+    table = [(bytes([c]), 200 + i) for i, c in enumerate(b"abcd")] + [(b"bc", 50), (b"abc", 3), (b"abcd", 100), (b"cd", 60), (b"bcd", 90)]
+    codec = bytepair.Codec(table, r"\S+")
+    library = tiktoken.Encoding("own", pat_str=r"\S+", mergeable_ranks=dict(table), special_tokens={})
+    for text in ("abcbcd", "bcabcd", "bcbcabcdcd", "abcdabcabbcd" * 30):
+        assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == library.encode_ordinary(text)
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 70_000), st.integers(0, 50)), max_size=80))
-def test_queue_gives_the_lowest_rank_and_leftmost_place(entries):
+def test_queue_gives_the_lowest_rank(entries):
     queue, out = bytepair.RankQueue(70_001), []
     for rank, place in entries:
         queue.push(rank, place)
-    while (least := queue.pop()) is not None:
-        out.append(least)
+    while (rank := queue.lowest()) >= 0:
+        bucket = queue.buckets[rank]
+        out.append((rank, heappop(bucket)))
+        if not bucket:
+            queue.drop(rank)
     assert out == sorted(entries)
-    assert not queue.buckets and not any(any(level) for level in queue.levels)
+    assert not queue.buckets and not any(map(any, queue.levels))
 
 
 def test_all_rows(spark, tmp_path):
@@ -95,4 +118,4 @@ def test_empty_table_and_null_ids(spark):
 
 def test_a_byte_that_is_missing_is_an_error():
     with pytest.raises(KeyError):
-        bytepair.Codec([(b"a", 0)], PATTERN).encode("ab")
+        bytepair.Codec([(b"a", 0)], PATTERN).encode(["ab"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -112,12 +113,14 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(n: int, base: int, name: str) -> np.ndarray:
+    """The first ``n`` powers; a worker keeps those of one step, a longer text's are made anew."""
     have = _powers.get(name)
     if have is None or len(have) < n:
-        size = max(n, STEP_BYTES + 1)
-        steps = np.full(size, np.uint64(base & _MASK))
+        steps = np.full(max(n, STEP_BYTES + 1), np.uint64(base & _MASK))
         steps[0] = 1
-        have = _powers[name] = np.multiply.accumulate(steps)
+        have = np.multiply.accumulate(steps)
+        if n <= STEP_BYTES + 1:
+            _powers[name] = have
     return have[:n]
 
 
@@ -192,6 +195,54 @@ def text_steps(texts: pa.Array, step_bytes: int = STEP_BYTES) -> Iterator[tuple[
         at = to
 
 
+_resident: dict = {}
+
+
+def resident(key, make: Callable[[], object]) -> object:
+    """The one large object that a worker keeps between tasks; another key's takes its place."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]
+
+
+def _start(keeps: bool) -> None:
+    if not keeps:
+        _resident.clear()
+
+
+def _finish() -> None:
+    """Give freed memory back, since an idle worker stays beside its executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # no such call in this C library
+
+
+def tidy(run: Callable[[Iterator], Iterator], keeps: bool = False) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, between which a worker holds no more than it needs.
+
+    ``keeps`` marks runs that use a :func:`resident` object; others free what is held.
+    """
+
+    def tidied(batches: Iterator) -> Iterator:
+        _start(keeps)
+        try:
+            yield from run(batches)
+        finally:
+            _finish()
+
+    return tidied
+
+
+def over_batches(run: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: str, keeps: bool = False):
+    """An Arrow function of one column; ``run`` sees all batches of a task."""
+    tidied = tidy(run, keeps)
+    tidied.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(tidied, kind)
+
+
 def scored(text: Column, scorer: Broadcast, kinds: str, pick: Callable[[object, np.ndarray, np.ndarray], list[pa.Array]]) -> Column:
     """A struct column of what ``pick(model, bytes, offsets)`` gives for runs of whole texts."""
     names = [part.split()[0] for part in kinds.split(",")]
@@ -205,5 +256,4 @@ def scored(text: Column, scorer: Broadcast, kinds: str, pick: Callable[[object,
             else:
                 yield pa.array([], pa.struct([(n, pa.null()) for n in names]))
 
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, f"struct<{', '.join(p.strip().replace(' ', ':') for p in kinds.split(','))}>")(text)
+    return over_batches(run, f"struct<{', '.join(p.strip().replace(' ', ':') for p in kinds.split(','))}>")(text)
