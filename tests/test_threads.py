@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from threadmill.operators import flatten, threads
 from threadmill.operators.lookup import lookup_left
-from threadmill.session import prepare
+from threadmill.session import materialize, prepare
 from threadmill.sources.sinks import write_nested
 
 SCHEMA = "id string, parent_id string, subreddit string, author string, body string, created_epoch bigint"
@@ -109,13 +110,50 @@ def test_sample_counts(spark):
     assert [tuple(threads.sample_counts(df, n).first()) for n in (2, 4)] == [(2, 1), (4, 2)]
 
 
-def test_late_parent_moves_only_its_post(spark):
-    rows = comments(spark, ("a", "t3_p"), ("b", "t1_a"), ("c", "t3_q")).withColumn(
-        "post_id", F.when(F.col("id") == "c", "q").otherwise("p")
-    )
-    touched = spark.createDataFrame([("s", "p")], "subreddit string, post_id string")
-    fresh = threads.refresh_touched_depths(rows, touched)
-    assert {r.id: r.depth for r in fresh.collect()} == {"a": 0, "b": 1}
+def forest_of(rows):
+    return sorted((r.subreddit, r.id, r.parent, r.depth, r.root_id) for r in rows.collect())
+
+
+def grown(spark, batches):
+    """The kept forest after all batches, checked after each against all comments so far."""
+    forest, all_links = spark.createDataFrame([], "subreddit string, id string, parent string, depth int, root_id string"), {}
+    for batch in batches:
+        all_links.update({(s, i): p for s, i, p in batch})
+        links = spark.createDataFrame(batch, "subreddit string, id string, parent_id string")
+        changes = materialize(threads.forest_changes(forest, links), "changes")
+        forest = materialize(threads.with_changes(forest, changes), "forest")
+        rows = spark.createDataFrame([(s, i, p) for (s, i), p in all_links.items()], links.schema)
+        assert forest_of(forest) == forest_of(threads.whole_forest(rows))
+    return forest, changes
+
+
+def test_forest_grows_batch_by_batch(spark):
+    rng = random.Random(7)
+    for _ in range(3):
+        names = [f"c{i}" for i in range(60)]
+        where = {n: rng.choice("st") for n in names}
+        batches = []
+        for b in range(4):
+            rows = []
+            for n in rng.sample(names, 22):
+                kind = rng.random()
+                parent = "t3_p" if kind < 0.15 else None if kind < 0.2 else f"t1_{rng.choice(names)}"
+                rows.append((where[n], n, parent))
+            batches.append(rows)
+        grown(spark, batches)
+
+
+def test_late_parent_takes_over_its_orphans(spark):
+    chain = [("s", f"k{i}", f"t1_k{i - 1}") for i in range(1, 300)]
+    other = [("s", f"o{i}", "t3_p" if i == 0 else "t1_o0") for i in range(200)]
+    forest, changes = grown(spark, [chain + other, [("s", "k0", "t1_o5"), ("s", "o7", "t1_o0")]])
+    assert changes.count() == 300 and changes.agg(F.max("depth")).first()[0] == 301
+    assert threads.forest_changes(forest, spark.createDataFrame(other, "subreddit string, id string, parent_id string")).count() == 0
+
+
+def test_batches_that_close_and_open_cycles(spark):
+    a = [("s", "a", "t1_b"), ("s", "c", "t1_a"), ("s", "d", "t1_c")]
+    grown(spark, [a, [("s", "b", "t1_d")], [("s", "e", "t1_a")], [("s", "c", "t3_p"), ("s", "f", "t1_e")], [("s", "a", "t1_a")]])
 
 
 # --- preview ---------------------------------------------------------------------------

@@ -32,25 +32,36 @@ def _order_key() -> Column:
     return F.struct(F.coalesce("created_epoch", F.lit(0)).alias("epoch"), F.col("id").alias("id"))
 
 
+FOREST = [*KEY, "parent", "depth", "root_id"]
+
+
 def resolve_forest(comments: DataFrame) -> DataFrame:
     """``subreddit, id, depth, root_id`` of every comment.
 
     Top-level comments and orphans are roots with depth 0. A comment on or under a cycle
     keeps a null depth. ``comments`` must be unique on (subreddit, id).
-
-    In the state below ``anc`` is the ancestor ``dist`` hops up that is still to be looked
-    up, and ``top`` the comment just under it; once ``anc`` is null, ``top`` is the root and
-    ``dist`` the depth. A row of it has the same few values whatever the depth.
     """
-    spark = comments.sparkSession
-    folder = fresh_dir(spark, "forest")
     anc = parent_comment_id(F.col("parent_id"))
-    state = comments.select(
-        *KEY,
-        anc.alias("anc"),
-        F.when(anc.isNull(), 0).otherwise(1).alias("dist"),
-        F.col("id").alias("top"),
+    return _double(
+        comments.select(
+            *KEY,
+            anc.alias("anc"),
+            F.when(anc.isNull(), 0).otherwise(1).alias("dist"),
+            F.col("id").alias("top"),
+        )
     )
+
+
+def _double(state: DataFrame) -> DataFrame:
+    """``subreddit, id, depth, root_id`` by pointer doubling.
+
+    In the state ``anc`` is the ancestor ``dist`` hops up that is still to be looked up, and
+    ``top`` the last one known below it; once ``anc`` is null, ``top`` is the root and ``dist``
+    the depth. An ancestor that is not in the state makes ``top`` a root, one hop nearer. A row
+    has the same few values whatever the depth.
+    """
+    spark = state.sparkSession
+    folder = fresh_dir(spark, "forest")
     pending = Observation()
     open_rows = F.count_if(F.col("anc").isNotNull()).alias("n")
     state = materialize(state, "round=0", folder, pending, open_rows)
@@ -92,6 +103,84 @@ def resolve_forest(comments: DataFrame) -> DataFrame:
     return rooted.unionByName(stuck)
 
 
+def whole_forest(comments: DataFrame) -> DataFrame:
+    """The forest of all comments in the form that :func:`forest_changes` goes on from."""
+    links = comments.select(*KEY, parent_comment_id(F.col("parent_id")).alias("parent"))
+    return links.join(resolve_forest(comments), KEY).select(*FOREST)
+
+
+def forest_changes(forest: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of ``forest`` (``FOREST`` columns) that the comments of a batch add or change.
+
+    ``batch`` has ``subreddit, id, parent_id``, unique on the key. A late parent takes over the
+    trees of its orphans as they are: their comments go down by its depth and get its root, found
+    by one join on the root. Only a comment whose own parent has changed has its old tree put
+    together again. Comments that stay as they are give no row, and pointers are doubled over
+    new comments and taken-over roots alone, however large the forest is.
+    """
+    links = batch.select(*KEY, parent_comment_id(F.col("parent_id")).alias("parent"))
+    old = forest.select(*KEY, F.col("parent").alias("had"), F.col("root_id").alias("was_under"), F.lit(True).alias("known"))
+    # The batch is the small side; how it meets the forest is left to Spark.
+    news = links.join(old, KEY, "left").filter(F.col("known").isNull() | ~F.col("parent").eqNullSafe(F.col("had")))
+    news = materialize(news, "news")
+    changed = news.filter("known")
+    trees = changed.filter("was_under IS NOT NULL").select("subreddit", F.col("was_under").alias("root_id")).distinct()
+    some_changed = not changed.isEmpty()
+    keys = news.select(*KEY)
+    loose = forest.limit(0).select(*KEY, "parent")
+    kept = forest
+    if some_changed:
+        # Trees with a changed comment, and all that hangs on cycles, are taken apart.
+        apart = forest.join(trees, ["subreddit", "root_id"], "left_semi").select(*FOREST)
+        apart = apart.unionByName(forest.filter("depth IS NULL").select(*FOREST))
+        loose = apart.join(keys, KEY, "left_anti").select(*KEY, "parent")
+        kept = forest.filter("depth IS NOT NULL").join(trees, ["subreddit", "root_id"], "left_anti")
+    else:
+        stuck = forest.filter("depth IS NULL")
+        if not news.isEmpty() and not stuck.isEmpty():
+            loose = stuck.select(*KEY, "parent")
+            kept = forest.filter("depth IS NOT NULL")
+    nodes = materialize(news.select(*KEY, "parent").unionByName(loose), "loose")
+    if nodes.isEmpty():
+        return forest.limit(0).select(*FOREST)
+
+    # Orphans whose parent has come.
+    own = nodes.select("subreddit", F.col("id").alias("parent"))
+    taken = kept.filter("depth = 0 AND parent IS NOT NULL").join(own, ["subreddit", "parent"], "left_semi")
+    taken = materialize(taken.select(*KEY, "parent"), "taken")
+    # A parent that stays where it is hands on its own root and depth; a root that has been
+    # taken over is one more hop.
+    wanted = nodes.filter("parent IS NOT NULL").select("subreddit", F.col("parent").alias("id")).distinct()
+    above = kept.join(wanted, KEY, "left_semi").select(
+        "subreddit", F.col("id").alias("parent"), F.col("depth").alias("up"), F.col("root_id").alias("over")
+    )
+    gone = taken.select("subreddit", F.col("id").alias("over"), F.lit(True).alias("moves"))
+    above = materialize(above.join(gone, ["subreddit", "over"], "left"), "above")
+    met = nodes.join(above, ["subreddit", "parent"], "left")
+    state = met.select(
+        *KEY,
+        F.when(F.col("up").isNull(), F.col("parent")).when(F.col("moves"), F.col("over")).alias("anc"),
+        F.when(F.col("parent").isNull(), 0).otherwise(1 + F.coalesce("up", F.lit(0))).alias("dist"),
+        F.when(F.col("up").isNull() | F.col("moves"), F.col("id")).otherwise(F.col("over")).alias("top"),
+    )
+    state = state.unionByName(
+        taken.select(*KEY, F.col("parent").alias("anc"), F.lit(1).alias("dist"), F.col("id").alias("top"))
+    )
+    found = materialize(_double(state), "found")
+    placed = nodes.join(found, KEY).select(*FOREST)
+    roots = found.join(taken.select(*KEY), KEY, "left_semi")
+    roots = roots.select("subreddit", F.col("id").alias("root_id"), F.col("depth").alias("down"), F.col("root_id").alias("to"))
+    moved = kept.join(roots, ["subreddit", "root_id"]).select(
+        *KEY, "parent", (F.col("depth") + F.col("down")).alias("depth"), F.col("to").alias("root_id")
+    )
+    return placed.unionByName(moved)
+
+
+def with_changes(forest: DataFrame, changes: DataFrame) -> DataFrame:
+    """The forest after :func:`forest_changes`."""
+    return forest.join(changes.select(*KEY), KEY, "left_anti").select(*FOREST).unionByName(changes.select(*FOREST))
+
+
 def preorder(comments: DataFrame) -> DataFrame:
     """Where each comment stands when its tree is read top down, replies by (time, id).
 
@@ -170,16 +259,6 @@ def with_depth(comments: DataFrame, forest: DataFrame | None = None) -> DataFram
     return comments.drop("depth").join(found.select(*KEY, "depth"), KEY, "left").select(*columns)
 
 
-def refresh_touched_depths(comments: DataFrame, touched_posts: DataFrame) -> DataFrame:
-    """New depths for the comments of the posts a batch touched (``subreddit, post_id``).
-
-    A late parent can only move comments of its own post, so other threads stay as they are.
-    """
-    posts = touched_posts.select("subreddit", "post_id").distinct()
-    affected = comments.join(posts, ["subreddit", "post_id"], "left_semi")
-    return resolve_forest(affected).select(*KEY, "depth")
-
-
 def thread_roots(forest: DataFrame) -> DataFrame:
     """Per root: comments in its tree and deepest level."""
     return (

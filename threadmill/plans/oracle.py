@@ -265,6 +265,10 @@ FROM found f LEFT JOIN posts p ON p.id = f.post_id WHERE len(terms) > 0""",
     "comment_depth": f"WITH RECURSIVE {_COMMENTS}, {_FOREST} SELECT id, depth FROM forest",
     "comments_with_depth": f"""
 WITH RECURSIVE {_COMMENTS}, {_FOREST} SELECT id, depth, author, score, body FROM forest JOIN comments USING (id)""",
+    "late_parent_depth": f"""
+WITH RECURSIVE {_COMMENTS}, {_FOREST}
+SELECT id, CASE WHEN parent_id LIKE 't1#_%' ESCAPE '#' THEN substr(parent_id, 4) END AS parent, depth, root_id
+FROM comments JOIN forest USING (id)""",
     "depth_histogram": f"""
 WITH RECURSIVE {_COMMENTS}, {_FOREST}
 SELECT coalesce(depth, -1) AS depth, count(*) AS comments FROM forest GROUP BY 1""",

@@ -170,6 +170,15 @@ def comments_with_depth(spark: SparkSession, d: str) -> DataFrame:
     return threads.with_depth(fx.comments(spark, d)).select("id", "depth", "author", "score", "body")
 
 
+def late_parent_depth(spark: SparkSession, d: str) -> DataFrame:
+    """Threads kept over two batches: the second brings every third comment, among them parents of earlier ones."""
+    rows = fx.comments(spark, d).select("subreddit", "id", "parent_id")
+    late = F.pmod(F.regexp_extract("id", r"_(\d+)$", 1).cast("int"), F.lit(3)) == 0
+    forest = materialize(threads.whole_forest(rows.filter(~late)), "forest")
+    changes = materialize(threads.forest_changes(forest, rows.filter(late)), "changes")
+    return threads.with_changes(forest, changes).select("id", "parent", "depth", "root_id")
+
+
 def depth_histogram(spark: SparkSession, d: str) -> DataFrame:
     return (
         threads.resolve_forest(fx.comments(spark, d))
@@ -670,6 +679,7 @@ QUERIES = {
     "comment_depth": comment_depth,
     "comments_with_depth": comments_with_depth,
     "depth_histogram": depth_histogram,
+    "late_parent_depth": late_parent_depth,
     "thread_roots": thread_roots,
     "orphans": orphans,
     "child_edges": child_edges,

@@ -5,15 +5,22 @@ what it brings, however large the archive is. The current rows are the base fold
 versions since (``current``), and ``compact`` writes them down as the next base. Each writer
 (the stream, window runs, flag runs) counts its own batches upwards. Posts and comments are
 two such archives.
+
+An archive of comments also keeps the forest of its threads. A batch adds the rows that it changes
+there, so reading the archive joins depths instead of working them out. Batches that the kept
+forest has not seen, whatever the reason, are added when it is read.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.text import partition_name
-from ..operators.threads import resolve_forest, with_depth
+from ..operators.threads import FOREST, KEY, forest_changes, resolve_forest, whole_forest, with_changes, with_depth
 from ..operators.versions import fold_versions, latest
 from ..schemas import COMMENT, POST
 from ..session import prepare
@@ -29,6 +36,11 @@ ARRIVAL = StructType(
     ]
 )
 _COMMITS = "version bigint, path string, upto map<string,bigint>"
+# A forest is the rows at ``paths``, later ones over earlier ones, and knows these batches.
+_FORESTS = "seq bigint, paths array<string>, batches array<string>"
+_TREE_ROWS = "subreddit string, id string, parent string, depth int, root_id string"
+# So many sets of changes are folded when a forest is read; the next one writes it as a whole.
+MOST_CHANGES = 16
 
 
 def _schema(kind: str) -> StructType:
@@ -46,6 +58,7 @@ def create_archive(spark: SparkSession, root: str) -> None:
     for table, columns in (("versions", "id string"), ("progress", "subreddit string"), ("walks", "subreddit string")):
         nothing = spark.createDataFrame([], columns)
         nothing.write.mode("errorifexists").parquet(f"{root}/{table}/writer=none/batch=-1")
+    spark.createDataFrame([(0, [], [])], _FORESTS).coalesce(1).write.mode("errorifexists").parquet(f"{root}/forests")
     _commit(spark, root, 0, None, {}, "error")
 
 
@@ -63,7 +76,7 @@ def append_versions(rows: DataFrame, root: str, kind: str, writer: str, batch_id
     """Add the record versions of one batch and return them; doing it again replaces them.
 
     ``rows`` are in table form with an ``arrival`` column. The batch's progress is kept
-    beside it.
+    beside it, and the kept forest takes in the comments.
     """
     place = f"writer={writer}/batch={batch_id}"
     target = f"{root}/versions/{place}"
@@ -75,6 +88,8 @@ def append_versions(rows: DataFrame, root: str, kind: str, writer: str, batch_id
         .withColumn("kind", F.lit(kind))
         .write.mode("overwrite").parquet(f"{root}/progress/{place}")
     )
+    if kind == "comment":
+        refresh_forest(rows.sparkSession, root)
     return written
 
 
@@ -113,12 +128,74 @@ def current(
     rows = fold_versions(versions, [F.col("arrival")])
     if kind != "comment" or not depth:
         return rows
-    # The threads need few columns: fold those alone instead of the whole rows twice.
-    links = latest(
-        versions.select("subreddit", "id", "parent_id", "arrival"), ["subreddit", "id"],
-        [F.col("arrival")],
+    if without is not None:
+        # One batch is looked away from, so the kept forest does not apply.
+        links = latest(
+            versions.select("subreddit", "id", "parent_id", "arrival"), ["subreddit", "id"],
+            [F.col("arrival")],
+        )
+        return with_depth(rows, resolve_forest(links))
+    forest, _, missing = _kept_forest(spark, root)
+    if missing:
+        forest = with_changes(forest, forest_changes(forest, _links_of(spark, root, missing)))
+    return with_depth(rows, forest)
+
+
+def _kept_forest(spark: SparkSession, root: str):
+    """The forest as it is kept, its commit, and the batches it does not know."""
+    commit = spark.read.schema(_FORESTS).parquet(f"{root}/forests").orderBy(F.desc("seq"), F.desc(F.size("batches"))).first()
+    folded = _last_commit(spark, root)["upto"] or {}
+    there = _versions(spark, root, "comment").select("writer", "batch").distinct().collect()
+    known = set(commit["batches"])
+    missing = sorted(
+        (r["writer"], r["batch"]) for r in there
+        if r["writer"] != "none" and r["batch"] > folded.get(r["writer"], -1) and f"{r['writer']}/{r['batch']}" not in known
     )
-    return with_depth(rows, resolve_forest(links))
+    paths = commit["paths"]
+    if not paths:
+        return spark.createDataFrame([], _TREE_ROWS), commit, missing
+    read = [spark.read.schema(_TREE_ROWS).parquet(p) for p in paths]
+    if len(read) == 1:
+        return read[0], commit, missing
+    rows = reduce(lambda x, y: x.unionByName(y), [df.withColumn("nth", F.lit(i)) for i, df in enumerate(read)])
+    last = F.max_by(F.struct("parent", "depth", "root_id"), "nth")
+    return rows.groupBy(*KEY).agg(last.alias("row")).select(*KEY, "row.*").select(*FOREST), commit, missing
+
+
+def _links_of(spark: SparkSession, root: str, batches: list[tuple[str, int]]) -> DataFrame:
+    """The current parent of every comment that the batches brought."""
+    wanted = spark.createDataFrame(batches, "writer string, batch bigint")
+    keys = _versions(spark, root, "comment").join(F.broadcast(wanted), ["writer", "batch"], "left_semi").select(*KEY).distinct()
+    versions = stored_versions(spark, root, "comment").select(*KEY, "parent_id", "arrival")
+    return latest(versions.join(keys, KEY, "left_semi"), KEY, [F.col("arrival")])
+
+
+def refresh_forest(spark: SparkSession, root: str, whole: bool = False) -> None:
+    """Let the kept forest take in the batches it does not know; ``whole`` writes it anew as one table.
+
+    Two writers at once do no harm: one of their commits counts, and the other's batches are
+    unknown to it until the next refresh.
+    """
+    forest, commit, missing = _kept_forest(spark, root)
+    if not missing and not whole:
+        return
+    path = f"{root}/forest/{uuid.uuid4().hex}"
+    changes = None
+    if missing:
+        links = _links_of(spark, root, missing)
+        changes = forest_changes(forest, links) if commit["paths"] else whole_forest(links)
+    if not commit["paths"]:
+        out, paths = changes if changes is not None else forest, [path]
+    elif whole or len(commit["paths"]) >= MOST_CHANGES:
+        out, paths = forest if changes is None else with_changes(forest, changes), [path]
+    else:
+        out, paths = changes, [*commit["paths"], path]
+    out.select(*FOREST).write.parquet(path)
+    # Batches that the base has taken in need no mention any more.
+    folded = _last_commit(spark, root)["upto"] or {}
+    known = [b for b in commit["batches"] if int(b.rsplit("/", 1)[1]) > folded.get(b.rsplit("/", 1)[0], -1)]
+    row = (commit["seq"] + 1, paths, [*known, *[f"{w}/{b}" for w, b in missing]])
+    spark.createDataFrame([row], _FORESTS).coalesce(1).write.mode("append").parquet(f"{root}/forests")
 
 
 _WALKS = (
@@ -162,6 +239,8 @@ def compact(spark: SparkSession, root: str, kind: str) -> int:
     may be active meanwhile.
     """
     commit = _last_commit(spark, root)
+    if kind == "comment":
+        refresh_forest(spark, root, whole=True)
     reached = _versions(spark, root, kind).groupBy("writer").agg(F.max("batch").alias("last"))
     upto = {**(commit["upto"] or {}), **{r["writer"]: r["last"] for r in reached.collect()}}
     version = commit["version"] + 1
