@@ -109,3 +109,41 @@ def test_masks_and_untouched_rows(spark):
     assert sorted((r for r in after if r in set(before)), key=str) == before
     assert all(not base(r[1]) for r in after if r[1] and "[" in r[1])
     assert sanitise.sanitise(frame(spark, [])).collect() == []
+
+
+def test_far_and_rare_words(spark):
+    """A name in two documents, each with an address, and a word a hundred characters from it."""
+    rng = random.Random(11)
+    docs = [(i, prose(rng, 30), None, None, None) for i in range(600)]
+    filler = " ".join(["the"] * 40)
+    docs += [(1000 + i, f"zarquon {filler} ann{i}@mail.example.com {filler} zarquon", None, None, None) for i in range(2)]
+    docs += [(2000 + i, f"the {prose(rng, 10)} bo{i}@mail.example.com", None, None, None) for i in range(2)]
+    docs += [(3000, "the " + prose(rng, 10), None, None, None)] * 40
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(frame(spark, docs)).where("doc_id >= 1000").collect()}
+    assert clean[1000] == clean[1001] == f" {filler} [EMAIL] {filler} "
+    rare = {w for i in (2000, 2001) for w in re.findall(r"\w+", dict((d[0], d[1]) for d in docs)[i].split(" bo")[0])}
+    kept = {w for i in (2000, 2001) for w in re.findall(r"\w+", clean[i])}
+    assert rare <= kept  # words seen once beside an address prove nothing
+
+
+@pytest.mark.parametrize("size", [200, 60_000])
+def test_pieces_of_long_texts(spark, monkeypatch, size):
+    monkeypatch.setattr(sanitise, "SEGMENT", size)
+    monkeypatch.setattr(sanitise, "PART", 3)
+    rng = random.Random(12)
+    docs = [(i, prose(rng, 80) + (" tellme x@y.zz " + prose(rng, 80) + " Tellme" if i % 9 == 0 else ""), None, None, None) for i in range(120)]
+    found = sanitise.find(frame(spark, docs)).where("size(base_spans) > 0").collect()
+    for r in found:
+        words = [m.span() for m in re.finditer("(?i)tellme", r.text)]
+        assert [(s.start, s.end) for s in r.term_spans] == words and len(words) == 2
+
+
+def test_long_domains_and_many_spans(spark):
+    domain = "a@b" + ".c" * 100_000
+    many = " ".join(f"u{i}@h.org" for i in range(50_000))
+    docs = [(1, domain, None, None, None), (2, many, None, None, None), (3, "plain", None, None, None)]
+    found = {r.doc_id: r for r in sanitise.find(frame(spark, docs)).collect()}
+    assert [tuple(s) for s in found[1].base_spans] == [(0, 0, len(domain))]
+    assert [tuple(s) for s in found[2].base_spans] == base(many)
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(frame(spark, docs)).collect()}
+    assert clean == {1: "[EMAIL]", 2: " ".join(["[EMAIL]"] * 50_000), 3: "plain"}

@@ -142,41 +142,42 @@ def pii_sql() -> str:
         f"""list_transform(list_filter({_matches_sql('t', pattern)}, lambda x: {tests[kind]}),
       lambda x: {{'a': x.a, 'k': {n}, 'b': x.a + length(x.h)}})""" for n, (kind, pattern) in enumerate(_FINDS.items())
     )
-    c = sanitise.CONTEXT
     word = r"[\p{L}\p{N}]+"
     names = "['email', 'ip', 'card', 'phone', 'term']"
     listed = f"array_to_string(list_transform(%s, lambda x: concat({names}[x.k + 1], ':', x.a, ':', x.b)), ',')"
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 based AS (SELECT r, doc_id, t, list_sort({found}) AS base FROM docs),
-sides AS (
-  SELECT r, t, base, unnest(base) AS s FROM based
+blanks AS (
+  SELECT r, base, CASE WHEN len(base) = 0 THEN t ELSE array_to_string(list_transform(string_split(t, ''),
+    lambda c, i: CASE WHEN len(list_filter(base, lambda y: i > y.a AND i <= y.b)) > 0 THEN ' ' ELSE c END), '') END AS t
+  FROM based
 ),
-cuts AS (
-  SELECT r, base, s.k AS k, greatest(s.a - {c}, 0) AS left_at, substr(t, greatest(s.a - {c}, 0) + 1, s.a - greatest(s.a - {c}, 0)) AS l,
-    s.b AS right_at, substr(t, s.b + 1, {c}) AS rt FROM sides
-),
-whole AS (
-  SELECT r, base, k, CASE WHEN left_at > 0 THEN regexp_replace(l, '^{word}', '') ELSE l END AS x, left_at + length(l) AS ends, NULL AS begins FROM cuts
-  UNION ALL
-  SELECT r, base, k, CASE WHEN length(rt) = {c} THEN regexp_replace(rt, '{word}$', '') ELSE rt END, NULL, right_at FROM cuts
-),
-close AS (
-  SELECT DISTINCT r, k, lower(w.h) AS term, coalesce(begins, ends - length(x)) + w.a AS a, coalesce(begins, ends - length(x)) + w.a + length(w.h) AS b, base
-  FROM (SELECT *, unnest({_matches_sql('x', word)}) AS w FROM whole) WHERE length(w.h) >= 3
-),
-free AS (SELECT * FROM close q WHERE len(list_filter(base, lambda y: q.a < y.b AND q.b > y.a)) = 0),
-kinds AS (SELECT s.k AS k, count(DISTINCT r) AS n_kind FROM sides GROUP BY 1),
-both_ AS (SELECT term, k, count(DISTINCT r) AS n_both FROM free GROUP BY term, k HAVING count(DISTINCT r) >= {sanitise.SUPPORT}),
-words AS (SELECT DISTINCT r, unnest(regexp_extract_all(lower(t), '{word}')) AS term FROM docs),
-terms AS (SELECT term, count(*) AS n_term FROM words WHERE term IN (SELECT term FROM both_) GROUP BY term),
+kinds AS (SELECT k, count(*) AS n_kind FROM (SELECT DISTINCT r, s.k AS k FROM (SELECT r, unnest(base) AS s FROM based)) GROUP BY k),
+has AS (SELECT DISTINCT r, s.k AS k FROM (SELECT r, unnest(base) AS s FROM based)),
+words AS (SELECT DISTINCT r, lower(w) AS term FROM (SELECT r, unnest(regexp_extract_all(t, '{word}')) AS w FROM blanks)),
+terms AS (SELECT term, count(*) AS n_term FROM words GROUP BY term),
+both_ AS (SELECT term, k, count(*) AS n_both FROM words JOIN has USING (r) GROUP BY term, k),
+tested AS (SELECT greatest(count(*), 1) AS n_tested FROM terms),
 told AS (
-  SELECT term, k, log2(n_both * n / (n_term * n_kind)) / log2(n / n_kind) AS d
-  FROM both_ JOIN terms USING (term) JOIN kinds USING (k), (SELECT CAST(count(*) AS DOUBLE) AS n FROM docs) WHERE n > n_kind
+  SELECT term, k FROM (
+    SELECT *, log2(n_both * n / (n_term * n_kind)) AS lift, n_term - n_both AS apart
+    FROM both_ JOIN terms USING (term) JOIN kinds USING (k), tested, (SELECT CAST(count(*) AS DOUBLE) AS n FROM docs)
+    WHERE n_kind < n
+  )
+  WHERE round(lift / log2(n / n_kind), 9) >= {sanitise.GENERALISE}
+    AND round(n_both * lift + CASE WHEN apart > 0 THEN apart * log2(apart * n / (n_term * (n - n_kind))) ELSE 0 END, 9) >= round(log2(n_tested), 9)
+),
+-- gaps and words in turn: their lengths add up to places
+placed AS (
+  SELECT r, lower(h) AS term, sum(length(g) + length(h)) OVER (PARTITION BY r ORDER BY i) - length(h) AS a, length(h) AS size
+  FROM (SELECT r, generate_subscripts(regexp_extract_all(t, '(?s)(.*?)({word})', 1), 1) AS i,
+          unnest(regexp_extract_all(t, '(?s)(.*?)({word})', 1)) AS g, unnest(regexp_extract_all(t, '(?s)(.*?)({word})', 2)) AS h
+        FROM blanks WHERE len(base) > 0)
 ),
 hits AS (
-  SELECT r, list(DISTINCT {{'a': a, 'k': 4, 'b': b}}) AS spans
-  FROM free JOIN told USING (term, k) WHERE d >= {sanitise.GENERALISE} GROUP BY r
+  SELECT r, list(DISTINCT {{'a': CAST(a AS BIGINT), 'k': 4, 'b': CAST(a + size AS BIGINT)}}) AS spans
+  FROM placed JOIN told USING (term) JOIN has USING (r, k) GROUP BY r
 )
 SELECT doc_id,
   {', '.join(f"CAST(len(list_filter(base, lambda x: x.k = {n})) AS BIGINT) AS n_{kind}" for n, kind in enumerate(_FINDS))},
