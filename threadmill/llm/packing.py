@@ -15,24 +15,61 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import local_table, ranges_for, ranked
+from threadmill.llm.common import local_table, ranges_for, ranked, resident, tidy
 from threadmill.session import materialize
 
 SEQUENCE = 1024
 #: Words whose ids a worker remembers, in each of two generations.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 100_000
 
 _PIECES = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
 _PLAN = pa.schema([(n, pa.int64()) for n in ("_length", "_from", "_to", "_sequence", "_offset")])
 
 
+# Fixed value: how byte-level tokenizers cut a text.
+_PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(seen)]
+    return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def _rank_encoding(tokenizer):
+    """The same vocabulary as a table of ranks, which is quicker on many words; None if it has not that form.
+
+    A merge must come before another exactly if its token has the smaller id. Both ways must
+    agree on the vocabulary's own words.
+    """
+    import json
+
+    import tiktoken
+
+    spec = json.loads(tokenizer.to_str())
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix"))
+    if not plain or spec.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        return None
+    letters, added = _byte_letters(), {t["content"] for t in spec.get("added_tokens", [])}
+    vocabulary = {t: i for t, i in model["vocab"].items() if t not in added}
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    order = [vocabulary.get(a + b, -1) for a, b in pairs]
+    if order != sorted(set(order)) or -1 in order or not all(set(t) <= letters.keys() for t in vocabulary):
+        return None
+    ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items()}
+    found = tiktoken.Encoding("ranks", pat_str=_PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+    text = " ".join(b.decode("utf-8", "ignore") for b in list(ranks)[:: max(1, len(ranks) // 2000)])
+    return found if found.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids else None
+
+
 class _Ids:
     """Token ids of ``" word"`` as little-endian 32-bit bytes, found for many new words at once.
 
@@ -42,40 +79,62 @@ class _Ids:
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # a leading space
         self.young: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
 
+        self.ranks = _rank_encoding(tokenizer)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of ``" word"`` for words without outer white space, encoded as one text and parted at the spaces."""
+        text = " " + " ".join(words)
+        if self.ranks is not None:
+            found = self.ranks.encode_ordinary(text)
+        else:
+            found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        ids = np.array(found, "<u4")
+        at = np.flatnonzero(self.opens[ids])
+        if len(at) != len(words):
+            return self.encode([" " + w for w in words])
+        raw, ends = ids.tobytes(), (4 * at).tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:] + [len(raw)])]
+
     def learn(self, words: set[str]) -> dict[str, bytes | None]:
-        """A table that has all of ``words``; None for one that white space begins or ends."""
+        """A table that has all of ``words``; None for an empty one and one that white space begins or ends."""
         if len(self.young) > REMEMBERED_WORDS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        new = []
-        for word in words.difference(young):
-            if word in old:
-                young[word] = old[word]
-            elif word[:1].isspace() or word[-1:].isspace():
-                young[word] = None
-            else:
-                new.append(word)
-        young.update(zip(new, self.encode([" " + w for w in new])))
+        new = words.difference(young)
+        known = new.intersection(old)
+        young.update(zip(known, map(old.__getitem__, known)))
+        new -= known
+        plain = [w for w in new if w.strip() == w != ""]
+        if len(plain) < len(new):
+            young.update(dict.fromkeys(new.difference(plain)))
+        for i in range(0, len(plain), 512):
+            part = plain[i : i + 512]
+            young.update(zip(part, self.words(part)))
         return young
 
 
-@lru_cache(2)
 def _ids(path: str) -> _Ids:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return _Ids(tokenizer)
+    def load() -> _Ids:
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        return _Ids(tokenizer)
+
+    return resident(path, load)
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
@@ -87,15 +146,17 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """
     ids = _ids(path)
     split = [t.split(" ") for t in texts]
-    known = ids.learn({w for words in split for w in words[1:]})
-    heads = ids.encode([words[0] for words in split])
+    first = [words[0] for words in split]
+    for words in split:
+        del words[0]
+    known = ids.learn(set().union(*split)).__getitem__
     out: list[bytes] = []
-    for text, words, head in zip(texts, split, heads):
-        found = [known[w] for w in words[1:]]
-        if None in found or "" in words or words[0][-1:].isspace():
-            out += ids.encode([text])
-        else:
-            out.append(head + b"".join(found))
+    for text, head, words, begin in zip(texts, ids.encode(first), split, first):
+        try:
+            found = None if begin[-1:].isspace() else b"".join(map(known, words))
+        except TypeError:  # a word without ids of its own
+            found = None
+        out.append(ids.encode([text])[0] if found is None else head + found)
     return out
 
 
@@ -125,7 +186,7 @@ def pieces(
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     kept = "".join(f", `{c}` long" for c in keep)
-    return docs.select("doc_id", "text", *keep).mapInArrow(cut, _PIECES.format(kind=kind) + kept)
+    return docs.select("doc_id", "text", *keep).mapInArrow(tidy(cut, keeps=True), _PIECES.format(kind=kind) + kept)
 
 
 def pack_histogram(counts: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
