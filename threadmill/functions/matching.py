@@ -37,6 +37,32 @@ def plain_run_of(word: Column) -> Column:
     )
 
 
+_RUN = r"[\p{L}\p{N}_]+"
+# Letters whose upper or lower case is more than one letter. The regex engine compares letter by
+# letter, so words with one of them are left to it.
+_ODD_LETTERS = "".join(c for c in map(chr, range(0x80, 0x10000)) if len(c.upper()) > 1 or len(c.lower()) > 1)
+
+
+def has_odd_letters(text: Column) -> Column:
+    return F.rlike(text, F.lit(f"[{_ODD_LETTERS}]"))
+
+
+def folded(words: Column) -> Column:
+    """Words in a form that is equal exactly where the regex engine takes them for equal in any case."""
+    # The empty text keeps the optimizer from taking two changes of case for one.
+    return F.lower(F.concat(F.upper(words), F.lit("")))
+
+
+def is_indexable(word: Column) -> Column:
+    """The word is one run of word characters, so it stands alone exactly where such a run equals it."""
+    return F.rlike(word, F.lit(f"^{_RUN}$")) & ~has_odd_letters(word)
+
+
+def words_of(text: Column) -> Column:
+    """The distinct runs of word characters of a text, folded."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(f"({_RUN})"), F.lit(1)), folded))
+
+
 def has_word(text: Column, word: str, low: Column | None = None) -> Column:
     """The word stands alone in the text, in any case. ``low`` is the lowercased text."""
     hit = F.rlike(text, F.lit(word_pattern(word)))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import jobspec as J
-from ..functions.matching import job_clauses, plain_run_of, word_pattern_of
+from ..functions.matching import folded, has_odd_letters, is_indexable, job_clauses, plain_run_of, word_pattern_of, words_of
 from ..functions.text import partition_name
 from ..functions.times import job_date_epoch
 from ..schemas import DEFAULT_WINDOW_DAYS, JOB_FIELDS, JOB_KEY_PREFIX
+from ..session import materialize
 from .flagging import record_text
 
 # Records of one subreddit are spread over this many join keys.
@@ -18,6 +19,8 @@ MOST_DAYS = 1_000_000
 MOST_PAGES = 1_000_000_000
 # Records a provider sends per page.
 PAGE_SIZE = 100
+# Records of so many seconds are counted together to find where a job's first pages end.
+PAGE_SPAN = 3600
 
 
 def job_entries(
@@ -199,20 +202,28 @@ def _terms(words: str) -> Column:
 
 
 def job_targets(jobs: DataFrame) -> DataFrame:
-    """Good jobs, one row per subreddit they ask for, with their clauses made ready."""
-    ready = jobs.filter(F.col("error").isNull()).withColumn(
-        "clauses",
-        F.struct(
-            _terms("all_words").alias("all_terms"),
-            _terms("any_words").alias("any_terms"),
-            _terms("none_words").alias("none_terms"),
-            F.lower("exact_phrase").alias("phrase"),
-        ),
+    """Good jobs, one row per subreddit they ask for, with their clauses made ready.
+
+    ``words`` holds the folded words of a job that :func:`match_jobs` can look up, and is null
+    for a job with other words.
+    """
+    plain = F.forall(F.concat("all_words", "any_words", "none_words"), is_indexable)
+    lists = [F.array_distinct(F.transform(f"{n}_words", folded)).alias(n) for n in ("all", "any", "none")]
+    ready = jobs.filter(F.col("error").isNull()).withColumns(
+        {
+            "clauses": F.struct(
+                _terms("all_words").alias("all_terms"),
+                _terms("any_words").alias("any_terms"),
+                _terms("none_words").alias("none_terms"),
+                F.lower("exact_phrase").alias("phrase"),
+            ),
+            "words": F.when(plain, F.struct(*lists)),
+        }
     )
     return ready.select(
         "job_id",
         F.posexplode("subreddits").alias("position", "target"),
-        "after_epoch", "before_epoch", "fetch_posts", "fetch_comments", "clauses", "max_pages",
+        "after_epoch", "before_epoch", "fetch_posts", "fetch_comments", "clauses", "words", "max_pages",
     )
 
 
@@ -221,49 +232,155 @@ def match_jobs(
 ) -> DataFrame:
     """Every (job, record) pair that fits: subreddit, then window, then text clauses.
 
-    ``kind`` is ``post`` or ``comment``. A job with ``max_pages`` sees only its first pages of
-    a subreddit, the earliest records of its window by (time, id), and its clauses choose
-    among those. Records carry a salt and targets come once per salt, so even when the job
-    table is too large for Spark to broadcast, the records of one subreddit go to many tasks.
-    The text is only looked at for pairs that fit otherwise.
+    ``kind`` is ``post`` or ``comment``; ``records`` are unique on (subreddit, id). A job with
+    ``max_pages`` sees only its first pages of a subreddit, the earliest records of its window by
+    (time, id), and its clauses choose among those.
+
+    Words are looked up: the words of a record meet the distinct words of all jobs in one equal
+    join, and counting a pair's hits decides its clauses. No pattern runs for a pair. Only jobs with
+    words that are no plain words, and records with letters that change their number with the
+    case, go through patterns. Until pairs are decided, only keys and words are shuffled.
     """
     wanted = targets.filter("fetch_posts" if kind == "post" else "fetch_comments")
-    fits = _fits(records)
-    free = _pairs(records, wanted.filter("max_pages IS NULL"), fits)
-    first = _pairs(records, wanted.filter("max_pages IS NOT NULL"), F.lit(True))
-    first = _first_records(first, F.col("max_pages") * page_size).filter(fits)
+    # Jobs may share an id; a row of the targets is one job and one subreddit.
+    wanted = materialize(wanted.withColumn("_ask", F.monotonically_increasing_id()), "wanted", small=True)
+    text = record_text(records)
+    odd = has_odd_letters(text)
+    plain, special = wanted.filter("words IS NOT NULL"), wanted.filter("words IS NULL")
     names = ["job_id", *records.columns]
-    return free.select(*names).unionByName(first.select(*names))
+    paged = _paged(records, wanted, page_size)
+    found = _by_words(records.filter(~odd), plain, text, paged).select(*names)
+    by_pattern = _by_pattern(records, special, paged).select(*names)
+    return found.unionByName(by_pattern).unionByName(_by_pattern(records.filter(odd), plain, paged).select(*names))
 
 
-def _fits(records: DataFrame) -> Column:
-    text = record_text(records)
-    return F.transform(
-        F.array(F.struct(text.alias("text"), F.lower(text).alias("low"))),
-        lambda t: job_clauses(t["text"], t["low"], F.col("clauses")),
-    )[0]
+def _salted(targets: DataFrame) -> DataFrame:
+    return targets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _salt() -> Column:
+    """Records of one subreddit go to many tasks, even when the targets are too many to broadcast."""
+    return F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+
 
+_IN_WINDOW = "created_epoch >= after_epoch AND created_epoch < before_epoch"
 
-def _pairs(records: DataFrame, wanted: DataFrame, fits: Column) -> DataFrame:
-    salted = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = records.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+
+def _paged(records: DataFrame, targets: DataFrame, page_size: int) -> DataFrame | None:
+    """``_ask, subreddit, id`` of the first pages; None if no job asks for pages.
+
+    Counts per span of time tell until when a target's pages can last; only keys from before then
+    are looked at.
+    """
+    first = targets.filter("max_pages IS NOT NULL").select(
+        "_ask", "target", "after_epoch", "before_epoch", (F.col("max_pages") * page_size).alias("most")
+    )
+    if first.isEmpty():
+        return None
+    keys = records.select("subreddit", "id", "created_epoch")
+    span = F.floor(F.col("created_epoch") / PAGE_SPAN)
+    counts = keys.filter("created_epoch IS NOT NULL").groupBy(F.col("subreddit").alias("target"), span.alias("span")).agg(F.count("*").alias("n"))
+    # Spans that begin in the window; the one that the window begins in counts for nothing.
+    inside = (F.col("span") * PAGE_SPAN >= F.col("after_epoch")) & (F.col("span") * PAGE_SPAN < F.col("before_epoch"))
+    upto = F.sum("n").over(Window.partitionBy("_ask").orderBy("span"))
+    ends = first.join(counts, "target").filter(inside).withColumn("upto", upto).filter("upto >= most")
+    ends = ends.groupBy("_ask").agg(((F.min("span") + 1) * PAGE_SPAN).alias("until"))
+    limited = first.join(ends, "_ask", "left").withColumn(
+        "before_epoch", F.coalesce(F.least("until", "before_epoch"), "before_epoch")
+    )
+    keys = keys.withColumn("_salt", _salt()).withColumn("target", F.col("subreddit"))
+    pairs = keys.join(_salted(limited), ["target", "_salt"]).filter(_IN_WINDOW)
+    return _first_records(pairs, F.col("most")).select("_ask", "subreddit", "id")
+
+
+def _by_words(records: DataFrame, targets: DataFrame, text: Column, paged: DataFrame | None) -> DataFrame:
+    """The pairs of plain jobs and records, decided by counting the words they share."""
+    keys = ["subreddit", "id", "created_epoch"]
+    job = ["_ask", "target", "after_epoch", "before_epoch"]
+    asked = targets.select(
+        *job,
+        F.size("words.all").alias("n_all"), F.size("words.any").alias("n_any"),
+        F.explode(_listed()).alias("w"),
+    ).select(*job, "n_all", "n_any", "w.word", "w.list")
+    words = records.select(*keys, F.explode(words_of(text)).alias("word"))
+    words = words.join(asked.select("word").distinct(), "word", "left_semi").withColumn("_salt", _salt())
+    meets = (
+        (F.col("subreddit") == F.col("target")) & (F.col("r.word") == F.col("j.word"))
+        & (F.col("r._salt") == F.col("j._salt")) & F.expr(_IN_WINDOW)
+    )
+    hits = words.alias("r").join(_salted(asked).alias("j"), meets)
+    # A row of ``asked`` is a word once per list, so rows are distinct words.
+    counted = hits.groupBy("_ask", "subreddit", "id").agg(
+        *[F.count_if(F.col("list") == n).alias(f"hit_{n}") for n in ("all", "any", "none")],
+        F.first("n_all").alias("n_all"), F.first("n_any").alias("n_any"),
+    )
+    positive = counted.filter("(n_all > 0 OR n_any > 0) AND hit_all = n_all AND (n_any = 0 OR hit_any > 0) AND hit_none = 0")
+    # Jobs that only leave words out: all records of their window but those with such a word.
+    open_jobs = targets.filter("size(words.all) = 0 AND size(words.any) = 0")
+    bare = F.size("words.none") > 0
+    rest = records.select(*keys, (text != "").alias("_has_text")).withColumn("_salt", _salt())
+    opened = open_jobs.select(*job, bare.alias("bare"), F.col("clauses.phrase").isNotNull().alias("quoted"))
+    free = rest.alias("r").join(
+        _salted(opened).alias("j"),
+        (F.col("subreddit") == F.col("target")) & (F.col("r._salt") == F.col("j._salt")) & F.expr(_IN_WINDOW)
+        & (F.col("_has_text") | ~(F.col("bare") | F.col("quoted"))),
+    ).select("_ask", "subreddit", "id")
+    free = free.join(counted.filter("hit_none > 0").select("_ask", "subreddit", "id"), ["_ask", "subreddit", "id"], "left_anti")
+    pairs = positive.select("_ask", "subreddit", "id").unionByName(free)
+    if paged is not None:
+        limited = targets.filter("max_pages IS NOT NULL").select("_ask")
+        shown = pairs.join(limited, "_ask", "left_semi").join(paged, ["_ask", "subreddit", "id"], "left_semi")
+        pairs = pairs.join(limited, "_ask", "left_anti").unionByName(shown)
+    pairs = pairs.join(targets.select("_ask", "job_id", F.col("clauses.phrase").alias("_phrase")), "_ask")
+    said = F.col("_phrase").isNull() | F.contains(F.lower(text), F.col("_phrase"))
+    return records.join(pairs, ["subreddit", "id"]).filter(said)
+
+
+def _listed() -> Column:
+    """The words of a job with the list each stands in."""
+    def of(name: str) -> Column:
+        return F.transform(f"words.{name}", lambda w: F.struct(w.alias("word"), F.lit(name).alias("list")))
+
+    return F.concat(of("all"), of("any"), of("none"))
+
+
+def _by_pattern(records: DataFrame, targets: DataFrame, paged: DataFrame | None) -> DataFrame:
+    """The pairs that fit by the patterns of their words; few records or few jobs.
+
+    Records carry a salt and targets come once per salt. The text is only looked at for pairs
+    that fit otherwise.
+    """
+    rows = records.withColumn("_salt", _salt())
+    salted = _salted(targets)
     # The clauses come last in the one condition: as a filter of its own, Spark would put
     # them in front of the window test.
-    return rows.join(
+    pairs = rows.join(
         salted,
         (F.col("subreddit") == F.col("target"))
         & (rows["_salt"] == salted["_salt"])
-        & (F.col("created_epoch") >= F.col("after_epoch"))
-        & (F.col("created_epoch") < F.col("before_epoch"))
-        & fits,
-    ).withColumn("_part", rows["_salt"])
+        & F.expr(_IN_WINDOW)
+        & _fits(records),
+    )
+    if paged is None:
+        return pairs
+    limited = F.col("max_pages").isNotNull()
+    shown = pairs.filter(limited).join(paged, ["_ask", "subreddit", "id"], "left_semi")
+    return pairs.filter(~limited).select("job_id", *records.columns).unionByName(shown.select("job_id", *records.columns))
+
+
+def _fits(records: DataFrame) -> Column:
+    text = record_text(records)
+    return F.transform(
+        F.array(F.struct(text.alias("text"), F.lower(text).alias("low"))),
+        lambda t: job_clauses(t["text"], t["low"], F.col("clauses")),
+    )[0]
 
 
 def _first_records(pairs: DataFrame, most: Column) -> DataFrame:
     """The earliest ``most`` pairs of each target, first within each salt, so that no task
     sorts all records of a hot subreddit."""
     order = [F.col("created_epoch"), F.col("id")]
-    for keys in (["job_id", "target", "_part"], ["job_id", "target"]):
+    for keys in (["_ask", "_salt"], ["_ask"]):
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         pairs = pairs.withColumn("_place", place).filter(F.col("_place") <= most)
     return pairs

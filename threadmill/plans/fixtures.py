@@ -192,5 +192,22 @@ def nation_jobs(spark: SparkSession, sf_dir: str, pages: bool = False) -> DataFr
     )
 
 
+# Words that customers' jobs ask for; some are common in the given texts, some are not there.
+JOB_WORDS = ["the", "of", "and", "und", "die", "le", "de", "la", "et", "que", "for", "that", "this", "nicht", "ein", "zu", "été", "è", "quixotic", "zebra"]
+
+
+def customer_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One search job per customer: many jobs that share few words."""
+    word = f"element_at(array({', '.join(repr(w) for w in JOB_WORDS)}), CAST(%s AS INT) %% {len(JOB_WORDS)} + 1)"
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"""concat('{{"scraping_arg_id": "c', c_custkey, '", "scraping_arg": {{"target": ["src', c_custkey % 20, '"],
+           "startDate": "2024-01-0', c_custkey % 9 + 1, '", "endDate": "2024-01-1', c_custkey % 10, '"',
+           CASE WHEN c_custkey % 4 < 2 THEN concat(', "allWords": ["', {word % 'c_custkey'}, '", "', upper({word % '(c_custkey + 1)'}), '"]') ELSE '' END,
+           CASE WHEN c_custkey % 3 = 0 THEN concat(', "anyWords": ["', {word % '(c_custkey * 7)'}, '", "', {word % '(c_custkey * 3 + 5)'}, '"]') ELSE '' END,
+           CASE WHEN c_custkey % 5 = 1 THEN concat(', "noneWords": ["', {word % '(c_custkey * 11 + 2)'}, '"]') ELSE '' END,
+           CASE WHEN c_custkey % 7 = 0 THEN ', "maxPages": 2' ELSE '' END, '}}}}') AS payload"""
+    )
+
+
 # "Now" of the jobs above: 2024-01-25T00:00:00Z.
 JOBS_NOW = START + 24 * DAY

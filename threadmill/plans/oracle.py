@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .fixtures import DAY, JOBS_NOW, START
+from .fixtures import DAY, JOB_WORDS, JOBS_NOW, START
 
 _A, _B = START + 4 * DAY, START + 19 * DAY
 _ISO = "'%Y-%m-%dT%H:%M:%S+00:00'"
@@ -199,6 +199,33 @@ matched AS (
 
 
 
+def _job_word(number: str) -> str:
+    return f"[{', '.join(repr(w) for w in JOB_WORDS)}][({number}) % {len(JOB_WORDS)} + 1]"
+
+
+# A job per customer, decided on the lists of a record's words.
+_MANY = rf"""
+jobs AS (
+  SELECT c_custkey AS k, concat('c', c_custkey) AS job_id, concat('src', c_custkey % 20) AS target,
+    {START} + (c_custkey % 9) * {DAY} AS after_epoch, {START} + (c_custkey % 10 + 10) * {DAY} - 1 AS before_epoch,
+    CASE WHEN c_custkey % 4 < 2 THEN [{_job_word('c_custkey')}, {_job_word('c_custkey + 1')}] ELSE [] END AS all_words,
+    CASE WHEN c_custkey % 3 = 0 THEN [{_job_word('c_custkey * 7')}, {_job_word('c_custkey * 3 + 5')}] ELSE [] END AS any_words,
+    CASE WHEN c_custkey % 5 = 1 THEN [{_job_word('c_custkey * 11 + 2')}] ELSE [] END AS none_words
+  FROM customer),
+records AS (
+  SELECT 'post' AS type, id, subreddit, created_epoch, body_text AS t FROM posts
+  UNION ALL SELECT 'comment', id, subreddit, created_epoch, coalesce(body, '') FROM comments),
+worded AS (SELECT *, list_transform(regexp_extract_all(t, '[\p{{L}}\p{{N}}_]+'), lambda x: lower(x)) AS w FROM records),
+pairs AS (
+  SELECT j.*, r.*, row_number() OVER (PARTITION BY k, type ORDER BY created_epoch, id) AS place
+  FROM jobs j JOIN worded r ON r.subreddit = j.target AND created_epoch >= after_epoch AND created_epoch < before_epoch)
+SELECT job_id, type, id, subreddit, created_epoch FROM pairs
+WHERE (k % 7 > 0 OR place <= 10)
+  AND (len(all_words) + len(any_words) + len(none_words) = 0 OR (t <> '' AND list_has_all(w, all_words)
+    AND (len(any_words) = 0 OR list_has_any(w, any_words)) AND NOT list_has_any(w, none_words)))
+"""
+
+
 def _paged(matched: str) -> str:
     """The same matches where a job with an even number sees its first 5 to 15 records only."""
     head, tail = matched.split("  FROM targets JOIN records", 1)
@@ -449,6 +476,7 @@ SELECT job_id, CAST(after_epoch AS BIGINT) AS after_epoch, CAST(before_epoch AS
 FROM w2""",
     "job_matches": f"""
 WITH {_POSTS}, {_COMMENTS}, {_MATCHED} SELECT job_id, type, id, subreddit, created_epoch FROM matched""",
+    "job_matches_many": f"WITH {_POSTS}, {_COMMENTS}, {_MANY}",
     "job_target_stats": _JOB_STATS,
     "job_first_pages": f"""
 WITH {_POSTS}, {_COMMENTS}, {_paged(_MATCHED)} SELECT job_id, type, id, subreddit, created_epoch FROM matched""",

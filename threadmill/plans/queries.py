@@ -621,6 +621,18 @@ def job_matches(spark: SparkSession, d: str) -> DataFrame:
     return _job_records(spark, d).select("job_id", "type", "id", "subreddit", "created_epoch")
 
 
+def job_matches_many(spark: SparkSession, d: str) -> DataFrame:
+    """Matches of a job per customer, some of first pages of five records only."""
+    parsed = jobs.parse_jobs(jobs.job_entries(fx.customer_jobs(spark, d), "payload"))
+    targets = jobs.job_targets(materialize(jobs.job_windows(parsed, fx.JOBS_NOW), "jobs"))
+    found = timeline.timeline_rows(
+        jobs.match_jobs(fx.posts(spark, d), targets, "post", page_size=5),
+        jobs.match_jobs(fx.comments(spark, d), targets, "comment", page_size=5),
+        extra=["job_id"],
+    )
+    return found.select("job_id", "type", "id", "subreddit", "created_epoch")
+
+
 def job_target_stats(spark: SparkSession, d: str) -> DataFrame:
     targets = _ready_targets(spark, d)
     listed = targets.select("job_id", "target", "position")
@@ -717,6 +729,7 @@ QUERIES = {
     "job_specs": job_specs,
     "job_windows": job_windows,
     "job_matches": job_matches,
+    "job_matches_many": job_matches_many,
     "job_target_stats": job_target_stats,
     "job_counts": job_counts,
     "job_first_pages": job_first_pages,
