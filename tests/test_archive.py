@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -244,3 +245,19 @@ def test_large_compact_map_has_many_tasks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert tuple(seen) == (30_000, sum(range(30_000)), len(body))
+
+
+def test_keywords_of_a_table_are_those_of_a_list(spark):
+    rng = random.Random(3)
+    letters = "abé \nİ😀."
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(80)] + ["", None, "ABÉ aBé"]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(60)] + ["ABÉ", "  ", "", "not there", "😀", "a"]
+    rows = spark.createDataFrame([(f"c{i}", "s", t) for i, t in enumerate(texts)], "id string, subreddit string, body string")
+    table = spark.createDataFrame([(w,) for w in [*words, None]], "word string")
+    one = flagging.find_terms(rows, words).select("id", "terms").collect()
+    other = flagging.find_terms_of(rows, table, "word").select("id", "terms").collect()
+    assert {r.id: r.terms for r in other} == {r.id: r.terms for r in one} and len(other) == len(rows.collect())
+    none = flagging.find_terms_of(rows, table.filter("word = ''"), "word").collect()
+    assert all(r.terms == [] for r in none) and len(none) == len(texts)
+    hits = flagging.annotate_hits_of(rows, table, "word")
+    assert hits.count() == sum(bool(r.terms) for r in one) and hits.filter("flagged AND flag_reason IS NOT NULL").count() == hits.count()

@@ -13,8 +13,12 @@ from ..schemas import (
     FLAGGED_POST_COLUMNS,
     POST,
 )
+from ..session import materialize
 from .lookup import lookup_left
 
+# Longer keywords are looked up by stretches of so many characters.
+MOST_GRAM = 3
+
 
 def record_text(df: DataFrame) -> Column:
     """The text of a record: title and self text of a post, body of a comment."""
@@ -54,9 +58,55 @@ def has_terms(keywords: list[str], regexes: list[str] | None = None) -> bool:
     return bool(phase2_keywords(keywords) or phase2_regexes(regexes))
 
 
+def _grams(text: Column, size: int) -> Column:
+    """The distinct stretches of ``size`` characters of a text."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+
+
+def find_terms_of(df: DataFrame, keywords: DataFrame, keyword: str, keys: list[str] | None = None) -> DataFrame:
+    """``df`` with ``terms``, the sorted distinct keywords of a table that occur in each record now.
+
+    The same as :func:`find_terms` for any number of keywords; records are unique on ``keys``
+    (subreddit and id). Each keyword is stored under the one of its three-character stretches
+    that the fewest records hold. The stretches of the records meet these in an equal join, and
+    only the keywords met that way are looked for in the text. A shorter keyword is its own stretch.
+    """
+    keys = keys or ["subreddit", "id"]
+    low = F.lower(record_text(df))
+    words = keywords.select(F.lower(keyword).alias("term")).filter(F.rlike("term", F.lit(r"(?U)\S"))).distinct()
+    words = materialize(words.withColumn("size", F.least(F.char_length("term"), F.lit(MOST_GRAM))), "keywords", small=True)
+    sizes = sorted(r["size"] for r in words.select("size").distinct().collect())  # at most MOST_GRAM
+    if not sizes:
+        return df.withColumn("terms", F.array().cast("array<string>"))
+    grams = F.array_distinct(F.flatten(F.array(*[_grams(low, n) for n in sizes])))
+    of_size = F.coalesce(*[F.when(F.col("size") == n, _grams(F.col("term"), n)) for n in sizes])
+    stored = words.select("term", F.explode(of_size).alias("gram"))
+    held = df.select(*keys, F.explode(grams).alias("gram"))
+    counts = held.select("gram").join(stored.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    # A stretch that no record holds is the rarest: its keyword occurs nowhere.
+    rarest = stored.join(counts, "gram", "left").groupBy("term").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("least")
+    )
+    rarest = materialize(rarest.filter("least.n > 0").select("term", F.col("least.gram").alias("gram")), "rarest")
+    met = held.join(rarest, "gram").groupBy(*keys).agg(F.collect_set("term").alias("_met"))
+    here = F.filter("_met", lambda t: F.contains(low, t))
+    # Without a keyword the list is empty, not null.
+    found = F.coalesce(F.array_sort(here), F.array().cast("array<string>"))
+    return df.join(met, keys, "left").select(*df.columns, found.alias("terms"))
+
+
 def annotate_hits(df: DataFrame, keywords: list[str], regexes: list[str] | None = None) -> DataFrame:
     """The matching records alone, with their flag columns set."""
-    hits = find_terms(df, keywords, regexes).filter(F.size("terms") > 0)
+    return _hits(find_terms(df, keywords, regexes))
+
+
+def annotate_hits_of(df: DataFrame, keywords: DataFrame, keyword: str) -> DataFrame:
+    """The same for the keywords of a table."""
+    return _hits(find_terms_of(df, keywords, keyword))
+
+
+def _hits(found: DataFrame) -> DataFrame:
+    hits = found.filter(F.size("terms") > 0)
     return hits.withColumns(
         {
             "flagged": F.lit(True),

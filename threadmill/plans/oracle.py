@@ -274,6 +274,15 @@ WHERE ({_word('body', 'the')} OR {_word('body', 'la')} OR {_word('body', 'die')}
 WITH {_WALKS} SELECT id, subreddit, kind, created_epoch FROM walks
 WHERE subreddit IN ('src1', 'src4', 'src7') AND created_epoch >= {_A} AND created_epoch < {_B}""",
     "flag_keywords": _flag_sql(_KEYWORDS, {}),
+    "flag_many_keywords": rf"""
+WITH {_POSTS}, {_COMMENTS},
+words AS (SELECT unnest(regexp_split_to_array(text, '\s+')) AS w FROM benchmark),
+terms AS (
+  SELECT DISTINCT lower(w) AS term FROM (SELECT w FROM words UNION ALL SELECT substr(w, 2, 2) FROM words
+    UNION ALL SELECT unnest(string_split(p_name, ' ')) FROM part) WHERE trim(w) <> ''),
+records AS (SELECT 'post' AS type, id, lower(body_text) AS t FROM posts UNION ALL SELECT 'comment', id, lower(body) FROM comments)
+SELECT type, id, 'keyword-match' AS flag_reason, array_to_string(list_sort(list(term)), ', ') AS matched_terms
+FROM records JOIN terms ON contains(t, term) GROUP BY type, id""",
     "flag_regex": _flag_sql([], _REGEXES),
     "flag_counts": f"""
 WITH {_POSTS}, {_COMMENTS}

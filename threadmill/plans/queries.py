@@ -130,6 +130,19 @@ def flag_keywords(spark: SparkSession, d: str) -> DataFrame:
     return _flagged(spark, d, KEYWORDS, [])
 
 
+def flag_many_keywords(spark: SparkSession, d: str) -> DataFrame:
+    """Records flagged by a table of keywords: all words of the benchmark's texts, parts of them, and names of parts."""
+    words = fx.table(spark, d, "benchmark").select(F.explode(F.split("text", "\\s+")).alias("word"))
+    parts = words.select(F.substring("word", 2, 2).alias("word"))
+    names = fx.table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("word"))
+    keywords = words.unionByName(parts).unionByName(names)
+    found = []
+    for kind, rows in (("post", fx.posts(spark, d)), ("comment", fx.comments(spark, d))):
+        hits = flagging.annotate_hits_of(rows, keywords, "word")
+        found.append(hits.select(F.lit(kind).alias("type"), "id", "flag_reason", list_cell(F.col("matched_terms")).alias("matched_terms")))
+    return found[0].unionByName(found[1])
+
+
 def flag_regex(spark: SparkSession, d: str) -> DataFrame:
     return _flagged(spark, d, [], REGEXES)
 
@@ -684,6 +697,7 @@ QUERIES = {
     "filter_comments": filter_comments,
     "window_slice": window_slice,
     "flag_keywords": flag_keywords,
+    "flag_many_keywords": flag_many_keywords,
     "flag_regex": flag_regex,
     "flag_counts": flag_counts,
     "flagged_posts_report": flagged_posts_report,
