@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from threadmill.operators import ledger
 from threadmill.operators import progress as P
 from threadmill.operators.normalize import normalize_comments
 from threadmill.operators.threads import with_depth
@@ -195,3 +196,40 @@ def test_walk_progress_of_a_run_skips_it_next_time(spark):
     records = spark.createDataFrame([("s", "posts", 5)], "subreddit string, kind string, created_epoch bigint")
     summary = P.checkpoint_summary(records, "dump", 0, 10)
     assert summary.first().status == "in_progress" and P.remaining(records, summary, "dump", 0, 10).count() == 1
+
+
+def test_slices_fall_back_and_open_ones_are_repeated(spark, tmp_path):
+    root = archive(spark, tmp_path, "p")
+    hour = 3600
+    main = raw(spark, rp("a", at=10), rp("b", at=hour + 5), rp("c", at=2 * hour + 5), rp("q", at=20, sub="t"))
+    mirror = raw(spark, rp("a", title="mirror", at=10), rp("b", title="mirror", at=hour + 5), rp("b2", at=hour + 6), rp("c", title="mirror", at=2 * hour + 5))
+    columns = "subreddit string, kind string, backend string, from_epoch bigint, to_epoch bigint"
+    broken = [("s", "posts", "main", hour + 100, hour + 200), ("s", "posts", "main", 2 * hour, 2 * hour + 1), ("s", "posts", "mirror", 2 * hour + 5, 2 * hour + 6)]
+    window = (0, 3 * hour)
+
+    def go(batch, fails, **kw):
+        failures = spark.createDataFrame(fails, columns)
+        done = runs.sliced_run(spark, {"main": main, "mirror": mirror}, root, "post", ["s", "T "], window, batch, DAY1, failures, slice_seconds=hour, **kw)
+        return {r.subreddit: (r.backend, r.status, r.cursor_epoch, r.items_fetched) for r in done.collect()}
+
+    def rows():
+        return {r.id: r.title for r in store.current(spark, root, "post").collect()}
+
+    for _ in range(2):  # the second time the batch is replayed
+        assert go(0, broken) == {"s": ("main", "in_progress", 2 * hour, 3), "t": ("main", "complete", 3 * hour, 1)}
+        assert rows() == {"a": "t", "b": "mirror", "b2": "t", "q": "t"}
+    kept = {(r.subreddit, r.slice_start): (r.source, r.failed, r.records) for r in store.ledger(spark, root).collect()}
+    assert kept["s", hour] == ("mirror", ["main"], 2) and kept["s", 2 * hour] == (None, ["main", "mirror"], 0) and len(kept) == 6
+    own = spark.createDataFrame([("s", ["nobody", "mirror"])], "subreddit string, backends array<string>")
+    assert go(1, [], backends=own)["s"] == ("main", "complete", 3 * hour, 4)
+    assert rows() == {"a": "t", "b": "mirror", "b2": "t", "q": "t", "c": "mirror"}
+    assert go(2, [])["s"][1] == "complete" and store.current(spark, root, "post").count() == 5
+
+
+def test_slices_of_cut_windows(spark):
+    walks = spark.createDataFrame([("s", 50, 250, ["x", "y"]), ("e", 7, 7, ["x"])], "subreddit string, after_epoch bigint, before_epoch bigint, backends array<string>")
+    planned = ledger.slices(walks, 100)
+    assert [tuple(r) for r in planned.select("slice_start", "slice_end").orderBy("slice_start").collect()] == [(50, 100), (100, 200), (200, 250)]
+    fails = [("s", "x", 0, 50), ("s", "x", 249, 260), ("s", "y", 250, 300), ("s", "x", 120, 120)]
+    got = ledger.assign(planned, spark.createDataFrame(fails, "subreddit string, backend string, from_epoch bigint, to_epoch bigint"), ["subreddit"], 100)
+    assert {r.slice_start: (r.source, r.failed) for r in got.collect()} == {50: ("x", []), 100: ("x", []), 200: ("y", ["x"])}

@@ -226,6 +226,34 @@ WHERE (k % 7 > 0 OR place <= 10)
 """
 
 
+_LEDGER = f"""
+numbered AS (SELECT *, CAST(substr(id, 2) AS BIGINT) AS number, created_epoch // 3600 AS slice FROM walks),
+cells AS (
+  SELECT subreddit, kind, slice, greatest(slice * 3600, {_A + 1000}) AS slice_start, least(slice * 3600 + 3600, {_B}) AS slice_end
+  FROM (SELECT DISTINCT subreddit, kind FROM numbered), range({(_A + 1000) // 3600}, {(_B - 1) // 3600 + 1}) r(slice)),
+broken AS (
+  SELECT c.subreddit, c.kind, c.slice, bool_or(number % 3 = 0) AS no_dump, bool_or(number % 4 = 1) AS no_mirror
+  FROM cells c JOIN numbered n ON n.subreddit = c.subreddit AND n.kind = c.kind AND event_type = 'signup'
+    AND created_epoch < slice_end AND created_epoch + 60 > slice_start
+  GROUP BY ALL),
+asked AS (
+  SELECT c.*, coalesce(no_dump, false) AS no_dump, coalesce(no_mirror, false) AS no_mirror,
+    CAST(regexp_extract(c.subreddit, '([0-9]+)', 1) AS INT) % 2 = 1 AS odd
+  FROM cells c LEFT JOIN broken b ON b.subreddit = c.subreddit AND b.kind = c.kind AND b.slice = c.slice),
+chosen AS (
+  SELECT *, CASE WHEN no_dump AND no_mirror THEN NULL WHEN no_dump THEN 'mirror' WHEN no_mirror THEN 'dump' WHEN odd THEN 'mirror' ELSE 'dump' END AS source,
+    CASE WHEN no_dump AND no_mirror THEN CASE WHEN odd THEN 'mirror, dump' ELSE 'dump, mirror' END
+      WHEN no_dump THEN 'dump' WHEN no_mirror THEN 'mirror' ELSE '' END AS failed
+  FROM asked),
+served AS (
+  SELECT c.subreddit, c.kind, c.slice_start, c.slice_end, %s AS source, failed,
+    count(n.id) FILTER (%s = 'mirror' OR (%s = 'dump' AND number %% 10 > 0)) AS records
+  FROM chosen c LEFT JOIN numbered n ON n.subreddit = c.subreddit AND n.kind = c.kind AND created_epoch >= slice_start AND created_epoch < slice_end
+  GROUP BY ALL)
+"""
+_AGAIN = "(CASE WHEN source IS NULL AND slice_start % 7200 = 0 THEN 'mirror' ELSE source END)"
+
+
 def _paged(matched: str) -> str:
     """The same matches where a job with an even number sees its first 5 to 15 records only."""
     head, tail = matched.split("  FROM targets JOIN records", 1)
@@ -444,6 +472,13 @@ WITH {_WALKS}, s AS (
   FROM walks)
 SELECT id, subreddit, event_type, created_epoch FROM s
 QUALIFY rank = min(rank) OVER (PARTITION BY subreddit, hour)""",
+    "slice_ledger": f"WITH {_WALKS}, {_LEDGER.replace('%%', '%').replace('%s', 'source')} SELECT * FROM served",
+    "slice_resume": f"""
+WITH {_WALKS}, {_LEDGER.replace('%%', '%').replace('%s', _AGAIN)}
+SELECT subreddit, kind, CAST(coalesce(min(slice_start) FILTER (source IS NULL), max(slice_end)) AS BIGINT) AS cursor_epoch,
+  CASE WHEN count(*) FILTER (source IS NULL) = 0 THEN 'complete' ELSE 'in_progress' END AS status,
+  CAST(sum(records) AS BIGINT) AS items_fetched, count(*) FILTER (source IS NULL) AS open_slices
+FROM served GROUP BY subreddit, kind""",
     "page_cursor": f"""
 SELECT event_id AS page, CAST(CASE event_id % 6 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 3 THEN NULL WHEN 5 THEN 1 ELSE 0 END AS BIGINT) AS items,
   CASE event_id % 6 WHEN 0 THEN {START} + user_id WHEN 1 THEN {START} + event_id END AS next_cursor,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as T
 from ..functions.text import list_cell
-from ..operators import flagging, jobs, normalize, progress, slices, stats, threads, timeline, versions
+from ..operators import flagging, jobs, ledger, normalize, progress, slices, stats, threads, timeline, versions
 from ..operators.flatten import envelope_items, flatten_replies, unreadable_documents
 from ..sources.archive import MapScan, records_of_map_text, scan_maps
 from ..session import fresh_dir, materialize
@@ -494,6 +494,51 @@ def source_fallback(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+LEDGER_KEYS = ["subreddit", "kind"]
+LEDGER_WIDTH = 3600
+
+
+def _ledger_parts(spark: SparkSession, d: str):
+    """Walks over events, two sources, and their failures.
+
+    The dump lacks every tenth event and fails the hours of some signups; the mirror has all and
+    fails those of fewer. Odd subreddits ask the mirror first.
+    """
+    rows = fx.walk_records(spark, d).withColumn("number", F.substring("id", 2, 20).cast("bigint"))
+    sources = {"dump": rows.filter("number % 10 > 0"), "mirror": rows}
+    failing = rows.filter("event_type = 'signup'").select(*LEDGER_KEYS, "number", "created_epoch")
+    fails = failing.select(
+        *LEDGER_KEYS, F.explode(F.expr("filter(array(IF(number % 3 = 0, 'dump', NULL), IF(number % 4 = 1, 'mirror', NULL)), b -> b IS NOT NULL)")).alias("backend"),
+        F.col("created_epoch").alias("from_epoch"), (F.col("created_epoch") + 60).alias("to_epoch"),
+    )
+    order = F.when(F.regexp_extract("subreddit", "([0-9]+)", 1).cast("int") % 2 == 1, F.array(F.lit("mirror"), F.lit("dump"))).otherwise(F.array(F.lit("dump"), F.lit("mirror")))
+    walks = rows.select(*LEDGER_KEYS).distinct().select(
+        *LEDGER_KEYS, F.lit(WINDOW[0] + 1000).alias("after_epoch"), F.lit(WINDOW[1]).alias("before_epoch"), order.alias("backends")
+    )
+    return sources, fails, ledger.slices(walks, LEDGER_WIDTH)
+
+
+def slice_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Who serves each hour of each walk, and how many records."""
+    sources, fails, planned = _ledger_parts(spark, d)
+    assigned = materialize(ledger.assign(planned, fails, LEDGER_KEYS, LEDGER_WIDTH), "assigned")
+    taken = ledger.take(sources, assigned, LEDGER_KEYS, LEDGER_WIDTH)
+    return ledger.entries(assigned, taken, LEDGER_KEYS, LEDGER_WIDTH).select(
+        *LEDGER_KEYS, *ledger.SLICE, "source", list_cell(F.col("failed")).alias("failed"), "records"
+    )
+
+
+def slice_resume(spark: SparkSession, d: str) -> DataFrame:
+    """Progress of each walk after a second run that repeats the open hours, with only the dump failing again."""
+    sources, fails, planned = _ledger_parts(spark, d)
+    first = materialize(ledger.assign(planned, fails, LEDGER_KEYS, LEDGER_WIDTH), "first")
+    done = materialize(ledger.entries(first, ledger.take(sources, first, LEDGER_KEYS, LEDGER_WIDTH), LEDGER_KEYS, LEDGER_WIDTH), "done")
+    again = ledger.open_slices(planned, done, LEDGER_KEYS).filter("slice_start % 7200 = 0")
+    again = materialize(ledger.assign(again, fails.filter("backend = 'dump'"), LEDGER_KEYS, LEDGER_WIDTH), "again")
+    new = ledger.entries(again, ledger.take(sources, again, LEDGER_KEYS, LEDGER_WIDTH), LEDGER_KEYS, LEDGER_WIDTH)
+    return ledger.walk_progress(ledger.merged(done, new, LEDGER_KEYS), LEDGER_KEYS)
+
+
 def _pages(spark: SparkSession, d: str) -> DataFrame:
     """Each event as a provider page: as envelope, bare list, empty, broken or foreign JSON."""
     return fx.table(spark, d, "events").selectExpr(
@@ -734,6 +779,8 @@ QUERIES = {
     "resume_skip": resume_skip,
     "progress_merge": progress_merge,
     "source_fallback": source_fallback,
+    "slice_ledger": slice_ledger,
+    "slice_resume": slice_resume,
     "page_cursor": page_cursor,
     "unreadable_inputs": unreadable_inputs,
     "page_items": page_items,

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import flagging, jobs, normalize, progress, slices, stats, threads, timeline
+from ..operators import flagging, jobs, ledger, normalize, progress, slices, stats, threads, timeline
 from ..session import materialize, prepare
 from ..sources import archive, sinks, store
 
@@ -61,6 +61,69 @@ def archive_run(
     return summary
 
 
+def sliced_run(
+    spark: SparkSession,
+    sources: dict[str, DataFrame],
+    root: str,
+    kind: str,
+    subreddits: list[str],
+    window: tuple[int, int],
+    batch_id: int,
+    batch_time: datetime,
+    failures: DataFrame | None = None,
+    backends: DataFrame | None = None,
+    clauses: dict | None = None,
+    slice_seconds: int = 86400,
+) -> DataFrame:
+    """Take a window into the archive from several sources, slice by slice; returns progress rows.
+
+    ``sources`` are dumps by name, in the order they are asked; ``backends`` (``subreddit,
+    backends``) gives some walks an order of their own, as a job's does. ``failures``
+    (``subreddit, kind, backend, from_epoch, to_epoch``) are the times a source could not serve: the
+    next one is asked for their slices, and where all fail the slice stays open. The archive keeps
+    the ledger: a later run of the same window takes the open slices alone. Progress stands
+    under the first source's name.
+    """
+    prepare(spark)
+    keys, kinds = ["subreddit", "kind"], f"{kind}s"
+    normal = normalize.normalize_comments if kind == "comment" else normalize.normalize_posts
+    rows = {}
+    for name, raw in sources.items():
+        part = normal(_with_place(raw), raw="raw" if raw.columns == ["raw"] else None, keep=["file", "block"])
+        rows[name] = slices.search(part, subreddits, *window).withColumn("kind", F.lit(kinds))
+    asked = spark.createDataFrame([(s.strip().lower(), kinds, *window) for s in dict.fromkeys(subreddits)],
+                                  "subreddit string, kind string, after_epoch bigint, before_epoch bigint")
+    order = F.array(*[F.lit(name) for name in sources])
+    if backends is not None:
+        asked = asked.join(backends.select("subreddit", "backends"), "subreddit", "left")
+        # A source that is not there cannot be asked.
+        own = F.filter("backends", lambda b: F.array_contains(order, b))
+        asked = asked.withColumn("backends", F.when(F.size(own) > 0, own).otherwise(order))
+    else:
+        asked = asked.withColumn("backends", order)
+    # A batch that runs again takes the same slices as at first.
+    known = store.ledger(spark, root, without=(f"run-{kind}", batch_id))
+    planned = ledger.open_slices(ledger.slices(asked, slice_seconds), known, keys)
+    assigned = materialize(ledger.assign(planned, failures, keys, slice_seconds), "assigned")
+    taken = ledger.take(rows, assigned, keys, slice_seconds)
+    taken = materialize(taken.withColumn("row", F.monotonically_increasing_id()), "taken")
+    kept = flagging.keep_matching(taken, **(clauses or {}))
+    arrival = _arrival(batch_id, batch_time, F.col("file"), F.col("block"), F.col("row"))
+    stored = normalize.storage_rows(kept.withColumn("arrival", arrival), batch_time, ["arrival"])
+    store.append_versions(stored, root, kind, "run", batch_id)
+    # After the records: a run that is lost before here leaves its slices open.
+    store.write_ledger(ledger.entries(assigned, taken, keys, slice_seconds), root, f"run-{kind}", batch_id)
+    here = ledger.slices(asked, slice_seconds).select(*keys, *ledger.SLICE)
+    walked = ledger.walk_progress(store.ledger(spark, root).join(here, [*keys, *ledger.SLICE], "left_semi"), keys)
+    summary = walked.select(
+        "subreddit", F.lit(next(iter(sources))).alias("backend"), "kind", F.lit(window[0]).cast("bigint").alias("window_start_epoch"),
+        F.lit(window[1]).cast("bigint").alias("window_end_epoch"), "cursor_epoch", "status", "items_fetched",
+    )
+    summary = materialize(summary, "walks")
+    store.write_walks(summary, root, f"run-{kind}-{next(iter(sources))}", batch_id)
+    return summary
+
+
 def _with_place(raw: DataFrame) -> DataFrame:
     """The records with the file and block they were read from, which order equal arrivals
     whatever splits Spark reads; records that come from no file have none."""

@@ -55,7 +55,7 @@ def _version_schema(kind: str) -> StructType:
 def create_archive(spark: SparkSession, root: str) -> None:
     """An empty archive: no base, nothing folded yet, and an empty batch so that it can be read."""
     prepare(spark)
-    for table, columns in (("versions", "id string"), ("progress", "subreddit string"), ("walks", "subreddit string")):
+    for table, columns in (("versions", "id string"), ("progress", "subreddit string"), ("walks", "subreddit string"), ("ledger", "subreddit string")):
         nothing = spark.createDataFrame([], columns)
         nothing.write.mode("errorifexists").parquet(f"{root}/{table}/writer=none/batch=-1")
     spark.createDataFrame([(0, [], [])], _FORESTS).coalesce(1).write.mode("errorifexists").parquet(f"{root}/forests")
@@ -219,6 +219,26 @@ def walks(spark: SparkSession, root: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(rest, "batch").alias("last")).select(*keys, "last.*")
 
 
+_LEDGER = "subreddit string, kind string, slice_start bigint, slice_end bigint, source string, failed array<string>, records bigint"
+
+
+def write_ledger(rows: DataFrame, root: str, writer: str, batch_id: int) -> None:
+    """Keep the ledger rows of one batch; doing it again replaces them."""
+    rows.select(*[c.split()[0] for c in _LEDGER.split(", ")]).write.mode("overwrite").parquet(
+        f"{root}/ledger/writer={writer}/batch={batch_id}"
+    )
+
+
+def ledger(spark: SparkSession, root: str, without: tuple[str, int] | None = None) -> DataFrame:
+    """The last ledger row of every slice; ``without`` leaves out one batch (writer, id)."""
+    rows = spark.read.schema(f"{_LEDGER}, writer string, batch bigint").parquet(f"{root}/ledger")
+    if without is not None:
+        rows = rows.filter((F.col("writer") != without[0]) | (F.col("batch") != without[1]))
+    keys = ["subreddit", "kind", "slice_start", "slice_end"]
+    last = F.max_by(F.struct("source", "failed", "records"), "batch").alias("last")
+    return rows.groupBy(*keys).agg(last).select(*keys, "last.*")
+
+
 def progress(spark: SparkSession, root: str) -> DataFrame:
     """Records taken in and time reached, per subreddit and kind, over all batches."""
     schema = (
