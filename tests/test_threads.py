@@ -293,3 +293,23 @@ def test_nothing_in_nothing_out(spark):
         assert tuple(threads.sample_counts(df).first()) == (0, 0)
     trees = spark.createDataFrame([], "tree string")
     assert flatten.flatten_replies(trees, "tree").count() == 0
+
+
+def test_replies_of_one_second_are_parted(spark, monkeypatch):
+    """A third of all comments answer one comment within one second."""
+    monkeypatch.setattr(threads, "SIBLINGS", 40)
+    monkeypatch.setattr(threads, "PICKED", 30)
+    rng = random.Random(6)
+    rows = [("hot", "t3_p", 5)] + [(f"r{rng.randrange(10**9)}", "t1_hot", 9) for _ in range(400)]
+    rows += [(f"x{i}", f"t1_{rows[rng.randrange(len(rows))][0]}", rng.randrange(3) * 30_000) for i in range(800)]
+    df = spark.createDataFrame([(i, p, "s", "u", "x", e) for i, p, e in dict((r[0], r) for r in rows).values()], SCHEMA)
+    epochs, kids = {i: e for i, _, e in rows}, {}
+    for i, p, _ in rows:
+        kids.setdefault(p[3:], []).append(i)
+    order, stack = [], ["hot"]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += sorted(kids.get(node, []), key=lambda k: (epochs[k], k), reverse=True)
+    got = {r.id: r.position for r in threads.preorder(df).collect()}
+    assert [i for i, _ in sorted(got.items(), key=lambda t: t[1])] == order

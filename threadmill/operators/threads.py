@@ -21,6 +21,9 @@ KEY = ["subreddit", "id"]
 NESTED_ORDER = ["subreddit", "root_epoch", "root_id", "position"]
 # Siblings of so many seconds are sorted together.
 SIBLING_SPAN = 6 * 3600
+# A span of one comment's replies is sorted as a whole up to so many; larger ones, of which no more
+# than BUSY_SPANS are looked at, are parted by about PICKED of their keys.
+SIBLINGS, BUSY_SPANS, PICKED = 200_000, 1_000, 1_000
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -206,13 +209,35 @@ def preorder(comments: DataFrame) -> DataFrame:
     replies = nodes.filter(F.col("parent").isNotNull())
     family = ["subreddit", "parent"]
     # Siblings are numbered within spans of time, and spans among themselves, so that no task
-    # sorts all replies of one comment.
-    spans = replies.groupBy(*family, "span").agg(F.min("key").alias("first_key"))
-    later = F.lead("first_key").over(Window.partitionBy(*family).orderBy("span"))
-    spans = spans.select(*family, "span", later.alias("later_key"))
-    after = F.lead("key").over(Window.partitionBy(*family, "span").orderBy("key"))
+    # sorts all replies of one comment. A span that holds very many is parted by some of its keys.
+    spans = replies.groupBy(*family, "span").agg(F.min("key").alias("first_key"), F.count("*").alias("n"))
+    busy = spans.filter(F.col("n") > SIBLINGS).select(*family, F.col("span").alias("full"), "n")
+    busy = materialize(busy.orderBy(F.desc("n")).limit(BUSY_SPANS), "busy", small=True)
+    replies = replies.withColumn("part", F.lit(0))
+    if not busy.isEmpty():
+        picked = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / PICKED)) == 0
+        met = [replies[c] == busy[c] for c in family] + [F.col("span") == F.col("full")]
+        keys = replies.join(F.broadcast(busy), reduce(lambda a, b: a & b, met)).filter(picked)
+        keys = keys.groupBy(replies["subreddit"].alias("in"), replies["parent"].alias("of"), "full").agg(
+            F.array_sort(F.collect_list("key")).alias("keys"), F.first("n").alias("n")
+        )
+        # Every so many of the picked keys begins a part of about SIBLINGS replies.
+        step = F.greatest(F.ceil(F.size("keys") * SIBLINGS / F.col("n")), F.lit(1)).cast("int")
+        borders = F.filter(F.col("keys"), lambda k, i: i % step == 0)
+        keys = materialize(keys.select("in", "of", "full", borders.alias("borders")), "borders", small=True)
+        there = (F.col("subreddit") == F.col("in")) & (F.col("parent") == F.col("of")) & (F.col("span") == F.col("full"))
+        passed = F.size(F.filter("borders", lambda b: b <= F.col("key")))
+        replies = replies.join(F.broadcast(keys), there, "left").withColumn(
+            "part", F.when(F.col("borders").isNull(), 0).otherwise(passed)
+        ).drop("in", "of", "full", "borders")
+        spans = replies.groupBy(*family, "span", "part").agg(F.min("key").alias("first_key"))
+    else:
+        spans = spans.withColumn("part", F.lit(0))
+    later = F.lead("first_key").over(Window.partitionBy(*family).orderBy("span", "part"))
+    spans = spans.select(*family, "span", "part", later.alias("later_key"))
+    after = F.lead("key").over(Window.partitionBy(*family, "span", "part").orderBy("key"))
     nexts = (
-        replies.join(spans, [*family, "span"])
+        replies.join(spans, [*family, "span", "part"])
         .withColumn("next", F.coalesce(after, F.col("later_key"))["id"])
         .select(*KEY, "next")
     )
@@ -310,37 +335,38 @@ def children_summary(comments: DataFrame) -> DataFrame:
 def thread_preview(comments: DataFrame, max_lines: int = PREVIEW_LINES) -> DataFrame:
     """``line_no, line``: the first lines of all threads, indented by depth.
 
-    Each root gives at least one line, so only the first ``max_lines`` roots can show up and
-    their trees alone are put in order. A last line of dots tells that the limit was hit.
+    Read from the top: the first roots, found by one anti join, then their replies level by level.
+    A comment stands behind all that are known to come before it, so after each level only the
+    first ``max_lines`` known ones matter; no thread is put together as a whole. A last line of dots
+    tells that the limit was hit.
     """
-    spark = comments.sparkSession
-    forest = resolve_forest(comments)
-    epochs = comments.select(*KEY, "created_epoch")
-    heads = (
-        forest.filter(F.col("depth") == 0)
-        .join(epochs, KEY)
-        .orderBy(_order_key(), "subreddit")
-        .limit(max_lines)
-        .select("subreddit", F.col("id").alias("root_id"))
-    )
-    members = forest.join(F.broadcast(heads), ["subreddit", "root_id"], "left_semi").select(*KEY)
-    shown = materialize(
-        comments.join(members, KEY, "left_semi").select(
-            *KEY, "parent_id", "author", "body", "created_epoch"
-        ),
-        "preview",
+    place = F.struct(F.coalesce("created_epoch", F.lit(0)).alias("epoch"), "id", "subreddit")
+    links = comments.select(
+        *KEY, parent_comment_id(F.col("parent_id")).alias("parent"), place.alias("place"), "author", "body"
     )
-    order = ["root_epoch", "root_id", "subreddit", "position"]
-    first = (
-        shown.join(preorder(shown), KEY)
-        .select(*order, preview_line(F.col("depth"), F.col("author"), F.col("body")).alias("line"))
-        .orderBy(*order)
-        .limit(max_lines)
+    known = comments.select("subreddit", F.col("id").alias("parent"))
+    tops = links.filter("parent IS NULL").unionByName(
+        links.filter("parent IS NOT NULL").join(known, ["subreddit", "parent"], "left_anti")
     )
-    # At most max_lines rows reach this window.
-    lines = materialize(
-        first.select(F.row_number().over(Window.orderBy(*order)).alias("line_no"), "line"),
-        "lines", small=True,
+
+    def first(rows: DataFrame) -> DataFrame:
+        return materialize(rows.orderBy("path").limit(max_lines), "preview", small=True)
+
+    shown = first(tops.select(*KEY, F.array("place").alias("path"), F.lit(0).alias("depth"), "author", "body"))
+    level = 0
+    while True:
+        above = shown.filter(F.col("depth") == level).select("subreddit", F.col("id").alias("parent"), "path")
+        # At most max_lines rows are above.
+        below = links.join(F.broadcast(above), ["subreddit", "parent"]).select(
+            *KEY, F.array_append("path", F.col("place")).alias("path"), F.lit(level + 1).alias("depth"), "author", "body"
+        )
+        shown, level = first(shown.unionByName(below)), level + 1
+        if shown.filter(F.col("depth") == level).isEmpty():
+            break
+    lines = shown.select(
+        # At most max_lines rows reach this window.
+        F.row_number().over(Window.orderBy("path")).alias("line_no"),
+        preview_line(F.col("depth"), F.col("author"), F.col("body")).alias("line"),
     )
     dots = lines.agg(F.count("*").alias("n")).filter(F.col("n") >= max_lines).select(
         F.lit(max_lines + 1).alias("line_no"), F.lit("  ...").alias("line")
