@@ -425,6 +425,7 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_epoch DESC, event_id
     "first_seen": f"WITH {_SNAPSHOTS} SELECT id, min(created_epoch) AS first_seen_epoch FROM snaps GROUP BY id",
     "upsert_merge": _UPSERT,
     "upsert_small_batch": _UPSERT,
+    "upsert_in_buckets": _UPSERT,
     "upsert_by_versions": f"""
 WITH {_SNAPSHOTS}
 SELECT subreddit, id, kind, score, event_id,

@@ -11,6 +11,7 @@ from ..functions import text as T
 from ..functions.text import list_cell
 from ..operators import flagging, jobs, ledger, normalize, progress, slices, stats, threads, timeline, versions
 from ..operators.flatten import envelope_items, flatten_replies, unreadable_documents
+from ..sources import buckets
 from ..sources.archive import MapScan, records_of_map_text, scan_maps
 from ..session import fresh_dir, materialize
 from ..streaming.ingest import ingest_once
@@ -20,6 +21,7 @@ KEYWORDS = ["The", "ation", "été", "ich", "  ", "stupid"]
 REGEXES = [r"\bof\s+the\b", r"(?P<first>[aeiou])ng\b", r"[0-9]{3,}"]
 WINDOW = (fx.START + 4 * fx.DAY, fx.START + 19 * fx.DAY)
 ARRIVAL = ("created_epoch", "event_id")
+BUCKETS = 16
 
 
 # --- normalization ----------------------------------------------------------------------
@@ -381,6 +383,15 @@ def upsert_small_batch(spark: SparkSession, d: str) -> DataFrame:
     return _merged(versions.merge_small_batch(*_two_batches(spark, d)))
 
 
+def upsert_in_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the stored table in buckets, where the batch is all that is shuffled."""
+    old, new = _two_batches(spark, d)
+    path = fresh_dir(spark, "buckets")
+    buckets.write_buckets(old, path, BUCKETS)
+    base = buckets.read_buckets(spark, path, old.schema.simpleString()[7:-1], BUCKETS)
+    return _merged(buckets.upsert(base, new, BUCKETS))
+
+
 def upsert_by_versions(spark: SparkSession, d: str) -> DataFrame:
     """The same table from all versions at once, as a compaction builds it."""
     rows = fx.snapshots(spark, d).withColumns(
@@ -770,6 +781,7 @@ QUERIES = {
     "first_seen": first_seen,
     "upsert_merge": upsert_merge,
     "upsert_small_batch": upsert_small_batch,
+    "upsert_in_buckets": upsert_in_buckets,
     "upsert_by_versions": upsert_by_versions,
     "score_refresh": score_refresh,
     "subreddit_upsert": subreddit_upsert,
