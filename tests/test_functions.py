@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import re
 
 import pytest
@@ -46,8 +47,8 @@ def test_blanks_are_unicode(spark):
 
 def test_names(spark):
     assert values(spark, T.partition_name, [" Ab-c.d ", "--", ""]) == ["ab_c_d", "_", "_"]
-    assert values(spark, T.target_key, ["r/Romania", "/r/romania", " ROMANIA", "r/r/x", "//x"]) == [
-        "romania", "romania", "romania", "r/x", "x"
+    assert values(spark, T.target_key, ["r/Harbour", "/r/harbour", " HARBOUR", "r/r/x", "//x"]) == [
+        "harbour", "harbour", "harbour", "r/x", "x"
     ]
 
 
@@ -170,22 +171,25 @@ def test_bad_pattern_fails_before_any_job():
 # --- job payload fields ------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(
-    "value,names",
-    [
-        ('"romania"', ["romania"]),
-        ('"r/Romania"', ["romania"]),
-        ('"/r/romania/"', ["romania"]),
-        ('"https://example.com/r/Programare/comments/abc"', ["programare"]),
-        ('"www.example.com/r/Cluj"', ["cluj"]),
-        ('"romania, cluj"', ["romania", "cluj"]),
-        ('["Romania", "r/cluj", "romania", null]', ["romania", "cluj"]),
-    ],
-)
-def test_target_forms(spark, value, names):
-    df = spark.createDataFrame([(value,)], "t string").select(F.try_parse_json("t").alias("t"))
-    found = df.selectExpr(f"{J.present_items('t')} AS e").selectExpr(f"{J.target_names('e')} AS n")
-    assert found.selectExpr("array_distinct(array_compact(n))").first()[0] == names
+def _targets(spark, payloads):
+    df = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(payloads)], "i int, t string")
+    df = df.withColumn("t", F.try_parse_json("t")).selectExpr("i", f"{J.present_items('t')} AS e")
+    rows = df.selectExpr("i", f"array_distinct(array_compact({J.target_names('e')})) AS n").orderBy("i").collect()
+    return [r.n for r in rows]
+
+
+def test_every_form_of_a_target_names_it(spark):
+    """Bare, with a prefix, or inside an address: the name in lower case, if it has 2 to 21 word characters."""
+    wraps = ["{}", "r/{}", "/r/{}", "r/{}/", "  {}\t", "www.forum.test/r/{}", "http://forum.test/r/{}/top?t=all", "https://old.forum.test/r/{}/x/y#z"]
+    names = ["Qt", "x" * 21, "_a_", "C_64", "MixedCase9"]
+    assert _targets(spark, [w.format(n) for n in names for w in wraps]) == [[n.lower()] for n in names for _ in wraps]
+    wrong = ["q", "x" * 22, "a-b", "é1", "forum.test/top", ""]
+    assert _targets(spark, wrong) == [[]] * len(wrong)
+
+
+def test_lists_of_targets(spark):
+    lists = ["qt, C_64 ,,r/Qt", ["Qt", None, " r/c_64 ", "QT"], ["/r/b2", "not one", "b2"], [], None]
+    assert _targets(spark, lists) == [["qt", "c_64"], ["qt", "c_64"], ["b2"], [], []]
 
 
 def test_words_phrases_and_truth(spark):

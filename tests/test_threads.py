@@ -194,7 +194,7 @@ def nest(rows):
 
 
 def tree_rows(spark):
-    edges = [("a", "t3_p"), ("b", "t1_a"), ("c", "t1_b"), ("d", "t1_a"), ("e", "t1_zzz"), ("f", "t1_e"), ("g", "t1_zzz"),
+    edges = [("a", "t3_p"), ("b", "t1_a"), ("c", "t1_b"), ("d", "t1_a"), ("e", "t1_missing"), ("f", "t1_e"), ("g", "t1_missing"),
              ("h", "t3_p"), ("i", "t1_c"), ("j", "t1_d"), ("x", "t1_y"), ("y", "t1_x")]
     return comments(spark, *edges).withColumn("created_epoch", 100 - F.col("created_epoch")).withColumn(
         "body", F.lit('say "hi"\n]}')

@@ -107,12 +107,12 @@ def test_comment_before_later_post(spark):
 
 def test_target_stats(spark):
     records = spark.createDataFrame(
-        [("Romania", "2024-01-02T00:00:00+05:00", 5), ("r/romania", None, 1700000000), ("Other", None, None), ("", "x", None)],
+        [("Harbour", "2024-01-02T00:00:00+05:00", 5), ("r/harbour", None, 1700000000), ("Other", None, None), ("", "x", None)],
         "subreddit string, created_utc string, created_epoch bigint",
     )
-    targets = spark.createDataFrame([("romania",), ("cluj",)], "target string")
+    targets = spark.createDataFrame([("harbour",), ("delta",)], "target string")
     rows = {r.target: (r.records, r.oldest_post_date) for r in stats.target_stats(records, targets).collect()}
-    assert rows == {"romania": (2, "2023-11-14T22:13:20"), "cluj": (0, None), "Other": (1, None), "unknown": (1, None)}
+    assert rows == {"harbour": (2, "2023-11-14T22:13:20"), "delta": (0, None), "Other": (1, None), "unknown": (1, None)}
 
 
 def test_of_two_equal_targets_the_last_takes_the_records(spark):

@@ -51,7 +51,7 @@ def comments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('t3_', CAST(conv_id AS STRING)) AS link_id",
         "CASE WHEN conv_id % 19 = 7 AND turn = 0 THEN concat('t1_c', CAST(conv_id AS STRING), '_1') "
         "WHEN turn = 0 THEN concat('t3_', CAST(conv_id AS STRING)) "
-        "WHEN conv_id % 13 = 5 AND turn = 2 THEN 't1_zzz' "
+        "WHEN conv_id % 13 = 5 AND turn = 2 THEN 't1_missing' "
         "WHEN turn % 4 = 3 THEN concat('t1_c', CAST(conv_id AS STRING), '_', CAST(turn - 2 AS STRING)) "
         "ELSE concat('t1_c', CAST(conv_id AS STRING), '_', CAST(turn - 1 AS STRING)) END AS parent_id",
         "concat('src', CAST(conv_id % 20 AS STRING)) AS subreddit",

@@ -43,7 +43,7 @@ comments AS (
   SELECT concat('c', conv_id, '_', turn) AS id, CAST(conv_id AS VARCHAR) AS post_id,
     CASE WHEN conv_id % 19 = 7 AND turn = 0 THEN concat('t1_c', conv_id, '_1')
       WHEN turn = 0 THEN concat('t3_', conv_id)
-      WHEN conv_id % 13 = 5 AND turn = 2 THEN 't1_zzz'
+      WHEN conv_id % 13 = 5 AND turn = 2 THEN 't1_missing'
       WHEN turn % 4 = 3 THEN concat('t1_c', conv_id, '_', turn - 2)
       ELSE concat('t1_c', conv_id, '_', turn - 1) END AS parent_id,
     concat('src', conv_id % 20) AS subreddit,
