@@ -319,13 +319,23 @@ UNION ALL
 SELECT 'comments', count(*) FILTER (len({_terms('body', _KEYWORDS, _REGEXES)}) > 0) FROM comments""",
     "flagged_posts_report": f"""
 WITH {_POSTS}, found AS (SELECT *, {_terms('body_text', _KEYWORDS, _REGEXES)} AS terms FROM posts)
-SELECT id, subreddit, author, title, selftext, score, created_utc,
+SELECT id, subreddit, author, title, selftext, score, created_utc, permalink,
   array_to_string(terms, ', ') AS matched_terms FROM found WHERE len(terms) > 0 ORDER BY created_utc, subreddit, id""",
     "flagged_comments_context": f"""
 WITH {_POSTS}, {_COMMENTS}, found AS (SELECT *, {_terms('body', _KEYWORDS, _REGEXES)} AS terms FROM comments)
 SELECT f.id, f.post_id, coalesce(p.subreddit, f.subreddit) AS subreddit, f.author, f.body, f.score, f.created_utc,
   array_to_string(terms, ', ') AS matched_terms, p.title AS post_title
 FROM found f LEFT JOIN posts p ON p.id = f.post_id WHERE len(terms) > 0""",
+    "filter_run_report": f"""
+WITH RECURSIVE {_POSTS}, {_COMMENTS}, {_FOREST},
+kept AS (SELECT *, {_terms('body_text', _KEYWORDS, _REGEXES)} AS terms FROM posts WHERE created_epoch IS NOT NULL),
+said AS (SELECT *, {_terms('body', _KEYWORDS, _REGEXES)} AS terms FROM comments)
+SELECT 'post' AS type, id, subreddit, score, CAST(NULL AS INT) AS depth, created_utc, array_to_string(terms, ', ') AS matched_terms, FALSE AS titled
+FROM kept WHERE len(terms) > 0
+UNION ALL
+SELECT 'comment', s.id, s.subreddit, s.score, f.depth, s.created_utc, array_to_string(s.terms, ', '), k.id IS NOT NULL
+FROM said s JOIN forest f USING (id) LEFT JOIN kept k ON k.id = s.post_id AND k.subreddit = s.subreddit
+WHERE len(s.terms) > 0""",
     "comment_depth": f"WITH RECURSIVE {_COMMENTS}, {_FOREST} SELECT id, depth FROM forest",
     "comments_with_depth": f"""
 WITH RECURSIVE {_COMMENTS}, {_FOREST} SELECT id, depth, author, score, body FROM forest JOIN comments USING (id)""",

@@ -11,11 +11,12 @@ from ..functions import text as T
 from ..functions.text import list_cell
 from ..operators import flagging, jobs, ledger, normalize, progress, slices, stats, threads, timeline, versions
 from ..operators.flatten import envelope_items, flatten_replies, unreadable_documents
-from ..sources import buckets
+from ..sources import buckets, store
 from ..sources.archive import MapScan, records_of_map_text, scan_maps
 from ..session import fresh_dir, materialize
 from ..streaming.ingest import ingest_once
 from . import fixtures as fx
+from . import runs
 
 KEYWORDS = ["The", "ation", "été", "ich", "  ", "stupid"]
 REGEXES = [r"\bof\s+the\b", r"(?P<first>[aeiou])ng\b", r"[0-9]{3,}"]
@@ -161,7 +162,7 @@ def flagged_posts_report(spark: SparkSession, d: str) -> DataFrame:
     rows = flagging.flagged_posts(flagging.annotate(fx.posts(spark, d), KEYWORDS, REGEXES))
     return rows.orderBy(*flagging.report_order()).withColumn(
         "matched_terms", list_cell(F.col("matched_terms"))
-    ).drop("permalink")
+    )
 
 
 def flagged_comments_context(spark: SparkSession, d: str) -> DataFrame:
@@ -174,6 +175,25 @@ def flagged_comments_context(spark: SparkSession, d: str) -> DataFrame:
     ).drop("depth")
 
 
+def filter_run_report(spark: SparkSession, d: str) -> DataFrame:
+    """Records taken into two archives, flagged there by a run, and its report read back."""
+    root = fresh_dir(spark, "filter")
+    when, every = _stamp("2024-02-01 00:00:00"), [f"src{i}" for i in range(20)]
+    for kind, rows in (("post", fx.posts_raw(spark, d)), ("comment", fx.comments_raw(spark, d))):
+        store.create_archive(spark, f"{root}/{kind}")
+        runs.archive_run(spark, fx.as_json(rows), f"{root}/{kind}", kind, every, (0, 1 << 40), 0, when)
+    runs.filter_run(spark, f"{root}/post", f"{root}/comment", f"{root}/report", KEYWORDS, REGEXES, 0, when)
+    found = []
+    for kind in ("post", "comment"):
+        rows = spark.read.csv(f"{root}/report/flagged_{kind}s", header=True, multiLine=True, escape='"')
+        depth, title = ("depth", "post_title") if kind == "comment" else ("CAST(NULL AS int)", "CAST(NULL AS string)")
+        found.append(rows.selectExpr(
+            f"'{kind}' AS type", "id", "subreddit", "CAST(score AS bigint) AS score", f"CAST({depth} AS int) AS depth", "created_utc",
+            "matched_terms", f"{title} IS NOT NULL AS titled",
+        ))
+    return found[0].unionByName(found[1])
+
+
 # --- threads --------------------------------------------------------------------------------
 
 
@@ -758,6 +778,7 @@ QUERIES = {
     "flag_counts": flag_counts,
     "flagged_posts_report": flagged_posts_report,
     "flagged_comments_context": flagged_comments_context,
+    "filter_run_report": filter_run_report,
     "comment_depth": comment_depth,
     "comments_with_depth": comments_with_depth,
     "depth_histogram": depth_histogram,

@@ -182,10 +182,13 @@ def filter_run(
         counts.append(
             written.agg(F.count("*").alias("flagged")).select(F.lit(f"{kind}s").alias("kind"), "flagged")
         )
+    # Flagged rows are few; each archive is folded once for them, and once for the titles.
     posts = store.current(spark, posts_root, "post")
-    comments = store.current(spark, comments_root, "comment")
+    comments = store.current(spark, comments_root, "comment").filter(flagging.is_flagged())
+    marked = materialize(comments.drop("raw"), "flagged")
     sinks.write_report(
-        flagging.flagged_posts(posts), flagging.flagged_comments(comments, posts), report
+        materialize(flagging.flagged_posts(posts), "flagged_posts"),
+        materialize(flagging.flagged_comments(marked, posts), "flagged_comments"), report,
     )
     return counts[0].unionByName(counts[1])
 
