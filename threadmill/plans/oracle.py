@@ -336,6 +336,11 @@ UNION ALL
 SELECT 'comment', s.id, s.subreddit, s.score, f.depth, s.created_utc, array_to_string(s.terms, ', '), k.id IS NOT NULL
 FROM said s JOIN forest f USING (id) LEFT JOIN kept k ON k.id = s.post_id AND k.subreddit = s.subreddit
 WHERE len(s.terms) > 0""",
+    "lines_compaction": f"""
+WITH RECURSIVE {_COMMENTS}, {_FOREST}, t AS (SELECT *, CAST(regexp_extract(id, '_([0-9]+)$', 1) AS INT) % 2 = 0 AS even FROM comments)
+SELECT id, parent_id, body, score + CASE WHEN even THEN 100 ELSE 0 END AS score, depth, CASE WHEN even THEN 2 ELSE 1 END AS day,
+  (SELECT count(*) + count(*) FILTER (even) FROM t) AS lines
+FROM t JOIN forest USING (id)""",
     "comment_depth": f"WITH RECURSIVE {_COMMENTS}, {_FOREST} SELECT id, depth FROM forest",
     "comments_with_depth": f"""
 WITH RECURSIVE {_COMMENTS}, {_FOREST} SELECT id, depth, author, score, body FROM forest JOIN comments USING (id)""",
@@ -535,6 +540,15 @@ WITH {_POSTS}, {_COMMENTS}, {_MATCHED} SELECT job_id, type, id, subreddit, creat
     "job_target_stats": _JOB_STATS,
     "job_first_pages": f"""
 WITH {_POSTS}, {_COMMENTS}, {_paged(_MATCHED)} SELECT job_id, type, id, subreddit, created_epoch FROM matched""",
+    "job_run_report": f"""
+WITH {_POSTS}, {_COMMENTS}, {_MATCHED}, {_JOB_FACTS},
+counts AS (SELECT job_id, count(*) FILTER (type = 'post') AS posts, count(*) FILTER (type = 'comment') AS comments FROM matched GROUP BY job_id)
+SELECT concat('n', n_nationkey) AS job_id, 'success' AS status, CAST(NULL AS VARCHAR) AS error,
+  concat('reddit_n', n_nationkey, '_2subs_', CASE n_nationkey % 3 WHEN 0 THEN '{START}_{START + 5 * DAY - 1}' WHEN 1 THEN '{START}_{1735689600 - 1}' ELSE 'any_any' END, '_{JOBS_NOW}') AS job_key,
+  coalesce(posts, 0) AS posts, coalesce(comments, 0) AS comments
+FROM nation LEFT JOIN counts ON job_id = concat('n', n_nationkey)
+UNION ALL
+SELECT job_id, 'error', error, NULL, NULL, NULL FROM specs WHERE k % 12 BETWEEN 6 AND 10""",
     "job_counts": f"""
 WITH {_POSTS}, {_COMMENTS}, {_MATCHED}
 SELECT job_id, count(*) FILTER (type = 'post') AS post, count(*) FILTER (type = 'comment') AS comment,

@@ -6,12 +6,14 @@ Every function takes (spark, folder of the tables) and returns a DataFrame of sc
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import text as T
 from ..functions.text import list_cell
 from ..operators import flagging, jobs, ledger, normalize, progress, slices, stats, threads, timeline, versions
 from ..operators.flatten import envelope_items, flatten_replies, unreadable_documents
-from ..sources import buckets, store
+from ..schemas import COMMENT
+from ..sources import buckets, raw, sinks, store
 from ..sources.archive import MapScan, records_of_map_text, scan_maps
 from ..session import fresh_dir, materialize
 from ..streaming.ingest import ingest_once
@@ -194,6 +196,23 @@ def filter_run_report(spark: SparkSession, d: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+def lines_compaction(spark: SparkSession, d: str) -> DataFrame:
+    """Comments appended as JSON lines, every second turn again with a later score, then compacted and read back."""
+    root = fresh_dir(spark, "lines")
+    rows = normalize.normalize_comments(fx.as_json(fx.comments_raw(spark, d)), raw="raw")
+    even = F.regexp_extract("id", r"_(\d+)$", 1).cast("int") % 2 == 0
+    later = rows.filter(even).withColumn("score", F.col("score") + 100)
+    for day, part in ((1, rows), (2, later)):
+        sinks.append_lines(normalize.storage_rows(part, _stamp(f"2024-02-0{day} 00:00:00")), f"{root}/lines")
+    lines = raw.read_lines(spark, f"{root}/lines")
+    schema = StructType([f for f in COMMENT.fields if f.name in normalize.storage_rows(rows, _stamp("2024-02-01 00:00:00")).columns])
+    sinks.compact_lines(spark, f"{root}/lines", schema, [F.col("updated_at")], f"{root}/current")
+    current = raw.read_lines(spark, f"{root}/current").select(F.from_json("raw", schema).alias("r")).select("r.*")
+    return current.select(
+        "id", "parent_id", "body", "score", "depth", F.dayofmonth("updated_at").alias("day"), F.lit(lines.count()).cast("bigint").alias("lines")
+    )
+
+
 # --- threads --------------------------------------------------------------------------------
 
 
@@ -740,6 +759,13 @@ def job_first_pages(spark: SparkSession, d: str) -> DataFrame:
     return found.select("job_id", "type", "id", "subreddit", "created_epoch")
 
 
+def job_run_report(spark: SparkSession, d: str) -> DataFrame:
+    """One status row per job of a whole job run: errors, output name, and counts of the results read back."""
+    lists = fx.nation_jobs(spark, d).unionByName(fx.job_payloads(spark, d).filter("job % 12 BETWEEN 6 AND 10").select("payload"))
+    done = runs.job_run(spark, fx.posts(spark, d), fx.comments(spark, d), lists, fresh_dir(spark, "jobs"), "container-1", fx.JOBS_NOW)
+    return done.select("job_id", "status", "error", "job_key", "posts", "comments")
+
+
 def job_counts(spark: SparkSession, d: str) -> DataFrame:
     return timeline.count_by_folder(_job_records(spark, d), "job_id")
 
@@ -779,6 +805,7 @@ QUERIES = {
     "flagged_posts_report": flagged_posts_report,
     "flagged_comments_context": flagged_comments_context,
     "filter_run_report": filter_run_report,
+    "lines_compaction": lines_compaction,
     "comment_depth": comment_depth,
     "comments_with_depth": comments_with_depth,
     "depth_histogram": depth_histogram,
@@ -825,6 +852,7 @@ QUERIES = {
     "job_matches": job_matches,
     "job_matches_many": job_matches_many,
     "job_target_stats": job_target_stats,
+    "job_run_report": job_run_report,
     "job_counts": job_counts,
     "job_first_pages": job_first_pages,
     "job_stats_payload": job_stats_payload,
