@@ -233,3 +233,13 @@ def test_slices_of_cut_windows(spark):
     fails = [("s", "x", 0, 50), ("s", "x", 249, 260), ("s", "y", 250, 300), ("s", "x", 120, 120)]
     got = ledger.assign(planned, spark.createDataFrame(fails, "subreddit string, backend string, from_epoch bigint, to_epoch bigint"), ["subreddit"], 100)
     assert {r.slice_start: (r.source, r.failed) for r in got.collect()} == {50: ("x", []), 100: ("x", []), 200: ("y", ["x"])}
+
+
+def test_runs_keep_the_subreddits_they_asked_for(spark, tmp_path):
+    root = archive(spark, tmp_path, "p")
+    runs.archive_run(spark, raw(spark, rp("a")), root, "post", ["S ", "quiet"], (0, 100), 0, DAY2)
+    runs.sliced_run(spark, {"d": raw(spark, rp("b"))}, root, "post", ["s", "new"], (0, 100), 1, DAY3, slice_seconds=50)
+    runs.archive_run(spark, raw(spark, rp("a")), root, "post", ["quiet"], (0, 100), 2, DAY1)
+    store.note_subreddits(spark.createDataFrame([("new", "{}")], "name string, raw string"), root, "run-post", 3, DAY1)
+    kept = {r.name: (r.first_seen_at.day, r.raw, r.updated_at.day) for r in store.subreddits(spark, root).collect()}
+    assert kept == {"s": (2, None, 3), "quiet": (1, None, 2), "new": (1, "{}", 3)}

@@ -88,6 +88,27 @@ def unreadable_documents(df: DataFrame, column: str, keep: list[str]) -> DataFra
     )
 
 
+# A text that nests deeper than the reader goes has at least so many characters.
+DEEP_CHARACTERS = 1_000
+
+
+def deep_items(df: DataFrame, column: str, keep: list[str]) -> DataFrame | None:
+    """``keep``, ``place`` and ``item`` of envelopes that are sound but refused by the reader; None if there are none.
+
+    The items are the records with what lies deep in them cut out; see :func:`envelope_items`.
+    """
+    refused = _refused(df.filter(F.length(column) >= DEEP_CHARACTERS), column)
+    if refused.isEmpty():
+        return None
+    pieces = _Pieces(refused, column)
+    text = F.try_parse_json("text")
+    roots = pieces.sound.filter(F.col("piece") == ROOT).select("doc", F.posexplode_outer(envelope_items(text)).alias("place", "own"))
+    roots = roots.withColumn("piece", F.try_variant_get("own", f"$.{pieces.mark}", "string"))
+    parts = pieces.sound.select("doc", "piece", text.alias("whole"))
+    names = pieces.rows.select(F.col("_doc").alias("doc"), *keep)
+    return roots.join(parts, ["doc", "piece"], "left").join(names, "doc").select(*keep, "place", F.coalesce("whole", "own").alias("item"))
+
+
 def flatten_replies(trees: DataFrame, tree: str, keep: list[str] | None = None) -> DataFrame:
     """Every comment of the nested documents in JSON column ``tree``, one per row.
 

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import epoch_seconds, minute_label
-from .flatten import envelope_items
+from ..session import materialize
+from .flatten import deep_items, envelope_items
 
 WALK = ["subreddit", "backend", "kind"]
 WINDOW = ["window_start_epoch", "window_end_epoch"]
@@ -118,7 +119,8 @@ def page_cursors(pages: DataFrame, payload: str, keys: list[str]) -> DataFrame:
     """Per page: number of items, next cursor, and whether the walk is drained.
 
     The cursor is the time of the last item by position that has a usable one, which need
-    not be the latest. ``payload`` is a provider's JSON envelope. A page that cannot be read
+    not be the latest. ``payload`` is a provider's JSON envelope, however deep its records nest; ``keys``
+    tell pages apart. A page that cannot be read
     has no known number of items (null), is ``unreadable`` and never counts as drained.
     """
     parsed = pages.select(*keys, F.col(payload).isNotNull().alias("_sent"), F.try_parse_json(payload).alias("_page"))
@@ -130,13 +132,23 @@ def page_cursors(pages: DataFrame, payload: str, keys: list[str]) -> DataFrame:
         lambda item: epoch_seconds(F.try_variant_get(item, "$.created_utc", "string")),
     )
     usable = F.filter(epochs, lambda e: e.isNotNull())
-    return items.select(
+    plain = items.select(
         *keys,
         F.when(~F.col("unreadable"), F.size("_items").cast("bigint")).alias("items"),
         F.try_element_at(usable, F.lit(-1)).alias("next_cursor"),
         (~F.col("unreadable") & (F.size("_items") == 0)).alias("exhausted"),
         "unreadable",
     )
+    deep = deep_items(pages, payload, keys)
+    if deep is None:
+        return plain
+    # Pages whose records nest too deep for the reader are counted by their cut records.
+    epoch = epoch_seconds(F.try_variant_get("item", "$.created_utc", "string"))
+    counted = deep.groupBy(*keys).agg(
+        F.count("place").alias("items"), F.max_by(epoch, F.when(epoch.isNotNull(), F.col("place"))).alias("next_cursor")
+    )
+    counted = materialize(counted.withColumns({"exhausted": F.col("items") == 0, "unreadable": F.lit(False)}), "deep")
+    return plain.join(counted.select(*keys), keys, "left_anti").unionByName(counted.select(*plain.columns))
 
 
 def merge_progress(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -499,6 +499,9 @@ FROM served GROUP BY subreddit, kind""",
 SELECT event_id AS page, CAST(CASE event_id % 6 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 3 THEN NULL WHEN 5 THEN 1 ELSE 0 END AS BIGINT) AS items,
   CASE event_id % 6 WHEN 0 THEN {START} + user_id WHEN 1 THEN {START} + event_id END AS next_cursor,
   event_id % 6 IN (2, 4) AS exhausted, event_id % 6 = 3 AS unreadable FROM events""",
+    "deep_page_cursor": f"""
+SELECT doc_id AS page, CASE WHEN doc_id % 10 > 0 THEN CAST(3 AS BIGINT) END AS items,
+  CASE WHEN doc_id % 10 > 0 THEN {START} + 2 * doc_id END AS next_cursor, FALSE AS exhausted, doc_id % 10 = 0 AS unreadable FROM documents""",
     "unreadable_inputs": """
 SELECT event_id AS page, CAST(8 AS BIGINT) AS characters, 'not JSON' AS reason FROM events WHERE event_id % 6 = 3""",
     "page_items": """

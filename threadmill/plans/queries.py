@@ -607,6 +607,19 @@ def page_cursor(spark: SparkSession, d: str) -> DataFrame:
     return progress.page_cursors(_pages(spark, d), "payload", ["page"])
 
 
+def deep_page_cursor(spark: SparkSession, d: str) -> DataFrame:
+    """Cursors of pages whose second record nests all words of a document; those without their end are broken."""
+    item = F.expr("substr(tree, 10, length(tree) - 11)")
+    pages = _word_trees(spark, d).select(
+        F.col("doc_id").alias("page"),
+        F.concat(
+            F.lit('{"data":[{"id":"a","created_utc":'), (F.lit(fx.START) + F.col("doc_id")).cast("string"), F.lit("},"), item,
+            F.lit(',{"id":"z","created_utc":"'), (F.lit(fx.START) + 2 * F.col("doc_id")).cast("string"), F.lit('.5"}]}'),
+        ).alias("payload"),
+    )
+    return progress.page_cursors(pages, "payload", ["page"])
+
+
 def page_items(spark: SparkSession, d: str) -> DataFrame:
     items = _pages(spark, d).select(
         "page", F.posexplode(envelope_items(F.try_parse_json("payload"))).alias("place", "item")
@@ -842,6 +855,7 @@ QUERIES = {
     "slice_ledger": slice_ledger,
     "slice_resume": slice_resume,
     "page_cursor": page_cursor,
+    "deep_page_cursor": deep_page_cursor,
     "unreadable_inputs": unreadable_inputs,
     "page_items": page_items,
     "id_map_records": id_map_records,

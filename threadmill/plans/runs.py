@@ -58,6 +58,8 @@ def archive_run(
     stored = normalize.storage_rows(placed, batch_time, ["arrival"])
     store.append_versions(stored, root, kind, "run", batch_id)
     store.write_walks(summary, root, f"run-{kind}-{backend}", batch_id)
+    names = spark.createDataFrame([(s,) for s in subreddits], "name string")
+    store.note_subreddits(names, root, f"run-{kind}", batch_id, batch_time)
     return summary
 
 
@@ -121,6 +123,8 @@ def sliced_run(
     )
     summary = materialize(summary, "walks")
     store.write_walks(summary, root, f"run-{kind}-{next(iter(sources))}", batch_id)
+    names = spark.createDataFrame([(s,) for s in subreddits], "name string")
+    store.note_subreddits(names, root, f"run-{kind}", batch_id, batch_time)
     return summary
 
 

@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from ..functions.text import partition_name
 from ..operators.threads import FOREST, KEY, forest_changes, resolve_forest, whole_forest, with_changes, with_depth
-from ..operators.versions import fold_versions, latest
+from ..operators.versions import fold_versions, latest, subreddit_rows
 from ..schemas import COMMENT, POST
 from ..session import prepare
 
@@ -55,7 +55,7 @@ def _version_schema(kind: str) -> StructType:
 def create_archive(spark: SparkSession, root: str) -> None:
     """An empty archive: no base, nothing folded yet, and an empty batch so that it can be read."""
     prepare(spark)
-    for table, columns in (("versions", "id string"), ("progress", "subreddit string"), ("walks", "subreddit string"), ("ledger", "subreddit string")):
+    for table, columns in (("versions", "id string"), ("progress", "subreddit string"), ("walks", "subreddit string"), ("ledger", "subreddit string"), ("subreddits", "name string")):
         nothing = spark.createDataFrame([], columns)
         nothing.write.mode("errorifexists").parquet(f"{root}/{table}/writer=none/batch=-1")
     spark.createDataFrame([(0, [], [])], _FORESTS).coalesce(1).write.mode("errorifexists").parquet(f"{root}/forests")
@@ -219,6 +219,25 @@ def walks(spark: SparkSession, root: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(rest, "batch").alias("last")).select(*keys, "last.*")
 
 
+_SUBREDDITS = "name string, first_seen_at timestamp, raw string, updated_at timestamp"
+
+
+def note_subreddits(names: DataFrame, root: str, writer: str, batch_id: int, batch_time) -> None:
+    """Keep the subreddits that a batch asked for (``name``, and ``raw`` if known); doing it again replaces them."""
+    subreddit_rows(names, batch_time).write.mode("overwrite").parquet(f"{root}/subreddits/writer={writer}/batch={batch_id}")
+
+
+def subreddits(spark: SparkSession, root: str) -> DataFrame:
+    """All subreddits ever asked for: seen first, the last record known of each, and asked for last."""
+    rows = spark.read.schema(f"{_SUBREDDITS}, writer string, batch bigint").parquet(f"{root}/subreddits")
+    known = F.col("raw").isNotNull()
+    return rows.groupBy("name").agg(
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max_by(F.when(known, F.col("raw")), F.when(known, F.struct("updated_at", "batch"))).alias("raw"),
+        F.max("updated_at").alias("updated_at"),
+    )
+
+
 _LEDGER = "subreddit string, kind string, slice_start bigint, slice_end bigint, source string, failed array<string>, records bigint"
 
 
