@@ -561,6 +561,11 @@ WITH s AS ({_JOB_STATS})
 SELECT job_id, target, concat('{{"container_entity_id":"container-1","scraping_arg_id":"', job_id,
   '","platform":"REDDIT","scraping_content":"REDDIT_POSTS","target":"', target, '","target_type":"subreddit","records":',
   records, ',"oldest_post_date":', coalesce('"' || oldest_post_date || '"', 'null'), '}}') AS payload FROM s""",
+    "page_source": f"""
+WITH {_WALKS}
+SELECT id, concat('p', created_epoch % 50) AS post_id, subreddit, event_type AS body, created_epoch,
+  subreddit = 'src3' AND created_epoch >= {_A} AND created_epoch < {_B} AS in_window
+FROM walks""",
     "stream_upsert": f"""
 WITH RECURSIVE {_COMMENTS}, {_FOREST}
 SELECT id, post_id, parent_id, subreddit, author, body, score, created_epoch, is_deleted, depth

@@ -13,10 +13,10 @@ from ..functions.text import list_cell
 from ..operators import flagging, jobs, ledger, normalize, progress, slices, stats, threads, timeline, versions
 from ..operators.flatten import envelope_items, flatten_replies, unreadable_documents
 from ..schemas import COMMENT
-from ..sources import buckets, raw, sinks, store
+from ..sources import buckets, pages, raw, sinks, store
 from ..sources.archive import MapScan, records_of_map_text, scan_maps
 from ..session import fresh_dir, materialize
-from ..streaming.ingest import ingest_once
+from ..streaming.ingest import ingest_once, start_ingest
 from . import fixtures as fx
 from . import runs
 
@@ -790,6 +790,31 @@ def job_stats_payload(spark: SparkSession, d: str) -> DataFrame:
 # --- streaming ------------------------------------------------------------------------------------
 
 
+def page_source(spark: SparkSession, d: str) -> DataFrame:
+    """Events written as provider pages, a page per walk and day, streamed from there into an archive."""
+    record = F.to_json(F.struct(
+        "id", F.concat(F.lit("t3_p"), (F.col("created_epoch") % 50).cast("string")).alias("link_id"), "subreddit",
+        F.col("event_type").alias("body"), F.col("created_epoch").alias("created_utc"),
+    ))
+    rows = fx.walk_records(spark, d).select("subreddit", "created_epoch", "id", record.alias("record"))
+    day = F.floor(F.col("created_epoch") / fx.DAY)
+    items = F.transform(F.array_sort(F.collect_list(F.struct("created_epoch", "id", "record"))), lambda r: r["record"])
+    paged = rows.groupBy("subreddit", day.alias("day")).agg(F.max("created_epoch").alias("cursor"), F.array_join(items, ",").alias("items"))
+    root = fresh_dir(spark, "pages")
+    pages.register(spark)
+    payload = F.concat(F.lit('{"data":['), "items", F.lit("]}"))
+    paged.select("subreddit", F.lit("comments").alias("kind"), "cursor", payload.alias("payload")).write.format(pages.FORMAT).mode("append").save(f"{root}/pages")
+    store.create_archive(spark, f"{root}/archive")
+    start_ingest(spark, f"{root}/pages", f"{root}/archive", "comment", paged=True).awaitTermination()
+    found = store.current(spark, f"{root}/archive", "comment", depth=False).select("id", "post_id", "subreddit", "body", "created_epoch")
+    # The same source read as a table, its window chosen before pages are opened.
+    batch = spark.read.format(pages.FORMAT).load(f"{root}/pages").filter(
+        (F.col("subreddit") == "src3") & (F.col("created_epoch") >= WINDOW[0]) & (F.col("created_epoch") < WINDOW[1])
+    )
+    inside = batch.select(F.get_json_object("raw", "$.id").alias("id"), F.lit(True).alias("in_window"))
+    return found.join(inside, "id", "left").withColumn("in_window", F.coalesce("in_window", F.lit(False)))
+
+
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     """Raw comments landed as JSON files, streamed into the archive, with current rows read back."""
     rows = ingest_once(spark, fx.as_json(fx.comments_raw(spark, d)), kind="comment")
@@ -871,4 +896,5 @@ QUERIES = {
     "job_first_pages": job_first_pages,
     "job_stats_payload": job_stats_payload,
     "stream_upsert": stream_upsert,
+    "page_source": page_source,
 }

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.flagging import keep_matching
 from ..operators.normalize import normalize_comments, normalize_posts, storage_rows
 from ..session import fresh_dir, prepare
+from ..sources import pages
 from ..sources.store import append_versions, create_archive, current
 
 
@@ -29,6 +30,18 @@ def read_landing(spark: SparkSession, landing: str, max_files: int) -> DataFrame
     )
 
 
+def read_pages(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """Records of a folder of provider pages (see ``sources.pages``) as they come; a page's cursor
+    stands for the time it landed."""
+    pages.register(spark)
+    return (
+        spark.readStream.format(pages.FORMAT)
+        .load(root)
+        .filter(F.col("kind") == f"{kind}s")
+        .select("raw", F.timestamp_seconds("cursor").alias("landed"), "file", F.lit(0).cast("bigint").alias("block"))
+    )
+
+
 def _append_batch(
     batch: DataFrame, batch_id: int, root: str, kind: str, clauses: dict, fallback: str | None
 ) -> None:
@@ -57,9 +70,11 @@ def start_ingest(
     clauses: dict | None = None,
     fallback: str | None = None,
     max_files: int = 1000,
+    paged: bool = False,
 ) -> StreamingQuery:
     """Take in everything that has landed and stop; a later start goes on from there.
 
+    ``landing`` holds record lines, or with ``paged`` provider pages by walk and cursor.
     ``clauses`` are the arguments of :func:`content_filter`: only matching records are kept.
     """
     prepare(spark)
@@ -67,9 +82,9 @@ def start_ingest(
     def append(batch: DataFrame, batch_id: int) -> None:
         _append_batch(batch, batch_id, root, kind, clauses or {}, fallback)
 
+    landed = read_pages(spark, landing, kind) if paged else read_landing(spark, landing, max_files)
     return (
-        read_landing(spark, landing, max_files)
-        .writeStream.foreachBatch(append)
+        landed.writeStream.foreachBatch(append)
         .option("checkpointLocation", f"{root}/stream")
         .trigger(availableNow=True)
         .start()
