@@ -303,7 +303,8 @@ def _by_words(records: DataFrame, targets: DataFrame, text: Column, paged: DataF
         F.explode(_listed()).alias("w"),
     ).select(*job, "n_all", "n_any", "w.word", "w.list")
     words = records.select(*keys, F.explode(words_of(text)).alias("word"))
-    words = words.join(asked.select("word").distinct(), "word", "left_semi").withColumn("_salt", _salt())
+    # Narrow rows, used for the words that must be there and for those that must not.
+    words = materialize(words.join(asked.select("word").distinct(), "word", "left_semi").withColumn("_salt", _salt()), "words")
     meets = (
         (F.col("subreddit") == F.col("target")) & (F.col("r.word") == F.col("j.word"))
         & (F.col("r._salt") == F.col("j._salt")) & F.expr(_IN_WINDOW)
