@@ -7,6 +7,8 @@ or repeated, other columns pass through, and an empty table gives empty results.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +16,35 @@ from pyspark.sql import functions as F
 from threadmill.llm import jaccard, language, mixing, packing, sanitise
 from threadmill.llm.common import read, ship_package
 from threadmill.llm.queries import BATCH_ROWS, MIX_BLOCK, MIX_WEIGHTS, TOKENIZER
-from threadmill.session import materialize, prepare
+from threadmill.session import collect_garbage, discard, materialize, prepare, written_tables
 
 #: A text whose language is less certain than this is rejected; guessing one of four gives 0.25.
 LEAST_CERTAIN = 0.3
 
 
+_left: list[str] = []
+
+
+def stage(work):
+    """A stage that first removes the intermediate tables of the one before, on disk and in memory.
+
+    That one's result has been written and read again by then, so nothing needs them; tables that
+    ``docs`` itself still reads are left.
+    """
+
+    @functools.wraps(work)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(_left, unless_read_by=docs)
+        collect_garbage(spark)
+        before = len(written_tables())
+        out = work(spark, docs, sf_dir)
+        _left[:] = written_tables()[before:]
+        return out
+
+    return run
+
+
+@stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter (null and empty ones too) and texts of no clear language."""
     labelled = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -32,6 +57,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*[F.col(f"d_{c}").alias(c) for c in docs.columns])
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of linked texts the document with the smallest id.
 
@@ -53,6 +79,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return numbered.join(first, "doc_id", "left_semi").select(*[F.col(f"d_{c}").alias(c) for c in docs.columns])
 
 
+@stage
 def take_out_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks personal data and the words that reveal it; ``n_chars`` follows the text."""
     clean = sanitise.sanitise(docs)
@@ -62,11 +89,13 @@ def take_out_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return clean.withColumn("n_chars", F.char_length("text").cast(kind)).select(*docs.columns)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Orders the rows, and the files they are written to, by the mix of sources."""
     return mixing.in_mix_order(docs, MIX_WEIGHTS, MIX_BLOCK)
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs texts into sequences; of equally long pieces those come first that the mix has first."""
     try:
@@ -98,6 +127,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     ship_package(spark)
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    for name, work in STAGES[:-1]:
+        docs = materialize(work(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

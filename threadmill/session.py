@@ -57,6 +57,36 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/threadmill/{label}-{uuid.uuid4().hex}"
 
 
+# Folders that this process has written intermediate tables to.
+_written: list[str] = []
+
+
+def written_tables() -> list[str]:
+    """Folders of the intermediate tables so far, oldest first."""
+    return list(_written)
+
+
+def discard(paths: list[str], unless_read_by: DataFrame) -> None:
+    """Remove intermediate tables that nothing needs any more.
+
+    The caller vouches for all DataFrames but ``unless_read_by``, whose tables stay.
+    """
+    spark = unless_read_by.sparkSession
+    read = unless_read_by.inputFiles() if paths else []
+    conf, fs = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        name = path.rstrip("/").rsplit("/", 2)[-2]  # unique, see fresh_dir
+        if not any(name in f for f in read):
+            place = fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Let the executors give memory back that is free but still held, as between two large stages."""
+    tasks = spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).selectExpr("java_method('java.lang.System', 'gc') AS freed").collect()
+
+
 def materialize(
     df: DataFrame, label: str, folder: str | None = None, observe: Observation | None = None,
     *metrics, small: bool = False,
@@ -76,5 +106,6 @@ def materialize(
             spark.sparkContext.setCheckpointDir(shared)
         return out.checkpoint()
     path = f"{folder or fresh_dir(spark, label)}/{label}"
+    _written.append(path)
     out.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
