@@ -142,3 +142,10 @@ def test_odd_rows_and_languages(spark):
     assert language.train(docs, F.lit(False)) is None
     assert {r.lang_pred for r in language.predict(docs, None).collect()} == {"und"}
     assert language.predict(frame(spark, []), scorer).collect() == []
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    rows = spark.createDataFrame([(i, "text", f"l{i}") for i in range(3)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2"):
+        language.train(rows, F.lit(True))

@@ -49,3 +49,11 @@ def test_sample_is_bounded_per_label(spark):
     got = labelled_sample(df, "y", 5).collect()
     assert np.bincount([r.y for r in got]).tolist() == [5, 5, 5]
     assert {r.doc_id for r in got} == {r.doc_id for r in labelled_sample(df.repartition(7), "y", 5).collect()}
+
+
+def test_sample_of_a_large_label_is_the_lowest_hashes(spark):
+    df = spark.range(0, 30_000).selectExpr("id AS doc_id", "CASE WHEN id % 100 = 0 THEN 'rare' ELSE 'hot' END AS y")
+    got = labelled_sample(df, "y", 40)
+    for y in ("rare", "hot"):
+        want = df.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(40)
+        assert {r.doc_id for r in got.where(F.col("y") == y).collect()} == {r.doc_id for r in want.collect()}

@@ -95,10 +95,17 @@ def remainder(key: str, parts: int) -> Column:
 def labelled_sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
     """At most ``per_label`` rows of each label, the same in every run: those whose id hashes lowest.
 
-    Spark keeps that many rows per task and label before it shuffles.
+    The label's count tells below which hash its lowest ones must lie, so that a label of any size
+    brings about twice as many rows to the task that ranks them. Should hashes fall so unevenly that
+    fewer are left, those are taken.
     """
-    w = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
-    return rows.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= per_label).drop("_nth")
+    hashed = F.xxhash64("doc_id")
+    counts = rows.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_of"))
+    share = (hashed.cast("double") + 2.0**63) / 2.0**64
+    # One row a label; joined by a shuffle, all rows of a label would meet in one task.
+    low = rows.join(F.broadcast(counts), F.col(label) == F.col("_label")).where(share * F.col("_of") <= 2 * per_label + 100)
+    w = Window.partitionBy(label).orderBy(hashed, "doc_id")
+    return low.drop("_label", "_of").withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= per_label).drop("_nth")
 
 
 # --- word hashes over a batch of texts -------------------------------------------------------

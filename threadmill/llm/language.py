@@ -4,7 +4,8 @@ Texts are cut into windows of WINDOW bytes. Byte vectors pass filters of several
 filter keeps its greatest answer in the window, and a softmax layer gives the languages. A text's
 logits are the mean over all its windows, weighted by their bytes, so every byte counts whatever
 the length. The network is trained in numpy on windows of a bounded sample of labelled texts: at
-most SAMPLE texts of each language, WINDOWS windows of each, LANGUAGES languages.
+most SAMPLE texts of each language, WINDOWS windows of each. More than LANGUAGES languages are an
+error, since the sample grows with them.
 
 Null text and text without a letter is ``und`` with score 0; so is every text if there is
 nothing to learn from. Rows with null language teach nothing. Repeated rows and null ids are
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import labelled_sample, scored, text_steps
+from threadmill.llm.common import labelled_sample, scored, text_steps, tidy
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -158,8 +159,8 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, learnable: Column) -> Scorer | None:
     """Fit on ``doc_id, text, lang`` rows where ``learnable`` holds; None if there is none."""
     rows = docs.where(learnable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    kept = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    rows = rows.join(F.broadcast(kept.select("lang")), "lang")
+    if len(rows.select("lang").distinct().limit(LANGUAGES + 1).collect()) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages; raise LANGUAGES to learn them all")
     chosen = labelled_sample(rows, "lang", SAMPLE).distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +176,7 @@ def train(docs: DataFrame, learnable: Column) -> Scorer | None:
                 yield pa.RecordBatch.from_arrays([langs, pa.array([r.tobytes() for r in x[pick]], pa.binary())], ["lang", "window"])
 
     texts = docs.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "text", "lang")
-    table = texts.mapInArrow(cut, "lang string, window binary").toArrow().sort_by([("lang", "ascending"), ("window", "ascending")])
+    table = texts.mapInArrow(tidy(cut), "lang string, window binary").toArrow().sort_by([("lang", "ascending"), ("window", "ascending")])
     if not table.num_rows:
         return None
     labels = sorted(set(table["lang"].to_pylist()))

@@ -35,7 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import local_table, text_steps
+from threadmill.llm.common import text_steps, tidy
 from threadmill.llm.terms import Terms, hash64
 from threadmill.llm.vectors import best
 from threadmill.session import materialize
@@ -112,7 +112,7 @@ def index(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame
                     _binary(h.view(np.uint8), 8 * distinct[kept]), _binary(tf.astype("<u4").view(np.uint8), 4 * distinct[kept]),
                 ], ["doc_id", "n", "sketch", "terms", "counts"])
 
-    rows = docs.select(F.col(id_).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(build, _INDEX)
+    rows = docs.select(F.col(id_).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(tidy(build), _INDEX)
     return materialize(rows, "sketches")
 
 
@@ -215,7 +215,7 @@ def _greatest_bounds(rows: DataFrame, shared: Broadcast, k: int) -> DataFrame:
                 top.add(q, ids[part[i]], bound[i, q])
         yield pa.RecordBatch.from_arrays([pa.array(top.row), pa.array(top.doc), pa.array(top.score, pa.float64())], ["q", "doc_id", "bound"])
 
-    found = rows.where("doc_id IS NOT NULL").select("doc_id", "n", "sketch").mapInArrow(run, "q long, doc_id long, bound double")
+    found = rows.where("doc_id IS NOT NULL").select("doc_id", "n", "sketch").mapInArrow(tidy(run), "q long, doc_id long, bound double")
     w = Window.partitionBy("q").orderBy(F.desc("bound"), "doc_id")
     return found.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k).select("q", "doc_id")
 
@@ -252,7 +252,7 @@ def _exact(rows: DataFrame, shared: Broadcast, k: int, least: Broadcast) -> Data
                 top.add(q, ids[rows_[i]], score[i, q])
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (top.row, top.doc, top.score)], ["q", "doc_id", "score"])
 
-    return rows.select("doc_id", "n", "sketch", "terms", "counts").mapInArrow(run, "q long, doc_id long, score long")
+    return rows.select("doc_id", "n", "sketch", "terms", "counts").mapInArrow(tidy(run), "q long, doc_id long, score long")
 
 
 def _document_counts(rows: DataFrame, vocabulary: Broadcast) -> np.ndarray:
@@ -268,7 +268,7 @@ def _document_counts(rows: DataFrame, vocabulary: Broadcast) -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["term", "df"])
 
-    got = rows.select("terms").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    got = rows.select("terms").mapInArrow(tidy(run), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     out = np.zeros(len(vocabulary.value), np.int64)
     out[got["term"].to_numpy()] = got["df"].to_numpy()
     return out

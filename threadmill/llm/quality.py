@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import _SPACE, Words, labelled_sample, scored, text_steps
+from threadmill.llm.common import _SPACE, Words, labelled_sample, scored, text_steps, tidy
 
 BITS = 17
 GRAMS = (3, 4)
@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "q
 
     texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    table = texts.mapInArrow(runs, f"doc_id {kind}, label int, text binary").toArrow().sort_by("doc_id")
+    table = texts.mapInArrow(tidy(runs), f"doc_id {kind}, label int, text binary").toArrow().sort_by("doc_id")
     return fit(table["text"].to_pylist(), table["label"].to_numpy().astype(float), share)
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import scored, text_steps
+from threadmill.llm.common import scored, text_steps, tidy
 from threadmill.llm.terms import Terms, crc32
 from threadmill.session import materialize
 
@@ -51,7 +51,7 @@ def bucket_counts(texts: DataFrame, text: str, run: int, buckets: int) -> np.nda
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
 
-    found = texts.select(F.col(text).alias("text")).mapInArrow(count, "bucket long, n long")
+    found = texts.select(F.col(text).alias("text")).mapInArrow(tidy(count), "bucket long, n long")
     got = found.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # one row a bucket at most
     out = np.zeros(buckets, np.int64)
     out[got["bucket"].to_numpy()] = got["n"].to_numpy()

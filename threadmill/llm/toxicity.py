@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import Words, labelled_sample, scored, text_steps
+from threadmill.llm.common import Words, labelled_sample, scored, text_steps, tidy
 
 BUCKETS = 1 << 18
 PREFIXES = (4, 5, 6)
@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "t
 
     texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    table = texts.mapInArrow(terms, f"doc_id {kind}, label int, terms array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    table = texts.mapInArrow(tidy(terms), f"doc_id {kind}, label int, terms array<int>").toArrow().sort_by("doc_id").combine_chunks()
     lists = table["terms"].combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
     lengths = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, int)
     owner = np.repeat(np.arange(len(lengths)), lengths)
