@@ -126,6 +126,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     ship_package(spark)
+    _left.clear()  # the result of a run before may still be read
     docs = read(spark, sf_dir, "documents")
     for name, work in STAGES[:-1]:
         docs = materialize(work(spark, docs, sf_dir), name)
