@@ -87,3 +87,12 @@ def test_empty_table(spark):
     assert jaccard.similarity_components(frame(spark, [], "doc_id long, text string")).collect() == []
     nothing = frame(spark, [(1, None), (2, " ")], "doc_id long, text string")
     assert sorted(map(tuple, jaccard.similarity_components(nothing).collect())) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_pivots_lose_no_link(spark, monkeypatch):
+    """The round in which nodes meet pivots first, on every input."""
+    monkeypatch.setattr(jaccard, "FEW_PAIRS", -1)
+    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    rows = documents(seed=21, plain=40)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similarity_components(frame(spark, rows)).collect()}
+    assert got == set(brute([r[:2] for r in rows]))

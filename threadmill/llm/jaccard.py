@@ -38,9 +38,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import Words, mix, text_steps
+from threadmill.llm.common import Words, mix, text_steps, tidy
 from threadmill.llm.components import components
-from threadmill.session import materialize
+from threadmill.session import collect_garbage, materialize
 
 WIDTH = 5
 #: Threshold as (numerator, denominator): overlap / union is at least 3 / 4.
@@ -84,6 +84,11 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray]]
         yield from enumerate(member_sets(Words(data, offsets), width), at)
 
 
+#: Where pairs across classes are more than FEW_PAIRS times the nodes in branches, each node of such
+#: branches first meets PIVOTS nodes of one of them, in so many rounds at most.
+PIVOT_ROUNDS, PIVOTS, FEW_PAIRS = 2, 8, 32
+
+
 class Order:
     """The global order: numbers that grow from frequent members to rare ones."""
 
@@ -110,9 +115,15 @@ def frequent_order(docs: DataFrame, width: int = WIDTH) -> Order:
         size = 0
 
         def out() -> pa.RecordBatch:
-            members, n = np.unique(np.concatenate(held), return_counts=True)
-            keep = n >= max(2, -(-len(held) // FREQUENT))
-            columns = [np.append(members[keep].view(np.int64), -1), np.append(n[keep], len(held))]
+            # In the sorted members those with ``least`` copies equal the one ``least - 1`` places on.
+            least, texts = max(2, -(-len(held) // FREQUENT)), len(held)
+            every = np.concatenate(held)
+            held.clear()
+            every.sort()
+            far = max(len(every) - least + 1, 0)
+            members = np.unique(every[:far][every[:far] == every[len(every) - far :]])
+            n = np.searchsorted(every, members, "right") - np.searchsorted(every, members)
+            columns = [np.append(members.view(np.int64), -1), np.append(n, texts)]
             return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["member", "n"])
 
         for batch in batches:
@@ -122,11 +133,11 @@ def frequent_order(docs: DataFrame, width: int = WIDTH) -> Order:
                     size += len(members)
                 if size >= COUNTED:
                     yield out()
-                    held, size = [], 0
+                    size = 0
         if held:
             yield out()
 
-    counted = docs.select("doc_id", "text").mapInArrow(count, "member long, n long").groupBy("member").agg(F.sum("n").alias("n"))
+    counted = docs.select("doc_id", "text").mapInArrow(tidy(count), "member long, n long").groupBy("member").agg(F.sum("n").alias("n"))
     counted = materialize(counted, "counts")
     total = counted.where("member = -1").select("n").collect()  # one row
     least = total[0]["n"] / FREQUENT if total else 0
@@ -178,7 +189,7 @@ def _signatures(docs: DataFrame, order, width: int) -> DataFrame:
                 ["doc_id", "n", "sig", "branches", "bits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_kind(docs)}, n long, sig binary, branches array<long>, bits array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {_kind(docs)}, n long, sig binary, branches array<long>, bits array<long>")
 
 
 def _kind(docs: DataFrame) -> str:
@@ -203,7 +214,7 @@ def _whole_sets(docs: DataFrame, order, width: int) -> DataFrame:
                 ["sig", "members"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "sig binary, members array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "sig binary, members array<long>")
 
 
 def tree_links(probe: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -298,7 +309,22 @@ def _decide(docs: DataFrame, order, width: int, pairs: DataFrame, nodes: DataFra
     one = sets.select(F.col("node").alias("a"), F.col("members").alias("probe"))
     two = sets.select(F.col("node").alias("b"), F.col("members").alias("other"))
     joined = pairs.join(two, "b").join(one, "a").select("a", "b", "probe", "other")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(tidy(run), "a long, b long")
+
+
+def _mixed(branches: DataFrame, classes: DataFrame) -> tuple[DataFrame, int, DataFrame]:
+    """The branches with nodes of more than one class, each node with its class; the pairs across classes;
+    and the branches that hold many of these for their nodes."""
+    kept = branches.join(_small(classes), "node", "left").select(
+        "branch", "node", "n", "place", F.coalesce("root", "node").alias("class")
+    )
+    kept = materialize(kept, "classed")
+    sizes = kept.groupBy("branch", "class").agg(F.count("*").cast("double").alias("of"))
+    sizes = sizes.groupBy("branch").agg(F.count("*").alias("classes"), F.sum("of").alias("all"), F.sum(F.col("of") * F.col("of")).alias("same"))
+    mixed = materialize(sizes.where("classes > 1").select("branch", F.col("all").alias("nodes"), ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("across")), "mixed")
+    crossing = mixed.agg(F.coalesce(F.sum("across"), F.lit(0.0))).first()[0]
+    busy = mixed.where(f"across > {FEW_PAIRS} * nodes").select("branch")
+    return kept.join(_small(mixed.select("branch")), "branch", "left_semi"), int(crossing), busy
 
 
 def similarity_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -337,12 +363,25 @@ def similarity_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     classes = materialize(components(star_links, "a", "b"), "classes")
 
     # Branches in which more than one class is left.
-    kept = branches.join(_small(classes), "node", "left").select(
-        "branch", "node", "n", "place", F.coalesce("root", "node").alias("class")
-    )
-    kept = materialize(kept, "classed")
-    mixed = kept.groupBy("branch").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("branch")
-    kept = kept.join(_small(materialize(mixed, "mixed")), "branch", "left_semi")
+    kept, crossing, busy = _mixed(branches, classes)
+    for turn in range(PIVOT_ROUNDS):
+        if crossing <= FEW_PAIRS * kept.count():
+            break
+        # A large group of near copies is still in several classes: its largest class takes in most
+        # of the others once their nodes have met more than the first node of a branch.
+        collect_garbage(spark)
+        crowd = kept.join(_small(busy), "branch", "left_semi")
+        nodes_of = [F.min_by(F.struct("node", "n", "class"), F.xxhash64("node", F.lit(turn * PIVOTS + i))) for i in range(PIVOTS)]
+        pivots = crowd.groupBy("branch").agg(F.array_distinct(F.array(*nodes_of)).alias("p"))
+        ones = crowd.groupBy("node").agg(F.min_by(F.struct("branch", "n", "class"), F.xxhash64("branch")).alias("b"))
+        tried = ones.select("node", "b.*").join(pivots, "branch").select("node", "n", "class", F.explode("p").alias("p"))
+        tried = tried.where("class <> p.class AND " + may("n", "p.n"))
+        tried = tried.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+        found = _decide(docs, order, width, _possible(tried, rows), nodes)
+        star_links = materialize(star_links.unionByName(found), "star_links")
+        classes = materialize(components(star_links, "a", "b"), "classes")
+        kept, crossing, busy = _mixed(branches, classes)
+        collect_garbage(spark)
     p, q = kept.alias("p"), kept.alias("q")
     # Of an overlap of w members at most k - 1 lie behind the first n - w + k ones of the set that
     # ends first there, in the common order; so two sets that reach w share k branches among
