@@ -120,3 +120,22 @@ def test_broken_documents_are_listed_and_give_no_rows(spark):
     assert flatten.flatten_replies(df, "tree", ["k"]).count() == 0  # one comment alone is no list
     rows = flatten.flatten_replies(spark.createDataFrame([(1, f"[{texts[n + 2]}]"), *enumerate(BROKEN, 2)], "k int, tree string"), "tree", ["k"])
     assert {r.k: r.n for r in rows.groupBy("k").agg(F.count("*").alias("n")).collect()} == {1: 700}
+
+
+def test_cutting_a_text_shuffles_nothing(spark):
+    """A row per bracket, sorted several times, was more than executors hold; a text is walked in its row."""
+    deep = '[{"id":"a","replies":' * 3000 + "[]" + "}]" * 3000
+    docs = spark.createDataFrame([(1, deep), (2, deep[:-1])], "doc long, text string")
+    pieces = structure.cut_documents(docs, "text", "m")
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    sizes = pieces.groupBy("doc").agg(F.count("*").alias("n"), F.max(F.length("text")).alias("longest")).collect()
+    assert {r.doc: r.n > 100 for r in sizes} == {1: True, 2: False} and max(r.longest for r in sizes) < 1000
+
+
+def test_marks_and_levels_of_a_cut_text():
+    text = '[{"id":1,"replies" :\n[{"id":"]\\"[","replies":{"data":[]}}]},{"id":2}]'
+    assert structure.cut_text(text, "m", 21) == [
+        ("1:1", 0, '{"id":1,"replies" :\n[{"m":"2:1"}]}'.replace('{"m":"2:1"}', '{"id":"]\\"[","replies":{"data":[]}}')),
+        ("1:2", 0, '{"id":2}'), ("0:0", 0, '[{"m":"1:1"},{"m":"1:2"}]'),
+    ]

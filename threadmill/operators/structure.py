@@ -1,14 +1,17 @@
 """JSON texts that the reader refuses as a whole, cut into pieces that it takes.
 
-The brackets outside strings tell where a text can be cut. They are found by one pattern, and
-running sums over them give every bracket its depth. Objects that stand in a list of records or
-replies are cut out at fixed depths: each becomes a piece of its own, and a mark stands in its
-place in the piece around it. So pieces are never deeper than a few levels, however deep the text.
+The brackets outside strings tell where a text can be cut. One walk over the brackets of a text
+knows which of them are open. Objects that stand in a list of records or replies are cut out at
+fixed depths: each becomes a piece of its own, and a mark stands in its place in the piece around
+it. So pieces are never deeper than a few levels, however deep the text. A text is walked where its
+row is: nothing is shuffled, and a task holds little more than the texts of a hundred rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import re
+
+from pyspark.sql import DataFrame, functions as F
 
 # The members that hold records or replies.
 LISTS = ["replies", "children", "data", ""]
@@ -17,13 +20,60 @@ LISTS = ["replies", "children", "data", ""]
 EVERY = 21
 ROOT = "0:0"
 
-# Brackets, and what lies between two of them: strings and all else.
-_TOKEN = r'(?s)(?:"(?:[^"\\]++|\\.)*+"|[^"\[\]{}]++)++|[\[\]{}]'
-_KEY = r'"([^"\\]*)"\s*:\s*$'
+# What lies between two brackets: strings and all else.
+_BETWEEN = r'(?s:(?:"(?:[^"\\]++|\\.)*+"|[^"\[\]{}]++)*+)'
+_BRACKET = re.compile(rf"({_BETWEEN})([\[\]{{}}])")
+_REST = re.compile(_BETWEEN)
+_KEY = re.compile(r'"([^"\\]*)"[ \t\r\n]*:[ \t\r\n]*\Z')
+# A key that opens a list lies within so many characters before it.
+_NEAR = 200
+# Stands for a text whose brackets or quotes do not match; no JSON either.
+_UNSOUND = [(ROOT, 0, "?")]
 
 
-def _count(flag: Column) -> Column:
-    return F.sum(F.coalesce(flag, F.lit(False)).cast("int"))
+def cut_text(text: str, mark: str, every: int) -> list[tuple[str, int, str]]:
+    """``piece, level, text`` of one text; see :func:`cut_documents`."""
+    # Of an open bracket: its closing one, whether it is an object in a list, the name of the piece
+    # that it begins, and the key of a list (None: the object or list has none that counts).
+    stack: list[tuple[str, bool, str | None, str | None]] = []
+    # Of the pieces that are open: name, level, parts of their text.
+    around: list[tuple[str, int, list[str]]] = [(ROOT, 0, [])]
+    pieces, numbers = [], {}
+    at = start = items = 0
+    while found := _BRACKET.match(text, at):
+        between, bracket = found.groups()
+        here, at = found.end() - 1, found.end()
+        if bracket in "[{":
+            parent = stack[-1] if stack else None
+            key = name = None
+            item = bracket == "{" and parent is not None and parent[0] == "]"
+            if bracket == "[":
+                named = _KEY.search(between[-_NEAR:]) if parent is not None and parent[0] == "}" else None
+                key = named.group(1) if named else ("" if parent is None or parent[0] == "]" else None)
+            depth = len(stack) + 1
+            if item and (depth <= 3 or depth % every < 3) and parent[3] in LISTS:
+                rank = len(around)
+                numbers[rank] = numbers.get(rank, 0) + 1
+                name = f"{rank}:{numbers[rank]}"
+                around[-1][2].append(f'{text[start:here]}{{"{mark}":"{name}"}}')
+                around.append((name, items, []))
+                start = here
+            items += item
+            stack.append(("]" if bracket == "[" else "}", item, name, key))
+            continue
+        if not stack or stack[-1][0] != bracket:
+            return _UNSOUND
+        _, item, name, _ = stack.pop()
+        items -= item
+        if name is not None:
+            _, level, parts = around.pop()
+            pieces.append((name, level, "".join(parts) + text[start:at]))
+            start = at
+    # A quote without an end lies in nothing that matches.
+    if stack or not text or _REST.match(text, at).end() != len(text):
+        return _UNSOUND
+    pieces.append((ROOT, 0, "".join(around[0][2]) + text[start:]))
+    return pieces
 
 
 def cut_documents(docs: DataFrame, text: str, mark: str) -> DataFrame:
@@ -33,50 +83,6 @@ def cut_documents(docs: DataFrame, text: str, mark: str) -> DataFrame:
     that holds the beginning. ``{"<mark>":"<piece>"}`` stands where a piece was cut out. A text
     that is no JSON gives pieces that are none either.
     """
-    parts = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
-    whole = docs.select("doc", parts.alias("parts"), F.char_length(text).alias("size"))
-    # A quote without an end is in no token; such a text keeps one piece, which cannot be read.
-    sound = (F.size("parts") > 0) & (F.char_length(F.array_join("parts", "")) == F.col("size"))
-    tokens = whole.select("doc", F.posexplode(F.when(sound, F.col("parts")).otherwise(F.array(F.lit("?")))).alias("pos", "token"))
-    in_order = Window.partitionBy("doc").orderBy("pos")
-    opens, closes = F.col("token").isin("[", "{"), F.col("token").isin("]", "}")
-    step = F.when(opens, 1).when(closes, -1).otherwise(0)
-    tokens = tokens.select(
-        "*", F.sum(step).over(in_order).alias("depth"), F.rtrim(F.lag("token").over(in_order)).alias("behind")
-    )
-    value = F.coalesce(F.endswith("behind", F.lit(":")), F.lit(False))
-    tokens = tokens.withColumns(
-        {
-            "key": F.when(F.col("token") == "[", F.when(value, F.regexp_extract(F.expr("right(behind, 200)"), _KEY, 1)).otherwise("")),
-            "item": (F.col("token") == "{") & F.col("behind").isNotNull() & ~value,
-            # The list that an object stands in opened one level above it.
-            "list_level": F.when(F.col("token") == "[", F.col("depth")).when(F.col("token") == "{", F.col("depth") - 1),
-            "object_level": F.when(F.col("token") == "{", F.col("depth")).when(F.col("token") == "}", F.col("depth") + 1),
-        }
-    )
-    around = F.last("key", ignorenulls=True).over(Window.partitionBy("doc", "list_level").orderBy("pos"))
-    here = (F.col("depth") <= 3) | (F.col("depth") % EVERY < 3)
-    tokens = tokens.withColumn("cut", F.col("item") & here & F.coalesce(around.isin(LISTS), F.lit(False)))
-    # Objects of one level open and close in turn.
-    same_level = Window.partitionBy("doc", "object_level").orderBy("pos")
-    ends = {name: (F.col("token") == "}") & F.lag(name).over(same_level) for name in ("item", "cut")}
-    tokens = tokens.withColumns({"item_ends": ends["item"], "cut_ends": ends["cut"]})
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    passed = lambda name: F.coalesce(_count(F.col(name)).over(before), F.lit(0))
-    tokens = tokens.select(
-        "doc", "pos", "token", "cut",
-        (_count(F.col("cut")).over(in_order) - passed("cut_ends")).alias("rank"),
-        (_count(F.col("item")).over(in_order) - passed("item_ends") - 1).alias("level"),
-    )
-    # Of one rank no piece lies in another, so the last one that began is the one around a token.
-    number = _count(F.col("cut")).over(Window.partitionBy("doc", "rank").orderBy("pos"))
-    piece = F.concat_ws(":", "rank", "number")
-    cuts = tokens.withColumn("number", number).where("cut").select(
-        "doc", "pos", F.concat(F.lit(f'{{"{mark}":"'), piece, F.lit('"}')).alias("token"), F.lit(False).alias("cut"),
-        (F.col("rank") - 1).alias("rank"), F.lit(None).cast("bigint").alias("level"),
-    )
-    placed = tokens.withColumn("level", F.when(F.col("cut"), F.col("level"))).unionByName(cuts).withColumn("number", number)
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda t: t["token"]), "")
-    return placed.groupBy("doc", piece.alias("piece")).agg(
-        F.coalesce(F.max("level"), F.lit(0)).cast("int").alias("level"), joined.alias("text")
-    )
+    every = EVERY
+    cut = F.udf(lambda t: cut_text(t, mark, every), "array<struct<piece:string,level:int,text:string>>", useArrow=False)
+    return docs.select("doc", F.inline(cut(text)))
