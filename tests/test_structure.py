@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadmill.operators import flatten, structure
-from threadmill.session import prepare
+from threadmill.session import prepare, written_tables
 
 
 @pytest.fixture(autouse=True)
@@ -139,3 +139,12 @@ def test_marks_and_levels_of_a_cut_text():
         ("1:1", 0, '{"id":1,"replies" :\n[{"m":"2:1"}]}'.replace('{"m":"2:1"}', '{"id":"]\\"[","replies":{"data":[]}}')),
         ("1:2", 0, '{"id":2}'), ("0:0", 0, '[{"m":"1:1"},{"m":"1:2"}]'),
     ]
+
+
+def test_deep_documents_take_few_passes(spark):
+    """200 levels are less than the reader refuses; 12 a pass made 17 tables of ever smaller rests."""
+    text = '[{"id":"a","replies":' * 200 + "[]" + "}]" * 200
+    before = len(written_tables())
+    rows = flatten.flatten_replies(spark.createDataFrame([(1, text)], "k int, tree string"), "tree", ["k"])
+    assert len(written_tables()) - before <= 6
+    assert sorted(r.level for r in rows.collect()) == list(range(200))

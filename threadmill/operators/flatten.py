@@ -13,6 +13,12 @@ from .threads import resolve_forest
 
 # Levels taken apart in one pass; few real threads are nested deeper.
 LEVELS = 12
+# Documents that the reader refuses are cut at every record, so that no record is parsed and copied
+# again for each level above it; what a piece holds is itself and marks.
+EVERY_RECORD = 1
+PIECE_LEVELS = 2
+# So are documents with more lists than this, which may be as deep: passes would copy them again and again.
+MANY_LISTS = 50
 
 # The rules of nested replies, for a node ``n``.
 _BARE = "try_variant_get(n, '$.replies', 'array<variant>')"
@@ -61,11 +67,11 @@ def _refused(df: DataFrame, column: str) -> DataFrame:
 class _Pieces:
     """Refused documents, stored as ``rows`` with a number each, and the pieces of the sound ones."""
 
-    def __init__(self, refused: DataFrame, column: str):
+    def __init__(self, refused: DataFrame, column: str, every: int | None = None):
         self.rows = materialize(refused.withColumn("_doc", F.monotonically_increasing_id()), "refused")
         self.mark = f"cut_{uuid.uuid4().hex}"
         docs = self.rows.select(F.col("_doc").alias("doc"), F.col(column).alias("text"))
-        self.all = materialize(cut_documents(docs, "text", self.mark), "pieces")
+        self.all = materialize(cut_documents(docs, "text", self.mark, every), "pieces")
         self.broken = self.all.filter(F.try_parse_json("text").isNull()).select(F.col("doc").alias("_doc")).distinct()
         self.sound = self.all.join(self.broken, F.col("doc") == F.col("_doc"), "left_anti")
 
@@ -122,24 +128,27 @@ def flatten_replies(trees: DataFrame, tree: str, keep: list[str] | None = None)
     """
     keep = keep or []
     taken = Observation()
-    parsed = trees.select(*keep, F.try_parse_json(tree).alias("_parsed"), F.col(tree).isNotNull().alias("_there"))
+    lists = F.char_length(tree) - F.char_length(F.replace(F.col(tree), F.lit("["), F.lit("")))
+    whole = F.when(lists <= MANY_LISTS, F.try_parse_json(tree))
+    parsed = trees.select(*keep, whole.alias("_parsed"), F.col(tree).isNotNull().alias("_there"))
     parsed = parsed.observe(taken, F.count_if(F.col("_there") & F.col("_parsed").isNull()).alias("refused"))
     docs = parsed.select(*keep, F.lit(0).alias("base"), envelope_items(F.col("_parsed")).alias("level0"))
     found = _passes(docs, keep, "flatten")
     if not taken.get["refused"]:
         return found
-    return found.unionByName(_flatten_pieces(_Pieces(_refused(trees, tree), tree), keep))
+    return found.unionByName(_flatten_pieces(_Pieces(trees.filter(F.col(tree).isNotNull() & whole.isNull()), tree, EVERY_RECORD), keep))
 
 
 def _passes(docs: DataFrame, keep: list[str], label: str, mark: str | None = None) -> DataFrame:
     """All records of documents (``keep``, ``base``, ``level0``), and where marks stand among the replies."""
+    levels = PIECE_LEVELS if mark else LEVELS
     folder = fresh_dir(docs.sparkSession, label)
     names = [*keep, "level", "raw", *(["cut"] if mark else [])]
     found: list[DataFrame] = []
     while True:
         deeper = Observation()
         part = materialize(
-            _take_levels(docs, keep, mark), f"pass={len(found)}", folder, deeper,
+            _take_levels(docs, keep, levels, mark), f"pass={len(found)}", folder, deeper,
             F.count_if(F.col("rest").isNotNull()).alias("n"),
         )
         found.append(part.filter(F.col("rest").isNull()).select(*names))
@@ -150,9 +159,9 @@ def _passes(docs: DataFrame, keep: list[str], label: str, mark: str | None = Non
         )
 
 
-def _take_levels(docs: DataFrame, keep: list[str], mark: str | None = None) -> DataFrame:
+def _take_levels(docs: DataFrame, keep: list[str], levels: int, mark: str | None = None) -> DataFrame:
     """The records of the next levels of each document, and what lies below them (``rest``)."""
-    for i in range(LEVELS):
+    for i in range(levels):
         docs = docs.selectExpr(
             "*", f"flatten(transform(level{i}, n -> {_REPLIES})) AS level{i + 1}"
         )
@@ -161,10 +170,10 @@ def _take_levels(docs: DataFrame, keep: list[str], mark: str | None = None) -> D
     records = [
         f"""transform(filter(level{i}, n -> {wanted}), n -> named_struct(
           'level', base + {i}, 'raw', {_OWN}, 'cut', {cut}, 'rest', CAST(NULL AS array<variant>)))"""
-        for i in range(LEVELS)
+        for i in range(levels)
     ]
-    below = f"""array(named_struct('level', base + {LEVELS}, 'raw', CAST(NULL AS string), 'cut', CAST(NULL AS string),
-      'rest', CASE WHEN size(level{LEVELS}) > 0 THEN level{LEVELS} END))"""
+    below = f"""array(named_struct('level', base + {levels}, 'raw', CAST(NULL AS string), 'cut', CAST(NULL AS string),
+      'rest', CASE WHEN size(level{levels}) > 0 THEN level{levels} END))"""
     return docs.selectExpr(*keep, f"inline(concat({', '.join(records)}, {below}))").filter(
         F.col("raw").isNotNull() | F.col("rest").isNotNull()
     )

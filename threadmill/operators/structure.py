@@ -76,13 +76,14 @@ def cut_text(text: str, mark: str, every: int) -> list[tuple[str, int, str]]:
     return pieces
 
 
-def cut_documents(docs: DataFrame, text: str, mark: str) -> DataFrame:
+def cut_documents(docs: DataFrame, text: str, mark: str, every: int | None = None) -> DataFrame:
     """``doc, piece, level, text`` of the texts of ``docs`` (``doc``, unique, and the text).
 
     ``level`` counts the lists of records or replies around the piece, ``ROOT`` is the piece
     that holds the beginning. ``{"<mark>":"<piece>"}`` stands where a piece was cut out. A text
-    that is no JSON gives pieces that are none either.
+    that is no JSON gives pieces that are none either. Objects are cut out at three of ``every``
+    depths (default: ``EVERY``), so at all of them up to three.
     """
-    every = EVERY
+    every = every or EVERY
     cut = F.udf(lambda t: cut_text(t, mark, every), "array<struct<piece:string,level:int,text:string>>", useArrow=False)
     return docs.select("doc", F.inline(cut(text)))
