@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from threadmill.operators import flagging
 from threadmill.functions import jobspec as J, text as T, times
 from threadmill.functions.fields import ColumnFields, JsonFields
 from threadmill.functions.matching import (
@@ -218,3 +219,17 @@ def test_classes_mean_the_same_on_both_sides(spark, pattern):
     java = phase2_regexes([pattern])[pattern]
     got = values(spark, lambda v: F.rlike(v, F.lit(java)), texts)
     assert got == [re.search(pattern, t, re.IGNORECASE) is not None for t in texts]
+
+
+def test_keyword_table_looks_up_tokens_and_lowercases_a_text_once(spark):
+    texts = ["Alpha beta", "alphabet\n\tsoup", "beta  gamma Open Water x", "open\nwater", "", None, "Öl und ÉTÉ", "alpha " * 3000 + "zeta"]
+    rows = spark.createDataFrame([("s", f"c{i}", t) for i, t in enumerate(texts)], "subreddit string, id string, body string")
+    keywords = ["ALPHA", "a", "eta", "open water", "n\nw", " x", "été", "ÖL", "  ", "", "zeta", "missing", "no such", "ta g", "ta  g"]
+    table = spark.createDataFrame([(k,) for k in keywords], "word string")
+    found = flagging.find_terms_of(rows, table, "word")
+    got = {r["id"]: r["terms"] for r in found.collect()}
+    low = [(t or "").lower() for t in texts]
+    wanted = [k.lower() for k in keywords if k.strip()]
+    assert got == {f"c{i}": sorted({k for k in wanted if k in t}, key=lambda k: k.encode()) for i, t in enumerate(low)}
+    # Lowercased for every keyword it was met with, a record of some hundred keywords took seconds.
+    assert "contains(lower(" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
