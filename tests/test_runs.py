@@ -12,7 +12,7 @@ from threadmill.operators.normalize import normalize_comments
 from threadmill.operators.threads import with_depth
 from threadmill.operators.versions import latest
 from threadmill.plans import runs
-from threadmill.session import prepare
+from threadmill.session import prepare, written_tables
 from threadmill.sources import store
 from threadmill.sources.raw import job_list
 from threadmill.streaming.ingest import start_ingest
@@ -243,3 +243,13 @@ def test_runs_keep_the_subreddits_they_asked_for(spark, tmp_path):
     store.note_subreddits(spark.createDataFrame([("new", "{}")], "name string, raw string"), root, "run-post", 3, DAY1)
     kept = {r.name: (r.first_seen_at.day, r.raw, r.updated_at.day) for r in store.subreddits(spark, root).collect()}
     assert kept == {"s": (2, None, 3), "quiet": (1, None, 2), "new": (1, "{}", 3)}
+
+
+def test_a_run_writes_its_records_once_and_folds_what_is_asked_for(spark, tmp_path):
+    root, before = archive(spark, tmp_path, "p"), len(written_tables())
+    walked = runs.archive_run(spark, raw(spark, rp("a", at=5), rp("b", "other")), root, "post", ["s", "quiet"], (0, 20), 0, DAY1)
+    assert {(r.subreddit, r.status, r.items_fetched) for r in walked.collect()} == {("s", "complete", 2), ("quiet", "complete", 0)}
+    assert not any(p.endswith("/taken") for p in written_tables()[before:])
+    titles = store.current(spark, root, "post", columns=("title",))
+    assert {"subreddit", "id", "title"} <= set(titles.columns) <= {"subreddit", "id", "title", "arrival"}
+    assert {(r.id, r.title) for r in titles.collect()} == {("a", "t"), ("b", "other")}

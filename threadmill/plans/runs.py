@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import flagging, jobs, ledger, normalize, progress, slices, stats, threads, timeline
+from ..schemas import FLAG_COLUMNS, FLAGGED_COMMENT_COLUMNS, FLAGGED_POST_COLUMNS
 from ..session import materialize, prepare
 from ..sources import archive, sinks, store
 
@@ -42,21 +43,25 @@ def archive_run(
     done = store.walks(spark, root) if resume and done is None else done
     if done is not None:
         rows = progress.remaining(rows, done, backend, *window)
-    # Parsed once for the archive and for the progress.
-    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "taken")
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    if clauses:
+        # Parsed once for the archive and for the progress, which counts what the clauses leave out too.
+        rows = materialize(rows, "taken")
     asked = spark.createDataFrame([(s.strip().lower(), f"{kind}s") for s in subreddits], "subreddit string, kind string")
     if done is not None:
         mine = (F.col("backend") == backend) & (F.col("window_start_epoch") == window[0]) & (F.col("window_end_epoch") == window[1])
         finished = done.filter(mine & (F.col("status") == "complete")).select("subreddit", "kind")
         asked = asked.join(finished, ["subreddit", "kind"], "left_anti")
-    # A batch run reads its window to the end.
-    summary = progress.checkpoint_summary(rows, backend, *window, walks=asked, finished=True)
-    summary = materialize(summary, "walks")
     kept = flagging.keep_matching(rows, **(clauses or {}))
     arrival = _arrival(batch_id, batch_time, F.col("file"), F.col("block"), F.col("row"))
     placed = kept.withColumn("arrival", arrival)
     stored = normalize.storage_rows(placed, batch_time, ["arrival"])
-    store.append_versions(stored, root, kind, "run", batch_id)
+    written = store.append_versions(stored, root, kind, "run", batch_id)
+    # Without clauses all records were kept, so what was written tells the progress.
+    walked = rows if clauses else written.withColumn("kind", F.lit(f"{kind}s"))
+    # A batch run reads its window to the end.
+    summary = progress.checkpoint_summary(walked, backend, *window, walks=asked, finished=True)
+    summary = materialize(summary, "walks")
     store.write_walks(summary, root, f"run-{kind}-{backend}", batch_id)
     names = spark.createDataFrame([(s,) for s in subreddits], "name string")
     store.note_subreddits(names, root, f"run-{kind}", batch_id, batch_time)
@@ -186,13 +191,15 @@ def filter_run(
         counts.append(
             written.agg(F.count("*").alias("flagged")).select(F.lit(f"{kind}s").alias("kind"), "flagged")
         )
-    # Flagged rows are few; each archive is folded once for them, and once for the titles.
-    posts = store.current(spark, posts_root, "post")
-    comments = store.current(spark, comments_root, "comment").filter(flagging.is_flagged())
-    marked = materialize(comments.drop("raw"), "flagged")
+    # Each archive is folded once for the flagged rows, and once for the titles, with only the columns
+    # that the report has. Flagged posts are sorted from that one shuffle.
+    posts = store.current(spark, posts_root, "post", columns=(*FLAGGED_POST_COLUMNS, *FLAG_COLUMNS))
+    titles = store.current(spark, posts_root, "post", columns=("title",))
+    comments = store.current(spark, comments_root, "comment", columns=(*FLAGGED_COMMENT_COLUMNS, *FLAG_COLUMNS))
+    marked = materialize(comments.filter(flagging.is_flagged()), "flagged")
     sinks.write_report(
-        materialize(flagging.flagged_posts(posts), "flagged_posts"),
-        materialize(flagging.flagged_comments(marked, posts), "flagged_comments"), report,
+        flagging.flagged_posts(posts),
+        materialize(flagging.flagged_comments(marked, titles), "flagged_comments"), report,
     )
     return counts[0].unionByName(counts[1])
 

@@ -14,6 +14,7 @@ forest has not seen, whatever the reason, are added when it is read.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -80,7 +81,8 @@ def append_versions(rows: DataFrame, root: str, kind: str, writer: str, batch_id
     """
     place = f"writer={writer}/batch={batch_id}"
     target = f"{root}/versions/{place}"
-    rows.select(*_schema(kind).fieldNames()).write.mode("overwrite").parquet(target)
+    # Records are kept with their raw text, so texts stand there twice; zstd sees that.
+    rows.select(*_schema(kind).fieldNames()).write.mode("overwrite").option("compression", "zstd").parquet(target)
     written = rows.sparkSession.read.schema(_schema(kind)).parquet(target)
     (
         written.groupBy("subreddit")
@@ -121,11 +123,18 @@ def stored_versions(
 
 def current(
     spark: SparkSession, root: str, kind: str, depth: bool = True,
-    without: tuple[str, int] | None = None,
+    without: tuple[str, int] | None = None, columns: Iterable[str] | None = None,
 ) -> DataFrame:
-    """The current row of every record; comments with their depth unless not wanted."""
+    """The current row of every record; comments with their depth unless not wanted.
+
+    With ``columns`` rows have only these beside their keys, and only these are shuffled.
+    """
     versions = stored_versions(spark, root, kind, without)
-    rows = fold_versions(versions, [F.col("arrival")])
+    wanted = versions
+    if columns is not None:
+        keep = {*KEY, "arrival", *columns}
+        wanted = versions.select(*[c for c in versions.columns if c in keep])
+    rows = fold_versions(wanted, [F.col("arrival")])
     if kind != "comment" or not depth:
         return rows
     if without is not None:
