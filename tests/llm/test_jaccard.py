@@ -96,3 +96,19 @@ def test_pivots_lose_no_link(spark, monkeypatch):
     rows = documents(seed=21, plain=40)
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similarity_components(frame(spark, rows)).collect()}
     assert got == set(brute([r[:2] for r in rows]))
+
+
+def test_rounds_on_few_links_take_few_tasks(spark):
+    """On a table of many partitions the rounds of a few links were mostly the starting of empty tasks."""
+    changed = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        links = spark.range(400).selectExpr("id AS a", "id + (CASE WHEN id % 10 = 9 THEN 0 ELSE 1 END) AS b")
+        found = components(links, "a", "b")
+        assert {(r.node, r.root) for r in found.collect()} == {(i, i // 10 * 10) for i in range(400)}
+        assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
