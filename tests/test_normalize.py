@@ -78,3 +78,11 @@ def test_records_are_parsed_once(spark):
     df = normalize.normalize_posts(raw(spark, {"id": "a"}).repartition(2), raw="raw")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+def test_fields_are_taken_out_of_a_record_once(spark):
+    raw = spark.createDataFrame([('{"id":"a","link_id":"t3_p","created_utc":"5"}',)], "raw string").repartition(1)
+    rows = normalize.normalize_comments(raw, raw="raw")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$.author") == plan.count("$.link_id") == plan.count("$.name") == 1
+    assert [(r.id, r.post_id, r.created_epoch) for r in rows.collect()] == [("a", "p", 5)]

@@ -77,3 +77,19 @@ def test_long_walks_are_parted_and_nothing_is_nothing(spark, tmp_path, monkeypat
     parts = pages._parted({S: [(i, f"{i}.json") for i in range(5)], T: []})
     assert [[c for c, _ in p.pages] for p in parts] == [[0, 1], [2, 3], [4]]
     assert spark.read.format(pages.FORMAT).load(str(tmp_path / "none")).count() == 0
+
+
+def test_large_pages_are_parted_by_their_bytes(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "pages")
+    put(spark, root, *[page(S, 10 * i, [rc(f"{i}{k}", 10 * i, "x" * 100) for k in range(5)]) for i in range(1, 5)])
+    monkeypatch.setattr(pages, "BYTES_PER_TASK", 2000)
+    assert [[c for c, _ in p.pages] for p in pages.PageReader(root).partitions()] == [[10, 20], [30, 40]]
+    upto = pages.PageStreamReader(root).latestOffset()
+    parts = pages.PageStreamReader(root).partitions({"walks": "{}"}, upto)
+    assert [[c for c, _ in p.pages] for p in parts] == [[10, 20], [30, 40]]
+    monkeypatch.setattr(pages, "BYTES_PER_TASK", 10)
+    assert len(pages.PageReader(root).partitions()) == 4
+    monkeypatch.setattr(pages, "BATCH_ROWS", 2)
+    rows = [b.to_pylist() for p in parts for b in pages.PageStreamReader(root).read(p)]
+    assert max(map(len, rows)) == 2 and sum(map(len, rows)) == 20
+    assert spark.read.format(pages.FORMAT).load(root).filter("created_epoch = 30").count() == 5

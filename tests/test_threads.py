@@ -313,3 +313,20 @@ def test_replies_of_one_second_are_parted(spark, monkeypatch):
         stack += sorted(kids.get(node, []), key=lambda k: (epochs[k], k), reverse=True)
     got = {r.id: r.position for r in threads.preorder(df).collect()}
     assert [i for i, _ in sorted(got.items(), key=lambda t: t[1])] == order
+
+
+def test_whole_forest_works_its_comments_out_once(spark):
+    rows = [("s", "a", "t3_p"), ("s", "b", "t1_a"), ("s", "c", "t1_b"), ("s", "o", "t1_gone"), ("s", "x", "t1_y"), ("s", "y", "t1_x")]
+    seen = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame(rows, "subreddit string, id string, parent_id string")
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    forest = threads.whole_forest(df.mapInArrow(counted, df.schema))
+    assert {(r.id, r.parent, r.depth, r.root_id) for r in forest.collect()} == {
+        ("a", None, 0, "a"), ("b", "a", 1, "a"), ("c", "b", 2, "a"), ("o", "gone", 0, "o"), ("x", "y", None, None), ("y", "x", None, None),
+    }
+    assert seen.value == len(rows)

@@ -44,19 +44,21 @@ def resolve_forest(comments: DataFrame) -> DataFrame:
     Top-level comments and orphans are roots with depth 0. A comment on or under a cycle
     keeps a null depth. ``comments`` must be unique on (subreddit, id).
     """
+    return _double(_start(comments))
+
+
+def _start(comments: DataFrame) -> DataFrame:
     anc = parent_comment_id(F.col("parent_id"))
-    return _double(
-        comments.select(
-            *KEY,
-            anc.alias("anc"),
-            F.when(anc.isNull(), 0).otherwise(1).alias("dist"),
-            F.col("id").alias("top"),
-        )
+    return comments.select(
+        *KEY,
+        anc.alias("anc"),
+        F.when(anc.isNull(), 0).otherwise(1).alias("dist"),
+        F.col("id").alias("top"),
     )
 
 
-def _double(state: DataFrame) -> DataFrame:
-    """``subreddit, id, depth, root_id`` by pointer doubling.
+def _double(state: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``subreddit, id, depth, root_id`` by pointer doubling, with the columns ``keep`` passed through.
 
     In the state ``anc`` is the ancestor ``dist`` hops up that is still to be looked up, and
     ``top`` the last one known below it; once ``anc`` is null, ``top`` is the root and ``dist``
@@ -79,7 +81,7 @@ def _double(state: DataFrame) -> DataFrame:
         met = lookup_left(active, seen, ["subreddit", "anc"], KEY, values, left_rows=n_active)
         found = "up_dist IS NOT NULL"
         moved = met.selectExpr(
-            *KEY,
+            *KEY, *keep,
             "up_anc AS anc",
             # An ancestor that is not there makes the comment just under it a root.
             f"CASE WHEN {found} THEN dist + up_dist ELSE dist - 1 END AS dist",
@@ -97,19 +99,22 @@ def _double(state: DataFrame) -> DataFrame:
             break
         n_active = n_left
 
-    rooted = _union(done).select(*KEY, F.col("dist").alias("depth"), F.col("top").alias("root_id"))
+    rooted = _union(done).select(*KEY, *keep, F.col("dist").alias("depth"), F.col("top").alias("root_id"))
     if not n_active:
         return rooted
     stuck = active.select(
-        *KEY, F.lit(None).cast("int").alias("depth"), F.lit(None).cast("string").alias("root_id")
+        *KEY, *keep, F.lit(None).cast("int").alias("depth"), F.lit(None).cast("string").alias("root_id")
     )
     return rooted.unionByName(stuck)
 
 
 def whole_forest(comments: DataFrame) -> DataFrame:
-    """The forest of all comments in the form that :func:`forest_changes` goes on from."""
-    links = comments.select(*KEY, parent_comment_id(F.col("parent_id")).alias("parent"))
-    return links.join(resolve_forest(comments), KEY).select(*FOREST)
+    """The forest of all comments in the form that :func:`forest_changes` goes on from.
+
+    Parents go along with the pointers, so ``comments`` is worked out once and met by no join.
+    """
+    state = _start(comments)
+    return _double(state.withColumn("parent", F.col("anc")), keep=("parent",)).select(*FOREST)
 
 
 def forest_changes(forest: DataFrame, batch: DataFrame) -> DataFrame:

@@ -171,6 +171,11 @@ def _kept_forest(spark: SparkSession, root: str):
     return rows.groupBy(*KEY).agg(last.alias("row")).select(*KEY, "row.*").select(*FOREST), commit, missing
 
 
+def _links(spark: SparkSession, root: str) -> DataFrame:
+    """The current parent of every comment."""
+    return latest(stored_versions(spark, root, "comment").select(*KEY, "parent_id", "arrival"), KEY, [F.col("arrival")])
+
+
 def _links_of(spark: SparkSession, root: str, batches: list[tuple[str, int]]) -> DataFrame:
     """The current parent of every comment that the batches brought."""
     wanted = spark.createDataFrame(batches, "writer string, batch bigint")
@@ -191,8 +196,8 @@ def refresh_forest(spark: SparkSession, root: str, whole: bool = False) -> None:
     path = f"{root}/forest/{uuid.uuid4().hex}"
     changes = None
     if missing:
-        links = _links_of(spark, root, missing)
-        changes = forest_changes(forest, links) if commit["paths"] else whole_forest(links)
+        # Without a forest so far no batch is known, and the missing ones brought every comment.
+        changes = forest_changes(forest, _links_of(spark, root, missing)) if commit["paths"] else whole_forest(_links(spark, root))
     if not commit["paths"]:
         out, paths = changes if changes is not None else forest, [path]
     elif whole or len(commit["paths"]) >= MOST_CHANGES:
