@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from threadmill.llm import covertree, hamming
@@ -98,3 +101,31 @@ def test_few_neighbours(spark):
     x = np.eye(4, dtype=np.float32)
     assert hamming.nearest(table(spark, x, BAD[:1]), 1, 5).count() == 12
     assert hamming.nearest(table(spark, [], BAD[:1]), 1, 5).collect() == []
+
+
+def test_memory_of_a_search_does_not_grow_with_the_pairs_found(spark, monkeypatch):
+    """All pairs lie within the radius here; their vectors side by side were 2 x 1.3 GB for a block of a 6 GB run."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 32))
+    held = {}
+    monkeypatch.setattr(hamming, "top_k", lambda q, data, k, kind, search, *_: held.setdefault("search", search) and data)
+    monkeypatch.setattr(hamming, "materialize", lambda df, _: df)
+    monkeypatch.setattr(hamming, "RECALL", 1.0)
+    try:
+        hamming.nearest(table(spark, x[:200]), 10, 5)
+    except Exception:
+        pass  # what follows the first search has no columns to go on with
+    asked = pa.table({"v": pa.array(x[:600].tolist(), pa.list_(pa.float64()))})
+    tracemalloc.start()
+    rows, found, score = held["search"](np.arange(600), asked, np.arange(3000), x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    unit = hamming.unit(x)
+    order = np.lexsort((found, -score, rows))
+    for i in range(0, 600, 50):
+        mine = found[order][rows[order] == i][:5]
+        cosine = unit[i] @ unit.T
+        cosine[i] = -1
+        # Codes may miss a neighbour; the nearest that is found must be one.
+        assert len(mine) == 5 and np.all(np.diff(cosine[mine]) <= 0)
