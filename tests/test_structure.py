@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 import random
+import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from threadmill.operators import flatten, structure
+from threadmill.operators import flatten, progress, structure
 from threadmill.session import prepare, written_tables
 
 
@@ -148,3 +150,110 @@ def test_deep_documents_take_few_passes(spark):
     rows = flatten.flatten_replies(spark.createDataFrame([(1, text)], "k int, tree string"), "tree", ["k"])
     assert len(written_tables()) - before <= 6
     assert sorted(r.level for r in rows.collect()) == list(range(200))
+
+
+def cut_at_once(texts, every):
+    """State, pieces (level, marks, text) and head of each text, as array steps over runs give them."""
+    out = []
+    for data, offsets in structure._runs(pa.array(texts)):
+        cuts = structure.Cuts(data, offsets, every)
+        pieces, of = {}, cuts.cut("m")
+        for piece, text in zip(of[0], of[1].to_pylist()):
+            pieces.setdefault(int(cuts.text[piece]), []).append((int(cuts.level[piece]), int(cuts.kids[piece]), text))
+        heads = cuts.heads("m").to_pylist()
+        out += [(int(cuts.state[i]), pieces.get(i, []), heads[i]) for i in range(cuts.count)]
+    return out
+
+
+@pytest.mark.parametrize("every", [1, 6, 21])
+def test_runs_of_texts_are_cut_like_each_text(every, monkeypatch):
+    rng = random.Random(5)
+    good = [text_of(tree(rng, rng.randint(1, 60)), i % 2 == 0) for i in range(100)]
+    good += [json.dumps(json.loads(t), indent=i) for i, t in zip([None, 1] * 20, good)]
+    signs = [*'{}[]",:\\ \n', '"replies":[', '"data" : [', '{"id":1}', '"children":\t[', '"":[', '"a\\"', "[{", "}]"]
+    noise = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    at = [rng.randrange(len(t)) for t in good]
+    worn = [t[:i] + rng.choice(signs) + t[i + rng.randint(0, 2) :] for i, t in zip(at, good)]
+    texts = [t for three in zip(good, worn, noise) for t in three] + noise + [text_of(tree(rng, 3000)), ""]
+    monkeypatch.setattr(structure, "RUN_BYTES", 5000)
+    marks, told = re.compile(r'\{"m":"[^"]*"\}'), set()
+    for text, (state, pieces, head) in zip(texts, cut_at_once(texts, every), strict=True):
+        told.add(state)
+        want = structure.cut_text(text, "m", every)
+        if state == structure.CUT:
+            assert want != structure._UNSOUND
+            assert sorted((level if name != "0:0" else -1, marks.sub("M", t)) for name, level, t in want) == sorted(
+                (level, marks.sub("M", t)) for level, _, t in pieces)
+            assert all(n in (-1, len(marks.findall(t))) for _, n, t in pieces)
+            named = {f"1:{i}": t for i, (_, _, t) in enumerate(pieces)}
+            whole = pieces[0][2]
+            while (more := marks.sub(lambda m: named[m[0][6:-2]], whole)) != whole:
+                whole = more
+            assert whole == text and len(head) <= len(text) + 9 * text.count("{")
+        else:
+            assert not pieces and head is None
+            assert state == structure.ODD or want == structure._UNSOUND or not structure._BRACKET.match(text)
+    assert told == {structure.CUT, structure.UNSOUND, structure.ODD}
+
+
+def labels(before):
+    return {path.rsplit("/", 1)[1] for path in written_tables()[before:]}
+
+
+DEEP = '[{"id":"a","body":"b","replies":' * 700 + "[]" + "}]" * 700
+
+
+def test_deep_documents_are_told_without_storing_them(spark):
+    before = len(written_tables())
+    df = spark.createDataFrame([(1, DEEP), (2, DEEP[:-1]), (3, DEEP.replace('"b"', "b", 1)), (4, "[{"), (5, "[]"), (6, None)], "k int, tree string")
+    got = flatten.unreadable_documents(df, "tree", ["k"])
+    assert {r.k: r.characters for r in got.collect()} == {2: len(DEEP) - 1, 3: len(DEEP) - 2, 4: 2}
+    assert labels(before) == {"unreadable"}
+
+
+OWN = '{"a":[' * 600 + "1" + "]}" * 600
+
+
+def last(text, old, new):
+    """The innermost place changed: what is put back into own data takes a round a level."""
+    return new.join(text.rsplit(old, 1))
+
+
+# Odd ones: text behind the end, own data too deep; marks in own data, two lists of replies, a name written otherwise.
+ODD = [DEEP + " x", f'[{{"id":"a","own":{OWN}}}]', last(DEEP, '"body":"b"', '"own":{"data":[{"id":"no"}]}'),
+       DEEP.replace('"replies":', '"replies":[{"id":"lost"}],"replies":', 1),
+       last(DEEP, '"replies":[]', '"repl\\u0069es":[{"id":"c","replies":[{"id":"d"}]}]'),
+       last(DEEP, '"replies":[]', '"replies":["x"],"children":[{"id":"c"}]')]
+
+
+def test_odd_documents_are_read_like_pieces(spark):
+    texts = [*ODD, DEEP, DEEP[:-1], DEEP.replace('"b"', "b", 1), DEEP.replace('"b"', "null", 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, tree string")
+    rows = got(flatten.flatten_replies(df, "tree", ["k"]).collect())
+    pieces = flatten._Pieces(df, "tree", flatten.EVERY_RECORD)
+    assert rows == got(flatten._flatten_pieces(pieces, ["k"]).collect()) and len(rows[len(ODD)]) == 700
+    broken = {r.k for r in pieces.rows.join(pieces.broken, "_doc").collect()}
+    assert broken == {1, len(ODD) + 1, len(ODD) + 2}
+    assert {r.k for r in flatten.unreadable_documents(df, "tree", ["k"]).collect()} == broken
+
+
+def test_plain_deep_documents_are_read_where_they_are(spark):
+    before = len(written_tables())
+    rows = flatten.flatten_replies(spark.createDataFrame([(1, DEEP), (2, DEEP[:-1])], "k int, tree string"), "tree", ["k"])
+    assert sorted(r.level for r in rows.collect()) == list(range(700))
+    assert labels(before) == {"pass=0", "records"}
+
+
+def test_cursors_of_deep_pages_store_no_pieces(spark):
+    page = '{"data":[{"id":"a","created_utc":5},' + DEEP[1:-1] + ',{"id":"z","created_utc":"7.5"},{"created_utc":"soon"}]}'
+    texts = [page, page[:-1], '{"data":[]}', page + " x", page.replace('"b"', "b", 1), f'[{{"created_utc":1,"own":{OWN}}}]', None]
+    before = len(written_tables())
+    got = progress.page_cursors(spark.createDataFrame([(1, page), (2, page[:-1])], "k int, p string"), "p", ["k"])
+    assert sorted(map(tuple, got.collect())) == [(1, 4, 7, False, False), (2, None, None, False, True)]
+    assert labels(before) == {"cursors", "deep"}
+    got = progress.page_cursors(spark.createDataFrame(list(enumerate(texts)), "k int, p string"), "p", ["k"])
+    broken = (None, None, False, True)
+    assert {r[0]: tuple(r[1:]) for r in got.collect()} == {
+        0: (4, 7, False, False), 1: broken, 2: (0, None, True, False), 3: (4, 7, False, False), 4: broken, 5: broken,
+        6: (0, None, True, False),
+    }

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..session import fresh_dir, materialize
-from .structure import ROOT, cut_documents
+from .structure import CUT, ODD, ROOT, UNSOUND, cut_documents, text_heads, text_pieces, text_states
 from .threads import resolve_forest
 
 # Levels taken apart in one pass; few real threads are nested deeper.
@@ -50,6 +50,30 @@ _OWN = f"""to_json(CASE
   ELSE map_filter({_FIELDS}, (k, v) -> k NOT IN ('replies', 'children')) END)"""
 
 
+# The same rules for a record that is at hand as ``m``, the map of its members.
+def _holds_scalar(member: str) -> str:
+    said = f"try_variant_get({member}, '$', 'string')"
+    return f"""coalesce({member} IS NOT NULL AND NOT is_variant_null({member}) AND {said} <> ''
+  AND ({said} NOT IN ('0', '0.0', 'false', '[]', '{{}}') OR schema_of_variant({member}) = 'STRING'), false)"""
+
+
+_M_BARE = "try_variant_get(m['replies'], '$', 'array<variant>')"
+# Most records without replies have none or an empty text there, which is told at once.
+_M_HAS_REPLIES = f"""(CASE WHEN m['replies'] IS NULL OR try_variant_get(m['replies'], '$', 'string') = '' THEN false
+  ELSE coalesce(size({_M_BARE}) > 0, false)
+  OR coalesce(size(try_variant_get(m['replies'], '$', 'map<string,variant>')) > 0, false)
+  OR {_holds_scalar("m['replies']")} END)"""
+_M_REPLIES = f"""coalesce(
+  CASE WHEN size({_M_BARE}) > 0 THEN {_M_BARE} END,
+  CASE WHEN {_M_HAS_REPLIES} THEN try_variant_get(m['replies'], '$.data', 'array<variant>')
+    ELSE coalesce(try_variant_get(m['children'], '$', 'array<variant>'),
+      try_variant_get(m['children'], '$.data', 'array<variant>')) END,
+  CAST(array() AS array<variant>))"""
+_M_IS_COMMENT = f"((m['body'] IS NOT NULL AND NOT is_variant_null(m['body'])) OR {_holds_scalar("m['id']")})"
+_M_OWN = f"""to_json(CASE WHEN m['children'] IS NOT NULL AND {_M_HAS_REPLIES}
+  THEN map_filter(m, (k, v) -> k <> 'replies') ELSE map_filter(m, (k, v) -> k NOT IN ('replies', 'children')) END)"""
+
+
 def envelope_items(payload: Column) -> Column:
     """Records of ``{"data": [...]}`` or of a bare list; no records for anything else."""
     return F.coalesce(
@@ -69,44 +93,108 @@ class _Pieces:
 
     def __init__(self, refused: DataFrame, column: str, every: int | None = None):
         self.rows = materialize(refused.withColumn("_doc", F.monotonically_increasing_id()), "refused")
-        self.mark = f"cut_{uuid.uuid4().hex}"
+        self.mark = _mark()
         docs = self.rows.select(F.col("_doc").alias("doc"), F.col(column).alias("text"))
         self.all = materialize(cut_documents(docs, "text", self.mark, every), "pieces")
         self.broken = self.all.filter(F.try_parse_json("text").isNull()).select(F.col("doc").alias("_doc")).distinct()
         self.sound = self.all.join(self.broken, F.col("doc") == F.col("_doc"), "left_anti")
 
 
+def _bound(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
+    """``keep`` and the column, made once a row: no filter or later step makes it again."""
+    return df.select(*keep, F.explode(F.array(column)).alias(column))
+
+
+# The reader's own rules, but for the depth; a text that is no JSON leaves itself in ``broken``.
+_STREAM = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken", "maxNestingDepth": "2000000000",
+           "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def _is_json(text: Column) -> Column:
+    """The text is one JSON value, however deep; read token by token, nothing of it is kept."""
+    member = F.concat(F.lit('{"text":'), text, F.lit("}"))
+    return F.from_json(member, "none int, broken string", _STREAM)["broken"].isNull()
+
+
+def _state(state: Column, text: Column) -> Column:
+    """``state`` of a text with JSON in its place: what is cut and no JSON is unsound."""
+    return F.when(state != CUT, state).when(_is_json(text), CUT).when(F.is_valid_utf8(text), UNSOUND).otherwise(ODD)
+
+
+def _mark() -> str:
+    return f"cut_{uuid.uuid4().hex[:12]}"
+
+
 def unreadable_documents(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
     """Documents without records: ``keep``, their ``characters`` and the ``reason``.
 
-    A document that the JSON reader refuses is cut at its brackets, whatever its depth or size;
-    those with a piece that is refused as well are listed. :func:`flatten_replies` has no
+    A document that the JSON reader refuses is looked at bracket by bracket, whatever its depth or size; those
+    that are no JSON or have a piece that is refused as well are listed. :func:`flatten_replies` has no
     records for them, so a run that uses it keeps this table beside its result.
+
+    Documents are told where they are; only odd ones (see ``structure``) are stored and cut into pieces.
     """
-    pieces = _Pieces(_refused(df, column), column)
+    bound, text = _bound(df, column, keep), F.col(column)
+    told = _refused(bound, column).withColumn("_state", text_states(text))
+    told = told.select(*keep, column, F.explode(F.array(_state(F.col("_state"), text))).alias("_state"))
+    odd = Observation()
+    listed = materialize(
+        _listed(told, column, [*keep, "_state"], F.col("_state") == UNSOUND).filter(F.col("_state") != CUT), "unreadable", None, odd,
+        F.count_if(F.col("_state") == ODD).alias("n"),
+    )
+    sure = listed.filter(F.col("_state") == UNSOUND).drop("_state", "_hash")
+    if not odd.get["n"]:
+        return sure
+    pieces = _Pieces(_of_texts(_refused(bound, column), column, listed.filter(F.col("_state") == ODD)), column)
+    return sure.unionByName(_listed(pieces.rows.join(pieces.broken, "_doc", "left_semi"), column, keep, F.lit(True)).drop("_hash"))
+
+
+def _listed(df: DataFrame, column: str, names: list[str], wanted: Column) -> DataFrame:
+    """``names`` and, where ``wanted``, characters and reason of documents without records."""
     text = F.col(column)
     sound = F.get_json_object(text, "$").isNotNull()
     balanced = F.rlike(F.rtrim(text), F.lit(r"[\]}]$")) & F.rlike(text, F.lit(r"^\s*[\[{]"))
-    return pieces.rows.join(pieces.broken, "_doc", "left_semi").select(
-        *keep,
-        F.char_length(text).cast("bigint").alias("characters"),
-        F.when(sound, "too large").when(balanced, "too deep or not JSON").otherwise("not JSON").alias("reason"),
+    reason = F.when(sound, "too large").when(balanced, "too deep or not JSON").otherwise("not JSON")
+    return df.select(
+        *names, F.xxhash64(text).alias("_hash"),
+        F.when(wanted, F.char_length(text).cast("bigint")).alias("characters"), F.when(wanted, reason).alias("reason"),
     )
 
 
+def _of_texts(df: DataFrame, column: str, listed: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose text has a ``_hash`` that is listed."""
+    hashes = listed.select("_hash").distinct()
+    return df.withColumn("_hash", F.xxhash64(column)).join(hashes, "_hash", "left_semi").drop("_hash")
+
+
 # A text that nests deeper than the reader goes has at least so many characters.
 DEEP_CHARACTERS = 1_000
 
 
-def deep_items(df: DataFrame, column: str, keep: list[str]) -> DataFrame | None:
-    """``keep``, ``place`` and ``item`` of envelopes that are sound but refused by the reader; None if there are none.
+def read_pages(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
+    """``keep``, whether the text was ``_sent``, and ``_page``, the envelope parsed.
+
+    An envelope that the reader refuses has a ``_state``; its records are read with what lies deep in them cut out.
+    ``_page`` is null for what is no JSON and for odd texts, which have a ``_hash``; see :func:`odd_items`.
+    """
+    text, mark = F.col(column), _mark()
+    read = _bound(df, column, keep).select(*keep, column, F.try_parse_json(text).alias("_whole"))
+    deep = F.when(text.isNotNull() & F.col("_whole").isNull() & (F.length(column) >= DEEP_CHARACTERS), text)
+    read = read.withColumn("_deep", F.explode(F.array(deep))).withColumn("_cut", text_heads(F.col("_deep"), mark))
+    state = F.when(F.col("_deep").isNotNull(), _state(F.col("_cut.state"), F.col("_deep")))
+    read = read.select(*keep, column, "_whole", "_cut", F.explode(F.array(state)).alias("_state"))
+    head = F.when(F.col("_state") == CUT, F.try_parse_json("_cut.head"))
+    return read.select(*keep, F.coalesce("_whole", head).alias("_page"), F.col(column).isNotNull().alias("_sent"), "_state",
+                       F.when(F.col("_state") == ODD, F.xxhash64(column)).alias("_hash"))
+
+
+def odd_items(df: DataFrame, column: str, keep: list[str], listed: DataFrame) -> DataFrame:
+    """``keep``, ``place`` and ``item`` of the odd envelopes ``listed`` (``_hash``) that are sound.
 
     The items are the records with what lies deep in them cut out; see :func:`envelope_items`.
     """
-    refused = _refused(df.filter(F.length(column) >= DEEP_CHARACTERS), column)
-    if refused.isEmpty():
-        return None
-    pieces = _Pieces(refused, column)
+    refused = _refused(_bound(df, column, keep).filter(F.length(column) >= DEEP_CHARACTERS), column)
+    pieces = _Pieces(_of_texts(refused, column, listed), column)
     text = F.try_parse_json("text")
     roots = pieces.sound.filter(F.col("piece") == ROOT).select("doc", F.posexplode_outer(envelope_items(text)).alias("place", "own"))
     roots = roots.withColumn("piece", F.try_variant_get("own", f"$.{pieces.mark}", "string"))
@@ -123,12 +211,12 @@ def flatten_replies(trees: DataFrame, tree: str, keep: list[str] | None = None)
 
     A pass takes ``LEVELS`` levels apart inside each document row; only documents nested
     deeper than that come back for another pass, each pass over a written table. Documents
-    that the reader refuses as a whole are cut into pieces first, and their pieces are taken
-    apart all at once.
+    that the reader refuses as a whole are cut at every record, and their records are read one by one.
     """
     keep = keep or []
     taken = Observation()
-    lists = F.char_length(tree) - F.char_length(F.replace(F.col(tree), F.lit("["), F.lit("")))
+    trees = _bound(trees, tree, keep)
+    lists = F.octet_length(tree) - F.octet_length(F.replace(F.col(tree), F.lit("["), F.lit("")))
     whole = F.when(lists <= MANY_LISTS, F.try_parse_json(tree))
     parsed = trees.select(*keep, whole.alias("_parsed"), F.col(tree).isNotNull().alias("_there"))
     parsed = parsed.observe(taken, F.count_if(F.col("_there") & F.col("_parsed").isNull()).alias("refused"))
@@ -136,7 +224,7 @@ def flatten_replies(trees: DataFrame, tree: str, keep: list[str] | None = None)
     found = _passes(docs, keep, "flatten")
     if not taken.get["refused"]:
         return found
-    return found.unionByName(_flatten_pieces(_Pieces(trees.filter(F.col(tree).isNotNull() & whole.isNull()), tree, EVERY_RECORD), keep))
+    return found.unionByName(_flatten_deep(trees.filter(F.col(tree).isNotNull() & whole.isNull()), tree, keep))
 
 
 def _passes(docs: DataFrame, keep: list[str], label: str, mark: str | None = None) -> DataFrame:
@@ -179,6 +267,44 @@ def _take_levels(docs: DataFrame, keep: list[str], levels: int, mark: str | None
     )
 
 
+def _flatten_deep(docs: DataFrame, tree: str, keep: list[str]) -> DataFrame:
+    """The records of documents cut at every record, each read where its document is.
+
+    A document is plain if all its pieces are JSON and all that is cut out of it stands among the replies of the
+    record around, so that every piece is a record of the tree. That is told piece by piece. Others are left to
+    :func:`_flatten_pieces`.
+    """
+    mark = _mark()
+    cut = text_pieces(docs.select(*keep, F.xxhash64(tree).alias("_hash"), tree), tree, mark, EVERY_RECORD)
+    read = cut.select(*keep, "_hash", "level", "kids", F.try_parse_json("text").alias("n"))
+    read = read.select(*keep, "_hash", "level", "kids", "n", F.try_variant_get("n", "$", "map<string,variant>").alias("m"))
+
+    def holds(path: str) -> str:
+        return f"try_variant_get(n, '{path}[0].{mark}', 'string') IS NOT NULL"
+
+    # All objects in lists of replies are cut out. So if a piece's marks stand in one list and replies begin with a
+    # mark, the replies are that list.
+    replied = f"""{holds('$.replies')} OR {holds('$.replies.data')}
+      OR (({holds('$.children')} OR {holds('$.children.data')}) AND NOT {_M_HAS_REPLIES})"""
+    plain = F.expr(f"""coalesce(n IS NOT NULL AND CASE WHEN kids > 0 AND level < 0 THEN {holds('$')} OR {holds('$.data')}
+      WHEN kids > 0 THEN {replied} END, false)""")
+    nothing = (F.col("kids") == 0) & (F.size(F.when(F.col("level") < 0, envelope_items(F.col("n"))).otherwise(F.expr(_M_REPLIES))) == 0)
+    plain = plain | F.coalesce(F.col("n").isNotNull() & nothing, F.lit(False))
+    odd = Observation()
+    rows = materialize(
+        read.select(
+            *keep, "_hash", "level", F.expr(f"CASE WHEN level >= 0 AND {_M_IS_COMMENT} THEN {_M_OWN} END").alias("raw"),
+            (~plain).alias("_odd"),
+        ), "records", None, odd, F.count_if("_odd").alias("n"),
+    )
+    found = rows.filter(F.col("raw").isNotNull())
+    if not odd.get["n"]:
+        return found.select(*keep, "level", "raw")
+    listed = materialize(rows.filter("_odd").select("_hash").distinct(), "odd")
+    found = found.join(listed, "_hash", "left_anti").select(*keep, "level", "raw")
+    return found.unionByName(_flatten_pieces(_Pieces(_of_texts(docs, tree, listed), tree, EVERY_RECORD), keep))
+
+
 def _flatten_pieces(pieces: _Pieces, keep: list[str]) -> DataFrame:
     """The records of documents in pieces.
 

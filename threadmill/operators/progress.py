@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.times import epoch_seconds, minute_label
 from ..session import materialize
-from .flatten import deep_items, envelope_items
+from .flatten import envelope_items, odd_items, read_pages
 
 WALK = ["subreddit", "backend", "kind"]
 WINDOW = ["window_start_epoch", "window_end_epoch"]
@@ -123,32 +123,43 @@ def page_cursors(pages: DataFrame, payload: str, keys: list[str]) -> DataFrame:
     tell pages apart. A page that cannot be read
     has no known number of items (null), is ``unreadable`` and never counts as drained.
     """
-    parsed = pages.select(*keys, F.col(payload).isNotNull().alias("_sent"), F.try_parse_json(payload).alias("_page"))
-    items = parsed.select(
-        *keys, (F.col("_sent") & F.col("_page").isNull()).alias("unreadable"), envelope_items(F.col("_page")).alias("_items")
+    read = read_pages(pages, payload, keys)
+    items = read.select(
+        *keys, (F.col("_sent") & F.col("_page").isNull()).alias("unreadable"), envelope_items(F.col("_page")).alias("_items"), "_state", "_hash"
     )
     epochs = F.transform(
         "_items",
         lambda item: epoch_seconds(F.try_variant_get(item, "$.created_utc", "string")),
     )
-    usable = F.filter(epochs, lambda e: e.isNotNull())
-    plain = items.select(
+    places = F.transform(epochs, lambda e, i: F.struct(i.alias("place"), e.alias("epoch")))
+    usable = F.filter(places, lambda p: p["epoch"].isNotNull())
+    names = [*keys, "items", "next_cursor", "exhausted", "unreadable"]
+    cursors = items.select(
         *keys,
         F.when(~F.col("unreadable"), F.size("_items").cast("bigint")).alias("items"),
-        F.try_element_at(usable, F.lit(-1)).alias("next_cursor"),
+        F.explode(F.array(F.try_element_at(usable, F.lit(-1)))).alias("_last"),
         (~F.col("unreadable") & (F.size("_items") == 0)).alias("exhausted"),
-        "unreadable",
+        "unreadable", (~F.col("unreadable") & F.col("_state").isNotNull()).alias("_deep"), "_hash",
     )
-    deep = deep_items(pages, payload, keys)
-    if deep is None:
-        return plain
-    # Pages whose records nest too deep for the reader are counted by their cut records.
-    epoch = epoch_seconds(F.try_variant_get("item", "$.created_utc", "string"))
-    counted = deep.groupBy(*keys).agg(
-        F.count("place").alias("items"), F.max_by(epoch, F.when(epoch.isNotNull(), F.col("place"))).alias("next_cursor")
+    cursors = cursors.select(*names[:-3], F.col("_last.epoch").alias("next_cursor"), *names[-2:], F.col("_last.place").alias("_place"), "_deep", "_hash")
+    seen = Observation()
+    cursors = materialize(
+        cursors, "cursors", None, seen, F.count_if("_deep").alias("deep"), F.count("_hash").alias("odd")
     )
+    if not (seen.get["deep"] or seen.get["odd"]):
+        return cursors.select(names)
+    # Pages whose records nest too deep for the reader are told apart by their keys, odd ones are counted by their pieces.
+    deep = cursors.filter("_deep").select(*keys, "items", "next_cursor", "_place")
+    if seen.get["odd"]:
+        found = odd_items(pages, payload, keys, cursors.filter(F.col("_hash").isNotNull()))
+        epoch = epoch_seconds(F.try_variant_get("item", "$.created_utc", "string"))
+        found = found.select(*keys, F.col("place").isNotNull().cast("bigint").alias("items"), epoch.alias("next_cursor"), "place")
+        deep = deep.unionByName(found.withColumnRenamed("place", "_place"))
+    place = F.when(F.col("next_cursor").isNotNull(), F.col("_place"))
+    counted = deep.groupBy(*keys).agg(F.sum("items").alias("items"), F.max_by("next_cursor", place).alias("next_cursor"))
     counted = materialize(counted.withColumns({"exhausted": F.col("items") == 0, "unreadable": F.lit(False)}), "deep")
-    return plain.join(counted.select(*keys), keys, "left_anti").unionByName(counted.select(*plain.columns))
+    plain = cursors.filter(~F.col("_deep")).select(names)
+    return plain.join(counted.select(*keys), keys, "left_anti").unionByName(counted.select(names))
 
 
 def merge_progress(old: DataFrame, new: DataFrame) -> DataFrame:
