@@ -11,7 +11,7 @@ from threadmill.operators import flagging, slices
 from threadmill.operators.normalize import normalize_posts, storage_rows
 from threadmill.plans import runs
 from threadmill.schemas import COMMENT, POST
-from threadmill.session import prepare
+from threadmill.session import prepare, written_tables
 from threadmill.sources import archive, raw, sinks
 
 
@@ -261,3 +261,21 @@ def test_keywords_of_a_table_are_those_of_a_list(spark):
     assert all(r.terms == [] for r in none) and len(none) == len(texts)
     hits = flagging.annotate_hits_of(rows, table, "word")
     assert hits.count() == sum(bool(r.terms) for r in one) and hits.filter("flagged AND flag_reason IS NOT NULL").count() == hits.count()
+
+
+def test_keywords_are_dealt_out_as_numbers(spark, monkeypatch):
+    """Lists of texts were most of what was shuffled and written."""
+    rows = spark.createDataFrame([("s", f"r{i}", f"alpha beta{i} the gamma delta" if i % 2 else "none here") for i in range(40)], "subreddit string, id string, body string")
+    table = spark.createDataFrame([("Alpha",), ("eta",), ("mm",), ("the gamma",), ("zzz",), (" ",)], "word string")
+
+    def found(words):
+        got = {r.id: list(r.terms) for r in flagging.find_terms_of(rows, words, "word").select("id", "terms").collect()}
+        path = [p for p in written_tables() if p.endswith("/listed")][-1]
+        return got, spark.read.parquet(path).schema["sure"].dataType.simpleString()
+
+    want = {f"r{i}": ["alpha", "eta", "mm", "the gamma"] if i % 2 else [] for i in range(40)}
+    assert found(table) == (want, "array<int>")
+    no_blanks = {k: [t for t in v if " " not in t] for k, v in want.items()}
+    assert found(table.filter("word <> 'the gamma'")) == (no_blanks, "array<int>")
+    monkeypatch.setattr(flagging, "NUMBERED_BYTES", 0)
+    assert found(table) == (want, "array<string>")
